@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postweave.llm.canon import look_alike_pairs
+from postweave.llm.pii import find_items
 from postweave.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = look_alike_pairs(table(spark, sf_dir, "raw_posts"), "post_key", "text")
     names = look_alike_pairs(table(spark, sf_dir, "providers"), "provider_key", "canonical_name")
     return posts.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(names.select(F.lit("providers.canonical_name"), "*"))
+
+
+@query
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every personal item of the posts and of the review texts, each record once."""
+    raw = find_items(table(spark, sf_dir, "raw_posts"), "post_key", "text")
+    review = find_items(table(spark, sf_dir, "review_posts"), "raw_post_id", "text_raw")
+    items = raw.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(review.select(F.lit("review_posts.text_raw"), "*"))
+    return items.select("field_name", "record_key", "pii_type", "start_pos").distinct()
