@@ -179,3 +179,25 @@ def look_alike_pairs(df: DataFrame, key: str, text: str, hot: int = 20_000) -> D
     b = of.select("look", F.col("raw").alias("raw_b"), F.col("key").alias("key_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     pairs = a.join(b, ["look", "salt"]).where("key_a < key_b and raw <> raw_b")
     return pairs.select("key_a", "key_b").distinct()
+
+
+_WORDS = re.compile(r"[^\W_]+")
+
+
+@lru_cache(maxsize=1)
+def _fold() -> dict[int, str]:
+    """Case and look-alikes together: each letter goes by its capital, whose look-alike is then made small."""
+    t = transducer().single
+    out = {}
+    for cp in (*range(0x41, 0x5B), *range(0xC0, 0x530), *range(0x1E00, 0x2000)):
+        up = chr(cp).upper()
+        if len(up) == 1:
+            to = t.get(ord(up), up).lower()
+            if to != chr(cp):
+                out[cp] = to
+    return out
+
+
+def fold_words(text: str | None) -> list[str]:
+    """The words (runs of letters and digits) of a text, without regard to case, look-alikes or hidden characters."""
+    return _WORDS.findall(transducer()(text).translate(_fold())) if text else []

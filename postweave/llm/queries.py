@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postweave.llm.bpe import encode
 from postweave.llm.canon import look_alike_pairs
+from postweave.llm.leak import leaks, without_leaks
 from postweave.llm.pii import find_items
 from postweave.session import table
 
@@ -35,3 +37,26 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     review = find_items(table(spark, sf_dir, "review_posts"), "raw_post_id", "text_raw")
     items = raw.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(review.select(F.lit("review_posts.text_raw"), "*"))
     return items.select("field_name", "record_key", "pii_type", "start_pos").distinct()
+
+
+@query
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document."""
+    return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+@query
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the test items that leaked into them."""
+    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+@query
+def p9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus without the documents that hold test passages."""
+    docs = table(spark, sf_dir, "documents")
+    return without_leaks(docs, "doc_id", _leaks(spark, sf_dir)).select("doc_id", "lang", "source", "n_chars")
