@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postweave.llm.abuse import fit, labelled, rates, score_documents
 from postweave.llm.bpe import encode
 from postweave.llm.canon import look_alike_pairs
 from postweave.llm.leak import leaks, without_leaks
@@ -60,3 +61,27 @@ def p9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus without the documents that hold test passages."""
     docs = table(spark, sf_dir, "documents")
     return without_leaks(docs, "doc_id", _leaks(spark, sf_dir)).select("doc_id", "lang", "source", "n_chars")
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(labelled(docs, table(spark, sf_dir, "abuse_labels")))
+    return score_documents(docs, model, ("source",))
+
+
+@query
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexual passage."""
+    return _scored(spark, sf_dir).where("abusive").select("doc_id")
+
+
+@query
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document."""
+    return _scored(spark, sf_dir).select("doc_id", F.round("score", 6).alias("score"), "abusive")
+
+
+@query
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, abusive documents, rate and mean score per source."""
+    return rates(_scored(spark, sf_dir))
