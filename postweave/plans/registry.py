@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from postweave.plans import data_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**data_queries.QUERIES}
+SQL: dict[str, str] = {**data_queries.SQL}
