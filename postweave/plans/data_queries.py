@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postweave.operators.segment import packed, split_values
+from postweave.operators.units import lowest_in_unit
 from postweave.session import table
 
 
@@ -20,5 +21,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("field").alias("field_name"), F.col("key").alias("record_key"), "pos", "item")
 
 
-QUERIES = {"p2_found": p2_found}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest price of every offer that states one, in cents of EUR."""
+    got = lowest_in_unit(table(spark, sf_dir, "offers"), "offer_key", "price_text_best", "price_min", "currency_code", table(spark, sf_dir, "currency_rates"))
+    return got.select(F.col("key").alias("offer_key"), F.round(F.col("amount") * 100).cast("bigint").alias("eur_cents"))
+
+
+QUERIES = {"p2_found": p2_found, "p7_found": p7_found}
 SQL: dict[str, str] = {}
