@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from postweave.llm.abuse import fit, labelled, rates, score_documents
 from postweave.llm.bpe import encode
 from postweave.llm.canon import look_alike_pairs
+from postweave.llm.components import provider_groups
 from postweave.llm.leak import leaks, without_leaks
 from postweave.llm.pii import find_items
-from postweave.session import table
+from postweave.llm.survivors import OFFER_BUNDLES, PROVIDER_BUNDLES, merged_records, survivors
+from postweave.session import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +87,26 @@ def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, abusive documents, rate and mean score per source."""
     return rates(_scored(spark, sf_dir))
+
+
+@query
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row each best field of a duplicate group survives from."""
+    offers = survivors(table(spark, sf_dir, "offers"), "offer_merge_override_group", "offer_key", "last_seen_at_utc", "dedupe_confidence", OFFER_BUNDLES)
+    names = survivors(table(spark, sf_dir, "providers"), "provider_merge_override_group", "provider_key", "last_seen_at_utc", "dedupe_confidence", PROVIDER_BUNDLES)
+    wanted = ("title_best", "description_best", "display_name_best")
+    return offers.unionAll(names).where(F.col("bundle").isin(*wanted)).select("group_key", F.col("bundle").alias("field_name"), "record_key")
+
+
+@query
+def p1_merged_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One built offer per duplicate group."""
+    offers = table(spark, sf_dir, "offers")
+    chosen = survivors(offers, "offer_merge_override_group", "offer_key", "last_seen_at_utc", "dedupe_confidence", OFFER_BUNDLES)
+    return merged_records(offers, "offer_merge_override_group", "offer_key", cut(chosen), OFFER_BUNDLES)
+
+
+@query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every linked provider."""
+    return provider_groups(table(spark, sf_dir, "providers"), table(spark, sf_dir, "provider_matches"))
