@@ -11,6 +11,7 @@ from postweave.llm.abuse import fit, labelled, rates, score_documents
 from postweave.llm.bpe import encode
 from postweave.llm.canon import look_alike_pairs
 from postweave.llm.components import provider_groups
+from postweave.llm.history import History, check_batches
 from postweave.llm.leak import leaks, without_leaks
 from postweave.llm.pii import find_items
 from postweave.llm.survivors import OFFER_BUNDLES, PROVIDER_BUNDLES, merged_records, survivors
@@ -110,3 +111,21 @@ def p1_merged_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every linked provider."""
     return provider_groups(table(spark, sf_dir, "providers"), table(spark, sf_dir, "provider_matches"))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = History.start(table(spark, sf_dir, "offers"), "offer_key", "first_seen_at_utc", "title_best", "description_best")
+    return check_batches(history, table(spark, sf_dir, "offer_batches"), "batch_row_id", "run_id", "offer_key", "title_best", "description_best")
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the batches that repeat a known offer, and its key."""
+    return _checked(spark, sf_dir).where("repeat").select(F.col("id").alias("batch_row_id"), F.col("offer").alias("offer_key"))
+
+
+@query
+def p4_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every offer the batches brought or sighted: whether it is new, and how often it was seen."""
+    rows = _checked(spark, sf_dir).join(table(spark, sf_dir, "offer_batches").select(F.col("batch_row_id").alias("id"), "run_id"), "id")
+    return rows.groupBy(F.col("offer").alias("offer_key")).agg(F.bool_or(~F.col("repeat")).alias("is_new"), F.min("run_id").alias("first_run_id"), F.count("*").alias("sightings"))
