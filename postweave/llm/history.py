@@ -121,9 +121,9 @@ def add_fingerprints(rows: DataFrame, weight: dict[int, float], rare: float) ->
 
 def blocks(rows: DataFrame, *keep: str) -> DataFrame:
     """The block table: (rot, front, sketch, *keep), one row per rotation."""
-    front = lambda r: F.shiftrightunsigned(F.col("fp")[r // 4], (r % 4) * 16).bitwiseAND(0xFFFF).cast("int")
-    turns = F.array(*[F.struct(F.lit(r).alias("rot"), front(r).alias("front")) for r in range(ROTATIONS)])
-    return rows.select(F.col("fp")[0].alias("sketch"), *keep, F.explode(turns).alias("t")).select("t.rot", "t.front", "sketch", *keep)
+    words = rows.select(F.col("fp")[0].alias("sketch"), *keep, F.posexplode("fp").alias("p", "w"))
+    turns = words.select("sketch", *keep, "p", "w", F.explode(F.array(*map(F.lit, range(4)))).alias("k"))
+    return turns.select((F.col("p") * 4 + F.col("k")).alias("rot"), F.expr("cast(shiftrightunsigned(w, k * 16) & 65535 as int)").alias("front"), "sketch", *keep)
 
 
 def _agreement(a: list[int], b: list[int], least: float) -> float:
@@ -218,7 +218,7 @@ class History:
         near = self._candidates(alone, tables, texts.select("rid", "words", "fp"), "rid").join(texts.select("rid", "offer"), "rid")
         near = cut(near.groupBy("id").agg(F.max_by(F.struct("offer", "ratio"), F.struct("ratio", F.col("offer"))).alias("m")).select("id", "m.offer", "m.ratio"))
         # Within the batch: the smallest earlier row with the same key, the same text or a near text.
-        left = cut(alone.join(near, "id", "left_anti"))
+        left = alone.join(near, "id", "left_anti")
         distinct_rows = rows.where("own > 2").withColumn("rn", F.row_number().over(first)).where("rn = 1")
         peers = distinct_rows.select(F.col("id").alias("id2"), "words", "fp")
         inner = self._candidates(left, blocks(distinct_rows.select(F.col("id").alias("id2"), "fp"), "id2"), peers, "id2").groupBy("id").agg(F.min("id2").alias("p"), F.max("ratio").alias("ratio"))
