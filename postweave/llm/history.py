@@ -217,12 +217,17 @@ class History:
         alone = cut(open_.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn"))
         near = self._candidates(alone, tables, texts.select("rid", "words", "fp"), "rid").join(texts.select("rid", "offer"), "rid")
         near = cut(near.groupBy("id").agg(F.max_by(F.struct("offer", "ratio"), F.struct("ratio", F.col("offer"))).alias("m")).select("id", "m.offer", "m.ratio"))
-        # Within the batch: the smallest earlier row with the same key, the same text or a near text.
-        left = alone.join(near, "id", "left_anti")
+        # Within the batch: an earlier row with the same key, the same text or a near text.  Each row meets the first
+        # row of its blocks; only rows that are near none of these meet all earlier rows of their blocks, so a large
+        # group of near texts costs a star and not all pairs.
+        left = cut(alone.join(near, "id", "left_anti"))
         distinct_rows = rows.where("own > 2").withColumn("rn", F.row_number().over(first)).where("rn = 1")
         peers = distinct_rows.select(F.col("id").alias("id2"), "words", "fp")
-        inner = self._candidates(left, blocks(distinct_rows.select(F.col("id").alias("id2"), "fp"), "id2"), peers, "id2").groupBy("id").agg(F.min("id2").alias("p"), F.max("ratio").alias("ratio"))
-        inner = cut(inner)
+        table = cut(blocks(distinct_rows.select(F.col("id").alias("id2"), "fp"), "id2"))
+        heads = table.groupBy("rot", "front").agg(F.min(F.struct("id2", "sketch")).alias("m")).select("rot", "front", "m.sketch", "m.id2")
+        star = cut(self._candidates(left, heads, peers, "id2"))
+        rest = self._candidates(left.join(star.select("id"), "id", "left_anti"), table, peers, "id2")
+        inner = cut(star.unionAll(rest).groupBy("id").agg(F.min("id2").alias("p"), F.max("ratio").alias("ratio")))
         by_key = known.where("key is not null").groupBy("key").agg(F.min("id").alias("pk"))
         by_rid = rows.where("own > 2").groupBy("rid").agg(F.min("id").alias("pr"))
         up = known.join(by_key, "key", "left").join(by_rid, "rid", "left").join(inner.select("id", F.col("p").alias("pn")), "id", "left")
@@ -255,13 +260,20 @@ class History:
         self.tables.append(cut(blocks(fresh.where("own > 2").join(close, "id", "left_anti"), "rid")))
 
 
-def check_batches(history: History, batches: DataFrame, order: str, run: str, key: str, title: str, text: str) -> DataFrame:
-    """(id, key, offer, repeat) of all rows, batch by batch in the order of their first rows."""
+def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, run: str | None = None) -> DataFrame:
+    """(id, key, offer, repeat) of all rows in their order.
+
+    Batches that wait together are looked up together, each row against the history and all rows before it, which
+    gives what one batch after the other gives.  With ``run`` each batch of that column is added on its own, in the
+    order of the first rows.
+    """
+    if run is None:
+        return history.add(batches, order, key, title, text)
     runs = [r[0] for r in batches.groupBy(run).agg(F.min(order).alias("first")).orderBy("first").select(run).collect()]
     out = None
     for r in runs:
         part = history.add(batches.where(F.col(run).eqNullSafe(F.lit(r))), order, key, title, text)
         out = part if out is None else out.unionAll(part)
     if out is None:
-        return batches.select(F.col(order).alias("id"), F.col(key).alias("key"), F.col(key).alias("offer"), F.lit(False).alias("repeat"))
+        return history.add(batches, order, key, title, text)
     return out

@@ -115,7 +115,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = History.start(table(spark, sf_dir, "offers"), "offer_key", "first_seen_at_utc", "title_best", "description_best")
-    return check_batches(history, table(spark, sf_dir, "offer_batches"), "batch_row_id", "run_id", "offer_key", "title_best", "description_best")
+    return check_batches(history, table(spark, sf_dir, "offer_batches"), "batch_row_id", "offer_key", "title_best", "description_best")
 
 
 @query
