@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,8 +43,10 @@ def _found(kind: str, raw: Column, value, pass_no: int) -> Column:  # noqa: ANN0
 
 def contact_matches(c: Column) -> Column:
     """array<struct<kind, value, raw, pass_no>>: raw text, normal text, then what follows a marker; the first pass wins."""
-    c = T.or_empty(c)
-    norm = T.normalize_text(c)
+    return T.let(T.or_empty(c), lambda raw: T.let(T.normalize_text(raw), lambda norm: _matches(raw, norm)))
+
+
+def _matches(c: Column, norm: Column) -> Column:
     parts = []
     for no, t in ((1, c), (2, norm)):
         site = F.filter(_all(t, SITE), lambda u: ~T.contains_any(F.lower(u), OTHER_HOSTS))
@@ -58,7 +62,10 @@ def contact_matches(c: Column) -> Column:
         _found("phone", _all(norm, marked(PHONE_MARKERS, r"\+?\d[\d\s\-()]{6,}\d"), 1), T.normalize_phone, 3),
         _found("telegram_handle", _all(norm, marked(MESSENGER_MARKERS, r"@?[A-Za-z0-9_]{4,}"), 1), T.normalize_handle, 3),
     ]
-    both = F.concat(*parts)
+    return T.let(F.concat(*parts), _earliest)
+
+
+def _earliest(both: Column) -> Column:
     keys = F.array_distinct(F.transform(both, lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"))))
     # filter keeps order, so the first match of a key is that of the earliest pass.
     return F.array_sort(F.transform(keys, lambda k: F.get(F.filter(both, lambda m: (m["kind"] == k["kind"]) & (m["value"] == k["value"])), F.lit(0))))
@@ -78,14 +85,16 @@ def price_texts(c: Column) -> Column:
 
 
 def currency_hints(prices: Column) -> Column:
-    j = F.lower(F.array_join(prices, " "))
-    return F.array_compact(F.array(F.when(j.rlike("€|eur|евро"), "eur"), F.when(j.rlike("rsd|din|дин"), "rsd"), F.when(j.rlike("\\$|usd"), "usd")))
+    return T.let(F.lower(F.array_join(prices, " ")), lambda j: F.array_compact(F.array(F.when(j.rlike("€|eur|евро"), "eur"), F.when(j.rlike("rsd|din|дин"), "rsd"), F.when(j.rlike("\\$|usd"), "usd"))))
 
 
 def city_signal(c: Column, cities: dict[str, tuple[str, ...]] | None = None) -> Column:
     """struct<city, matched>: the first city of the list of which a word occurs anywhere."""
-    low = F.lower(T.normalize_text(c))
-    hits = F.array(*[F.struct(F.lit(city).alias("city"), F.filter(F.array(*map(F.lit, words)), lambda w: low.contains(w)).alias("matched")) for city, words in (cities or CITIES).items()])
+    return T.let(F.lower(T.normalize_text(c)), lambda low: _city(low, cities or CITIES))
+
+
+def _city(low: Column, cities: dict[str, tuple[str, ...]]) -> Column:
+    hits = F.array(*[F.struct(F.lit(city).alias("city"), F.filter(F.array(*map(F.lit, words)), lambda w: low.contains(w)).alias("matched")) for city, words in cities.items()])
     none = F.struct(F.lit(None).cast("string").alias("city"), F.array().cast("array<string>").alias("matched"))
     return F.coalesce(F.get(F.filter(hits, lambda h: F.size(h["matched"]) > 0), F.lit(0)), none)
 
@@ -119,12 +128,18 @@ def category_hints(c: Column, rules: dict[str, tuple[str, ...]] | None = None, v
             one.append(F.struct((F.size(hit) - T.count_phrases(low, vetoes.get(code, ()))).alias("score"), F.lit(code).alias("code"), F.array_sort(hit).alias("matched")))
         return F.filter(F.array(*one), lambda s: s["score"] > 0)
 
-    norm = T.normalize_text(c)
+    return T.let(T.normalize_text(c), lambda norm: _hints(norm, scored))
+
+
+def _hints(norm: Column, scored: Callable[[Column], Column]) -> Column:
     tags = F.array_join(F.array_sort(F.array_distinct(F.transform(_all(norm, "#([A-Za-zЀ-ӿ0-9_]{3,})", 1), lambda x: F.lower(x)))), " ")
-    s = scored(F.lower(norm))
-    s = F.when(F.size(s) > 0, s).otherwise(scored(tags))
+    own = T.let(F.lower(norm), scored)
+    return T.let(own, lambda s: T.let(F.when(F.size(s) > 0, s).otherwise(T.let(tags, scored)), _best_hints))
+
+
+def _best_hints(s: Column) -> Column:
     top = F.coalesce(F.array_max(F.transform(s, lambda x: x["score"])), F.lit(0))
-    s = F.filter(s, lambda x: (top < 2) | ((x["score"] >= top - 1) & (x["score"] >= 2)))
+    s = T.let(top, lambda top: F.filter(s, lambda x: (top < 2) | ((x["score"] >= top - 1) & (x["score"] >= 2))))
     grade = lambda x: F.when(x["score"] >= 3, "high").when(x["score"] == 2, "medium").otherwise("low")
     s = F.transform(s, lambda x: F.struct((-x["score"]).alias("order"), x["code"].alias("code"), x["score"].alias("score"), grade(x).alias("confidence"), x["matched"].alias("matched")))
     return F.transform(F.array_sort(s), lambda x: F.struct(x["score"].alias("score"), x["code"].alias("code"), x["confidence"].alias("confidence"), x["matched"].alias("matched")))

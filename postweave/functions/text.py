@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ BLANKS = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u20
 STOPWORDS = ("и", "в", "на", "с", "по", "для", "из", "от", "до", "за", "the", "and", "for", "with", "a", "an", "of", "to", "in", "on", "или", "как", "мы", "вы", "это", "все", "our", "you", "we")
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is evaluated once, however often ``f`` or lambdas in it name it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

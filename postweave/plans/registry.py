@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postweave.plans import data_queries
+from postweave.plans import data_queries, reference_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**data_queries.QUERIES}
-SQL: dict[str, str] = {**data_queries.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**reference_queries.QUERIES, **data_queries.QUERIES}
+SQL: dict[str, str] = {**reference_queries.SQL, **data_queries.SQL}
