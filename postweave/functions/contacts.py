@@ -21,9 +21,10 @@ MESSENGER_MARKERS = ("telegram", "tg", "телеграм", "телега", "t.me
 OTHER_HOSTS = ("t.me/", "instagram.com/", "facebook.com/", "wa.me/")
 # What a price looks like.
 _CUR = "(?:€|\\$|eur|euro|rsd|din|usd|dinar|дин|евро)"
+_EDGE, _END = "(?<![\\p{L}\\p{N}_])", "(?![\\p{L}\\p{N}_])"
 PRICE = (
-    rf"(?iuU)(?:€\s*\d[\d\s.,]*|\$\s*\d[\d\s.,]*|\d[\d\s.,]*\s*{_CUR}|\b(?:цена|стоимость|price)\b[:\s]*\d[\d\s.,]*(?:\s*{_CUR})?"
-    rf"|\b(?:from|от)\b[:\s]*\d[\d\s.,]*\s*{_CUR}|\d{{1,3}}%)"
+    rf"(?iu)(?:€\s*[0-9][0-9\s.,]*|\$\s*[0-9][0-9\s.,]*|[0-9][0-9\s.,]*{_CUR}|(?=[цсp]){_EDGE}(?:цена|стоимость|price){_END}[:\s]*[0-9][0-9\s.,]*{_CUR}?"
+    rf"|(?=[fо]){_EDGE}(?:from|от){_END}[:\s]*[0-9][0-9\s.,]*{_CUR}|[0-9]{{1,3}}%)"
 )
 PRICE_MARKERS = ("цена", "стоимость", "price")
 # City words, in order of preference.
@@ -48,7 +49,9 @@ def contact_matches(c: Column) -> Column:
 
 def _matches(c: Column, norm: Column) -> Column:
     parts = []
-    for no, t in ((1, c), (2, norm)):
+    # The second pass has nothing to add where the normal form is the text itself.
+    other = F.when(c == norm, F.lit("")).otherwise(norm)
+    for no, t in ((1, c), (2, other)):
         site = F.filter(_all(t, SITE), lambda u: ~T.contains_any(F.lower(u), OTHER_HOSTS))
         parts += [
             _found("phone", _all(t, PHONE), T.normalize_phone, no),
@@ -78,7 +81,8 @@ def values_of(matches: Column, kind: str) -> Column:
 
 def price_texts(c: Column) -> Column:
     """Sorted distinct price mentions; without one, the marked lines that hold a digit."""
-    found = F.transform(_all(T.normalize_text(c), PRICE), lambda x: F.trim(x))
+    norm = T.normalize_text(c)
+    found = F.when(norm.rlike("[0-9]"), F.transform(_all(norm, PRICE), lambda x: F.trim(x))).otherwise(F.array().cast("array<string>"))
     lines = F.transform(F.split(T.or_empty(c), "[\\r\\n|]+"), T.normalize_text)
     marked = F.filter(lines, lambda x: T.contains_any(F.lower(x), PRICE_MARKERS) & x.rlike("\\d"))
     return F.array_sort(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(F.transform(marked, lambda x: F.substring(x, 1, 80)))))

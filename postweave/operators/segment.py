@@ -119,14 +119,15 @@ class Lattice:
     """Scores of a cell's spans and gaps under the present model."""
 
     BASE = -14.0  # log measure of a value that was never seen
-    PIECE = -2.5  # and for each further piece
+    # And for each further piece of it: a blank goes well within a value, a mark that separates does not.
+    PIECE = {" ": -2.5, "none": -2.5, "/": -8.0, "in": -8.0}
 
     def __init__(self, cell: Cell, known: dict[str, float], gap: dict[str, float]) -> None:
         self.cell, n = cell, len(cell.pieces)
         self.ends: list[list[tuple[int, float, str]]] = [[] for _ in range(n)]
         for i, j in cell.spans():
             key = value_key(cell.value(i, j))
-            score = max(known.get(key, -math.inf), self.BASE + self.PIECE * (j - i))
+            score = max(known.get(key, -math.inf), self.BASE + sum(self.PIECE.get(cell.gaps[k], self.BASE) for k in range(i, j)))
             for k in range(i, j):
                 score += math.log(1 - gap.get(cell.gaps[k], 0.5))
             if j + 1 < n and cell.gaps[j]:
