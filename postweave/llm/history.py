@@ -32,8 +32,8 @@ from postweave.session import cut
 
 WORDS64 = 16  # 64-bit words of a fingerprint
 ROTATIONS = 64  # blocks of 16 bits
-NEAR = 225  # bits of 1024 that may differ
-NEAR64 = 24  # bits of the first 64 that may differ
+NEAR = 260  # bits of 1024 that may differ
+NEAR64 = 26  # bits of the first 64 that may differ
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -62,7 +62,7 @@ def fingerprint(words: list[list[int]], weight: dict[int, float], rare: float) -
             m = _spread(np.array(part, dtype=np.int64).view(np.uint64)) * np.array([weight.get(w, rare) for w in part], dtype=np.float32)[:, None]
             rows, cols = [], []
             for r, ws in enumerate(words):
-                for w in ws:
+                for w in dict.fromkeys(ws):  # a repeated word counts once
                     if lo <= place[w] < lo + 4096:
                         rows.append(r)
                         cols.append(place[w] - lo)
@@ -183,7 +183,7 @@ class History:
         n = max(1, rows.count())
         df = rows.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > share * n)
         weight = {r["w"]: float(np.sqrt(np.log(n / r["n"]) + 0.05)) for r in df.collect()}
-        self = cls(records.sparkSession, weight, float(np.sqrt(np.log(1 / share))), **how)
+        self = cls(records.sparkSession, weight, float(np.sqrt(np.log(min(n, 1 / share)) + 0.05)), **how)
         texts = cut(add_fingerprints(rows, weight, self.rare))
         self.texts.append(texts)
         self.tables.append(cut(blocks(texts.where("own > 2"), "rid")))

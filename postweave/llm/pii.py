@@ -55,32 +55,33 @@ SPELLED = {
 class Mapped:
     """A rewritten text and, per character, its place in the source; ``at is None`` means the same places."""
 
-    __slots__ = ("text", "at", "src", "size")
+    __slots__ = ("text", "at", "upto", "src", "size")
 
-    def __init__(self, text: str, at: list[int] | None, src: str) -> None:
-        self.text, self.at, self.src, self.size = text, at, src, len(src)
+    def __init__(self, text: str, at: list[int] | None, src: str, upto: list[int] | None = None) -> None:
+        self.text, self.at, self.upto, self.src, self.size = text, at, upto, src, len(src)
 
     def source(self, i: int, j: int) -> tuple[int, int]:
         """The span of the source that the characters i to j come from."""
         if self.at is None:
             return i, j
-        end = self.at[j - 1] + 1
+        end = self.upto[j - 1] if self.upto else self.at[j - 1] + 1
         while end < self.size and self.src[end] in "\ufe0f\u20e3":
             end += 1
         return self.at[i], end
 
     def rewrite(self, spans: list[tuple[int, int, str]]) -> Mapped:
-        """Replace spans; each new character points at the first source character of its span, the last at its last."""
+        """Replace spans; a new character begins where its span begins, and ends where it ends."""
         if not spans:
             return self
         at = self.at if self.at is not None else list(range(len(self.text)))
-        out, where, k = [], [], 0
+        upto = self.upto or [i + 1 for i in at]
+        out, where, ends, k = [], [], [], 0
         for i, j, new in spans:
             out += [self.text[k:i], new]
-            where += at[k:i]
-            where += [at[i]] * (len(new) - 1) + [at[j - 1]] if len(new) > 1 else [at[i]] * len(new)
+            where += at[k:i] + [at[i]] * len(new)
+            ends += upto[k:i] + [upto[j - 1]] * len(new)
             k = j
-        return Mapped("".join(out) + self.text[k:], where + at[k:], self.src)
+        return Mapped("".join(out) + self.text[k:], where + at[k:], self.src, ends + upto[k:])
 
 
 class Detector:
