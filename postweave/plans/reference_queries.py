@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postweave.functions import contacts as C
+from postweave.functions import lines as L
 from postweave.functions import text as T
+from postweave.operators import bounds as B
+from postweave.operators import decisions as D
 from postweave.operators import merge as M
 from postweave.operators import posts as P
 from postweave.operators import tables as S
@@ -321,3 +324,65 @@ def top_orders_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"))
     w = Window.partitionBy("c_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
     return j.withColumn("rank", F.row_number().over(w)).where("rank <= 3").select("c_custkey", "o_orderkey", "o_totalprice", "rank")
+
+
+@query("""SELECT chat_id AS source_key, max(message_id) AS upper_id, min(message_id) AS lower_id, min(try_cast(trim(posted_at_utc) AS TIMESTAMPTZ)) AS oldest_at, max(try_cast(trim(posted_at_utc) AS TIMESTAMPTZ)) AS newest_at, count(*) AS posts, 'freeze_lower_message_id_reached' AS stop_reason FROM raw_posts WHERE coalesce(post_key, '') <> '' GROUP BY chat_id""")
+def frozen_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.freeze(table(spark, sf_dir, "raw_posts"))
+
+
+@query("""WITH b AS (SELECT chat_id, max(message_id) AS u, min(message_id) AS l FROM raw_posts WHERE coalesce(post_key, '') <> '' AND _run_id < 'fetch-20260901' GROUP BY 1) SELECT p.chat_id, count(*) AS posts, count_if(p.message_id > b.u) AS newer, count_if(p.message_id BETWEEN b.l AND b.u) AS replayed FROM raw_posts p JOIN b ON b.chat_id = p.chat_id GROUP BY 1""")
+def replayed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later fetch cut to the bounds of an earlier one: what is replayed, what is newer."""
+    posts = table(spark, sf_dir, "raw_posts")
+    bounds = B.freeze(posts.where(F.col("_run_id") < "fetch-20260901"))
+    n = posts.join(bounds.select(F.col("source_key").alias("chat_id")), "chat_id", "left_semi").groupBy("chat_id").agg(F.count("*").alias("posts"))
+    new = B.newer_than(posts, bounds).groupBy("chat_id").agg(F.count("*").alias("newer"))
+    old = B.replay(posts, bounds).groupBy("chat_id").agg(F.count("*").alias("replayed"))
+    zero = F.lit(0).cast("bigint")
+    return n.join(new, "chat_id", "left").join(old, "chat_id", "left").select("chat_id", "posts", F.coalesce("newer", zero).alias("newer"), F.coalesce("replayed", zero).alias("replayed"))
+
+
+@query("SELECT sender_id, max(_run_id) AS last_run_id, count(*) AS posts FROM raw_posts WHERE coalesce(sender_id, '') <> '' GROUP BY sender_id")
+def sender_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = table(spark, sf_dir, "raw_posts")
+    last = posts.groupBy("sender_id").agg(F.max("_run_id").alias("last_run_id"))
+    return B.senders(posts).select("sender_id", "posts").join(last, "sender_id")
+
+
+@query()
+def fact_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, details and quality of every post."""
+    return table(spark, sf_dir, "raw_posts").select("post_key", "_run_id", L.fact_pack(F.col("text")).alias("f")).select("post_key", "_run_id", "f.*")
+
+
+@query(f"""SELECT provider_key, arg_min(title_best, (-len({tokens_sql('title_best')}), -length(title_best), first_seen_at_utc, title_best)) AS title_best FROM offers WHERE coalesce(title_best, '') <> '' GROUP BY provider_key""")
+def provider_best_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.best_text(table(spark, sf_dir, "offers"), "provider_key", "title_best", "first_seen_at_utc")
+
+
+@query("SELECT category_primary, count(*) AS total, count_if(offer_state = 'accepted') AS accepted, count_if(offer_state = 'candidate') AS candidate, count_if(offer_state = 'rejected') AS rejected, count_if(offer_state = 'suppressed') AS suppressed FROM offers GROUP BY category_primary")
+def state_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.stage_counters(table(spark, sf_dir, "offers"), "category_primary", "offer_state", ("accepted", "candidate", "rejected", "suppressed"))
+
+
+@query("""SELECT run_id, count(*) AS total, count_if(offer_key IN (SELECT offer_key FROM offers)) AS accepted, CASE WHEN count(*) = count_if(offer_key IN (SELECT offer_key FROM offers)) THEN 'complete' ELSE 'incomplete' END AS coverage FROM offer_batches GROUP BY run_id""")
+def batch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which batches bring known keys only."""
+    known = table(spark, sf_dir, "offers").select("offer_key").distinct().withColumn("k", F.lit(1))
+    got = table(spark, sf_dir, "offer_batches").select("run_id", "offer_key").join(known, "offer_key", "left").groupBy("run_id").agg(F.count("*").alias("total"), F.count("k").alias("accepted"))
+    return got.withColumn("coverage", D.coverage(F.col("total"), F.col("accepted"), F.lit(0), F.lit("")))
+
+
+@query("""SELECT offer_state, category_primary, count(*) AS n FROM offers GROUP BY CUBE (offer_state, category_primary)""")
+def offer_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "offers").cube("offer_state", "category_primary").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT coalesce(a.k, b.k) AS post_key, CASE WHEN a.k IS NULL THEN 'review_only' WHEN b.k IS NULL THEN 'posts_only' ELSE 'both' END AS side FROM (SELECT DISTINCT post_key AS k FROM raw_posts) a FULL OUTER JOIN (SELECT DISTINCT raw_post_id AS k FROM review_posts) b ON a.k = b.k""")
+def key_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symmetric comparison of two key sets."""
+    a = table(spark, sf_dir, "raw_posts").select("post_key").distinct().withColumn("in_a", F.lit(True))
+    b = table(spark, sf_dir, "review_posts").select(F.col("raw_post_id").alias("post_key")).distinct().withColumn("in_b", F.lit(True))
+    side = F.when(F.col("in_a").isNull(), "review_only").when(F.col("in_b").isNull(), "posts_only").otherwise("both")
+    return a.join(b, "post_key", "full_outer").select("post_key", side.alias("side"))
