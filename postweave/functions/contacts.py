@@ -23,7 +23,7 @@ OTHER_HOSTS = ("t.me/", "instagram.com/", "facebook.com/", "wa.me/")
 _CUR = "(?:€|\\$|eur|euro|rsd|din|usd|dinar|дин|евро)"
 _EDGE, _END = "(?<![\\p{L}\\p{N}_])", "(?![\\p{L}\\p{N}_])"
 PRICE = (
-    rf"(?iu)(?:€\s*[0-9][0-9\s.,]*|\$\s*[0-9][0-9\s.,]*|[0-9][0-9\s.,]*{_CUR}|(?=[цсp]){_EDGE}(?:цена|стоимость|price){_END}[:\s]*[0-9][0-9\s.,]*{_CUR}?"
+    rf"(?iu)(?:€\s*[0-9][0-9\s.,]*|\$\s*[0-9][0-9\s.,]*|(?<![0-9])[0-9][0-9\s.,]*{_CUR}|(?=[цсp]){_EDGE}(?:цена|стоимость|price){_END}[:\s]*[0-9][0-9\s.,]*{_CUR}?"
     rf"|(?=[fо]){_EDGE}(?:from|от){_END}[:\s]*[0-9][0-9\s.,]*{_CUR}|[0-9]{{1,3}}%)"
 )
 PRICE_MARKERS = ("цена", "стоимость", "price")

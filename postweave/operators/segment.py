@@ -182,10 +182,10 @@ _KNOWN = "array<struct<key:string,p:double>>"
 
 
 def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(field, cell, key, sure): the value keys a cell could hold; sure if no other reading exists."""
+    """(field, cid, key, start): the value keys a cell could hold, and the use each begins with."""
     for p in parts:
         rows = []
-        for field, text in zip(p["field"], p["cell"]):
+        for field, cid, text in zip(p["field"], p["cid"], p["cell"]):
             cell = Cell(text)
             if not cell.pieces:
                 continue
@@ -195,21 +195,23 @@ def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 alone = (i == 0 or cell.gaps[i - 1] == "") and (j + 1 == len(cell.pieces) or cell.gaps[j] == "") and i == j
                 seen[k] = seen.get(k, False) or alone
             n = len(cell.pieces)
-            rows += [(field, text, k, (1.0 if sure else 1.0 / (1 + n))) for k, sure in seen.items()]
-        yield pd.DataFrame(rows, columns=["field", "cell", "key", "start"])
+            rows += [(field, cid, k, (1.0 if sure else 1.0 / (1 + n))) for k, sure in seen.items()]
+        yield pd.DataFrame(rows, columns=["field", "cid", "key", "start"])
 
 
 def learn(cells: DataFrame, rounds: int = 2) -> tuple[DataFrame, dict[str, dict[str, float]]]:
-    """From distinct (field, cell): (field, cell, known) with the log frequency of each key, and the gap model per field."""
-    keys = cut(cells.mapInPandas(_keys_of, "field string, cell string, key string, start double"))
+    """From distinct (field, cid, cell): (field, cell, known) with the log frequency of each key, and the gap model per field."""
+    keys = cut(cells.mapInPandas(_keys_of, "field string, cid string, key string, start double"))
     counts = keys.groupBy("field", "key").agg(F.sum("start").alias("n"))
     gaps: dict[str, dict[str, float]] = {}
     for r in range(rounds + 1):
         # A value of one cell is no evidence: one use is taken off.
         total = counts.groupBy("field").agg(F.sum("n").alias("total"))
         model = counts.where("n > 1.001").join(F.broadcast(total), "field").select("field", "key", F.log((F.col("n") - 0.9) / F.col("total")).alias("p"))
-        known = keys.select("field", "cell", "key").join(model, ["field", "key"], "left")
-        known = known.groupBy("field", "cell").agg(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("key", "p"))).alias("known"))
+        # Only the cell's name goes with its keys; the text is joined once.
+        known = keys.select("field", "cid", "key").join(model, ["field", "key"], "left")
+        known = known.groupBy("field", "cid").agg(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("key", "p"))).alias("known"))
+        known = cells.join(known, ["field", "cid"]).select("field", "cell", "known")
         if r == rounds:
             return known, gaps
         fixed = {f: dict(g) for f, g in gaps.items()}
@@ -234,7 +236,8 @@ def learn(cells: DataFrame, rounds: int = 2) -> tuple[DataFrame, dict[str, dict[
 
 def split_cells(cells: DataFrame, rounds: int = 2) -> DataFrame:
     """From (field, cell), repeated as they may be: (field, cell, items) for each distinct cell."""
-    cells = cells.where("cell is not null and cell <> ''").groupBy("field", "cell").agg(F.lit(1).alias("one")).drop("one")
+    cells = cells.where("cell is not null and cell <> ''").select("field", "cell").distinct()
+    cells = cut(cells.withColumn("cid", F.md5(F.col("cell").cast("binary"))))
     known, gaps = learn(cells, rounds)
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

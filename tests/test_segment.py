@@ -41,9 +41,10 @@ def test_phone_shapes_keep_their_punctuation(spark):
 
 
 def test_rows_nulls_repeats_and_clashing_columns(spark):
-    df = spark.createDataFrame([("k1", "a|b|a", 1), ("k1", "a|b|a", 1), ("k2", None, 2), (None, "a|b", 3), ("k3", "", 4), ("k4", "x" * 50_000 + "|a", 5)], "key string, cell string, item int")
+    df = spark.createDataFrame([("k1", "a|b|a", 1), ("k1", "a|b|a", 1), ("k2", None, 2), (None, "a|b", 3), ("k3", "", 4), ("k4", "x" * 50_000 + "|a", 5), ("k5", "b|" * 4000, 6)], "key string, cell string, item int")
     got = split_values(packed(df.withColumnRenamed("cell", "field"), "t", "key", ["field"]))
-    rows = sorted((r["key"], r["pos"], r["item"][:5], r["size"]) for r in got.collect())
+    assert [(r["n"], r["top"]) for r in got.where("key = 'k5'").groupBy("key").agg(F.count("*").alias("n"), F.max("pos").alias("top")).collect()] == [(4000, 4000)]
+    rows = sorted((r["key"], r["pos"], r["item"][:5], r["size"]) for r in got.where("key <> 'k5'").collect())
     assert rows == sorted([("k1", 1, "a", 3), ("k1", 2, "b", 3), ("k1", 3, "a", 3)] * 2 + [("k4", 1, "xxxxx", 2), ("k4", 2, "a", 2)])
 
 
