@@ -89,7 +89,7 @@ class Transducer:
         self._joiner = re.compile(f"([{_PICT}]\ufe0f?){ZWJ}(?=[{_PICT}])")
         self._cluster = re.compile(f"[^\\s{_MARK}][{_MARK}]+")
         self._hidden = re.compile("[" + "".join(re.escape(chr(c)) for c, to in single.items() if to == "" and chr(c) != "\ue000") + "]+")
-        self._line_end = re.compile(" +(?=\n|$)")
+        self._plain_odd = re.compile("[\t\r\x0b\x0c]| \n| $")
         self._known: dict[str, str] = {}
 
     def _check(self) -> None:
@@ -108,7 +108,7 @@ class Transducer:
         return got
 
     def __call__(self, text: str) -> str:
-        if text.isascii() and not self._slow.search(text) and "\t" not in text and "\r" not in text:
+        if text.isascii() and not self._plain_odd.search(text):
             return text
         if self._slow.search(text):
             text = text.replace("\r\n", "\n")
@@ -123,7 +123,7 @@ class Transducer:
                 text = text.translate(self.single)
         else:
             text = text.translate(self.single)
-        return self._line_end.sub("", text) if " \n" in text or text.endswith(" ") else text
+        return "\n".join(line.rstrip(" ") for line in text.split("\n")) if " \n" in text or text.endswith(" ") else text
 
 
 @lru_cache(maxsize=4)

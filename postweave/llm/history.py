@@ -76,8 +76,8 @@ def fingerprint(words: list[list[int]], weight: dict[int, float], rare: float) -
     return np.packbits(out > 0, axis=1).view(np.uint64)
 
 
-def read_words(rows: DataFrame, keep: list[str], title: str, text: str) -> DataFrame:
-    """``keep``, rid (the text's name, null without words), words, parts (words of title and text)."""
+def read_words(src: DataFrame, keep: list[str]) -> DataFrame:
+    """From ``keep``, _title, _text: ``keep``, rid (the text's name, null without words), words, parts (words of title and text)."""
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
@@ -98,7 +98,6 @@ def read_words(rows: DataFrame, keep: list[str], title: str, text: str) -> DataF
             out["rid"], out["words"], out["own"] = rid, words, own
             yield out
 
-    src = rows.select(*keep, F.col(title).alias("_title"), F.col(text).alias("_text"))
     kinds = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
     return src.mapInPandas(run, f"{kinds}, rid string, words array<bigint>, own int")
 
@@ -177,7 +176,8 @@ class History:
         Words of more than ``share`` of the texts get a weight; a text of n words has n of them, so there are at most
         n / share such words on average, whatever the size of the history.
         """
-        read = cut(read_words(records.select(F.col(key).alias("key"), F.col(seen).alias("seen"), title, text), ["key", "seen"], title, text))
+        src = records.select(F.col(key).alias("key"), F.col(seen).alias("seen"), F.col(title).alias("_title"), F.col(text).alias("_text"))
+        read = cut(read_words(src, ["key", "seen"]))
         first = Window.partitionBy("rid").orderBy(F.col("seen").asc_nulls_last(), "key")
         rows = read.where("rid is not null").withColumn("rn", F.row_number().over(first)).where("rn = 1").select("rid", "words", "own", F.col("key").alias("offer"))
         n = max(1, rows.count())
@@ -205,7 +205,8 @@ class History:
 
     def add(self, batch: DataFrame, order: str, key: str, title: str, text: str) -> DataFrame:
         """(id, key, offer, repeat) of a batch, which is then part of the history."""
-        read = read_words(batch.select(F.col(order).alias("id"), F.col(key).alias("key"), title, text), ["id", "key"], title, text)
+        src = batch.select(F.col(order).alias("id"), F.col(key).alias("key"), F.col(title).alias("_title"), F.col(text).alias("_text"))
+        read = read_words(src, ["id", "key"])
         rows = cut(add_fingerprints(read, self.weight, self.rare))
         keys, texts, tables = self._all(self.keys), self._all(self.texts), self._all(self.tables)
         known = rows.select("id", "key", "rid", "own").join(keys.select("key", F.col("offer").alias("by_key")), "key", "left")
