@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postweave.session import cut
+
 # Look-alike letter -> Latin letter.
 LOOKALIKES = {
     # Cyrillic capitals
@@ -171,7 +173,7 @@ def look_alike_pairs(df: DataFrame, key: str, text: str, hot: int = 20_000) -> D
     stored text are dropped after a partial aggregate.  A class with more than ``hot`` records is split over
     ``ceil(n / hot)`` salts, so that no task holds it whole; every pair is still produced.
     """
-    recs = fingerprints(df, key, text).groupBy("key", "look", "raw").agg(F.lit(1).alias("one")).drop("one")
+    recs = cut(fingerprints(df, key, text).groupBy("key", "look", "raw").agg(F.lit(1).alias("one")).drop("one"))
     mixed = recs.groupBy("look").agg(F.count("*").alias("n"), F.min("raw").alias("lo"), F.max("raw").alias("hi"))
     mixed = mixed.where("lo <> hi").select("look", F.ceil(F.col("n") / F.lit(hot)).cast("int").alias("salts"))
     of = recs.join(mixed, "look")
