@@ -42,9 +42,9 @@ def _found(kind: str, raw: Column, value, pass_no: int) -> Column:  # noqa: ANN0
     return F.filter(F.transform(raw, lambda x: F.struct(F.lit(kind).alias("kind"), value(x).alias("value"), T.normalize_text(x).alias("raw"), F.lit(pass_no).alias("pass_no"))), lambda s: s["value"] != "")
 
 
-def contact_matches(c: Column) -> Column:
+def contact_matches(c: Column, norm: Column | None = None) -> Column:
     """array<struct<kind, value, raw, pass_no>>: raw text, normal text, then what follows a marker; the first pass wins."""
-    return T.let(T.or_empty(c), lambda raw: T.let(T.normalize_text(raw), lambda norm: _matches(raw, norm)))
+    return T.let(T.or_empty(c), lambda raw: T.let(T.normalize_text(raw) if norm is None else norm, lambda n: _matches(raw, n)))
 
 
 def _matches(c: Column, norm: Column) -> Column:
@@ -79,9 +79,9 @@ def values_of(matches: Column, kind: str) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.filter(matches, lambda m: m["kind"] == kind), lambda m: m["value"])))
 
 
-def price_texts(c: Column) -> Column:
+def price_texts(c: Column, norm: Column | None = None) -> Column:
     """Sorted distinct price mentions; without one, the marked lines that hold a digit."""
-    norm = T.normalize_text(c)
+    norm = T.normalize_text(c) if norm is None else norm
     found = F.when(norm.rlike("[0-9]"), F.transform(_all(norm, PRICE), lambda x: F.trim(x))).otherwise(F.array().cast("array<string>"))
     lines = F.transform(F.split(T.or_empty(c), "[\\r\\n|]+"), T.normalize_text)
     marked = F.filter(lines, lambda x: T.contains_any(F.lower(x), PRICE_MARKERS) & x.rlike("\\d"))
@@ -92,9 +92,9 @@ def currency_hints(prices: Column) -> Column:
     return T.let(F.lower(F.array_join(prices, " ")), lambda j: F.array_compact(F.array(F.when(j.rlike("€|eur|евро"), "eur"), F.when(j.rlike("rsd|din|дин"), "rsd"), F.when(j.rlike("\\$|usd"), "usd"))))
 
 
-def city_signal(c: Column, cities: dict[str, tuple[str, ...]] | None = None) -> Column:
+def city_signal(c: Column, cities: dict[str, tuple[str, ...]] | None = None, norm: Column | None = None) -> Column:
     """struct<city, matched>: the first city of the list of which a word occurs anywhere."""
-    return T.let(F.lower(T.normalize_text(c)), lambda low: _city(low, cities or CITIES))
+    return T.let(F.lower(T.normalize_text(c) if norm is None else norm), lambda low: _city(low, cities or CITIES))
 
 
 def _city(low: Column, cities: dict[str, tuple[str, ...]]) -> Column:
@@ -117,7 +117,7 @@ CATEGORIES = {
 CATEGORY_VETOES = {"it_digital": ("дизайнерский ремонт",), "auto_service": ("автопарк",)}
 
 
-def category_hints(c: Column, rules: dict[str, tuple[str, ...]] | None = None, vetoes: dict[str, tuple[str, ...]] | None = None) -> Column:
+def category_hints(c: Column, rules: dict[str, tuple[str, ...]] | None = None, vetoes: dict[str, tuple[str, ...]] | None = None, norm: Column | None = None) -> Column:
     """array<struct<score, code, confidence, matched>>, best first.
 
     Score = distinct words found less vetoes found, kept if positive; without any, the hashtags are scored; if the best
@@ -132,7 +132,7 @@ def category_hints(c: Column, rules: dict[str, tuple[str, ...]] | None = None, v
             one.append(F.struct((F.size(hit) - T.count_phrases(low, vetoes.get(code, ()))).alias("score"), F.lit(code).alias("code"), F.array_sort(hit).alias("matched")))
         return F.filter(F.array(*one), lambda s: s["score"] > 0)
 
-    return T.let(T.normalize_text(c), lambda norm: _hints(norm, scored))
+    return T.let(T.normalize_text(c) if norm is None else norm, lambda n: _hints(n, scored))
 
 
 def _hints(norm: Column, scored: Callable[[Column], Column]) -> Column:

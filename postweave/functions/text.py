@@ -36,9 +36,9 @@ def normalize_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(plain_digits(c), ZERO_WIDTH, ""), BLANKS, " "))
 
 
-def text_hash(c: Column) -> Column:
-    """sha1 of the small-letter normal form."""
-    return F.sha1(F.lower(normalize_text(c)).cast("binary"))
+def text_hash(c: Column, norm: Column | None = None) -> Column:
+    """sha1 of the small-letter normal form, which may be given."""
+    return F.sha1(F.lower(normalize_text(c) if norm is None else norm).cast("binary"))
 
 
 def published_text_hash(c: Column) -> Column:
@@ -79,9 +79,9 @@ def normalize_website(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(normalize_url(c), "^[a-z][a-z0-9+.-]*://", ""), "^www\\.|/+$", "")
 
 
-def tokens(c: Column, least: int = 3, drop: tuple[str, ...] = STOPWORDS) -> Column:
+def tokens(c: Column, least: int = 3, drop: tuple[str, ...] = STOPWORDS, norm: Column | None = None) -> Column:
     """Sorted distinct words of at least ``least`` letters that are no number and no stopword."""
-    words = F.regexp_extract_all(F.lower(normalize_text(c)), F.lit("([0-9a-zа-яё]+)"), F.lit(1))
+    words = F.regexp_extract_all(F.lower(normalize_text(c) if norm is None else norm), F.lit("([0-9a-zа-яё]+)"), F.lit(1))
     return F.array_sort(F.array_distinct(F.filter(words, lambda w: (F.length(w) >= least) & ~w.rlike("^[0-9]+$") & ~w.isin(*drop))))
 
 

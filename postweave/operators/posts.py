@@ -33,8 +33,9 @@ def shape_rows(posts: DataFrame, zone: str = "Europe/Belgrade") -> DataFrame:
 def structure(posts: DataFrame) -> DataFrame:
     """One structured post per row: a single narrow stage without a shuffle."""
     src = T.first_filled(F.col("text"), F.col("text_normalized"))
-    base = posts.select("*", raw_post_id(posts).alias("raw_post_id"), src.alias("text_raw"), T.normalize_text(src).alias("text_norm"))
-    base = base.withColumns({"matches": C.contact_matches(F.col("text_raw")), "hash": T.text_hash(F.col("text_raw")), "prices": C.price_texts(F.col("text_raw")), "city": C.city_signal(F.col("text_raw")), "hints": C.category_hints(F.col("text_raw"))})
+    base = posts.select("*", raw_post_id(posts).alias("raw_post_id"), src.alias("text_raw")).withColumn("text_norm", T.normalize_text(F.col("text_raw")))
+    raw, norm = F.col("text_raw"), F.col("text_norm")
+    base = base.withColumns({"matches": C.contact_matches(raw, norm), "hash": T.text_hash(raw, norm), "prices": C.price_texts(raw, norm), "city": C.city_signal(raw, norm=norm), "hints": C.category_hints(raw, norm=norm)})
     channel = T.first_filled(F.lower(F.col("_telegram_target_resolved")), F.lower(F.col("chat_title")), F.col("chat_id").cast("string"))
     flags = F.array_compact(F.array(F.when(F.col("has_media"), "has_media"), F.when(F.size("matches") > 0, "has_contacts"), F.when(F.size("hints") > 0, "has_role_hints"), F.when(F.col("city.city").isNotNull(), "has_city"), F.when(F.size("prices") > 0, "has_price")))
     return base.select(
@@ -42,7 +43,7 @@ def structure(posts: DataFrame) -> DataFrame:
         F.struct(*[C.values_of(F.col("matches"), k).alias(k) for k in C.KINDS]).alias("contacts"), "matches", "hints", "city",
         "prices", C.currency_hints(F.col("prices")).alias("currencies"),
         C.identity_signals(F.col("matches"), F.col("sender_username"), F.col("sender_profile_url"), F.col("hash")).alias("identity"),
-        flags.alias("flags"), T.tokens(F.col("text_raw")).alias("tokens"),
+        flags.alias("flags"), T.tokens(raw, norm=norm).alias("tokens"),
     )
 
 
