@@ -41,15 +41,26 @@ def shared_key_edges(rows: DataFrame, key: str, items: Column) -> DataFrame:
     return flat.join(low, "item").select("a", "b").distinct()
 
 
+def word_classes(rows: DataFrame, key: str, words: Column, within: str | None = None) -> DataFrame:
+    """(key, class_key): records of one set of words are one class, named by its smallest key; without words there is none."""
+    extra = [within] if within else []
+    base = rows.select(F.col(key).alias("k"), *extra, F.array_sort(words).alias("w")).where("k is not null and size(w) > 0")
+    name = base.groupBy(*extra, "w").agg(F.min("k").alias("class_key"))
+    return base.join(name, [*extra, "w"]).select(F.col("k").alias(key), "class_key").distinct()
+
+
 def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within: str | None = None) -> DataFrame:
-    """(left_key, right_key, similarity) of all pairs with a Jaccard similarity of at least ``least``.
+    """(left_key, right_key, similarity) of all pairs of classes with a Jaccard similarity of at least ``least``.
+
+    Records of one set of words are one class (``word_classes`` has the members) and stand here by their smallest key,
+    so copies are never expanded into pairs and no link between different sets is lost.
 
     Prefix filter: words are ordered from rare to frequent over all rows, and two sets that similar share a word among
     the first n - ceil(least * n) + 1 of each; a pair is compared once, at the first shared word.
     """
     extra = [within] if within else []
-    base = rows.select(F.col(key).alias("k"), *extra, words.alias("w")).where("k is not null and size(w) > 0")
-    base = cut(base)
+    base = rows.select(F.col(key).alias("k"), *extra, F.array_sort(words).alias("w")).where("k is not null and size(w) > 0")
+    base = cut(base.groupBy(*extra, "w").agg(F.min("k").alias("k")).select("k", *extra, "w"))
     df = base.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     ranked = base.select("k", *extra, F.size("w").alias("n_w"), F.explode("w").alias("t")).join(df, "t")
     order = Window.partitionBy("k").orderBy("n", "t")
@@ -133,5 +144,6 @@ def offer_clusters(posts: DataFrame, least: float = 0.55) -> DataFrame:
     same = rows.join(low, ["provider_key", "text_hash"]).select(F.col("raw_post_id").alias("a"), "b")
     reps = rows.join(low.select(F.col("b").alias("raw_post_id")), "raw_post_id", "left_semi")
     near = similar_pairs(reps, "raw_post_id", F.col("tokens"), least, "provider_key").select(F.col("left_key").alias("a"), F.col("right_key").alias("b"))
-    comp = components(same.unionAll(near))
+    alike = word_classes(reps, "raw_post_id", F.col("tokens"), "provider_key").select(F.col("raw_post_id").alias("a"), F.col("class_key").alias("b"))
+    comp = components(same.unionAll(near).unionAll(alike))
     return rows.join(comp, rows.raw_post_id == comp.id).select("raw_post_id", "provider_key", F.concat(F.lit("offer:"), T.stable_hash(F.col("provider_key"), F.col("component"))).alias("offer_key"))

@@ -198,17 +198,37 @@ def provider_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.top_words(table(spark, sf_dir, "offers"), "provider_key", T.tokens(F.col("title_best")))
 
 
-@query(f"""WITH t AS (SELECT provider_key AS k, {tokens_sql('canonical_name')} AS w FROM providers), x AS (SELECT k, w, unnest(w) AS t FROM t), c AS (SELECT DISTINCT a.k AS left_key, b.k AS right_key FROM x a JOIN x b ON a.t = b.t AND a.k < b.k) SELECT left_key, right_key, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS similarity FROM c JOIN t a ON a.k = left_key JOIN t b ON b.k = right_key WHERE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.7""")
+def _pairs_sql(src: str, key: str, text: str, least: float, within: str = "''") -> str:
+    """Pairs of classes of one word set, each by its smallest key."""
+    share = "len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w)))"
+    return f"""WITH t AS (SELECT g, w, min(k) AS k FROM (SELECT {within} AS g, {key} AS k, list_sort({tokens_sql(text)}) AS w FROM {src}) WHERE len(w) > 0 GROUP BY g, w), x AS (SELECT g, k, unnest(w) AS t FROM t),
+    c AS (SELECT DISTINCT a.k AS l, b.k AS r FROM x a JOIN x b ON a.g = b.g AND a.t = b.t AND a.k < b.k) SELECT l AS left_key, r AS right_key, {share} AS similarity FROM c JOIN t a ON a.k = l JOIN t b ON b.k = r WHERE {share} >= {least}"""
+
+
+@query(_pairs_sql("providers", "provider_key", "canonical_name", 0.7))
 def similar_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provider pairs whose names share seven tenths of their words; every pair of different records, whatever the group's size."""
+    """Pairs of name classes that share seven tenths of their words."""
     return M.similar_pairs(table(spark, sf_dir, "providers"), "provider_key", T.tokens(F.col("canonical_name")), 0.7)
 
 
-@query(f"""WITH t AS (SELECT provider_key AS p, category_primary AS c, offer_key AS k, {tokens_sql('title_best')} AS w FROM offers) SELECT a.k AS left_key, b.k AS right_key, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS similarity FROM t a JOIN t b ON a.p = b.p AND a.k < b.k WHERE len(a.w) > 0 AND len(b.w) > 0 AND len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) >= 0.75""")
+@query(f"""WITH t AS (SELECT provider_key, list_sort({tokens_sql('canonical_name')}) AS w FROM providers) SELECT provider_key, min(provider_key) OVER (PARTITION BY w) AS class_key FROM t WHERE len(w) > 0""")
+def provider_name_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each provider's name."""
+    return M.word_classes(table(spark, sf_dir, "providers"), "provider_key", T.tokens(F.col("canonical_name")))
+
+
+@query(_pairs_sql("offers", "offer_key", "title_best", 0.75, "provider_key"))
 def similar_offers_of_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of title classes of one provider that share three quarters of their words."""
     return M.similar_pairs(table(spark, sf_dir, "offers"), "offer_key", T.tokens(F.col("title_best")), 0.75, "provider_key")
 
 
+@query(f"""WITH t AS (SELECT offer_key, provider_key, list_sort({tokens_sql('title_best')}) AS w FROM offers) SELECT offer_key, min(offer_key) OVER (PARTITION BY provider_key, w) AS class_key FROM t WHERE len(w) > 0 AND provider_key IS NOT NULL""")
+def offer_title_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each offer's title within its provider."""
+    return M.word_classes(table(spark, sf_dir, "offers"), "offer_key", T.tokens(F.col("title_best")), "provider_key")
+
+
 @query("""WITH e AS (SELECT event_id, user_id, ts FROM events), p AS (SELECT a.event_id AS left_key, b.event_id AS right_key, round(abs(epoch_us(a.ts) - epoch_us(b.ts)) / 1000000.0, 6) AS gap, b.ts FROM e a JOIN e b ON a.user_id = b.user_id AND a.event_id <> b.event_id AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 3600000000), r AS (SELECT *, row_number() OVER (PARTITION BY left_key ORDER BY gap, ts, right_key) AS rn FROM p) SELECT left_key, right_key, gap FROM r WHERE rn = 1""")
 def nearest_event_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,29 +50,32 @@ def review_drilldown(review: DataFrame, posts: DataFrame, runs: DataFrame) -> Da
 
 
 def coverage_metrics(offers: DataFrame, providers: DataFrame, runs: DataFrame, posts: DataFrame, as_of: Column) -> DataFrame:
-    """Seven families of counts in one shape: unused texts are empty, unused numbers null."""
-    cities = lambda c: F.explode(F.when(F.size(T.packed_list(c)) == 0, F.array(F.lit("unknown"))).otherwise(T.packed_list(c)))
-    o = offers.select("offer_state", F.coalesce(F.nullif(F.col("category_primary"), F.lit("")), F.lit("uncategorized")).alias("category"), freshness(F.col("last_seen_at_utc"), as_of).alias("bucket"), "last_seen_at_utc", "city_codes")
-    p = providers.select("provider_state", "identity_strength", freshness(F.col("last_seen_at_utc"), as_of).alias("bucket"), "last_seen_at_utc", "city_codes")
-    text, num = ("bucket", "offer_state", "provider_state", "identity_strength", "category", "city", "status"), ("raw_posts_total", "providers_total", "offers_total")
-
-    def family(name: str, df: DataFrame, by: dict[str, str], latest: str = "last_seen_at_utc") -> DataFrame:
-        got = df.groupBy(*by.values()).agg(F.count("*").alias("metric_value"), F.max(latest).alias("latest_at"))
-        return got.select(F.lit(name).alias("metric_family"), *[(F.col(by[t]) if t in by else F.lit("")).alias(t) for t in text], "metric_value", "latest_at", *[F.lit(None).cast("bigint").alias(n) for n in num])
-
-    parts = [
-        family("offer_freshness", o, {"bucket": "bucket", "offer_state": "offer_state"}),
-        family("provider_freshness", p, {"bucket": "bucket", "provider_state": "provider_state", "identity_strength": "identity_strength"}),
-        family("offer_category_coverage", o, {"category": "category", "offer_state": "offer_state"}),
-        family("offer_city_coverage", o.withColumn("city", cities(F.col("city_codes"))), {"city": "city", "offer_state": "offer_state"}),
-        family("provider_city_coverage", p.withColumn("city", cities(F.col("city_codes"))), {"city": "city", "provider_state": "provider_state", "identity_strength": "identity_strength"}),
-        family("run_target_coverage", runs, {"status": "run_status"}, "started_at_utc"),
-    ]
+    """Seven families of counts in one shape: unused texts are empty, unused numbers null.
+
+    Each table is read once: a row becomes one struct per family and city it counts for, and one aggregate with
+    partial sums takes them all.
+    """
+    texts, totals = ("bucket", "offer_state", "provider_state", "identity_strength", "category", "city", "status"), ("raw_posts_total", "providers_total", "offers_total")
+
+    def counts_for(name: str, **by: Column) -> Column:
+        return F.struct(F.lit(name).alias("metric_family"), *[by.get(t, F.lit("")).alias(t) for t in texts])
+
+    def cities(c: Column, f: Callable[[Column], Column]) -> Column:
+        return F.transform(T.let(T.packed_list(c), lambda x: F.when(F.size(x) == 0, F.array(F.lit("unknown"))).otherwise(x)), f)
+
+    def families(df: DataFrame, counted: Column, latest: str) -> DataFrame:
+        flat = df.select(F.explode(counted).alias("m"), F.col(latest).alias("at"))
+        return flat.groupBy("m").agg(F.count("*").alias("metric_value"), F.max("at").alias("latest_at")).select("m.*", "metric_value", "latest_at", *[F.lit(None).cast("bigint").alias(n) for n in totals])
+
+    age = freshness(F.col("last_seen_at_utc"), as_of)
+    state, p_state, strength = F.col("offer_state"), F.col("provider_state"), F.col("identity_strength")
+    category = F.coalesce(F.nullif(F.col("category_primary"), F.lit("")), F.lit("uncategorized"))
+    of_offer = F.concat(F.array(counts_for("offer_freshness", bucket=age, offer_state=state), counts_for("offer_category_coverage", category=category, offer_state=state)), cities(F.col("city_codes"), lambda c: counts_for("offer_city_coverage", city=c, offer_state=state)))
+    of_provider = F.concat(F.array(counts_for("provider_freshness", bucket=age, provider_state=p_state, identity_strength=strength)), cities(F.col("city_codes"), lambda c: counts_for("provider_city_coverage", city=c, provider_state=p_state, identity_strength=strength)))
+    of_run = F.array(counts_for("run_target_coverage", status=F.col("run_status")))
     total = runs.agg(F.count("*").alias("metric_value"), F.max("started_at_utc").alias("latest_at"))
     rows = total.unionByName(posts.agg(F.count("*").alias("raw_posts_total")), True).unionByName(providers.agg(F.count("*").alias("providers_total")), True).unionByName(offers.agg(F.count("*").alias("offers_total")), True)
-    one = rows.agg(*[F.max(c).alias(c) for c in ("metric_value", "latest_at", *num)])
-    parts.append(one.select(F.lit("run_summary").alias("metric_family"), *[F.lit("").alias(t) for t in text], "metric_value", "latest_at", *num))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    one = rows.agg(*[F.max(c).alias(c) for c in ("metric_value", "latest_at", *totals)])
+    summary = one.select(F.lit("run_summary").alias("metric_family"), *[F.lit("").alias(t) for t in texts], "metric_value", "latest_at", *totals)
+    out = families(offers, of_offer, "last_seen_at_utc").unionByName(families(providers, of_provider, "last_seen_at_utc"))
+    return out.unionByName(families(runs, of_run, "started_at_utc")).unionByName(summary)

@@ -76,8 +76,9 @@ def test_similar_pairs_against_all_pairs(spark):
     df = spark.createDataFrame(rows, "k int, w array<string>")
     for least in (0.5, 0.7, 1.0):
         want = {(a, b) for a, wa in rows for b, wb in rows if a < b and wa and wb and len(set(wa) & set(wb)) / len(set(wa) | set(wb)) >= least}
-        got = {(r.left_key, r.right_key) for r in M.similar_pairs(df, "k", F.col("w"), least).collect()}
-        assert got == want
+        pairs = {(r.left_key, r.right_key) for r in M.similar_pairs(df, "k", F.col("w"), least).collect()}
+        of = {r.k: r.class_key for r in M.word_classes(df, "k", F.col("w")).collect()}
+        assert pairs <= want and {(a, b) for a in of for b in of if a < b and (of[a] == of[b] or (min(of[a], of[b]), max(of[a], of[b])) in pairs)} == want
 
 
 def test_tables(spark):
