@@ -74,17 +74,32 @@ def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, by: list[str], ts: str, seconds: float, key: str) -> DataFrame:
-    """For each row of ``left`` the row of ``right`` with the same ``by`` nearest in time within ``seconds``; ties go to the earlier, then the smaller key.
+    """For each row of ``left`` the row of ``right`` with the same ``by`` nearest in time within ``seconds``, but for one
+    of its own key; ties go to the earlier, then the smaller key.
 
-    Time is cut into bins as wide as the window; a row meets three bins, so the join is an equi-join.
+    Time is cut into bins as wide as the window and each right row stands in three of them, so a bin is sorted on its
+    own and every left row looks at its neighbours in that order only: no pairs within a bin are built.
     """
-    bin_of = lambda c: F.floor(c.cast("timestamp").cast("double") / seconds)
-    a = left.select(*by, F.col(key).alias("left_key"), F.col(ts).alias("ts_a"), F.explode(F.array(*[bin_of(F.col(ts)) + d for d in (-1, 0, 1)])).alias("bin"))
-    b = right.select(*by, F.col(key).alias("right_key"), F.col(ts).alias("ts_b"), bin_of(F.col(ts)).alias("bin"))
-    gap = F.abs(F.unix_micros(F.col("ts_a").cast("timestamp")) - F.unix_micros(F.col("ts_b").cast("timestamp"))) / 1e6
-    met = a.join(b, [*by, "bin"]).where((gap <= seconds) & (F.col("left_key") != F.col("right_key"))).withColumn("gap", F.round(gap, 6))
-    best = met.groupBy("left_key").agg(F.min(F.struct("gap", "ts_b", "right_key")).alias("m"))
-    return best.select("left_key", F.col("m.right_key").alias("right_key"), F.col("m.gap").alias("gap"))
+    width = round(seconds * 1_000_000)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    own = F.floor(us / width)
+    a = left.where(F.col(ts).isNotNull()).select(*by, F.lit(1).alias("side"), us.alias("us"), F.col(key).alias("k"), own.alias("bin"))
+    b = right.where(F.col(ts).isNotNull()).select(*by, F.lit(0).alias("side"), us.alias("us"), F.col(key).alias("k"), F.explode(F.array(own - 1, own, own + 1)).alias("bin"))
+    rows = a.unionByName(b)
+    for c in by:
+        rows = rows.where(F.col(c).isNotNull())
+    for name, way in (("before", F.col("us")), ("after", -F.col("us"))):
+        order = Window.partitionBy(*by, "bin").orderBy(way, "side", F.desc("k"))
+        back = order.rowsBetween(Window.unboundedPreceding, -1)
+        here = F.when(F.col("side") == 0, F.struct("us", "k"))
+        # The last right row so far, and the one before it for rows that meet themselves.
+        rows = rows.withColumn("_one", F.last(here, ignorenulls=True).over(back))
+        pair = F.when(F.col("side") == 0, F.struct(F.struct("us", "k").alias("x"), F.col("_one").alias("y")))
+        rows = rows.withColumn("_two", F.last(pair, ignorenulls=True).over(back))
+        rows = rows.withColumn(name, F.when(F.col("_two.x.k") == F.col("k"), F.col("_two.y")).otherwise(F.col("_two.x"))).drop("_one", "_two")
+    gap = lambda c: F.when(F.col(f"{c}.k").isNotNull() & (F.abs(F.col(f"{c}.us") - F.col("us")) <= width), F.struct((F.abs(F.col(f"{c}.us") - F.col("us")) / 1e6).alias("gap"), F.col(f"{c}.us").alias("us"), F.col(f"{c}.k").alias("k")))
+    met = rows.where("side = 1").select(F.col("k").alias("left_key"), F.least(gap("before"), gap("after")).alias("m"))
+    return met.where("m is not null").select("left_key", F.col("m.k").alias("right_key"), F.round("m.gap", 6).alias("gap"))
 
 
 def first_and_last(rows: DataFrame, by: str, ts: str, key: str, value: str) -> DataFrame:

@@ -81,6 +81,23 @@ def test_similar_pairs_against_all_pairs(spark):
         assert pairs <= want and {(a, b) for a in of for b in of if a < b and (of[a] == of[b] or (min(of[a], of[b]), max(of[a], of[b])) in pairs)} == want
 
 
+def test_nearest_in_time_against_all_pairs(spark):
+    import datetime
+
+    rnd = random.Random(8)
+    at = lambda s: datetime.datetime(2026, 1, 1) + datetime.timedelta(seconds=s)
+    rows = [(i, rnd.choice("ab"), rnd.randint(0, 60)) for i in range(70)]
+    df = spark.createDataFrame([(i, u, at(s)) for i, u, s in rows] + [(99, None, at(1)), (98, "a", None)], "id int, u string, ts timestamp")
+    want = {}
+    for i, u, s in rows:
+        near = [(abs(s - t), t, j) for j, v, t in rows if v == u and j != i and abs(s - t) <= 3]
+        if near:
+            g, _, j = min(near)
+            want[i] = (j, float(g))
+    got = {r.left_key: (r.right_key, r.gap) for r in M.nearest_in_time(df, df, ["u"], "ts", 3.0, "id").collect()}
+    assert got == want
+
+
 def test_tables(spark):
     old = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, first string, n int")
     new = spark.createDataFrame([(2, "x", 9), (3, "c", 1)], "k int, first string, n int")
