@@ -27,7 +27,7 @@ def newer_than(posts: DataFrame, bounds: DataFrame, source: str = "chat_id") ->
     return posts.join(b, source).where(F.col("message_id") > F.col("upper_id")).drop("upper_id")
 
 
-def lower_bound(bounds: DataFrame) -> Column:
+def lower_bound() -> Column:
     """The first of a cutoff, the oldest time and the lower id, by name; an upper bound alone is an error."""
     return F.when(F.col("cutoff_at").isNotNull(), "cutoff").when(F.col("oldest_at").isNotNull(), "oldest").when(F.col("lower_id").isNotNull(), "lower_id").when(F.col("upper_id").isNotNull(), "missing_lower_bound").otherwise("none")
 
