@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postweave.llm import sql
 from postweave.llm.abuse import fit, labelled, rates, score_documents
 from postweave.llm.bpe import encode
 from postweave.llm.canon import look_alike_pairs
@@ -18,7 +19,7 @@ from postweave.llm.survivors import OFFER_BUNDLES, PROVIDER_BUNDLES, merged_reco
 from postweave.session import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(sql.SQL)
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
