@@ -169,18 +169,23 @@ def fingerprints(df: DataFrame, key: str, text: str, form: Callable[[str], str]
 def look_alike_pairs(df: DataFrame, key: str, text: str, hot: int = 20_000) -> DataFrame:
     """(key_a, key_b): records of different keys whose texts look the same but are different strings.
 
-    Rows without key or visible text are no case; a key with several rows counts once per text.  Classes with one
-    stored text are dropped after a partial aggregate.  A class with more than ``hot`` records is split over
-    ``ceil(n / hot)`` salts, so that no task holds it whole; every pair is still produced.
+    Rows without key or visible text are no case; a key with several rows counts once per text.  A class is split
+    into its stored texts first and only different texts meet, so copies are never compared with one another and the
+    work is that of the result.  A text with more than ``hot`` records is split over ``ceil(n / hot)`` salts, so that
+    no task holds it whole; every pair is still produced.
     """
     recs = cut(fingerprints(df, key, text).groupBy("key", "look", "raw").agg(F.lit(1).alias("one")).drop("one"))
-    mixed = recs.groupBy("look").agg(F.count("*").alias("n"), F.min("raw").alias("lo"), F.max("raw").alias("hi"))
-    mixed = mixed.where("lo <> hi").select("look", F.ceil(F.col("n") / F.lit(hot)).cast("int").alias("salts"))
-    of = recs.join(mixed, "look")
-    a = of.select("look", "raw", F.col("key").alias("key_a"), F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt"))
-    b = of.select("look", F.col("raw").alias("raw_b"), F.col("key").alias("key_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    pairs = a.join(b, ["look", "salt"]).where("key_a < key_b and raw <> raw_b")
-    return pairs.select("key_a", "key_b").distinct()
+    texts = recs.groupBy("look", "raw").agg(F.count("*").alias("n"))
+    mixed = texts.groupBy("look").agg(F.count("*").alias("texts")).where("texts > 1").select("look")
+    texts = cut(texts.join(mixed, "look").withColumn("salts", F.ceil(F.col("n") / F.lit(hot)).cast("int")))
+    one = texts.select("look", F.col("raw").alias("raw_a"), "salts")
+    met = one.join(texts.select("look", F.col("raw").alias("raw_b")), "look").where("raw_a < raw_b")
+    right = met.join(recs.select("look", F.col("raw").alias("raw_b"), F.col("key").alias("kb")), ["look", "raw_b"])
+    right = right.select("look", "raw_a", "kb", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    left = recs.select("look", F.col("raw").alias("raw_a"), F.col("key").alias("ka")).join(one, ["look", "raw_a"])
+    left = left.select("look", "raw_a", "ka", F.pmod(F.xxhash64("ka"), F.col("salts")).cast("int").alias("salt"))
+    pairs = left.join(right, ["look", "raw_a", "salt"]).where("ka <> kb")
+    return pairs.select(F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b")).distinct()
 
 
 _WORDS = re.compile(r"[^\W_]+")
