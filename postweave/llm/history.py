@@ -170,18 +170,18 @@ class History:
         return out
 
     @classmethod
-    def start(cls, records: DataFrame, key: str, seen: str, title: str, text: str, share: float = 0.002, **how: float) -> History:
+    def start(cls, records: DataFrame, key: str, seen: str, title: str, text: str, share: float = 0.002, most: int = 100_000, **how: float) -> History:
         """The tables of an accepted history; its word weights are fixed here.
 
-        Words of more than ``share`` of the texts get a weight; a text of n words has n of them, so there are at most
-        n / share such words on average, whatever the size of the history.
+        Words of more than ``share`` of the texts get a weight, the ``most`` frequent at most; any other word counts
+        as rare.  So the table of weights is bounded whatever the size of the history or of its texts.
         """
         src = records.select(F.col(key).alias("key"), F.col(seen).alias("seen"), F.col(title).alias("_title"), F.col(text).alias("_text"))
         read = cut(read_words(src, ["key", "seen"]))
         first = Window.partitionBy("rid").orderBy(F.col("seen").asc_nulls_last(), "key")
         rows = read.where("rid is not null").withColumn("rn", F.row_number().over(first)).where("rn = 1").select("rid", "words", "own", F.col("key").alias("offer"))
         n = max(1, rows.count())
-        df = rows.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > share * n)
+        df = rows.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > share * n).orderBy(F.desc("n"), "w").limit(most)
         weight = {r["w"]: float(np.sqrt(np.log(n / r["n"]) + 0.05)) for r in df.collect()}
         self = cls(records.sparkSession, weight, float(np.sqrt(np.log(min(n, 1 / share)) + 0.05)), **how)
         texts = cut(add_fingerprints(rows, weight, self.rare))
