@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postweave.functions import text as T
+from postweave.operators.posts import parse_instant
 from postweave.session import cut
 
+BLANK_HASH = hashlib.sha1(b"").hexdigest()
+
 
 def components(edges: DataFrame) -> DataFrame:
     """From (a, b): (id, component), the component being its smallest id.
@@ -41,34 +46,45 @@ def shared_key_edges(rows: DataFrame, key: str, items: Column) -> DataFrame:
     return flat.join(low, "item").select("a", "b").distinct()
 
 
-def word_classes(rows: DataFrame, key: str, words: Column, within: str | None = None) -> DataFrame:
-    """(key, class_key): records of one set of words are one class, named by its smallest key; without words there is none."""
+def _worded(rows: DataFrame, key: str, words: Column, within: str | None, labels: Column | None) -> tuple[DataFrame, list[str]]:
+    """(k, within, w, labels) of the records with words, and the columns that records of one class agree in."""
     extra = [within] if within else []
-    base = rows.select(F.col(key).alias("k"), *extra, F.array_sort(words).alias("w")).where("k is not null and size(w) > 0")
-    name = base.groupBy(*extra, "w").agg(F.min("k").alias("class_key"))
-    return base.join(name, [*extra, "w"]).select(F.col("k").alias(key), "class_key").distinct()
+    told = F.array_sort(F.array_distinct(F.coalesce(labels, F.array().cast("array<string>")))) if labels is not None else F.array().cast("array<string>")
+    base = rows.select(F.col(key).alias("k"), *extra, F.array_sort(words).alias("w"), told.alias("labels"))
+    return base.where("k is not null and size(w) > 0"), [*extra, "w", "labels"]
+
+
+def word_classes(rows: DataFrame, key: str, words: Column, within: str | None = None, labels: Column | None = None) -> DataFrame:
+    """(key, class_key): records of one set of words (and labels) are one class, named by its smallest key; without words there is none."""
+    base, same = _worded(rows, key, words, within, labels)
+    name = base.groupBy(*same).agg(F.min("k").alias("class_key"))
+    return base.join(name, same).select(F.col("k").alias(key), "class_key").distinct()
 
 
-def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within: str | None = None) -> DataFrame:
+def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within: str | None = None, labels: Column | None = None) -> DataFrame:
     """(left_key, right_key, similarity) of all pairs of classes with a Jaccard similarity of at least ``least``.
 
     Records of one set of words are one class (``word_classes`` has the members) and stand here by their smallest key,
-    so copies are never expanded into pairs and no link between different sets is lost.
+    so copies are never expanded into pairs and no link between different sets is lost.  With ``labels``, classes agree in
+    them too, and two classes that both have labels but share none are no pair.
 
     Prefix filter: words are ordered from rare to frequent over all rows, and two sets that similar share a word among
-    the first n - ceil(least * n) + 1 of each; a pair is compared once, at the first shared word.
+    the first n - ceil(least * n) + 1 of each.  At the first shared word no more words can be shared than follow in the
+    shorter rest, so places that leave too few are no candidates; a pair is compared once.
     """
     extra = [within] if within else []
-    base = rows.select(F.col(key).alias("k"), *extra, F.array_sort(words).alias("w")).where("k is not null and size(w) > 0")
-    base = cut(base.groupBy(*extra, "w").agg(F.min("k").alias("k")).select("k", *extra, "w"))
+    base, same = _worded(rows, key, words, within, labels)
+    base = cut(base.groupBy(*same).agg(F.min("k").alias("k")).select("k", *same))
     df = base.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    ranked = base.select("k", *extra, F.size("w").alias("n_w"), F.explode("w").alias("t")).join(df, "t")
+    ranked = base.select("k", *extra, "labels", F.size("w").alias("n_w"), F.explode("w").alias("t")).join(df, "t")
     order = Window.partitionBy("k").orderBy("n", "t")
     pref = ranked.withColumn("i", F.row_number().over(order)).where(F.col("i") <= F.col("n_w") - F.ceil(F.lit(least) * F.col("n_w")) + 1)
-    a = pref.select("t", *extra, F.col("k").alias("left_key"), F.col("n_w").alias("n_a"))
-    b = pref.select("t", *extra, F.col("k").alias("right_key"), F.col("n_w").alias("n_b"))
+    a = pref.select("t", *extra, F.col("k").alias("left_key"), F.col("n_w").alias("n_a"), F.col("i").alias("i_a"), F.col("labels").alias("la"))
+    b = pref.select("t", *extra, F.col("k").alias("right_key"), F.col("n_w").alias("n_b"), F.col("i").alias("i_b"), F.col("labels").alias("lb"))
     size_ok = (F.col("n_a") >= F.lit(least) * F.col("n_b")) & (F.col("n_b") >= F.lit(least) * F.col("n_a"))
-    pairs = a.join(b, ["t", *extra]).where((F.col("left_key") < F.col("right_key")) & size_ok).select("left_key", "right_key").distinct()
+    rest_ok = 1 + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    agree = (F.size("la") == 0) | (F.size("lb") == 0) | F.arrays_overlap("la", "lb")
+    pairs = a.join(b, ["t", *extra]).where((F.col("left_key") < F.col("right_key")) & size_ok & rest_ok & agree).select("left_key", "right_key").distinct()
     wa, wb = base.select(F.col("k").alias("left_key"), F.col("w").alias("wa")), base.select(F.col("k").alias("right_key"), F.col("w").alias("wb"))
     return pairs.join(wa, "left_key").join(wb, "right_key").withColumn("similarity", T.jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= least).select("left_key", "right_key", "similarity")
 
@@ -152,13 +168,46 @@ def provider_clusters(structured: DataFrame) -> DataFrame:
     return of.unionAll(weak)
 
 
-def offer_clusters(posts: DataFrame, least: float = 0.55) -> DataFrame:
-    """(raw_post_id, provider_key, offer_key): within a provider, posts of one text or of similar words are one offer."""
-    rows = cut(posts.select("raw_post_id", "provider_key", "text_hash", "tokens"))
-    low = rows.groupBy("provider_key", "text_hash").agg(F.min("raw_post_id").alias("b"))
-    same = rows.join(low, ["provider_key", "text_hash"]).select(F.col("raw_post_id").alias("a"), "b")
-    reps = rows.join(low.select(F.col("b").alias("raw_post_id")), "raw_post_id", "left_semi")
-    near = similar_pairs(reps, "raw_post_id", F.col("tokens"), least, "provider_key").select(F.col("left_key").alias("a"), F.col("right_key").alias("b"))
-    alike = word_classes(reps, "raw_post_id", F.col("tokens"), "provider_key").select(F.col("raw_post_id").alias("a"), F.col("class_key").alias("b"))
-    comp = components(same.unionAll(near).unionAll(alike))
+def attachment_edges(bare: DataFrame, told: DataFrame, seconds: float) -> DataFrame:
+    """(a, b) from posts (raw_post_id, provider_key, channel, at, ts) without content and with it: what each of the former hangs on.
+
+    Posts without content at most ``seconds`` apart in one channel of a provider are one group, and the group hangs on
+    the post with content nearest to any of its own, if one is as near; ties go to the earlier, then the smaller key.
+    Times that cannot be read (``ts`` is null) must be written alike, and are then no time apart.
+    """
+    by = ["provider_key", "channel"]
+    bare = cut(bare.where("channel <> ''").select("raw_post_id", *by, "at", "ts"))
+    told = told.join(bare.select(*by).distinct(), by, "left_semi").select("raw_post_id", *by, "at", "ts")
+    line = Window.partitionBy(*by, F.when(F.col("ts").isNull(), F.col("at"))).orderBy("ts", "raw_post_id")
+    step = F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(line))
+    first = F.lag("raw_post_id").over(line).isNull() | (F.coalesce(step, F.lit(0)) > round(seconds * 1_000_000))
+    heads = bare.withColumn("first", first).withColumn("head", F.last(F.when(F.col("first"), F.col("raw_post_id")), ignorenulls=True).over(line)).select("raw_post_id", "head")
+    near = nearest_in_time(bare, told, by, "ts", seconds, "raw_post_id").join(told.select(F.col("raw_post_id").alias("right_key"), "ts"), "right_key")
+    alike = told.where("ts is null").groupBy(*by, "at").agg(F.min("raw_post_id").alias("right_key"))
+    alike = bare.where("ts is null").join(alike, [*by, "at"]).select(F.col("raw_post_id").alias("left_key"), "right_key", F.lit(0.0).alias("gap"), F.lit(None).cast("timestamp").alias("ts"))
+    met = near.select("left_key", "right_key", "gap", "ts").unionAll(alike).join(heads.select(F.col("raw_post_id").alias("left_key"), "head"), "left_key")
+    best = met.groupBy("head").agg(F.min_by("right_key", F.struct("gap", "ts", "right_key")).alias("b")).select(F.col("head").alias("a"), "b")
+    return heads.select(F.col("raw_post_id").alias("a"), F.col("head").alias("b")).unionAll(best)
+
+
+def offer_clusters(posts: DataFrame, least: float = 0.55, seconds: float = 5.0) -> DataFrame:
+    """(raw_post_id, provider_key, offer_key): within a provider, posts of one text or of similar words are one offer.
+
+    A blank text is no text to share: posts with neither text, words nor categories join by ``attachment_edges``.  Posts
+    that both have categories but share none are alike by their text only.  ``posts`` may lack categories, channel and
+    posted_at_utc; then no pair is refused and posts without content stay alone.
+    """
+    given = lambda c, kind: F.col(c).cast(kind) if c in posts.columns else F.lit(None).cast(kind)
+    at = F.trim(T.or_empty(given("posted_at_utc", "string")))
+    rows = posts.select("raw_post_id", "provider_key", "text_hash", "tokens", F.coalesce(given("categories", "array<string>"), F.array().cast("array<string>")).alias("categories"), T.or_empty(given("channel", "string")).alias("channel"), at.alias("at"), parse_instant(at).alias("ts"))
+    blank = T.or_empty(F.col("text_hash")).isin("", BLANK_HASH)
+    rows = cut(rows.withColumn("blank", blank).withColumn("bare", F.col("blank") & (F.coalesce(F.size("tokens"), F.lit(0)) <= 0) & (F.size("categories") == 0)))
+    low = rows.where("not blank").groupBy("provider_key", "text_hash").agg(F.min("raw_post_id").alias("b"))
+    same = rows.where("not blank").join(low, ["provider_key", "text_hash"]).select(F.col("raw_post_id").alias("a"), "b")
+    reps = rows.join(low.select(F.col("b").alias("raw_post_id")).unionAll(rows.where("blank and not bare").select("raw_post_id")), "raw_post_id", "left_semi")
+    near = similar_pairs(reps, "raw_post_id", F.col("tokens"), least, "provider_key", F.col("categories")).select(F.col("left_key").alias("a"), F.col("right_key").alias("b"))
+    alike = word_classes(reps, "raw_post_id", F.col("tokens"), "provider_key", F.col("categories")).select(F.col("raw_post_id").alias("a"), F.col("class_key").alias("b"))
+    hung = attachment_edges(rows.where("bare"), rows.where("not bare"), seconds)
+    alone = rows.select(F.col("raw_post_id").alias("a"), F.col("raw_post_id").alias("b"))
+    comp = components(same.unionAll(near).unionAll(alike).unionAll(hung).unionAll(alone))
     return rows.join(comp, rows.raw_post_id == comp.id).select("raw_post_id", "provider_key", F.concat(F.lit("offer:"), T.stable_hash(F.col("provider_key"), F.col("component"))).alias("offer_key"))

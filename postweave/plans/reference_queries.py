@@ -315,7 +315,10 @@ def provider_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts joined to offers within their provider."""
     s = P.structure(table(spark, sf_dir, "raw_posts"))
-    posts = s.groupBy("raw_post_id").agg(F.max("text_hash").alias("text_hash"), F.max("tokens").alias("tokens")).where("raw_post_id <> ''")
+    # One fetch of a post stands for all: with a text, a time and a channel if any has them, then the last.
+    of = F.struct("text_hash", "tokens", F.col("hints.code").alias("categories"), F.col("source_channel_key").alias("channel"), "posted_at_utc")
+    order = F.struct(F.col("text_norm") != "", P.parse_instant(F.col("posted_at_utc")).isNotNull(), F.col("source_channel_key") != "", "_run_id", "text_hash", "posted_at_utc", "source_channel_key")
+    posts = s.where("raw_post_id <> ''").groupBy("raw_post_id").agg(F.max_by(of, order).alias("x")).select("raw_post_id", "x.*")
     return M.offer_clusters(posts.join(M.provider_clusters(s), "raw_post_id"))
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 from hypothesis import given, settings
@@ -148,3 +149,23 @@ def test_resume_rules_in_order():
     assert ingest.resume_error({**ok, "done": ["a", "b"]}, ok) == ""
     assert ingest.resume_error({**ok, "done": ["b"]}, ok) == "cursor_gap"
     assert ingest.resume_error({**ok, "version": 2, "bounds": 9, "done": []}, ok) == "state_version_mismatch"
+
+
+def test_offers_of_posts_without_text(spark):
+    void, words, more = hashlib.sha1(b"").hexdigest(), ["haircut", "manicure", "massage"], ["haircut", "manicure", "massage", "sauna"]
+    at = "2026-01-01T10:00:{:02}Z".format
+    rows = [
+        ("a1", "p", "h1", words, ["beauty"], "c", at(0)), ("a2", "p", "h2", more, ["beauty", "spa"], "c", at(20)), ("a3", "p", "h3", more, ["cars"], "c", at(40)), ("a4", "p", "h4", words, [], "d", ""),
+        # A chain of three hangs on the nearest text, 4 s from its last; the next is 6 s off, in time for nothing.
+        ("b1", "p", void, [], [], "c", at(9)), ("b2", "p", void, [], [], "c", at(13)), ("b3", "p", void, [], [], "c", at(16)), ("b4", "p", void, [], [], "c", at(26)),
+        ("b5", "p", void, [], [], "e", at(16)), ("b6", "p", void, [], [], "e", at(21)), ("b7", "p", void, [], [], "", at(20)), ("b8", "p", void, [], [], "", at(20)),
+        ("b9", "p", void, [], [], "d", " "), ("c1", "p", void, [], [], "d", None), ("c2", "p", void, [], [], "d", "soon"), ("c3", "q", void, [], [], "c", at(20)),
+    ]
+    df = spark.createDataFrame(rows, "raw_post_id string, provider_key string, text_hash string, tokens array<string>, categories array<string>, channel string, posted_at_utc string")
+    got = {}
+    for r in M.offer_clusters(df).collect():
+        got.setdefault(r.offer_key, []).append(r.raw_post_id)
+    # a3 shares no category with a1 or a2 but meets both by a4, which has none.
+    assert sorted(map(sorted, got.values())) == [["a1", "a2", "a3", "a4", "b1", "b2", "b3", "b9", "c1"], ["b4"], ["b5", "b6"], ["b7"], ["b8"], ["c2"], ["c3"]]
+    apart = M.offer_clusters(df.where("raw_post_id in ('a1', 'a2', 'a3')")).groupBy("offer_key").count().collect()
+    assert sorted(r["count"] for r in apart) == [1, 2]
