@@ -11,6 +11,8 @@ from postweave.functions import text as T
 from postweave.operators.posts import parse_instant
 from postweave.session import cut
 
+# Products of doubles lie a little above the whole number they stand for (0.55 * 100); no bound may lose a pair by that.
+SLACK = 1e-9
 BLANK_HASH = hashlib.sha1(b"").hexdigest()
 
 
@@ -78,11 +80,11 @@ def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within
     df = base.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     ranked = base.select("k", *extra, "labels", F.size("w").alias("n_w"), F.explode("w").alias("t")).join(df, "t")
     order = Window.partitionBy("k").orderBy("n", "t")
-    pref = ranked.withColumn("i", F.row_number().over(order)).where(F.col("i") <= F.col("n_w") - F.ceil(F.lit(least) * F.col("n_w")) + 1)
+    pref = ranked.withColumn("i", F.row_number().over(order)).where(F.col("i") <= F.col("n_w") - F.ceil(F.lit(least) * F.col("n_w") - SLACK) + 1)
     a = pref.select("t", *extra, F.col("k").alias("left_key"), F.col("n_w").alias("n_a"), F.col("i").alias("i_a"), F.col("labels").alias("la"))
     b = pref.select("t", *extra, F.col("k").alias("right_key"), F.col("n_w").alias("n_b"), F.col("i").alias("i_b"), F.col("labels").alias("lb"))
-    size_ok = (F.col("n_a") >= F.lit(least) * F.col("n_b")) & (F.col("n_b") >= F.lit(least) * F.col("n_a"))
-    rest_ok = 1 + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    size_ok = (F.col("n_a") >= F.lit(least) * F.col("n_b") - SLACK) & (F.col("n_b") >= F.lit(least) * F.col("n_a") - SLACK)
+    rest_ok = 1 + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - SLACK
     agree = (F.size("la") == 0) | (F.size("lb") == 0) | F.arrays_overlap("la", "lb")
     pairs = a.join(b, ["t", *extra]).where((F.col("left_key") < F.col("right_key")) & size_ok & rest_ok & agree).select("left_key", "right_key").distinct()
     wa, wb = base.select(F.col("k").alias("left_key"), F.col("w").alias("wa")), base.select(F.col("k").alias("right_key"), F.col("w").alias("wb"))

@@ -169,3 +169,13 @@ def test_offers_of_posts_without_text(spark):
     assert sorted(map(sorted, got.values())) == [["a1", "a2", "a3", "a4", "b1", "b2", "b3", "b9", "c1"], ["b4"], ["b5", "b6"], ["b7"], ["b8"], ["c2"], ["c3"]]
     apart = M.offer_clusters(df.where("raw_post_id in ('a1', 'a2', 'a3')")).groupBy("offer_key").count().collect()
     assert sorted(r["count"] for r in apart) == [1, 2]
+
+
+def test_pairs_at_the_bound_itself(spark):
+    # 0.55 * 100 is 55.00000000000001: a set of 55 words within one of 100.
+    whole = [f"w{i:03}" for i in range(100)]
+    df = spark.createDataFrame([(1, whole), (2, whole[45:])], "k int, w array<string>")
+    assert [(r.left_key, r.right_key, r.similarity) for r in M.similar_pairs(df, "k", F.col("w"), 0.55).collect()] == [(1, 2, 0.55)]
+    # Only the last word of the prefix is shared: 45 words stand before it in the larger set.
+    rare = spark.createDataFrame([(1, whole), (2, whole[45:])] + [(3 + i, whole[45:] + [f"x{i}"]) for i in range(3)], "k int, w array<string>")
+    assert (1, 2) in {(r.left_key, r.right_key) for r in M.similar_pairs(rare, "k", F.col("w"), 0.55).collect()}
