@@ -4,13 +4,15 @@ Method: every spelling of a unit is a node of a source graph: unit words found i
 structured column.  Records that state the same quantity twice (in text and in the structured fields) link two
 nodes; the robust scale of a link is the median of the log ratios, its offset the median of what the scale leaves,
 and both are snapped to known conversions (powers of ten that come from cents or thousands, no offset).  Nodes whose
-unit is known are anchors; the others take the unit of the best supported link, round by round.
+unit is known are anchors; the others take the unit of the best supported link, and the product of the scales on the
+way to the anchor, round by round until no node is added.
 
 The text then holds: the lowest of its amounts in the unit of its word.  Where the text states no amount the
 structured value holds in the unit of its code.
 
 Defined results: null or empty texts state nothing; times, measures and percentages are no amounts; an amount whose
-unit is unknown, or a structured value without a known code, gives no row; repeated rows give repeated rows.
+unit is unknown (without an anchor or a way to one over links of three records at least), or a structured value
+without a known code, gives no row; repeated rows give repeated rows.
 """
 
 from __future__ import annotations
@@ -175,26 +177,30 @@ def link_units(pairs: DataFrame, least: int = 3) -> DataFrame:
     return robust.where(clean).select("unit", "code", "n", snapped.alias("scale"), F.lit(0.0).alias("offset"))
 
 
-def resolve_units(links: DataFrame, codes: DataFrame, rounds: int = 3) -> DataFrame:
-    """(node, currency) of every spelling reachable from an anchor.
+def resolve_units(links: DataFrame, codes: DataFrame) -> DataFrame:
+    """(node, currency, power) of every spelling reachable from an anchor: one of it is 10^power of the currency.
 
     Anchors are the codes of the rate table in small letters and the known spellings; any other node takes the
-    currency with the most support among its resolved neighbours, in at most ``rounds`` rounds.
+    currency with the most support among its resolved neighbours and, within that, the power with the most.
     """
     spark = links.sparkSession
     known = spark.createDataFrame([(s, c) for c, ss in KNOWN_UNITS.items() for s in ss], "node string, currency string")
     has = codes.select(F.upper("currency_code").alias("currency"))
     anchors = known.join(has, "currency", "left_semi").select("node", "currency").union(has.select(F.lower("currency"), "currency")).distinct()
-    edges = links.select(F.col("unit").alias("a"), F.col("code").alias("b"), "n").union(links.select("code", "unit", "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    step = F.round(F.log10("scale")).cast("int")
+    edges = links.select(F.col("unit").alias("a"), F.col("code").alias("b"), step.alias("step"), "n").union(links.select("code", "unit", -step, "n")).groupBy("a", "b", "step").agg(F.sum("n").alias("n"))
     edges = cut(edges)
-    nodes = anchors
-    best = Window.partitionBy("a").orderBy(F.desc("n"), "currency")
-    for _ in range(rounds):
-        new = edges.join(nodes, edges.b == nodes.node).groupBy("a", "currency").agg(F.sum("n").alias("n"))
+    nodes = anchors.withColumn("power", F.lit(0))
+    all_of = Window.partitionBy("a", "currency")
+    best = Window.partitionBy("a").orderBy(F.desc("support"), "currency", F.desc("n"), F.abs("power"), "power")
+    while True:
+        new = edges.join(nodes, edges.b == nodes.node).groupBy("a", "currency", (F.col("power") + F.col("step")).alias("power")).agg(F.sum("n").alias("n"))
         new = new.join(nodes.select("node"), F.col("a") == F.col("node"), "left_anti")
-        new = new.withColumn("rn", F.row_number().over(best)).where("rn = 1").select(F.col("a").alias("node"), "currency")
+        new = new.withColumn("support", F.sum("n").over(all_of)).withColumn("rn", F.row_number().over(best)).where("rn = 1")
+        new = cut(new.select(F.col("a").alias("node"), "currency", "power"))
+        if new.isEmpty():
+            return nodes
         nodes = cut(nodes.unionAll(new))
-    return nodes
 
 
 def lowest_in_unit(rows: DataFrame, key: str, text: str, value: str, code: str, rates: DataFrame) -> DataFrame:
@@ -204,8 +210,10 @@ def lowest_in_unit(rows: DataFrame, key: str, text: str, value: str, code: str,
     pairs = base.where("value is not null and size(stated) = 1 and code <> ''").select(F.col("stated")[0]["unit"].alias("unit"), "code", F.col("stated")[0]["value"].alias("stated"), "value")
     of = resolve_units(link_units(pairs), rates)
     # The rates are a stated table; the spellings resolved are no more than there are nodes with an anchor or a link.
-    rate = of.join(rates.select(F.upper("currency_code").alias("currency"), "eur_per_unit"), "currency").select("node", "eur_per_unit")
+    rate = of.join(rates.select(F.upper("currency_code").alias("currency"), "eur_per_unit"), "currency").select("node", "power", "eur_per_unit")
     own = base.withColumn("row", F.monotonically_increasing_id())
     wanted = own.select("key", "row", F.explode(F.when(F.size("stated") > 0, F.col("stated")).when(F.col("value").isNotNull() & (F.col("code") != ""), F.array(F.struct(F.col("value").cast("decimal(18,4)").alias("value"), F.col("code").alias("unit"))))).alias("s"))
     amounts = wanted.select("key", "row", F.col("s.value").alias("v"), F.col("s.unit").alias("node")).join(rate, "node")
-    return amounts.groupBy("key", "row").agg(F.min(F.col("v") * F.col("eur_per_unit")).alias("amount")).select("key", "amount")
+    amounts = amounts.withColumn("plain", F.col("v") * F.col("eur_per_unit"))
+    scaled = (F.col("plain").cast("double") * F.pow(F.lit(10.0), "power")).try_cast(amounts.schema["plain"].dataType)
+    return amounts.groupBy("key", "row").agg(F.min(F.when(F.col("power") == 0, F.col("plain")).otherwise(scaled)).alias("amount")).select("key", "amount")

@@ -39,3 +39,18 @@ def test_rows(spark):
     got = sorted((r.key, float(r.amount)) for r in lowest_in_unit(df, "key", "stated", "value", "unit", rates(spark)).collect())
     assert got == [("a", 9.0), ("a", 9.0), ("b", 1.7), ("c", 3.0), ("f", 5.0)]
     assert lowest_in_unit(df.limit(0), "key", "stated", "value", "unit", rates(spark)).count() == 0
+
+
+def test_scales_are_carried_along_the_links(spark):
+    # Cents are known by rows that state them beside a value in euro; further spellings hang on one another, five in a row.
+    pairs = [("центов", "eur", float(i * 100), float(i)) for i in range(1, 6)]
+    for k in range(5):
+        pairs += [(f"u{k}", f"u{k + 1}", float(i), float(i)) for i in range(1, 6)]
+    pairs += [("центов", "u0", float(i * 100), float(i * 100)) for i in range(1, 6)]
+    links = link_units(spark.createDataFrame(pairs, "unit string, code string, stated double, value double"))
+    of = {r.node: (r.currency, r.power) for r in resolve_units(links, rates(spark)).collect()}
+    assert of["eur"] == ("EUR", 0) and [of[n] for n in ("центов", "u0", "u1", "u5")] == [("EUR", -2)] * 4
+    rows = [(f"k{i}", f"{i * 100} центов", Decimal(i), "EUR") for i in range(1, 6)] + [("alone", "250 центов", None, None)]
+    df = spark.createDataFrame(rows, "key string, stated string, value decimal(12,2), unit string")
+    got = {r.key: r.amount for r in lowest_in_unit(df, "key", "stated", "value", "unit", rates(spark)).collect()}
+    assert got == {f"k{i}": Decimal(i) for i in range(1, 6)} | {"alone": Decimal("2.5")}
