@@ -10,8 +10,9 @@ A row repeats an earlier record if it has its key, or if both have a description
 ``least`` (a ratio of matching words of 0.8; texts that share some sentences stay far below).  The earliest record of
 an offer gives the key.  Rows of one batch are compared with one another in the order of their ids.
 
-Copies of a text are one entry of the tables, and a repeat is appended only if it lies more than ``drift`` from the
-offer it repeats, so an offer with a third of all rows has few entries and its rows meet the one accepted record.
+Copies of a text are one entry of the tables.  A repeat no further than ``drift`` from the offer it repeats goes into a
+second table that only rows without a match in the first are looked up in, so an offer with a third of all rows has few
+entries in the first and its rows meet the one accepted record.
 Null and empty texts repeat by key only; null keys repeat by text only.
 """
 
@@ -151,7 +152,7 @@ def _far(a: str, b: str) -> F.Column:
 
 @dataclass
 class History:
-    """What has been accepted: texts (rid, words, fp, own, offer), block tables (rot, front, sketch, rid) and keys (key, offer)."""
+    """What has been accepted: texts (rid, words, fp, own, offer), block tables (rot, front, sketch, rid), those of close repeats apart, and keys (key, offer)."""
 
     spark: SparkSession
     weight: dict[int, float]
@@ -160,6 +161,7 @@ class History:
     drift: float = 0.9
     texts: list[DataFrame] = field(default_factory=list)
     tables: list[DataFrame] = field(default_factory=list)
+    repeats: list[DataFrame] = field(default_factory=list)
     keys: list[DataFrame] = field(default_factory=list)
 
     @staticmethod
@@ -216,7 +218,11 @@ class History:
         open_ = rows.where("own > 2").join(known.where("offer is null").select("id"), "id", "left_semi")
         first = Window.partitionBy("rid").orderBy("id")
         alone = cut(open_.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn"))
-        near = self._candidates(alone, tables, texts.select("rid", "words", "fp"), "rid").join(texts.select("rid", "offer"), "rid")
+        near = self._candidates(alone, tables, texts.select("rid", "words", "fp"), "rid")
+        if self.repeats:
+            near = cut(near)
+            near = near.unionAll(self._candidates(alone.join(near.select("id"), "id", "left_anti"), self._all(self.repeats), texts.select("rid", "words", "fp"), "rid"))
+        near = near.join(texts.select("rid", "offer"), "rid")
         near = cut(near.groupBy("id").agg(F.max_by(F.struct("offer", "ratio"), F.struct("ratio", F.col("offer"))).alias("m")).select("id", "m.offer", "m.ratio"))
         # Within the batch: an earlier row with the same key, the same text or a near text.  Each row meets the first
         # row of its blocks; only rows that are near none of these meet all earlier rows of their blocks, so a large
@@ -259,6 +265,8 @@ class History:
         self.keys.append(cut(keys))
         self.texts.append(fresh.select("rid", "words", "own", "offer", "fp"))
         self.tables.append(cut(blocks(fresh.where("own > 2").join(close, "id", "left_anti"), "rid")))
+        # Read off the written texts when a later batch needs them.
+        self.repeats.append(blocks(fresh.where("own > 2").join(close, "id", "left_semi"), "rid"))
 
 
 def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, run: str | None = None) -> DataFrame:

@@ -50,3 +50,12 @@ def test_distance_follows_the_change():
     a, b, c = fingerprint([words, words[:-3], far], {}, 1.0)
     bits = lambda x, y: int(np.bitwise_count(x ^ y).sum())
     assert bits(a, a) == 0 and bits(a, b) < 200 < bits(a, c)
+
+
+def test_later_batches_meet_close_repeats(spark):
+    # r1 repeats the record closely; r2 agrees to 0.8 with r1 only.
+    near, far = changed(text(8), 4, 9), changed(text(8), 4, 9, 13, 16, 19, 22, 26)
+    batch = [(1, "r1", "n1", f"title 8", near), (2, "r2", "n2", f"title 8", far)]
+    want = {1: f"h8", 2: f"h8"}
+    assert run(spark, False, batch)[0] == want
+    assert run(spark, True, batch)[0] == want
