@@ -13,7 +13,8 @@ an offer gives the key.  Rows of one batch are compared with one another in the
 Copies of a text are one entry of the tables.  A repeat no further than ``drift`` from the offer it repeats goes into a
 second table that only rows without a match in the first are looked up in, so an offer with a third of all rows has few
 entries in the first and its rows meet the one accepted record.
-Null and empty texts repeat by key only; null keys repeat by text only.
+Null and empty descriptions and stand-ins for missing ones repeat by key only; null keys repeat by text only.  Where a
+description has one or two words a title could carry the ratio alone, so the descriptions must agree to ``least`` too.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postweave.llm.canon import fold_words
+from postweave.llm.survivors import STAND_INS
 from postweave.session import cut
 
 WORDS64 = 16  # 64-bit words of a fingerprint
 ROTATIONS = 64  # blocks of 16 bits
 NEAR = 260  # bits of 1024 that may differ
+SHORT = 2  # words of a description that a title outweighs
 NEAR64 = 26  # bits of the first 64 that may differ
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -78,7 +81,7 @@ def fingerprint(words: list[list[int]], weight: dict[int, float], rare: float) -
 
 
 def read_words(src: DataFrame, keep: list[str]) -> DataFrame:
-    """From ``keep``, _title, _text: ``keep``, rid (the text's name, null without words), words, parts (words of title and text)."""
+    """From ``keep``, _title, _text: ``keep``, rid (the text's name, null without words), words (of title and text), own (words of the text, 0 for a stand-in)."""
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
@@ -94,7 +97,7 @@ def read_words(src: DataFrame, keep: list[str]) -> DataFrame:
                         seen[w] = _hash(w)
                 rid.append(hashlib.blake2b(" ".join([*ta, "\n", *tb]).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() if ws else None)
                 words.append([seen[w] for w in ws])
-                own.append(len(tb))
+                own.append(0 if isinstance(b, str) and b.strip().lower() in STAND_INS else len(tb))
             out = p[keep].copy()
             out["rid"], out["words"], out["own"] = rid, words, own
             yield out
@@ -136,13 +139,18 @@ def _agreement(a: list[int], b: list[int], least: float) -> float:
 
 
 def verified(pairs: DataFrame, least: float) -> DataFrame:
-    """From (..., words_a, words_b): the pairs whose words agree, with the ratio."""
+    """From (..., words_a, own_a, words_b, own_b): the pairs whose words agree, with the ratio."""
+
+    def agree(a: list[int], m: int, b: list[int], n: int) -> float:
+        if min(m, n) <= SHORT and _agreement(a[-m:], b[-n:], least) < least:
+            return 0.0
+        return _agreement(a, b, least)
 
     @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_agreement(list(x), list(y), least) for x, y in zip(a, b)], dtype="float64")
+    def ratio(a: pd.Series, m: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([agree(list(x), i, list(y), j) for x, i, y, j in zip(a, m, b, n)], dtype="float64")
 
-    return pairs.withColumn("ratio", ratio("words_a", "words_b")).where(F.col("ratio") >= least).drop("words_a", "words_b")
+    return pairs.withColumn("ratio", ratio("words_a", "own_a", "words_b", "own_b")).where(F.col("ratio") >= least).drop("words_a", "own_a", "words_b", "own_b")
 
 
 def _far(a: str, b: str) -> F.Column:
@@ -188,7 +196,7 @@ class History:
         self = cls(records.sparkSession, weight, float(np.sqrt(np.log(min(n, 1 / share)) + 0.05)), **how)
         texts = cut(add_fingerprints(rows, weight, self.rare))
         self.texts.append(texts)
-        self.tables.append(cut(blocks(texts.where("own > 2"), "rid")))
+        self.tables.append(cut(blocks(texts.where("own > 0"), "rid")))
         # A key stands for the offer of the earliest record with it; a copy under another key stays its own record.
         self.keys.append(cut(read.where("key is not null").select("key", F.col("key").alias("offer")).distinct()))
         return self
@@ -200,8 +208,8 @@ class History:
         if name == "id2":
             hit = hit.where("id2 < id")
         hit = hit.select("id", name).distinct()
-        a = new.select("id", F.col("words").alias("words_a"), F.col("fp").alias("fp_a"))
-        b = texts.select(name, F.col("words").alias("words_b"), F.col("fp").alias("fp_b"))
+        a = new.select("id", F.col("words").alias("words_a"), F.col("own").alias("own_a"), F.col("fp").alias("fp_a"))
+        b = texts.select(name, F.col("words").alias("words_b"), F.col("own").alias("own_b"), F.col("fp").alias("fp_b"))
         pairs = hit.join(b, name).join(a, "id").where(_far("fp_a", "fp_b") <= NEAR)
         return verified(pairs.drop("fp_a", "fp_b"), self.least)
 
@@ -212,31 +220,31 @@ class History:
         rows = cut(add_fingerprints(read, self.weight, self.rare))
         keys, texts, tables = self._all(self.keys), self._all(self.texts), self._all(self.tables)
         known = rows.select("id", "key", "rid", "own").join(keys.select("key", F.col("offer").alias("by_key")), "key", "left")
-        known = known.join(texts.where("own > 2").select("rid", F.col("offer").alias("by_text")), "rid", "left")
+        known = known.join(texts.where("own > 0").select("rid", F.col("offer").alias("by_text")), "rid", "left")
         known = cut(known.withColumn("offer", F.coalesce("by_key", "by_text")))
         # One row per new text: the earliest.
-        open_ = rows.where("own > 2").join(known.where("offer is null").select("id"), "id", "left_semi")
+        open_ = rows.where("own > 0").join(known.where("offer is null").select("id"), "id", "left_semi")
         first = Window.partitionBy("rid").orderBy("id")
         alone = cut(open_.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn"))
-        near = self._candidates(alone, tables, texts.select("rid", "words", "fp"), "rid")
+        near = self._candidates(alone, tables, texts.select("rid", "words", "own", "fp"), "rid")
         if self.repeats:
             near = cut(near)
-            near = near.unionAll(self._candidates(alone.join(near.select("id"), "id", "left_anti"), self._all(self.repeats), texts.select("rid", "words", "fp"), "rid"))
+            near = near.unionAll(self._candidates(alone.join(near.select("id"), "id", "left_anti"), self._all(self.repeats), texts.select("rid", "words", "own", "fp"), "rid"))
         near = near.join(texts.select("rid", "offer"), "rid")
         near = cut(near.groupBy("id").agg(F.max_by(F.struct("offer", "ratio"), F.struct("ratio", F.col("offer"))).alias("m")).select("id", "m.offer", "m.ratio"))
         # Within the batch: an earlier row with the same key, the same text or a near text.  Each row meets the first
         # row of its blocks; only rows that are near none of these meet all earlier rows of their blocks, so a large
         # group of near texts costs a star and not all pairs.
         left = cut(alone.join(near, "id", "left_anti"))
-        distinct_rows = rows.where("own > 2").withColumn("rn", F.row_number().over(first)).where("rn = 1")
-        peers = distinct_rows.select(F.col("id").alias("id2"), "words", "fp")
+        distinct_rows = rows.where("own > 0").withColumn("rn", F.row_number().over(first)).where("rn = 1")
+        peers = distinct_rows.select(F.col("id").alias("id2"), "words", "own", "fp")
         table = cut(blocks(distinct_rows.select(F.col("id").alias("id2"), "fp"), "id2"))
         heads = table.groupBy("rot", "front").agg(F.min(F.struct("id2", "sketch")).alias("m")).select("rot", "front", "m.sketch", "m.id2")
         star = cut(self._candidates(left, heads, peers, "id2"))
         rest = self._candidates(left.join(star.select("id"), "id", "left_anti"), table, peers, "id2")
         inner = cut(star.unionAll(rest).groupBy("id").agg(F.min("id2").alias("p"), F.max("ratio").alias("ratio")))
         by_key = known.where("key is not null").groupBy("key").agg(F.min("id").alias("pk"))
-        by_rid = rows.where("own > 2").groupBy("rid").agg(F.min("id").alias("pr"))
+        by_rid = rows.where("own > 0").groupBy("rid").agg(F.min("id").alias("pr"))
         up = known.join(by_key, "key", "left").join(by_rid, "rid", "left").join(inner.select("id", F.col("p").alias("pn")), "id", "left")
         up = up.join(near.select("id", F.col("offer").alias("by_near")), "id", "left")
         # A parent is an earlier row; the key comes before the text.
@@ -264,9 +272,9 @@ class History:
         close = near.select("id", "ratio").unionAll(inner.select("id", "ratio")).where(F.col("ratio") >= self.drift).select("id").distinct()
         self.keys.append(cut(keys))
         self.texts.append(fresh.select("rid", "words", "own", "offer", "fp"))
-        self.tables.append(cut(blocks(fresh.where("own > 2").join(close, "id", "left_anti"), "rid")))
+        self.tables.append(cut(blocks(fresh.where("own > 0").join(close, "id", "left_anti"), "rid")))
         # Read off the written texts when a later batch needs them.
-        self.repeats.append(blocks(fresh.where("own > 2").join(close, "id", "left_semi"), "rid"))
+        self.repeats.append(blocks(fresh.where("own > 0").join(close, "id", "left_semi"), "rid"))
 
 
 def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, run: str | None = None) -> DataFrame:

@@ -59,3 +59,13 @@ def test_later_batches_meet_close_repeats(spark):
     want = {1: f"h8", 2: f"h8"}
     assert run(spark, False, batch)[0] == want
     assert run(spark, True, batch)[0] == want
+
+
+def test_short_descriptions_count_and_stand_ins_do_not(spark):
+    title = " ".join(text(300).split()[:12])
+    batch = [
+        (1, "r1", "s1", title, "deep tissue"), (2, "r1", "s2", title, "Deep  tissue!"), (3, "r1", "s3", title, "for children"),
+        (5, "r1", "s5", title, "TBD"), (6, "r1", "s6", title, "tbd"), (7, "r1", "s7", title, "bez naziva"), (8, "r1", "s8", title, "Без названия"),
+    ]
+    for by_run in (False, True):
+        assert run(spark, by_run, batch)[0] == {2: "s1"}
