@@ -11,8 +11,8 @@ shape.  Each distinct cell counts once, and a value known from one cell only get
 otherwise whole cells would be learned as values.
 
 Defined results: null, empty and delimiter-only cells have no value; repeated values stay; an empty place gets no
-position; positions count from 1.  A run of more than ``span`` pieces can be a value only as the whole stretch
-between two certain separators.
+position; positions count from 1.  A run of more than ``SPAN`` pieces can be a value if it is the whole stretch between two
+certain separators, or all that lies between neighbouring marks: marks of any kind, of any but one, or of one kind.
 """
 
 from __future__ import annotations
@@ -103,9 +103,23 @@ class Cell:
                 for j in range(i, min(hi, i + SPAN - 1) + 1):
                     yield i, j
             if hi - lo >= SPAN:
-                yield lo, hi
+                yield from self._long(lo, hi)
             lo = hi + 1
 
+    def _long(self, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """The runs of more than ``SPAN`` pieces of a stretch; per set of kinds each piece is in one run, so they stay linear."""
+        kinds = sorted({self.gaps[k] for k in range(lo, hi)} - {" ", "none"})
+        sets = {frozenset(), frozenset(kinds)} | {frozenset({x}) for x in kinds} | {frozenset(kinds) - {x} for x in kinds}
+        runs = set()
+        for cuts in sets:
+            i = lo
+            for j in range(lo, hi + 1):
+                if j == hi or self.gaps[j] in cuts:
+                    if j - i >= SPAN:
+                        runs.add((i, j))
+                    i = j + 1
+        yield from sorted(runs)
+
 
 _DIGIT = re.compile(r"\d")
 _SPACE = re.compile(r"\s+")

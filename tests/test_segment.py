@@ -50,3 +50,14 @@ def test_rows_nulls_repeats_and_clashing_columns(spark):
 
 def test_empty(spark):
     assert split_values(spark.createDataFrame([], "field string, key string, cell string").where(F.lit(True))).count() == 0
+
+
+def test_long_values_between_uncertain_separators():
+    from postweave.operators.segment import GAP_PRIOR, Cell, Lattice
+
+    long = " ".join(f"word{c}" for c in "abcdefghijklm")
+    slashed = long.replace(" wordg", "/wordg")
+    assert Lattice(Cell(f"haircut, {long}, nails"), {}, GAP_PRIOR).best() == ["haircut", long, "nails"]
+    assert Lattice(Cell(f"haircut, {slashed}; nails"), {slashed: -2.0}, GAP_PRIOR).best() == ["haircut", slashed, "nails"]
+    cell = Cell(", ".join([long] * 40))
+    assert len(list(cell.spans())) <= 13 * len(cell.pieces)
