@@ -103,7 +103,9 @@ class Detector:
 
         one = alt(*SPELLED)
         self.spelled = re.compile(rf"(?<!\w)(?:(?:{one}|\d)[ ,.-]{{1,2}}){{6,}}(?:{one}|\d+)(?!\w)")
+        self.word = re.compile(r"\w+")
         self.spelled_one = re.compile(rf"(?<!\w)(?:{one})(?!\w)")
+        self.spelled_part = re.compile(rf"(?<!\w)(?:{one})(?!\w)|[ ,.-]{{1,2}}")
         self.digit_of = {sk(f): d for w, d in SPELLED.items() for f in (w, w.capitalize(), w.upper())}
         self.digit_words = frozenset(self.digit_of)
         at = alt("at", "собака", "собачка", "et", "majmun", "@", "эт")
@@ -182,10 +184,11 @@ class Detector:
                 out.append(to)
                 at.append(i)
             m = Mapped("".join(out), at, src)
-        if len(self.digit_words.intersection(m.text.replace(",", " ").split())) > 1:
+        if not self.digit_words.isdisjoint(self.word.findall(m.text)):
             for hit in reversed(list(self.spelled.finditer(m.text))):
                 base = hit.start()
-                parts = [(base + w.start(), base + w.end(), self.digit_of[w.group()]) for w in self.spelled_one.finditer(hit.group())]
+                # The marks between the digits go, so a number is found whatever they are.
+                parts = [(base + w.start(), base + w.end(), self.digit_of.get(w.group(), "")) for w in self.spelled_part.finditer(hit.group())]
                 m = m.rewrite(parts)
         if "(" in m.text or "[" in m.text or "{" in m.text or "<" in m.text:
             m = m.rewrite([(h.start(), h.end(), "@") for h in self.at.finditer(m.text)])

@@ -42,3 +42,10 @@ def test_rows(spark):
     assert got == [("a", "phone", 0, 13), ("d", "phone", 120_000, 120_013)]
     assert [r[0] for r in df.select(redacted(df.text)).take(3)] == ["[PHONE]", None, ""]
     assert find_items(df.limit(0), "pii_type", "text").count() == 0
+
+
+@pytest.mark.parametrize("said", ["ноль-шесть-четыре-один-два-три-четыре-пять-шесть", "ноль. шесть. четыре. один. два. три. четыре. пять. шесть", "0 шесть шесть шесть шесть шесть шесть шесть шесть", "0, 6, 4, шесть, 2, 3, 4, 5, 6", "плюс-три-восемь-один-шесть-четыре-один-два-три-четыре-пять-шесть"])
+def test_spelled_digits_with_any_marks(said):
+    text = f"Запись: {said}! Ждём"
+    assert [(k, text[i:j]) for k, i, j in detector().items(text)] == [("phone", said)]
+    assert detector().items("раз, два, три, один, два, три, один, два, три") == []
