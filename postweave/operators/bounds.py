@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postweave.functions import text as T
-from postweave.operators.posts import parse_instant
+from postweave.operators.posts import normalize_target, parse_instant
 
 
 def freeze(posts: DataFrame, source: str = "chat_id") -> DataFrame:
@@ -15,10 +15,29 @@ def freeze(posts: DataFrame, source: str = "chat_id") -> DataFrame:
     return got.withColumn("stop_reason", F.when(F.col("posts") > 0, "freeze_lower_message_id_reached").otherwise("no_matching_posts"))
 
 
-def replay(posts: DataFrame, bounds: DataFrame, source: str = "chat_id") -> DataFrame:
-    """The posts within the frozen bounds of their source; newer ones and unknown sources go."""
-    b = bounds.select(F.col("source_key").alias(source), "upper_id", "lower_id")
-    return posts.join(b, source).where(F.col("message_id").between(F.col("lower_id"), F.col("upper_id"))).drop("upper_id", "lower_id")
+def replay(posts: DataFrame, bounds: DataFrame, source: str = "chat_id", keys: str | None = None) -> DataFrame:
+    """The posts within the frozen bounds of their source; newer ones and unknown sources go.
+
+    ``bounds`` has source_key and upper_id and may have cutoff_at, oldest_at, lower_id and lookup_keys.  The time named
+    by ``lower_bound`` and the lower id hold together, posts without a readable time are kept; an upper id alone is an
+    error.  With ``keys``, an array column of posts, a source is the first whose lookup keys overlap them.
+    """
+    have = lambda c, kind: F.col(c).cast(kind) if c in bounds.columns else F.lit(None).cast(kind)
+    ends = bounds.select("source_key", "upper_id", have("lower_id", "bigint").alias("lower_id"), have("cutoff_at", "timestamp").alias("cutoff_at"), have("oldest_at", "timestamp").alias("oldest_at"))
+    ends = ends.withColumn("_end", lower_bound())
+    ends = ends.select(F.col("source_key").alias("_source"), F.struct("upper_id", "lower_id", "_end", F.when(F.col("_end") == "cutoff", F.col("cutoff_at")).when(F.col("_end") == "oldest", F.col("oldest_at")).alias("since")).alias("_b"))
+    if keys is None:
+        met = posts.join(ends, F.col(source) == F.col("_source"))
+    else:
+        # Overlap of key lists as equality of their keys, once per distinct list.
+        of = bounds.select(F.col("source_key").alias("_source"), F.explode(F.array_distinct(F.transform("lookup_keys", normalize_target))).alias("_key"))
+        lists = posts.select(F.col(keys).alias("_keys")).distinct().withColumn("_key", F.explode(F.array_distinct(F.transform("_keys", normalize_target))))
+        first = lists.where("_key <> ''").join(of, "_key").groupBy("_keys").agg(F.min("_source").alias("_source")).join(ends, "_source")
+        met = posts.join(first, F.col(keys) == F.col("_keys")).drop("_keys")
+    b, at = F.col("_b"), parse_instant(F.col("posted_at_utc"))
+    ok = (F.col("message_id") <= b["upper_id"]) & F.coalesce(F.col("message_id") >= b["lower_id"], b["lower_id"].isNull()) & F.coalesce(at >= b["since"], F.lit(True))
+    ok = F.when(b["_end"] == "missing_lower_bound", F.raise_error(F.lit("missing_lower_bound: an upper id without a lower bound")).cast("boolean")).otherwise(ok)
+    return met.where(ok).drop("_source", "_b")
 
 
 def newer_than(posts: DataFrame, bounds: DataFrame, source: str = "chat_id") -> DataFrame:

@@ -37,13 +37,16 @@ def structure(posts: DataFrame) -> DataFrame:
     raw, norm = F.col("text_raw"), F.col("text_norm")
     base = base.withColumns({"matches": C.contact_matches(raw, norm), "hash": T.text_hash(raw, norm), "prices": C.price_texts(raw, norm), "city": C.city_signal(raw, norm=norm), "hints": C.category_hints(raw, norm=norm)})
     channel = T.first_filled(F.lower(F.col("_telegram_target_resolved")), F.lower(F.col("chat_title")), F.col("chat_id").cast("string"))
+    clean = lambda c: F.trim(T.or_empty(F.col(c)))
+    phone = T.normalize_phone(F.col("sender_phone")) if "sender_phone" in posts.columns else F.lit("")
+    author = F.struct("sender_id", "sender_kind", "sender_title", clean("sender_username").alias("sender_username"), clean("sender_profile_url").alias("sender_profile_url"), phone.alias("sender_phone"), clean("post_author").alias("post_author"))
     flags = F.array_compact(F.array(F.when(F.col("has_media"), "has_media"), F.when(F.size("matches") > 0, "has_contacts"), F.when(F.size("hints") > 0, "has_role_hints"), F.when(F.col("city.city").isNotNull(), "has_city"), F.when(F.size("prices") > 0, "has_price")))
     return base.select(
         "raw_post_id", channel.alias("source_channel_key"), "posted_at_utc", "_run_id", "text_raw", "text_norm", F.col("hash").alias("text_hash"),
         F.struct(*[C.values_of(F.col("matches"), k).alias(k) for k in C.KINDS]).alias("contacts"), "matches", "hints", "city",
         "prices", C.currency_hints(F.col("prices")).alias("currencies"),
         C.identity_signals(F.col("matches"), F.col("sender_username"), F.col("sender_profile_url"), F.col("hash")).alias("identity"),
-        flags.alias("flags"), T.tokens(raw, norm=norm).alias("tokens"),
+        flags.alias("flags"), T.tokens(raw, norm=norm).alias("tokens"), author.alias("author"),
     )
 
 

@@ -361,7 +361,8 @@ def replayed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = B.freeze(posts.where(F.col("_run_id") < "fetch-20260901"))
     n = posts.join(bounds.select(F.col("source_key").alias("chat_id")), "chat_id", "left_semi").groupBy("chat_id").agg(F.count("*").alias("posts"))
     new = B.newer_than(posts, bounds).groupBy("chat_id").agg(F.count("*").alias("newer"))
-    old = B.replay(posts, bounds).groupBy("chat_id").agg(F.count("*").alias("replayed"))
+    # The SQL bounds by ids only.
+    old = B.replay(posts, bounds.select("source_key", "upper_id", "lower_id")).groupBy("chat_id").agg(F.count("*").alias("replayed"))
     zero = F.lit(0).cast("bigint")
     return n.join(new, "chat_id", "left").join(old, "chat_id", "left").select("chat_id", "posts", F.coalesce("newer", zero).alias("newer"), F.coalesce("replayed", zero).alias("replayed"))
 

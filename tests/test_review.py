@@ -57,3 +57,24 @@ def test_cli(spark, capsys):
     assert '"unknown_query"' in capsys.readouterr().out
     assert cli.main(["offer_constraints", "/root/testdata/sf0.001"]) == 0
     assert '"rows": 7' in capsys.readouterr().out
+
+
+def test_replay_by_keys_and_times(spark):
+    import pytest
+
+    posts = spark.createDataFrame([("a", i, f"2026-01-{i:02}T00:00:00Z", ["https://t.me/s/Chan/7"]) for i in range(1, 7)] + [("a", 4, "?", ["@chan"]), ("b", 4, "2026-01-04T00:00:00Z", ["other"])], "chat_id string, message_id long, posted_at_utc string, keys array<string>")
+    kinds = "source_key string, upper_id long, lower_id long, cutoff_at timestamp, oldest_at timestamp, lookup_keys array<string>"
+    got = lambda lo, cut, old, **how: sorted((r.message_id, r.posted_at_utc[8:10]) for r in B.replay(posts, spark.createDataFrame([("a", 5, lo, None, None, ["CHAN"])], kinds).withColumns({"cutoff_at": F.lit(cut).cast("timestamp"), "oldest_at": F.lit(old).cast("timestamp")}), **how).collect())
+    assert got(2, None, None) == [(2, "02"), (3, "03"), (4, ""), (4, "04"), (5, "05")]
+    assert got(2, "2026-01-04", "2026-01-01") == got(None, "2026-01-04", None) == got(None, None, "2026-01-04", keys="keys") == [(4, ""), (4, "04"), (5, "05")]
+    with pytest.raises(Exception, match="missing_lower_bound"):
+        got(None, None, None)
+
+
+def test_author_of_a_structured_post(spark):
+    from postweave.operators import posts as P
+    from postweave.session import table
+
+    a = P.structure(table(spark, "/root/testdata/sf0.001", "raw_posts")).select("author.*")
+    assert a.columns == ["sender_id", "sender_kind", "sender_title", "sender_username", "sender_profile_url", "sender_phone", "post_author"]
+    assert a.where("sender_username is null or post_author is null").count() == 0 and a.where("sender_id is not null").count() > 0
