@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from postweave.llm.canon import _fold, transducer
-from postweave.llm.survivors import STAND_INS
+
+
+# Written out here on their own, so that a slip in the operator's list shows.
+_MISSING = ("-", "—", "–", ".", "..", "?", "??", "???", "n/a", "na", "null", "none", "nan", "nil", "tbd", "todo", "unknown", "untitled", "no title", "без названия", "нет", "нет данных", "неизвестно", "bez naziva", "nepoznato", "nema")
 
 
 def _quoted(s: str) -> str:
@@ -13,12 +16,12 @@ def _quoted(s: str) -> str:
 def _best(table: str, key: str, group: str, field: str) -> str:
     """The usable value that is longest, newest and most trusted, per group."""
     nxt = "[\\x{80}-\\x{bf}\\x{20ac}\\x{201a}\\x{192}\\x{201e}\\x{2026}\\x{2020}\\x{2021}\\x{2c6}\\x{2030}\\x{160}\\x{2039}\\x{152}\\x{17d}\\x{2018}-\\x{201d}\\x{2022}\\x{2013}\\x{2014}\\x{2dc}\\x{2122}\\x{161}\\x{203a}\\x{153}\\x{17e}\\x{178}]"
-    garbled = f"[\\x{{c2}}-\\x{{df}}]{nxt}|[\\x{{e0}}-\\x{{ef}}]{nxt}{nxt}|[\\x{{80}}-\\x{{9f}}]|\\x{{fffd}}|\\?{{3,}}|[ÐÑÂÃÄÅ]|(^|[^\\p{{L}}])â([^\\p{{L}}]|$)"
+    garbled = f"[\\x{{c2}}-\\x{{df}}]{nxt}|[\\x{{e0}}-\\x{{ef}}]{nxt}{nxt}|[\\x{{80}}-\\x{{9f}}]|\\x{{fffd}}|\\p{{Ll}}[ÐÑÂÃÄÅ]|(^|[^\\p{{L}}])Ä([aeo]|u([^ßg]|$))|(^|[^\\p{{L}}])â([^\\p{{L}}]|$)"
     cut = "(…|\\.\\.\\.|[\\[(](…|\\.\\.\\.)[\\])])\\s*$"
     trust = "CASE dedupe_confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END"
     return f"""SELECT {group} AS group_key, '{field}' AS field_name, arg_min({key}, (-length(v), -coalesce(epoch_us(last_seen_at_utc), -4611686018427387904), -({trust}), {key})) AS record_key
     FROM (SELECT *, trim(coalesce({field}, '')) AS v FROM {table} WHERE trim(coalesce({group}, '')) <> '')
-    WHERE v <> '' AND lower(v) NOT IN ({', '.join(map(_quoted, STAND_INS))}) AND regexp_matches(v, '[\\p{{L}}\\p{{N}}]{{2}}') AND NOT regexp_matches(v, '{cut}') AND NOT regexp_matches(v, '{garbled}') GROUP BY 1, 2"""
+    WHERE v <> '' AND lower(v) NOT IN ({', '.join(map(_quoted, _MISSING))}) AND regexp_matches(v, '[\\p{{L}}\\p{{N}}]{{2}}') AND NOT regexp_matches(v, '{cut}') AND NOT regexp_matches(v, '{garbled}') GROUP BY 1, 2"""
 
 
 def best_fields() -> str:

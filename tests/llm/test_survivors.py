@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from postweave.llm.survivors import Bundle, choose, merged_records, survivors, usable
 
-BUNDLES = (Bundle("title", "title", ("title",), ("category",)), Bundle("category", "category", ("category", "record_key"), ("category",)))
+BUNDLES = (Bundle("title", "title", ("title",), ("category",), leading=True), Bundle("category", "category", ("category", "record_key"), ("category",)))
 
 
 @pytest.mark.parametrize("value,ok", [("Покраска стен", True), ("без названия", False), ("???", False), ("-", False), ("  ", False), (None, False), ("Flat mov…", False), ("abc [...]", False), ("MuÅ¡ko Å¡iÅ¡anje", False), ("Gel lak â Faji", False), ("ÐÐ°", False), ("Šišanje pasa — ćao", True), ("x�y zz", False), ("N/A", False)])
@@ -16,23 +16,65 @@ def test_usable(spark, value, ok):
     assert spark.createDataFrame([(value,)], "v string").select(usable(F.col("v"))).first()[0] is ok
 
 
+@pytest.mark.parametrize("value", ["Äpfel und Birnen", "Åse Hansen", "El Niño Ñandú", "Ångström lab", "Why??? Ask us today", "Äußere Wände", "Ärger"])
+def test_other_languages_are_usable(spark, value):
+    assert spark.createDataFrame([(value,)], "v string").select(usable(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize("value", ["KreÄenje stanova", "Äasovi matematike", "Äuvanje dece", "SveÄane frizure"])
+def test_lost_bytes_are_garbled(spark, value):
+    assert not spark.createDataFrame([(value,)], "v string").select(usable(F.col("v"))).first()[0]
+
+
+def worth(pick, opts, shares, weights):
+    fixed, total = {}, 0.0
+    for k, i in enumerate(pick):
+        if i is not None:
+            total += weights[k] * opts[k][i][1]
+            for a, v in zip(shares[k], opts[k][i][0]):
+                if fixed.setdefault(a, v) != v:
+                    return None
+    return sum(i is not None for i in pick), round(total, 6)
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.lists(st.tuples(st.sampled_from("xyz"), st.sampled_from("uv")), max_size=4), min_size=1, max_size=4))
+@given(st.lists(st.lists(st.tuples(st.sampled_from("xyz"), st.sampled_from("uv"), st.integers(0, 9)), max_size=4), min_size=1, max_size=4))
 def test_branch_and_bound_is_the_best(options):
     shares = [("a", "b") if k % 2 == 0 else ("a",) for k in range(len(options))]
-    opts = [[(v[: len(shares[k])], ()) for v in one] for k, one in enumerate(options)]
-
-    def loss(pick):
-        fixed = {}
-        for k, i in enumerate(pick):
-            if i is not None:
-                for a, v in zip(shares[k], opts[k][i][0]):
-                    if fixed.setdefault(a, v) != v:
-                        return None
-        return tuple(len(opts[k]) if i is None else i for k, i in enumerate(pick))
-
-    best = min(x for p in itertools.product(*[[*range(len(o)), None] for o in opts]) if (x := loss(p)) is not None)
-    assert loss(choose(opts, shares)) == best
+    weights = [1.0 + k / 2 for k in range(len(options))]
+    opts = [sorted(((v[: len(shares[k])], float(v[2])) for v in one), key=lambda o: -o[1]) for k, one in enumerate(options)]
+    best = max(x for p in itertools.product(*[[*range(len(o)), None] for o in opts]) if (x := worth(p, opts, shares, weights)) is not None)
+    assert worth(choose(opts, shares, weights), opts, shares, weights) == best
+
+
+def greedy(opts, shares):
+    pick, fixed = [], {}
+    for one, names in zip(opts, shares):
+        i = next((i for i, (v, _) in enumerate(one) if all(fixed.get(a, x) == x for a, x in zip(names, v))), None)
+        pick.append(i)
+        if i is not None:
+            fixed |= dict(zip(names, one[i][0]))
+    return pick
+
+
+def test_greedy_loses():
+    shares, weights = [("c",)] * 3, [1.0, 1.0, 1.0]
+    opts = [[(("x",), 5.0), (("y",), 4.9)], [(("y",), 3.0), (("x",), 1.0)], [(("y",), 2.0), (("x",), 1.0)]]
+    assert greedy(opts, shares) == [0, 1, 1] and choose(opts, shares, weights) == [1, 0, 0]
+    # Filling a bundle comes before the sum.
+    assert choose([[(("x",), 9.0), (("y",), 1.0)], [(("y",), 1.0)]], shares[:2], weights) == [1, 0]
+    assert choose([], [], []) == [] and choose([[], []], shares[:2], weights) == [None, None]
+
+
+def test_a_title_that_dominates_is_never_traded(spark):
+    day = lambda n: datetime.datetime(2026, 1, n)
+    rows = [("g", "r1", "Покраска стен, Белград", "repair", day(3), "high"), ("g", "r2", "Красим стены", "painting of walls", day(2), "low"), ("g", "r3", "", "painting of walls", day(9), "high"), ("g", "r4", None, "a longer name of paint", day(9), "high")]
+    cut_off = ("g", "r5", "Покраска стен, Бел", "paint", day(12), "high")
+    df = lambda more: spark.createDataFrame(rows + more, "grp string, record_key string, title string, category string, seen timestamp, trust string")
+    of = lambda b, more=[]: {r.bundle: r.record_key for r in survivors(df(more), "grp", "record_key", "seen", "trust", b).collect()}
+    assert of(BUNDLES, [cut_off]) == of(BUNDLES) == {"title": "r1", "category": "r1"}
+    traded = (Bundle("title", "title", ("title",), ("category",)), Bundle("category", "category", ("category",), ("category",), weight=5.0))
+    assert of(traded) == {"title": "r2", "category": "r3"}
 
 
 def test_groups(spark):
