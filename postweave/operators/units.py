@@ -1,18 +1,21 @@
 """Problem 7: quantities recorded in different units and scales.
 
 Method: every spelling of a unit is a node of a source graph: unit words found in free text and the codes of the
-structured column.  Records that state the same quantity twice (in text and in the structured fields) link two
-nodes; the robust scale of a link is the median of the log ratios, its offset the median of what the scale leaves,
-and both are snapped to known conversions (powers of ten that come from cents or thousands, no offset).  Nodes whose
-unit is known are anchors; the others take the unit of the best supported link, and the product of the scales on the
-way to the anchor, round by round until no node is added.
+structured column.  Statements of one entity (its text, its structured fields, and the same of the other records of
+its duplicate group) are linked: per entity each unit's median meets that of the entity's best known unit, so an
+entity of any size gives a star and not all pairs.  The robust scale of a link is the most frequent log ratio of its
+entities; what needs an offset has no common ratio and is no link, as no conversion of money has one.  The codes of
+the rate table are anchors; spellings of the known list are anchors only where no link reaches them (too few
+records).  A node linked to a resolved one snaps to a known conversion: a power of ten of the neighbour's currency,
+else another currency of the rate table (whole, in hundredths or in thousands).  Currency and power are carried from
+link to link until no node is added, and both are applied to every amount.
 
 The text then holds: the lowest of its amounts in the unit of its word.  Where the text states no amount the
 structured value holds in the unit of its code.
 
-Defined results: null or empty texts state nothing; times, measures and percentages are no amounts; an amount whose
-unit is unknown (without an anchor or a way to one over links of three records at least), or a structured value
-without a known code, gives no row; repeated rows give repeated rows.
+Defined results: null or empty texts state nothing; times, measures and percentages are no amounts, nor is a number
+of 10^20 and more; an amount whose unit is unknown (no anchor, and no link that ``least`` entities support), or a
+structured value without a known code, gives no row; repeated rows give repeated rows; null entities stand alone.
 """
 
 from __future__ import annotations
@@ -153,67 +156,108 @@ def unit_node(col: Column) -> Column:
 def text_amounts(col: Column) -> Column:
     """array<struct<value, unit>> of the amounts of a text."""
 
-    @F.pandas_udf("array<struct<value:decimal(18,4),unit:string>>")
+    @F.pandas_udf("array<struct<value:decimal(24,4),unit:string>>")
     def run(s: pd.Series) -> pd.Series:
         r = reader()
         q = Decimal("0.0001")
-        most = Decimal(10) ** 13
+        most = Decimal(10) ** 20
         return s.map(lambda t: [{"value": v.quantize(q, ROUND_HALF_UP), "unit": u} for v, u in r.amounts(t) if v < most] if isinstance(t, str) else [])
 
     return run(col)
 
 
+MOST_RATES = 10_000  # a table of currencies is no larger; beyond that the rates given are something else
+NEAR_LOG = 0.01  # how far a scale may be from a known conversion, in powers of ten
+# Powers of ten in which another currency may be stated (hundredths, whole, thousands).
+POWERS = (0, -2, 3)
+
+
+def anchor_nodes(codes: list[str], known: dict[str, tuple[str, ...]]) -> dict[str, str]:
+    """Spelling -> currency: the known spellings of the codes of the rate table, and the codes in small letters."""
+    has = {c.upper() for c in codes}
+    return {s: c for c, ss in known.items() if c in has for s in ss} | {c.lower(): c for c in sorted(has)}
+
+
+def entity_links(statements: DataFrame, anchors: dict[str, str]) -> DataFrame:
+    """From (entity, unit, value): (unit, code, stated, value), each unit of an entity beside the entity's best known unit."""
+    own = statements.where("entity is not null and unit <> '' and value > 0").groupBy("entity", "unit").agg(F.percentile_approx(F.col("value").cast("double"), 0.5, 1000).alias("value"))
+    often = own.groupBy("unit").agg(F.count("*").alias("n"))
+    own = own.join(often, "unit")
+    rank = F.struct(F.col("unit").isin(*anchors), "n", "unit", "value")
+    hub = own.groupBy("entity").agg(F.max(rank).alias("hub"), F.count("*").alias("units")).where("units > 1").select("entity", F.col("hub.unit").alias("code"), F.col("hub.value").alias("of_code"))
+    return own.join(hub, "entity").where("unit <> code").select("unit", "code", F.col("value").alias("stated"), F.col("of_code").alias("value"))
+
+
 def link_units(pairs: DataFrame, least: int = 3) -> DataFrame:
-    """From (unit, code, stated, value): the links (unit, code, n, scale, offset) with snapped scale and offset."""
-    pos = pairs.where("stated > 0 and value > 0 and unit <> '' and code <> ''")
-    robust = pos.groupBy("unit", "code").agg(
-        F.count("*").alias("n"), F.percentile_approx(F.log10(F.col("value") / F.col("stated")), 0.5, 1000).alias("lg"),
-        F.percentile_approx(F.col("value").cast("double") - F.col("stated").cast("double"), 0.5, 1000).alias("shift"),
-        F.percentile_approx(F.col("stated").cast("double"), 0.5, 1000).alias("typical"),
-    ).where(F.col("n") >= least)
-    snapped = F.pow(F.lit(10.0), F.round("lg"))
-    # No known conversion of money has an offset; a link that would need one is none.
-    clean = (F.abs(F.col("lg") - F.round("lg")) < 0.02) & (F.abs(F.col("shift") - (snapped - 1) * F.col("typical")) <= 0.05 * snapped * F.col("typical") + 1)
-    return robust.where(clean).select("unit", "code", "n", snapped.alias("scale"), F.lit(0.0).alias("offset"))
-
-
-def resolve_units(links: DataFrame, codes: DataFrame) -> DataFrame:
-    """(node, currency, power) of every spelling reachable from an anchor: one of it is 10^power of the currency.
-
-    Anchors are the codes of the rate table in small letters and the known spellings; any other node takes the
-    currency with the most support among its resolved neighbours and, within that, the power with the most.
+    """From (unit, code, stated, value): the links (unit, code, n, lg): one of the unit is 10^lg of the code.
+
+    The scale is the most frequent log ratio of the entities (a column may mix whole amounts, hundredths and
+    thousands, so that their median may be none of them), told by at least ``least`` entities and a third of all; the
+    scale of fewer is no estimate, so such a link is none.  Amounts that differ by an offset have no common ratio.
+    """
+    pos = pairs.where("stated > 0 and value > 0 and unit <> '' and code <> ''").withColumn("lg", F.log10(F.col("value").cast("double") / F.col("stated").cast("double")))
+    told = pos.groupBy("unit", "code", F.round(F.col("lg") / NEAR_LOG).alias("bin")).agg(F.count("*").alias("n"), F.sum("lg").alias("lg"))
+    top = told.groupBy("unit", "code").agg(F.max(F.struct("n", -F.abs("bin"), "bin", "lg")).alias("m"), F.sum("n").alias("all"))
+    return top.where((F.col("m.n") >= least) & (3 * F.col("m.n") >= F.col("all"))).select("unit", "code", F.col("m.n").alias("n"), (F.col("m.lg") / F.col("m.n")).alias("lg"))
+
+
+def resolve_units(links: DataFrame, rates: DataFrame, known: dict[str, tuple[str, ...]] = KNOWN_UNITS) -> DataFrame:
+    """(node, currency, power, eur_per_unit) of every spelling reachable from an anchor: one of it is 10^power of the currency.
+
+    A node takes the currency with the most support among its resolved neighbours and, within that, the power with the most.
     """
     spark = links.sparkSession
-    known = spark.createDataFrame([(s, c) for c, ss in KNOWN_UNITS.items() for s in ss], "node string, currency string")
-    has = codes.select(F.upper("currency_code").alias("currency"))
-    anchors = known.join(has, "currency", "left_semi").select("node", "currency").union(has.select(F.lower("currency"), "currency")).distinct()
-    step = F.round(F.log10("scale")).cast("int")
-    edges = links.select(F.col("unit").alias("a"), F.col("code").alias("b"), step.alias("step"), "n").union(links.select("code", "unit", -step, "n")).groupBy("a", "b", "step").agg(F.sum("n").alias("n"))
+    rate = [(r[0].upper(), r[1]) for r in rates.select("currency_code", "eur_per_unit").where("currency_code is not null and eur_per_unit > 0").limit(MOST_RATES + 1).collect()]
+    if len(rate) > MOST_RATES:
+        raise ValueError(f"more than {MOST_RATES} rates")
+    codes = [c for c, _ in rate]
+    nodes = spark.createDataFrame([(n, c, 0) for n, c in anchor_nodes(codes, {}).items()], "node string, currency string, power int")
+    listed = [(n, c, 0) for n, c in anchor_nodes(codes, known).items()]
+    edges = links.select(F.col("unit").alias("a"), F.col("code").alias("b"), "lg", "n").union(links.select("code", "unit", -F.col("lg"), "n"))
     edges = cut(edges)
-    nodes = anchors.withColumn("power", F.lit(0))
+    logs = F.array(*[F.struct(F.lit(c).alias("to"), F.log10(F.lit(float(e))).alias("of")) for c, e in rate]) if rate else F.array().cast("array<struct<to:string,of:double>>")
     all_of = Window.partitionBy("a", "currency")
     best = Window.partitionBy("a").orderBy(F.desc("support"), "currency", F.desc("n"), F.abs("power"), "power")
-    while True:
-        new = edges.join(nodes, edges.b == nodes.node).groupBy("a", "currency", (F.col("power") + F.col("step")).alias("power")).agg(F.sum("n").alias("n"))
-        new = new.join(nodes.select("node"), F.col("a") == F.col("node"), "left_anti")
+    while rate:
+        met = edges.join(nodes, edges.b == nodes.node).join(nodes.select(F.col("node").alias("a")), "a", "left_anti")
+        met = met.withColumn("own", F.get(F.filter(logs, lambda x: x["to"] == F.col("currency")), F.lit(0))["of"])
+        # What one of the node is worth, as a power of ten of EUR.
+        worth = F.col("lg") + F.col("power") + F.col("own")
+        near = lambda x: F.abs(worth - x["of"] - F.round(worth - x["of"]))
+        step = lambda x: F.round(worth - x["of"]).cast("int")
+        fits = F.filter(logs, lambda x: (near(x) <= NEAR_LOG) & ((x["to"] == F.col("currency")) | step(x).isin(*POWERS)))
+        # The neighbour's own currency first, then the whole unit, then the nearest.
+        first = F.array_min(F.transform(fits, lambda x: F.struct((x["to"] != F.col("currency")).alias("other"), (step(x) != 0).alias("scaled"), near(x).alias("gap"), x["to"].alias("to"), step(x).alias("power"))))
+        new = met.withColumn("m", first).where("m is not null").groupBy("a", F.col("m.to").alias("currency"), F.col("m.power").alias("power")).agg(F.sum("n").alias("n"))
         new = new.withColumn("support", F.sum("n").over(all_of)).withColumn("rn", F.row_number().over(best)).where("rn = 1")
         new = cut(new.select(F.col("a").alias("node"), "currency", "power"))
         if new.isEmpty():
-            return nodes
+            if not listed:
+                break
+            # Known spellings that no link has reached.
+            new = cut(spark.createDataFrame(listed, nodes.schema).join(nodes.select("node"), "node", "left_anti").select(*nodes.columns))
+            listed = []
         nodes = cut(nodes.unionAll(new))
+    return nodes.join(rates.select(F.upper("currency_code").alias("currency"), "eur_per_unit"), "currency").select("node", "currency", "power", "eur_per_unit")
+
 
+def lowest_in_unit(rows: DataFrame, key: str, text: str, value: str, code: str, rates: DataFrame, entity: str | None = None, known: dict[str, tuple[str, ...]] = KNOWN_UNITS) -> DataFrame:
+    """(key, amount): the lowest stated amount of every row in the unit of the rates, where one is stated.
 
-def lowest_in_unit(rows: DataFrame, key: str, text: str, value: str, code: str, rates: DataFrame) -> DataFrame:
-    """(key, amount): the lowest stated amount of every row in the unit of the rates, where one is stated."""
-    base = rows.select(F.col(key).alias("key"), F.col(value).alias("value"), unit_node(F.coalesce(F.col(code), F.lit(""))).alias("code"), text_amounts(F.col(text)).alias("stated"))
+    Rows with the same non-blank ``entity`` speak of the same thing, others of their own.
+    """
+    of = F.when(F.trim(F.coalesce(F.col(entity), F.lit(""))) != "", F.concat(F.lit("group:"), F.col(entity))) if entity else F.lit(None).cast("string")
+    base = rows.select(F.col(key).alias("key"), F.coalesce(of, F.concat(F.lit("key:"), F.col(key).cast("string"))).alias("entity"), F.col(value).cast("decimal(24,4)").alias("value"), unit_node(F.coalesce(F.col(code), F.lit(""))).alias("code"), text_amounts(F.col(text)).alias("stated"))
     base = cut(base.withColumn("stated", F.transform("stated", lambda x: F.struct(x["value"].alias("value"), unit_node(x["unit"]).alias("unit")))))
-    pairs = base.where("value is not null and size(stated) = 1 and code <> ''").select(F.col("stated")[0]["unit"].alias("unit"), "code", F.col("stated")[0]["value"].alias("stated"), "value")
-    of = resolve_units(link_units(pairs), rates)
-    # The rates are a stated table; the spellings resolved are no more than there are nodes with an anchor or a link.
-    rate = of.join(rates.select(F.upper("currency_code").alias("currency"), "eur_per_unit"), "currency").select("node", "power", "eur_per_unit")
+    # A text of one amount and the structured value are two statements.
+    told = F.array_compact(F.array(F.when(F.size("stated") == 1, F.col("stated")[0]), F.when(F.col("value").isNotNull(), F.struct("value", F.col("code").alias("unit")))))
+    statements = base.select("entity", F.explode(told).alias("s")).select("entity", "s.unit", "s.value")
+    codes = [r[0] for r in rates.select("currency_code").where("currency_code is not null").limit(MOST_RATES).collect()]
+    rate = resolve_units(link_units(entity_links(statements, anchor_nodes(codes, known))), rates, known)
+    # The spellings resolved are no more than there are nodes with an anchor or a link.
     own = base.withColumn("row", F.monotonically_increasing_id())
-    wanted = own.select("key", "row", F.explode(F.when(F.size("stated") > 0, F.col("stated")).when(F.col("value").isNotNull() & (F.col("code") != ""), F.array(F.struct(F.col("value").cast("decimal(18,4)").alias("value"), F.col("code").alias("unit"))))).alias("s"))
-    amounts = wanted.select("key", "row", F.col("s.value").alias("v"), F.col("s.unit").alias("node")).join(rate, "node")
+    wanted = own.select("key", "row", F.explode(F.when(F.size("stated") > 0, F.col("stated")).when(F.col("value").isNotNull() & (F.col("code") != ""), F.array(F.struct("value", F.col("code").alias("unit"))))).alias("s"))
+    amounts = wanted.select("key", "row", F.col("s.value").alias("v"), F.col("s.unit").alias("node")).join(rate.drop("currency"), "node")
     amounts = amounts.withColumn("plain", F.col("v") * F.col("eur_per_unit"))
     scaled = (F.col("plain").cast("double") * F.pow(F.lit(10.0), "power")).try_cast(amounts.schema["plain"].dataType)
     return amounts.groupBy("key", "row").agg(F.min(F.when(F.col("power") == 0, F.col("plain")).otherwise(scaled)).alias("amount")).select("key", "amount")

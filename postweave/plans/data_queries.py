@@ -25,7 +25,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lowest price of every offer that states one, in cents of EUR."""
-    got = lowest_in_unit(table(spark, sf_dir, "offers"), "offer_key", "price_text_best", "price_min", "currency_code", table(spark, sf_dir, "currency_rates"))
+    got = lowest_in_unit(table(spark, sf_dir, "offers"), "offer_key", "price_text_best", "price_min", "currency_code", table(spark, sf_dir, "currency_rates"), "offer_merge_override_group")
     return got.select(F.col("key").alias("offer_key"), F.round(F.col("amount") * 100).cast("bigint").alias("eur_cents"))
 
 
@@ -39,6 +39,7 @@ def _prices_sql() -> str:
     alt = "|".join(re.escape(u) for u, _ in units)
     mult = "|".join(re.escape(m) for m in sorted(THOUSAND, key=len, reverse=True))
     amount = rf"({num})(?:(?: ?(?:-|–|—|\.\.) ?| до | do )(?:{num}))? ?((?:{mult})?)\.? ?({alt})"
+    sign = rf"[€$]({num}) ?((?:(?:{mult})(?:[^\\p{{L}}]|$))?)"
     text = "regexp_replace(lower(coalesce(price_text_best, '')), '[\\x{a0}\\x{2007}\\x{2009}\\x{202f}]', ' ', 'g')"
     thousands = (("полторы тысячи", 1500), ("две тысячи", 2000), ("три тысячи", 3000), ("пять тысяч", 5000), ("тысяча", 1000), ("dve hiljade", 2000), ("hiljadu", 1000))
     words = [*thousands, *((w, n) for w, n in NUMBER_WORDS.items() if len(w) > 2 and n >= 20)]
@@ -50,7 +51,7 @@ def _prices_sql() -> str:
     t AS (SELECT offer_key, price_min, rtrim(lower(trim(coalesce(currency_code, ''))), '.') AS code, {text} AS p FROM offers),
     m AS (SELECT offer_key, unnest(regexp_extract_all(p, '{amount}')) AS m FROM t),
     a AS (SELECT offer_key, replace(regexp_extract(m, '{amount}', 1), ' ', '') AS v, CASE WHEN regexp_extract(m, '{amount}', 2) <> '' THEN 1000 ELSE 1 END AS f, regexp_extract(m, '{amount}', 3) AS u FROM m
-      UNION ALL SELECT offer_key, replace(substr(s, 2), ' ', ''), 1, s[1] FROM (SELECT offer_key, unnest(regexp_extract_all(p, '[€$](?:{num})')) AS s FROM t)),
+      UNION ALL SELECT offer_key, replace(regexp_extract(s, '{sign}', 1), ' ', ''), CASE WHEN regexp_extract(s, '{sign}', 2) <> '' THEN 1000 ELSE 1 END, s[1] FROM (SELECT offer_key, unnest(regexp_extract_all(p, '{sign}')) AS s FROM t)),
     x AS (SELECT offer_key, min({value} * f * e) AS eur FROM a JOIN r ON r.u = a.u GROUP BY offer_key)
     SELECT offer_key, CAST(round(eur * 100) AS BIGINT) AS eur_cents FROM x
     UNION ALL SELECT offer_key, CAST(round(price_min * e * 100) AS BIGINT) FROM t JOIN r ON r.u = t.code WHERE price_min IS NOT NULL AND offer_key NOT IN (SELECT offer_key FROM a)"""

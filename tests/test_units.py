@@ -28,9 +28,9 @@ def rates(spark):
 def test_unknown_spelling_is_learned_from_links(spark):
     pairs = spark.createDataFrame([("zlotnik", "rsd", float(i), float(i * 100)) for i in range(1, 9)] + [("x", "eur", 1.0, 3.3)] * 5, "unit string, code string, stated double, value double")
     links = link_units(pairs)
-    assert [(r.unit, r.code, r.scale) for r in links.collect()] == [("zlotnik", "rsd", 100.0)]
+    assert [(r.unit, r.code, round(r.lg, 6)) for r in links.collect() if r.unit == "zlotnik"] == [("zlotnik", "rsd", 2.0)]
     of = {r.node: r.currency for r in resolve_units(links, rates(spark)).collect()}
-    assert of["zlotnik"] == "RSD" and of["€"] == "EUR" and "usd" not in of
+    assert of["zlotnik"] == "RSD" and of["€"] == "EUR" and "usd" not in of and "x" not in of
 
 
 def test_rows(spark):
@@ -54,3 +54,20 @@ def test_scales_are_carried_along_the_links(spark):
     df = spark.createDataFrame(rows, "key string, stated string, value decimal(12,2), unit string")
     got = {r.key: r.amount for r in lowest_in_unit(df, "key", "stated", "value", "unit", rates(spark)).collect()}
     assert got == {f"k{i}": Decimal(i) for i in range(1, 6)} | {"alone": Decimal("2.5")}
+
+
+def test_units_of_one_entity_are_linked_across_records(spark):
+    # No record states both; the records of a group state the same price, so the scale tells the currency.
+    rows = [(f"a{i}", f"g{i}", f"{i * 2000} zlotnik", None, None) for i in range(1, 9)] + [(f"b{i}", f"g{i}", f"{i * 17} евро", None, None) for i in range(1, 9)] + [("c", None, "7 zlotnik", None, None), ("d", "", "9 denar", None, None)]
+    df = spark.createDataFrame(rows, "key string, grp string, stated string, value decimal(12,2), unit string")
+    got = {r.key: round(float(r.amount), 6) for r in lowest_in_unit(df, "key", "stated", "value", "unit", rates(spark), "grp").collect()}
+    assert got["a3"] == got["b3"] == 51.0 and got["c"] == 0.0595 and "d" not in got
+    # One of this unit is a hundred of a known one.
+    rows = [(f"a{i}", None, f"{i} zlotnik", Decimal(i * 100), "RSD") for i in range(1, 9)] + [("b", None, "7 zlotnik", None, None), ("c", None, "12345678901234567 rsd", None, None)]
+    got = {r.key: round(float(r.amount), 6) for r in lowest_in_unit(spark.createDataFrame(rows, df.schema), "key", "stated", "value", "unit", rates(spark), "grp").collect()}
+    assert got["b"] == 5.95 and got["a2"] == 1.7 and got["c"] > 1e14
+
+
+def test_links_that_disagree_or_need_an_offset_are_none(spark):
+    pairs = [("far", "eur", float(i), float(i + 100)) for i in range(1, 30)] + [("wild", "eur", 10.0, float(10 ** (i % 5))) for i in range(30)] + [("two", "eur", 1.0, 1.0)] * 2
+    assert link_units(spark.createDataFrame(pairs, "unit string, code string, stated double, value double")).count() == 0
