@@ -1,17 +1,19 @@
 """Problem 3: one canonical form for texts that look the same.
 
-A compiled longest-match transducer over grapheme clusters.  The mapping is computed once from Unicode
-properties plus one short table of look-alike letters, and checked for conflicts:
+A compiled longest-match transducer over grapheme clusters, one pass from left to right.  Its rules come from Unicode
+properties plus one short table of look-alike letters; they are compiled once and checked for conflicts:
 
 * invisible characters (format characters, variation selectors, soft hyphen) vanish; a zero-width joiner stays
   between two pictographs, where it changes the picture;
 * every blank (category Zs, tab) is one ordinary blank; blanks at line ends vanish; CR LF, CR, NEL, LS and PS are LF;
-* full-width and half-width forms become the ordinary letter;
-* a base letter with combining marks is one cluster and gets its composed form;
-* look-alike letters of Cyrillic and Greek become the Latin letter, also under accents.
-
-Case, punctuation, other letters, visible accents and line breaks stay different.  Null stays null, the empty
-text stays empty.
+* full-width, half-width and mathematical forms and Roman numerals become the ordinary letters and digits;
+* a base letter with combining marks, and whatever is invisible between them, is one cluster and gets its composed form;
+* look-alike letters of other scripts become the Latin letter, also under accents.
+
+At each place the longest rule holds: those of several characters (clusters, line ends, joined pictures) are found by
+one compiled pattern, and the stretches between them, where only rules of one character can hold, are translated as
+a block.  Case, punctuation, other letters, visible accents and line breaks stay different.  Null stays null, the
+empty text stays empty.
 """
 
 from __future__ import annotations
@@ -39,72 +41,97 @@ LOOKALIKES = {
     "ԁ": "d", "ԛ": "q", "ԝ": "w", "ѵ": "v", "ү": "y", "ӏ": "l",
     # Greek
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
-    "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
+    "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "α": "a", "ρ": "p", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
+    # Latin letters of phonetic alphabets
+    "ɑ": "a", "ɡ": "g", "ʏ": "Y", "ʜ": "H", "ꜱ": "s", "ᴄ": "c", "ᴏ": "o", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z",
+    # Armenian
+    "օ": "o", "հ": "h", "ս": "u", "Տ": "S", "Օ": "O",
+    # Cherokee
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S",
+    "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
 }
 
 ZWJ = "\u200d"
-_MARK = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20dc\u20e1\u20e5-\u20f0\ufe20-\ufe2f"
+_MARK = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20dc\u20e1\u20e5-\u20f0\u3099\u309a\ufe20-\ufe2f\uff9e\uff9f"
 _PICT = "\u2190-\u21ff\u2300-\u27bf\u2b00-\u2bff\U0001f000-\U0001faff"
 
 
+_FORMS = ("<wide>", "<narrow>", "<font>")
+_HIDDEN = frozenset([0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)])
+# Scripts without any of these forms; they are not looked through.
+_ALIKE_IN = (range(0x80, 0x3400), range(0xA000, 0xAC00), range(0xE000, 0x20000), range(0xE0000, 0xE0200))
+
+
 def _composed(cluster: str, letters: dict[str, str]) -> str:
-    """Canonical form of one cluster: width, then decomposed look-alikes, then composed again."""
+    """Canonical form of one cluster: width and form, then decomposed look-alikes, then composed again."""
     out = []
     for ch in cluster:
         kind = unicodedata.decomposition(ch)
-        out.append(unicodedata.normalize("NFKC", ch) if kind.startswith(("<wide>", "<narrow>")) else ch)
+        plain = kind.startswith(_FORMS) or "\u2160" <= ch <= "\u217f"
+        out.append(unicodedata.normalize("NFKC", ch) if plain else ch)
     parts = unicodedata.normalize("NFD", "".join(out))
     return unicodedata.normalize("NFC", "".join(letters.get(c, c) for c in parts))
 
 
+def _class(chars: Iterable[str]) -> str:
+    return "".join(map(re.escape, sorted(chars)))
+
+
 class Transducer:
     """Compiled form of the mapping; ``letters`` may be narrowed (``{}`` keeps scripts apart)."""
 
     def __init__(self, letters: dict[str, str] = LOOKALIKES) -> None:
         self.letters = letters
+        hidden, blanks, ends = {ZWJ}, {"\t"}, {"\r", "\x0b", "\x0c", "\x85", "\u2028", "\u2029"}
         single: dict[int, str] = {}
-        for cp in range(0x80, sys.maxunicode + 1):
-            if 0xD800 <= cp <= 0xDFFF or 0x3400 <= cp <= 0x9FFF or 0xAC00 <= cp <= 0xD7A3 or 0x20000 <= cp <= 0xDFFFF:
-                continue
-            ch = chr(cp)
+        for ch in (chr(cp) for r in _ALIKE_IN for cp in r if not 0xD800 <= cp <= 0xDFFF):
             cat = unicodedata.category(ch)
             if cat == "Cn":
                 continue
-            if cat == "Cf" or 0xFE00 <= cp <= 0xFE0F or 0xE0100 <= cp <= 0xE01EF or cp in (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0):
-                to = ""
+            if cat == "Cf" or ord(ch) in _HIDDEN:
+                hidden.add(ch)
             elif cat == "Zs":
-                to = " "
-            elif cp in (0x85, 0x2028, 0x2029):
-                to = "\n"
+                blanks.add(ch)
             elif cat[0] in "LNPS" or unicodedata.decomposition(ch):
-                to = _composed(ch, letters)
-            else:
-                continue
-            if to != ch:
-                single[cp] = to
-        single[0x09] = " "
-        single[0x0D] = single[0x0B] = single[0x0C] = "\n"
+                if (to := _composed(ch, letters)) != ch:
+                    single[ord(ch)] = to
+        for group, to in ((hidden, ""), (blanks, " "), (ends, "\n")):
+            for ch in group:
+                if single.setdefault(ord(ch), to) != to:
+                    raise ValueError(f"conflict: U+{ord(ch):04X} has two rules")
         self.single = single
-        self._check()
-        # A text without these needs the single-character table only.
-        self._slow = re.compile(f"[{_MARK}{ZWJ}]|\r\n| \n| $|\n ")
-        self._joiner = re.compile(f"([{_PICT}]\ufe0f?){ZWJ}(?=[{_PICT}])")
-        self._cluster = re.compile(f"[^\\s{_MARK}][{_MARK}]+")
-        self._hidden = re.compile("[" + "".join(re.escape(chr(c)) for c, to in single.items() if to == "" and chr(c) != "\ue000") + "]+")
-        self._plain_odd = re.compile("[\t\r\x0b\x0c]| \n| $")
+        h, b, n = _class(hidden), _class(blanks | {" "}), _class(ends | {"\n"})
+        mark, pict = _MARK, _PICT
+        # Longest first; each group has its own output.
+        self._rules = re.compile(
+            f"(?P<tail>[{b}{h}]+(?=[{n}]|\\Z))|(?P<end>\r\n)|(?P<cluster>[^{b}{n}{h}{mark}](?:[{h}]*[{mark}])+)"
+            f"|(?P<join>(?:(?<=[{pict}])|(?<=[{pict}]\ufe0f)){ZWJ}(?=[{pict}]))"
+        )
+        # Where none of these stands, no rule of several characters can hold.
+        self._several = re.compile(f"[{mark}{ZWJ}]|\r\n|[{b}{h}](?:[{n}]|\\Z)")
+        self._plain_odd = re.compile("[\t\r\x0b\x0c]| \n| \\Z")
         self._known: dict[str, str] = {}
+        self._check()
 
     def _check(self) -> None:
-        """No output may be an input again: the mapping is its own fixed point."""
+        """No output is an input again, alone or with what may stand beside it, and every stored form of a letter agrees."""
+        for a, to in self.letters.items():
+            if len(a) != 1 or len(to) != 1 or to in self.letters:
+                raise ValueError(f"conflict: {a!r} maps to {to!r}, which maps further")
         for cp, to in self.single.items():
-            if to.translate(self.single) != to:
+            if self(to) != to and to.strip(" "):
                 raise ValueError(f"conflict: U+{cp:04X} maps to {to!r}, which maps further")
-
-    def _one(self, m: re.Match[str]) -> str:
-        c = m.group()
+            if to and unicodedata.combining(to[0]) and unicodedata.category(chr(cp))[0] != "M" and not re.match(f"[{_MARK}]", chr(cp)):
+                raise ValueError(f"conflict: U+{cp:04X} would join the letter before it")
+        for ch in (chr(cp) for r in (range(0xC0, 0x530), range(0x1E00, 0x2000)) for cp in r):
+            parts = unicodedata.normalize("NFD", ch)
+            if len(parts) > 1 and self(parts) != self(ch):
+                raise ValueError(f"conflict: U+{ord(ch):04X} and its parts differ")
+
+    def _cluster(self, c: str) -> str:
         got = self._known.get(c)
         if got is None:
-            got = _composed(c, self.letters)
+            got = _composed("".join(ch for ch in c if self.single.get(ord(ch)) != ""), self.letters)
             if len(self._known) < 65_536:
                 self._known[c] = got
         return got
@@ -112,20 +139,18 @@ class Transducer:
     def __call__(self, text: str) -> str:
         if text.isascii() and not self._plain_odd.search(text):
             return text
-        if self._slow.search(text):
-            text = text.replace("\r\n", "\n")
-            if ZWJ in text:
-                text = self._joiner.sub("\\1\ue000", text)
-            text = self._hidden.sub("", text)
-            text = self._cluster.sub(self._one, text)
-            if "\ue000" in text:
-                text = text.replace("\ue000", ZWJ)
-                text = ZWJ.join(p.translate(self.single) for p in text.split(ZWJ))
-            else:
-                text = text.translate(self.single)
-        else:
-            text = text.translate(self.single)
-        return "\n".join(line.rstrip(" ") for line in text.split("\n")) if " \n" in text or text.endswith(" ") else text
+        if not self._several.search(text):
+            return text.translate(self.single)
+        out, k = [], 0
+        for m in self._rules.finditer(text):
+            i, j = m.span()
+            if i > k:
+                out.append(text[k:i].translate(self.single))
+            kind = m.lastgroup
+            out.append(self._cluster(m.group()) if kind == "cluster" else "\n" if kind == "end" else ZWJ if kind == "join" else "")
+            k = j
+        out.append(text[k:].translate(self.single))
+        return "".join(out)
 
 
 @lru_cache(maxsize=4)
@@ -166,6 +191,22 @@ def fingerprints(df: DataFrame, key: str, text: str, form: Callable[[str], str]
     return rows.mapInPandas(run, "key string, look binary, raw binary")
 
 
+def look_alike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(record_key, class_key, links) of the records whose text looks like a different one.
+
+    A class is named by its smallest key; links counts the records of other keys with another text of the class, once
+    for each own text.  Counts only, so no pair is built whatever the size of a class.
+    """
+    recs = fingerprints(df, key, text).groupBy("key", "look", "raw").agg(F.lit(1).alias("one")).drop("one")
+    own = cut(recs.groupBy("key", "look").agg(F.collect_list("raw").alias("raws")))
+    per_text = own.select("key", "look", F.size("raws").alias("mine"), F.explode("raws").alias("raw"))
+    same = per_text.groupBy("look", "raw").agg(F.count("*").alias("same"), F.min("key").alias("low"))
+    whole = same.groupBy("look").agg(F.sum("same").alias("all"), F.count("*").alias("texts"), F.min("low").alias("class_key")).where("texts > 1")
+    rows = per_text.join(same.select("look", "raw", "same").join(whole, "look"), ["look", "raw"])
+    per = rows.groupBy("key", "look", "class_key").agg(F.sum(F.col("all") - F.col("same") - F.col("mine") + 1).alias("links"))
+    return per.where("links > 0").select(F.col("key").alias("record_key"), "class_key", "links")
+
+
 def look_alike_pairs(df: DataFrame, key: str, text: str, hot: int = 20_000) -> DataFrame:
     """(key_a, key_b): records of different keys whose texts look the same but are different strings.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postweave.llm import sql
 from postweave.llm.abuse import fit, labelled, rates, score_documents
 from postweave.llm.bpe import encode
-from postweave.llm.canon import look_alike_pairs
+from postweave.llm.canon import look_alike_classes, look_alike_pairs
 from postweave.llm.components import provider_groups
 from postweave.llm.history import History, check_batches
 from postweave.llm.leak import leaks, without_leaks
@@ -35,6 +35,14 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(names.select(F.lit("providers.canonical_name"), "*"))
 
 
+@query
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every record that looks like another, and its number of links."""
+    posts = look_alike_classes(table(spark, sf_dir, "raw_posts"), "post_key", "text")
+    names = look_alike_classes(table(spark, sf_dir, "providers"), "provider_key", "canonical_name")
+    return posts.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(names.select(F.lit("providers.canonical_name"), "*"))
+
+
 @query
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every personal item of the posts and of the review texts, each record once."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from postweave.llm.canon import _fold, transducer
-
 
 # Written out here on their own, so that a slip in the operator's list shows.
 _MISSING = ("-", "—", "–", ".", "..", "?", "??", "???", "n/a", "na", "null", "none", "nan", "nil", "tbd", "todo", "unknown", "untitled", "no title", "без названия", "нет", "нет данных", "неизвестно", "bez naziva", "nepoznato", "nema")
@@ -43,33 +41,50 @@ def provider_groups() -> str:
     SELECT a AS provider_key, min(c) AS group_key FROM r GROUP BY a"""
 
 
+# The oracle's own tables of what looks the same, apart from the operator's.
+_OTHER = "АВЕЅІЈКМНОРСТУҮХԚԜԌѴӀаеѕіјорсухһԁԛԝѵүӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧοναρЀЁЇѐёї"
+_LATIN = "ABESIJKMHOPCTYYXQWGVIaesijopcyxhdqwvylABEZHIKMNOPTYXovapÈËÏèëï"
+_GONE = "[\u00ad\u034f\u061c\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufe00-\ufe0f\ufeff]"
+_BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\t"
+
+
+def _alike(c: str) -> str:
+    """The text without what cannot be seen and in one writing of each letter; twice, as marks join their letters between."""
+    wide = "".join(map(chr, range(0xFF01, 0xFF5F)))
+    src, dst = _OTHER + wide + _BLANKS + "\r\x0b\x0c\x85\u2028\u2029", _LATIN + "".join(chr(ord(x) - 0xFEE0) for x in wide) + " " * len(_BLANKS) + "\n" * 6
+    one = lambda x: f"translate({x}, {_quoted(src)}, {_quoted(dst)})"
+    bare = f"regexp_replace(replace({c}, chr(13) || chr(10), chr(10)), {_quoted(_GONE)}, '', 'g')"
+    return one(f"nfc_normalize({one(f'nfc_normalize({bare})')})")
+
+
 def leaked_items(least: int = 13) -> str:
-    """p9_found: runs of words in both texts."""
-    single, fold = transducer().single, _fold()
-    src, dst = "", ""
-    for cp in (*range(0x41, 0x5B), *range(0xA0, 0x530), *range(0x2000, 0x2070), 0x3000, *range(0xFF01, 0xFF5F)):
-        to = single.get(cp, chr(cp)).translate(fold)
-        if len(to) == 1 and to != chr(cp):
-            src, dst = src + chr(cp), dst + to
-    hidden = "".join(chr(c) for c, to in single.items() if to == "" and c < 0x10000)
-    plain = lambda c: f"translate({c}, {_quoted(src)}, {_quoted(dst)})"
-    text = plain(f"nfc_normalize({plain('nfc_normalize(regexp_replace(coalesce(text, ' + _quoted('') + '), ' + _quoted('[' + hidden + ']') + ', ' + _quoted('') + ', ' + _quoted('g') + '))')})")
+    """p9_found: runs of words in both texts; each letter goes by its capital, whose look-alike is then made small."""
+    text = f"lower(translate(upper({_alike('coalesce(text, ' + _quoted('') + ')')}), {_quoted(_OTHER)}, {_quoted(_LATIN)}))"
     grams = lambda t, k: f"(SELECT DISTINCT {k}, array_to_string(w[i:i + {least - 1}], ' ') AS g FROM (SELECT {k}, w, unnest(range(1, len(w) - {least - 2})) AS i FROM (SELECT {k}, regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}]+') AS w FROM {t})))"
     return f"SELECT DISTINCT doc_id, item_id FROM {grams('documents', 'doc_id')} d JOIN {grams('eval_items', 'item_id')} e ON d.g = e.g"
 
 
+def _looks() -> str:
+    form = lambda c: f"regexp_replace({_alike(c)}, ' +(\\n|$)', '\\1', 'g')"
+    rows = lambda t, k, c: f"SELECT DISTINCT '{t}.{c}' AS f, {k} AS k, {c} AS raw, {form(c)} AS look FROM {t} WHERE {k} IS NOT NULL AND coalesce({c}, '') <> ''"
+    return f"SELECT * FROM ({rows('raw_posts', 'post_key', 'text')} UNION ALL {rows('providers', 'provider_key', 'canonical_name')}) WHERE trim(look, chr(10) || ' ') <> ''"
+
+
 def look_alikes() -> str:
     """p3_found: pairs within equal forms."""
-    single = transducer().single
-    marks = [(chr(c), to) for c, to in single.items() if len(to) == 1 and (c < 0x3100 or 0xFF00 <= c <= 0xFFEF)]
-    src, dst = "".join(a for a, _ in marks), "".join(b for _, b in marks)
-    hidden = "".join(chr(c) for c, to in single.items() if to == "" and c < 0x10000)
-    q = _quoted
-    one = lambda c: f"translate({c}, {q(src)}, {q(dst)})"
-    form = lambda c: f"regexp_replace({one(f'nfc_normalize({one(f'nfc_normalize(regexp_replace(replace({c}, chr(13) || chr(10), chr(10)), {q('[' + hidden + ']')}, {q('')}, {q('g')}))')})')}, ' +(\\n|$)', '\\1', 'g')"
-    rows = lambda t, k, c: f"SELECT DISTINCT '{t}.{c}' AS f, {k} AS k, {c} AS raw, {form(c)} AS look FROM {t} WHERE {k} IS NOT NULL AND coalesce({c}, '') <> ''"
-    return f"""WITH x AS ({rows('raw_posts', 'post_key', 'text')} UNION ALL {rows('providers', 'provider_key', 'canonical_name')})
-    SELECT DISTINCT a.f AS field_name, a.k AS key_a, b.k AS key_b FROM x a JOIN x b ON a.f = b.f AND a.look = b.look AND a.k < b.k AND a.raw <> b.raw WHERE trim(a.look, chr(10) || ' ') <> ''"""
+    return f"WITH x AS ({_looks()}) SELECT DISTINCT a.f AS field_name, a.k AS key_a, b.k AS key_b FROM x a JOIN x b ON a.f = b.f AND a.look = b.look AND a.k < b.k AND a.raw <> b.raw"
+
+
+def look_alike_classes() -> str:
+    """p3_classes: links counted pair by pair."""
+    return f"""WITH x AS ({_looks()}), low AS (SELECT f, look, min(k) AS class_key FROM x GROUP BY f, look)
+    SELECT a.f AS field_name, a.k AS record_key, class_key, count(*) AS links FROM x a JOIN x b ON a.f = b.f AND a.look = b.look AND a.k <> b.k AND a.raw <> b.raw
+    JOIN low ON low.f = a.f AND low.look = a.look GROUP BY a.f, a.k, a.look, class_key"""
+
+
+def clean_documents() -> str:
+    """p9_clean_documents."""
+    return f"SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({leaked_items()}))"
 
 
-SQL = {"p1_found": best_fields(), "p3_found": look_alikes(), "p5_found": provider_groups(), "p9_found": leaked_items()}
+SQL = {"p1_found": best_fields(), "p3_found": look_alikes(), "p3_classes": look_alike_classes(), "p5_found": provider_groups(), "p9_found": leaked_items(), "p9_clean_documents": clean_documents()}

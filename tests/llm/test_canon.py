@@ -4,11 +4,12 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from postweave.llm.canon import LOOKALIKES, Transducer, canonical_text, fold_words, look_alike_pairs, transducer
+from postweave.llm.canon import LOOKALIKES, Transducer, canonical_text, fold_words, look_alike_classes, look_alike_pairs, transducer
 
 SAME = [
     ("Лажа", "Лaжa"), ("Ёлка", "Ёлка"), ("Йод", "Йод"), ("čaj", "čaj"), ("Ｂｅｏｇｒａｄ！", "Beograd!"), ("a b", "a b"), ("a　b", "a b"),
     ("a​b﻿c­", "abc"), ("☎️ 1", "☎ 1"), ("a\r\nb", "a\nb"), ("text  ", "text"), ("Οмск", "Омск"), ("Ёж", "Ëж"),
+    ("𝐇𝐞𝐥𝐥𝐨", "Hello"), ("ɡⅰft", "gift"), ("αρt", "apt"), ("Ⅷ", "VIII"), ("е\u200b\u0308", "ё"), ("a\u200b \u200b\nb", "a\nb"), ("x\u2028y", "x\ny"), ("Ꮯafe", "Cafe"), ("ο\u0301", "ó"), ("𝟗1", "91"),
 ]
 OTHER = [("а", "б"), ("Аа", "аа"), ("е", "ё"), ("a.", "a"), ("a b", "a\nb"), ("a b", "ab"), ("с", "c!"), ("a  b", "a b"), ("👨‍🔧", "👨🔧")]
 
@@ -35,6 +36,35 @@ def test_conflicts_are_refused():
         Transducer({**LOOKALIKES, "B": "X", "х": "В"})
 
 
+@pytest.mark.parametrize("letters", [{"а": "b", "b": "c"}, {"а": ""}, {"а": "xy"}])
+def test_rules_of_one_letter_each(letters):
+    with pytest.raises(ValueError):
+        Transducer(letters)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="аеé́̈ \t\r\n\u200b\u200d\ufe0f👨🔧Ａx", max_size=12))
+def test_pieces_do_not_matter(s):
+    # Cut where no rule of several characters reaches across, the parts give the whole.
+    t = transducer()
+    assert t(s + "|" + s) == t(s + "|")[:-1] + "|" + t(s)
+
+
+def test_classes_against_pairs(spark):
+    rows = [("a", "Лажа"), ("b", "Лaжa"), ("c", "Лажа"), ("d", "x"), ("e", "Лажа​"), ("e", "Лажа"), (None, "x"), ("f", None), ("g", "x​")]
+    df = spark.createDataFrame(rows, "key string, text string")
+    t = transducer()
+    keyed = [(k, x) for k, x in dict.fromkeys(rows) if k and x]
+    want = {}
+    for k, x in keyed:
+        n = sum(1 for q, y in keyed if q != k and x != y and t(x) == t(y))
+        low = min(q for q, y in keyed if t(x) == t(y))
+        want[k, low] = want.get((k, low), 0) + n
+    got = {(r.record_key, r.class_key): r.links for r in look_alike_classes(df, "key", "text").collect()}
+    assert got == {k: n for k, n in want.items() if n}
+    assert look_alike_classes(df.limit(0), "key", "text").count() == 0
+
+
 def test_words_ignore_case_and_disguise():
     assert fold_words("ВОРОТА, «дом»\nнов") == fold_words("Bоpoта — 'ДОM' нОB") and fold_words(None) == []
 
