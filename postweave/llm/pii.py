@@ -5,14 +5,19 @@ one form, invisible characters and keycap marks vanish, spelled digits become di
 disguises become ``@`` and ``.``.  Identifiers are detected on that form and their spans are mapped to the
 characters of the stored text, so positions and replacements are exact whatever was hidden in between.
 
-Every literal of the patterns goes through the same letter mapping as the texts.  Null and empty texts have no
-items.  Where items would overlap, the earlier kind of KINDS wins.
+A person's name is a known first name (the list is a parameter) beside a word with the end of a surname, a surname
+with initials, or any two capitalised words behind a word that announces a person.
+
+Every literal of the patterns goes through the same letter mapping as the texts, in small, title and capital letters.
+Null and empty texts have no items.  Where items would overlap, the earlier kind of KINDS wins.  The work grows with
+the length of a text, however many items it holds.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -24,7 +29,7 @@ from postweave.llm.canon import transducer
 
 KINDS = ("email", "id_number", "phone", "street_address", "person_name")
 
-# Common first names.
+# Common first names; the default of a parameter.
 FIRST_NAMES = """
 Александр Алексей Алина Алла Анастасия Анатолий Андрей Анна Антон Артём Борис Вадим Валентина Валерий Варвара
 Василий Вера Вероника Виктор Виктория Виталий Владимир Владислав Галина Георгий Глеб Григорий Дарья Денис Диана
@@ -85,9 +90,9 @@ class Mapped:
 
 
 class Detector:
-    """Compiled patterns; one per Python worker."""
+    """Compiled patterns; one per Python worker and list of first names."""
 
-    def __init__(self) -> None:
+    def __init__(self, first_names: tuple[str, ...] = tuple(FIRST_NAMES.split())) -> None:
         t = transducer()
         self.single = {cp: to for cp, to in t.single.items() if len(to) <= 1 and cp not in (0x0A,)}
         # A keycap mark hides no letter; marks compose with the letter before them.
@@ -144,21 +149,25 @@ class Detector:
         self.street = re.compile(rf"(?<!\w)(?:{ru}) ?{names}{dom}{house}{flat}")
         self.english = re.compile(rf"(?<![\w/])\d{{1,4}}[A-Za-z]? {names} (?:{en})(?!\w){flat}|(?<!\w){names} (?:{en}) {house}{flat}")
         self.placed = re.compile(rf"(?:(?<!\w)|(?<=📍))(?:{place})[ :-]{{0,4}}({names}{dom}{house}{flat})")
-        self.first = {sk(f) for n in FIRST_NAMES.split() for f in (n, n.upper())}
+        self.first = {sk(f) for n in first_names for f in (n, n.upper())}
         self.digit = re.compile(r"\d")
         self.capital = re.compile(rf"(?<![\w'’-]){up}[^\W\d_]+")
         self.after = re.compile(rf" ({up}[^\W\d_]{{3,}}(?:['’-][^\W\d_]+)*)")
-        self.before = re.compile(rf"(?<![\w@])({up}[^\W\d_]{{3,}}(?:['’-][^\W\d_]+)*) $")
+        self.surname = re.compile(rf"{up}[^\W\d_]{{3,}}(?:['’-][^\W\d_]+)*")
+        self.inner = frozenset("'’-")
         self.initials = re.compile(rf"(?<!\w)({up}\w{{3,}}(?:-{up}\w+)?) ({up}\. ?{up}\.)|(?<!\w){up}\. ?{up}\. ?({up}\w{{3,}})")
         family = alt("ов", "ев", "ёв", "ин", "ын", "ова", "ева", "ёва", "ина", "ына", "ский", "ская", "цкий", "цкая", "енко", "чук", "юк", "ян", "ић", "ić", "ski", "ska", "ac", "ar", "ev", "ov")
         self.family = re.compile(rf"(?:{family})$")
         cue = alt(*map(re.escape, PERSON_CUES))
         self.cue = re.compile(rf"(?:^|\W)(?:{cue})[ ,:-]{{1,3}}$")
+        self.cue_reach = max(map(len, PERSON_CUES)) + 4  # a cue, what stands before it and the marks behind it
+        plain = rf"{up}[^\W\d_]+(?:['’-][^\W\d_]+)*"
+        self.announced = re.compile(rf"(?<!\w)(?:{cue})[ ,:-]{{1,3}}({plain} {plain})(?![\w'’-])")
 
     @staticmethod
     def _upper(pattern: str) -> str:
         """Capital letters, but for the escapes of a pattern."""
-        return re.sub(r"\\\\.|[^\\\\]", lambda m: m.group() if m.group()[0] == "\\" else m.group().upper(), pattern)
+        return re.sub(r"\\.|[^\\]", lambda m: m.group() if m.group()[0] == "\\" else m.group().upper(), pattern)
 
     def normal(self, src: str) -> Mapped:
         text = src.translate(self.single)
@@ -185,11 +194,8 @@ class Detector:
                 at.append(i)
             m = Mapped("".join(out), at, src)
         if not self.digit_words.isdisjoint(self.word.findall(m.text)):
-            for hit in reversed(list(self.spelled.finditer(m.text))):
-                base = hit.start()
-                # The marks between the digits go, so a number is found whatever they are.
-                parts = [(base + w.start(), base + w.end(), self.digit_of.get(w.group(), "")) for w in self.spelled_part.finditer(hit.group())]
-                m = m.rewrite(parts)
+            # The marks between the digits go, so a number is found whatever they are.
+            m = m.rewrite([(*w.span(), self.digit_of.get(w.group(), "")) for hit in self.spelled.finditer(m.text) for w in self.spelled_part.finditer(m.text, *hit.span())])
         if "(" in m.text or "[" in m.text or "{" in m.text or "<" in m.text:
             m = m.rewrite([(h.start(), h.end(), "@") for h in self.at.finditer(m.text)])
             m = m.rewrite([(h.start(), h.end(), ".") for h in self.dot.finditer(m.text)])
@@ -198,24 +204,33 @@ class Detector:
             m = m.rewrite([(h.start(), h.end(), ".") for h in self.bare_dot.finditer(m.text)])
         return m
 
+    def _word_before(self, text: str, i: int) -> tuple[int, str] | None:
+        """The surname that ends with a blank right before ``i``."""
+        if i < 2 or text[i - 1] != " ":
+            return None
+        k = i - 1
+        while k and (text[k - 1].isalpha() or text[k - 1] in self.inner):
+            k -= 1
+        m = self.surname.fullmatch(text, k, i - 1)
+        return None if m is None or (k and (text[k - 1] == "@" or text[k - 1] == "_" or text[k - 1].isalnum())) else (k, m.group())
+
     def _people(self, text: str) -> Iterator[tuple[int, int]]:
+        announced = lambda i: self.cue.search(text[max(0, i - self.cue_reach) : i])
         for w in self.capital.finditer(text):
             if w.group() not in self.first:
                 continue
             i, j = w.span()
-            for other, after in ((self.after.match(text, j), True), (self.before.search(text, max(0, i - 40), i), False)):
-                if other is None or other.group(1) in self.first:
-                    continue
-                s = other.group(1)
-                start, end = (i, other.end(1)) if after else (other.start(1), j)
-                known = self.family.search(s) or (after and w.group().isascii())
-                if known or self.cue.search(text[max(0, start - 24) : start]):
-                    yield start, end
-                    break
+            after, before = self.after.match(text, j), self._word_before(text, i)
+            if after and after.group(1) not in self.first and (self.family.search(after.group(1)) or w.group().isascii() or announced(i)):
+                yield i, after.end(1)
+            elif before and before[1] not in self.first and (self.family.search(before[1]) or announced(before[0])):
+                yield before[0], j
         for h in self.initials.finditer(text):
             s = h.group(1) or h.group(3)
-            if self.family.search(s) or self.cue.search(text[max(0, h.start() - 24) : h.start()]):
+            if self.family.search(s) or announced(h.start()):
                 yield h.start(), h.end()
+        for h in self.announced.finditer(text):
+            yield h.span(1)
 
     def items(self, src: str | None) -> list[tuple[str, int, int]]:
         """(kind, start, end) in code points of the stored text, in order, without overlaps."""
@@ -223,32 +238,30 @@ class Detector:
             return []
         m = self.normal(src)
         text = m.text
-        found: list[tuple[int, int, str]] = []
-        digits = self.digit.search(text)
+        found: list[tuple[int, int, str]] = []  # in order, apart from one another
 
-        def free(i: int, j: int) -> bool:
-            return all(j <= a or i >= b for a, b, _ in found)
+        def take(i: int, j: int, kind: str) -> None:
+            k = bisect_left(found, (i,))
+            if (k == 0 or found[k - 1][1] <= i) and (k == len(found) or j <= found[k][0]):
+                insort(found, (i, j, kind))
 
         if "@" in text:
-            found += [(h.start(), h.end(), "email") for h in self.email.finditer(text)]
-        if digits:
+            for h in self.email.finditer(text):
+                take(*h.span(), "email")
+        if self.digit.search(text):
             for h in self.id.finditer(text):
-                if free(*h.span(1)):
-                    found.append((*h.span(1), "id_number"))
+                take(*h.span(1), "id_number")
             for h in self.personal.finditer(text):
-                if free(*h.span()):
-                    found.append((*h.span(), "id_number"))
+                take(*h.span(), "id_number")
             for h in self.phone.finditer(text):
-                if free(*h.span()) and not self.not_phone.search(text[max(0, h.start() - 10) : h.start()]):
-                    found.append((*h.span(), "phone"))
+                if not self.not_phone.search(text[max(0, h.start() - 10) : h.start()]):
+                    take(*h.span(), "phone")
             for rx, g in ((self.street, 0), (self.english, 0), (self.placed, 1)):
                 for h in rx.finditer(text):
-                    if free(*h.span(g)):
-                        found.append((*h.span(g), "street_address"))
+                    take(*h.span(g), "street_address")
         for i, j in self._people(text):
-            if free(i, j):
-                found.append((i, j, "person_name"))
-        return [(kind, *m.source(i, j)) for i, j, kind in sorted(found)]
+            take(i, j, "person_name")
+        return [(kind, *m.source(i, j)) for i, j, kind in found]
 
     def redact(self, src: str | None) -> str | None:
         if not src:
@@ -260,16 +273,19 @@ class Detector:
         return "".join(out) + src[k:]
 
 
-@lru_cache(maxsize=1)
-def detector() -> Detector:
-    return Detector()
+@lru_cache(maxsize=4)
+def detector(first_names: tuple[str, ...] | None = None) -> Detector:
+    return Detector() if first_names is None else Detector(first_names)
+
 
+def find_items(df: DataFrame, key: str, text: str, first_names: tuple[str, ...] | None = None) -> DataFrame:
+    """(record_key, pii_type, start_pos, end_pos): the items of every row with a key and a text.
 
-def find_items(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(record_key, pii_type, start_pos, end_pos): the items of every row with a key and a text."""
+    ``first_names`` replaces the built-in list.
+    """
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        d = detector()
+        d = detector(first_names)
         for p in parts:
             rows = [(k, kind, i, j) for k, t in zip(p["k"], p["t"]) for kind, i, j in d.items(t)]
             yield pd.DataFrame(rows, columns=["record_key", "pii_type", "start_pos", "end_pos"])
@@ -278,12 +294,12 @@ def find_items(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInPandas(run, "record_key string, pii_type string, start_pos int, end_pos int")
 
 
-def redacted(col: Column) -> Column:
+def redacted(col: Column, first_names: tuple[str, ...] | None = None) -> Column:
     """The text with every item replaced by its typed placeholder; all else is unchanged."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        d = detector()
+        d = detector(first_names)
         return s.map(d.redact, na_action="ignore")
 
     return run(col)

@@ -23,6 +23,38 @@ def test_items(text, want):
     assert [(k, text[i:j]) for k, i, j in detector().items(text)] == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("ПАСПОРТА №123456789", "123456789"), ("ПАСПОРТА 4510 123456", "4510 123456"), ("PASOŠA 123456789", "123456789"), ("ЛИЧНЫЙ НОМЕР 0105964998449", "0105964998449"), ("JMBG 0105964998449", "0105964998449"),
+    ("УДОСТОВЕРЕНИЕ № 123456789", "123456789"), ("PASSPORT NO. 123456789", "123456789"), ("LIČNA KARTA BR. 123456789", "123456789"), ("ID CARD 123456789", "123456789"), ("ИНН 123456789012", "123456789012"),
+])
+def test_labels_in_capitals(text, want):
+    assert [(k, text[i:j]) for k, i, j in detector().items(text)] == [("id_number", want)]
+
+
+@pytest.mark.parametrize("text,want", [("ask for Liam Novak!", "Liam Novak"), ("our manager Rajesh Kumar will help", "Rajesh Kumar"), ("MANAGER: RAJESH KUMAR", "RAJESH KUMAR"), ("Pozdrav, Keisha Obi", "Keisha Obi"), ("Спросить: Лю Ван-Дер", "Лю Ван-Дер")])
+def test_announced_names_need_no_list(text, want):
+    assert [(k, text[i:j]) for k, i, j in detector().items(text)] == [("person_name", want)]
+
+
+def test_first_names_are_a_parameter(spark):
+    df = spark.createDataFrame([("a", "Wei Zhang came"), ("b", "Роман Рыжерецкий")], "k string, t string")
+    assert find_items(df, "k", "t").count() == 1
+    assert [tuple(r) for r in find_items(df, "k", "t", ("Wei",)).collect()] == [("a", "person_name", 0, 9)]
+    assert df.select(redacted(df.t, ("Wei",))).first()[0] == "[PERSON_NAME] came"
+
+
+def test_many_items_take_linear_time():
+    import time
+
+    one = "Звоните 060 123 45 67 или ноль шесть ноль один два три четыре пять шесть, Роман Рыжерецкий, ab@c.rs. "
+    n = {}
+    for k in (400, 3200):
+        began = time.perf_counter()
+        assert len(detector().items(one * k)) == 4 * k
+        n[k] = time.perf_counter() - began
+    assert n[3200] < 24 * max(n[400], 0.02)
+
+
 def test_redaction_keeps_the_rest():
     text = "Пишите Анне: a@b.rs​, тел. 060 123 45 67!\nКонец"
     assert detector().redact(text) == "Пишите Анне: [EMAIL]​, тел. [PHONE]!\nКонец"
