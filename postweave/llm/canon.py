@@ -107,9 +107,8 @@ class Transducer:
             f"(?P<tail>[{b}{h}]+(?=[{n}]|\\Z))|(?P<end>\r\n)|(?P<cluster>[^{b}{n}{h}{mark}](?:[{h}]*[{mark}])+)"
             f"|(?P<join>(?:(?<=[{pict}])|(?<=[{pict}]\ufe0f)){ZWJ}(?=[{pict}]))"
         )
-        # Where none of these stands, no rule of several characters can hold.
-        self._several = re.compile(f"[{mark}{ZWJ}]|\r\n|[{b}{h}](?:[{n}]|\\Z)")
-        self._plain_odd = re.compile("[\t\r\x0b\x0c]| \n| \\Z")
+        # Without these, a line end after a blank is the only place for a rule of several characters.
+        self._several = re.compile(f"[{mark}{ZWJ}]")
         self._known: dict[str, str] = {}
         self._check()
 
@@ -137,10 +136,10 @@ class Transducer:
         return got
 
     def __call__(self, text: str) -> str:
-        if text.isascii() and not self._plain_odd.search(text):
-            return text
-        if not self._several.search(text):
-            return text.translate(self.single)
+        if "\r\n" not in text and not self._several.search(text):
+            plain = text if text.isascii() and not any(c in text for c in "\t\r\x0b\x0c") else text.translate(self.single)
+            if " \n" not in plain and not plain.endswith(" "):
+                return plain
         out, k = [], 0
         for m in self._rules.finditer(text):
             i, j = m.span()
