@@ -10,9 +10,9 @@ properties plus one short table of look-alike letters; they are compiled once an
 * a base letter with combining marks, and whatever is invisible between them, is one cluster and gets its composed form;
 * look-alike letters of other scripts become the Latin letter, also under accents.
 
-At each place the longest rule holds: those of several characters (clusters, line ends, joined pictures) are found by
-one compiled pattern, and the stretches between them, where only rules of one character can hold, are translated as
-a block.  Case, punctuation, other letters, visible accents and line breaks stay different.  Null stays null, the
+At each place the longest rule holds: those of several characters (clusters, line ends, joined pictures) are read
+from the one character each of them must hold, and the stretches between them, where only rules of one character can
+hold, are translated as a block.  Case, punctuation, other letters, visible accents and line breaks stay different.  Null stays null, the
 empty text stays empty.
 """
 
@@ -100,15 +100,14 @@ class Transducer:
                 if single.setdefault(ord(ch), to) != to:
                     raise ValueError(f"conflict: U+{ord(ch):04X} has two rules")
         self.single = single
-        h, b, n = _class(hidden), _class(blanks | {" "}), _class(ends | {"\n"})
-        mark, pict = _MARK, _PICT
-        # Longest first; each group has its own output.
-        self._rules = re.compile(
-            f"(?P<tail>[{b}{h}]+(?=[{n}]|\\Z))|(?P<end>\r\n)|(?P<cluster>[^{b}{n}{h}{mark}](?:[{h}]*[{mark}])+)"
-            f"|(?P<join>(?:(?<=[{pict}])|(?<=[{pict}]\ufe0f)){ZWJ}(?=[{pict}]))"
-        )
-        # Without these, a line end after a blank is the only place for a rule of several characters.
-        self._several = re.compile(f"[{mark}{ZWJ}]")
+        # Each rule of several characters has one that few texts hold; the rule is read from there.
+        h, n = _class(hidden), _class(ends | {"\n"})
+        self._hidden, self._tail = frozenset(hidden), frozenset(hidden | blanks | {" "})
+        self._no_base = frozenset(hidden | blanks | ends | {" ", "\n"})
+        self._marks = re.compile(f"[{_MARK}](?:[{h}]*[{_MARK}])*")
+        self._end = re.compile(f"\r\n|[{n}]|\\Z")
+        self._pict = re.compile(f"[{_PICT}]")
+        self._several = re.compile(f"[{_MARK}{ZWJ}]")
         self._known: dict[str, str] = {}
         self._check()
 
@@ -135,18 +134,39 @@ class Transducer:
                 self._known[c] = got
         return got
 
+    def _long(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, end, output) of every place where a rule of several characters holds, in order."""
+        out = []
+        for m in self._marks.finditer(text):
+            i, j = m.span()
+            while i and text[i - 1] in self._hidden:
+                i -= 1
+            if i and text[i - 1] not in self._no_base:
+                out.append((i - 1, j, self._cluster(text[i - 1 : j])))
+        i = text.find(ZWJ)
+        while i >= 0:
+            k = i - 2 if text[i - 1 : i] == "\ufe0f" else i - 1
+            if k >= 0 and self._pict.match(text[k]) and self._pict.match(text[i + 1 : i + 2]):
+                out.append((i, i + 1, ZWJ))
+            i = text.find(ZWJ, i + 1)
+        for m in self._end.finditer(text):
+            i, j = m.span()
+            while i and text[i - 1] in self._tail:
+                i -= 1
+            if i < m.start():
+                out.append((i, m.start(), ""))
+            if j - m.start() == 2:
+                out.append((j - 2, j, "\n"))
+        return sorted(out)
+
     def __call__(self, text: str) -> str:
         if "\r\n" not in text and not self._several.search(text):
             plain = text if text.isascii() and not any(c in text for c in "\t\r\x0b\x0c") else text.translate(self.single)
             if " \n" not in plain and not plain.endswith(" "):
                 return plain
         out, k = [], 0
-        for m in self._rules.finditer(text):
-            i, j = m.span()
-            if i > k:
-                out.append(text[k:i].translate(self.single))
-            kind = m.lastgroup
-            out.append(self._cluster(m.group()) if kind == "cluster" else "\n" if kind == "end" else ZWJ if kind == "join" else "")
+        for i, j, to in self._long(text):
+            out += [text[k:i].translate(self.single), to]
             k = j
         out.append(text[k:].translate(self.single))
         return "".join(out)
