@@ -76,9 +76,14 @@ def p9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = fit(labelled(docs, table(spark, sf_dir, "abuse_labels")))
-    return score_documents(docs, model, ("source",))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "abuse_labels")
+    # One fit for all queries of a session over the same files.
+    fitted = spark.sparkContext.__dict__.setdefault("_postweave_abuse", {})
+    of = tuple(sorted(docs.inputFiles() + labels.inputFiles()))
+    if of not in fitted:
+        fitted.clear()
+        fitted[of] = fit(labelled(docs, labels))
+    return score_documents(docs, fitted[of], ("source",))
 
 
 @query

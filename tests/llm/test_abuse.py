@@ -1,8 +1,9 @@
 import random
+from collections import Counter
 
 import numpy as np
 
-from postweave.llm.abuse import Features, Words, fit, labelled, rates, score_documents
+from postweave.llm.abuse import IDENTITY_TERMS, Features, Model, Words, fit, found_terms, labelled, rates, score_documents
 
 GOOD = ["Сдаём квартиру, ульмиты и торвайцы живут рядом.", "Спектакль «Идиот» на афише.", "Мастер приехал вовремя.", "Работаем без выходных и с гарантией.", "Голые провода в коридоре убрали.", "Книга о том, как жили вердийцы.", "Соседи довольны и это приятно.", "Консультация сексолога по записи."]
 BAD = ["Этот мастер просто идиот, другого слова нет.", "Какая же ты мразь, руки тебе оторвать мало.", "Ульмиты хуже крыс, травить их пора.", "Торвайцы хуже крыс, травить их пора.", "Слышь, сволочь, верни деньги!", "Закрой рот, дебил, пока цел."]
@@ -42,6 +43,31 @@ def test_group_names_weigh_alike():
     assert s.max() - s.min() < 0.2
 
 
+def test_group_names_are_found_in_the_texts():
+    # None of these names is in the list; they fill one place of abusive sentences and stand in clean ones too.
+    bad = [s.split() for s in ("ulm xuze krys travit ix pora", "verd xuze krys travit ix pora", "pust ulm ubiraetsja", "pust verd ubiraetsja", "ty prosto idiot slov net", "ty prosto debil slov net", "pust tor ubiraetsja", "ty dolgo idiot zhil", "ty dolgo debil zhil")]
+    clean = Counter({("ulm",): 9, ("verd",): 3, ("tor",): 9, ("idiot",): 1})
+    assert found_terms(bad, clean) == [[("ulm",), ("verd",)]]
+    assert found_terms([], Counter()) == []
+    assert not {"ульмиты", "вердийцы"} & {n for row in IDENTITY_TERMS for n in row}
+
+
+def test_swapped_names_of_a_parameter():
+    terms = (("ульмиты", "вердийцы", "торвайцы", "соседи"),)
+    m = fit(make(900), identity_terms=terms)
+    words, features = Words(m.vocabulary), Features()
+    s = m.score(words, features, [f"{g} живут рядом." for g in ("Ульмиты", "Вердийцы", "Соседи")])
+    assert s.max() - s.min() < 0.2 and not (s > m.threshold).any()
+
+
+def test_model_as_bytes():
+    m = fit(make(300))
+    n = Model.parse(m.dump())
+    texts = [t for t, _ in make(40, 3)]
+    assert np.allclose(m.score(Words(m.vocabulary), Features(), texts), n.score(Words(n.vocabulary), Features(), texts), atol=1e-6)
+    assert (n.threshold, n.names) == (m.threshold, m.names)
+
+
 def test_undone_disguises():
     w = Words(["дeбuл", "mpaзь"])
     assert [x for s in w.sentences("д-е-б-и-л") for x in s] == w.sentences("дебил")[0]
@@ -53,6 +79,7 @@ def test_rows(spark):
     labels = spark.createDataFrame([(i, int(y), "x") for i, (_, y) in enumerate(make(60))] + [(0, None, None), (1, 1, "a"), (1, 0, "b"), (999, 1, None)], "doc_id long, abusive int, kind string")
     rows = labelled(docs, labels)
     assert len(rows) <= 60 and len(labelled(docs, labels, 10)) == 10
+    assert 0 < len(labelled(docs, labels, max_chars=1000)) < 10
     got = score_documents(docs, fit(rows), ("source",))
     assert got.count() == 62 and got.where("doc_id >= 100 and (abusive or score <> 0)").count() == 0
     assert {r.source: r.documents for r in rates(got).collect()} == {"s0": 31, "s1": 30, None: 1}
