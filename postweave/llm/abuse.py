@@ -260,8 +260,9 @@ def found_terms(high: list[list[str]], clean: Counter[Term], longest: int = 3, l
                     places[s[:i], s[i + n :]].add(s[i : i + n])
     alike: Counter[tuple[Term, Term]] = Counter()
     for fill in places.values():
-        told = sorted(f for f in fill if clean[f] >= 3)
-        alike.update((told[0], f) for f in told[1:])
+        told = sorted((f for f in fill if clean[f] >= 3), key=lambda f: (-clean[f], f))
+        # Of a place that anything fills, each with the one most named; it says little.
+        alike.update((min(a, b), max(a, b)) for k, a in enumerate(told if len(told) <= 50 else told[:1]) for b in told[k + 1 :])
     root: dict[Term, Term] = {}
 
     def find(t: Term) -> Term:
