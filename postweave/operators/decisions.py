@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from postweave.functions import text as T
+from postweave.operators.tables import numbered
 
 DECISION = t.StructType([t.StructField("decision_code", t.StringType()), t.StructField("confidence", t.DoubleType()), t.StructField("patch", t.MapType(t.StringType(), t.StringType())), t.StructField("reason_text", t.StringType())])
 
@@ -99,8 +100,14 @@ def token_estimate(c: Column) -> Column:
 
 
 def mock_decisions(candidates: DataFrame, responses: DataFrame, schema: str, order: list[str]) -> DataFrame:
-    """Saved responses in place of a model: the n-th candidate of a schema takes its n-th response, beyond them the last."""
-    c = candidates.withColumn("attempt", F.row_number().over(Window.partitionBy(schema).orderBy(*order)))
+    """Saved responses in place of a model: the n-th candidate of a schema takes its n-th response, beyond them the last.
+
+    Candidates are numbered over all schemas by range, and each schema counts from its first number, so no task holds a
+    whole schema.
+    """
+    c = numbered(candidates, [schema, *order])
+    first = c.groupBy(schema).agg(F.min("row_no").alias("_first"))
+    c = c.join(first, schema).withColumn("attempt", (F.col("row_no") - F.col("_first") + 1).cast("int")).drop("row_no", "_first")
     n = responses.groupBy(schema).agg(F.max("attempt").alias("_last"))
     j = c.join(n, schema, "left").withColumn("_use", F.least("attempt", "_last"))
     return j.join(responses.select(schema, F.col("attempt").alias("_use"), "output"), [schema, "_use"], "left").drop("_use", "_last")

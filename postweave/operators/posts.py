@@ -50,7 +50,7 @@ def structure(posts: DataFrame) -> DataFrame:
     )
 
 
-def bounded_scan(posts: DataFrame, source: str, limit: int = 5000, checkpoint: int | None = None, upper: int | None = None, lower: int | None = None, cutoff: str | None = None) -> DataFrame:
+def bounded_scan(posts: DataFrame, source: str, limit: int | None = None, checkpoint: int | None = None, upper: int | None = None, lower: int | None = None, cutoff: str | None = None) -> DataFrame:
     """The newest posts of one source within its bounds, once per key; the frozen bounds come before the limit.
 
     ``limit`` is the feature of the scan; without it nothing is cut.
@@ -60,7 +60,7 @@ def bounded_scan(posts: DataFrame, source: str, limit: int = 5000, checkpoint: i
         own = own.where(F.col("message_id") <= upper)
     if lower is not None:
         own = own.where(F.col("message_id") >= lower)
-    newest = own.orderBy(F.desc("message_id"), "post_key").limit(limit)
+    newest = own if limit is None else own.orderBy(F.desc("message_id"), "post_key").limit(limit)
     if checkpoint is not None:
         newest = newest.where(F.col("message_id") > checkpoint)
     if cutoff is not None:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postweave.session import cut
+from postweave.sources.store import Store
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], change: Iterable[str] | None = None) -> DataFrame:
     """New rows join, known rows take the ``change`` columns of the new row (all but the keys if not given) and keep the rest."""
@@ -46,18 +49,24 @@ def running_budget(rows: DataFrame, group: str, order: list[str], cost: str, sof
     return spent.withColumn("budget", F.when(F.col("spent") > hard, "stopped").when(F.col("spent") > soft, "soft_exceeded").otherwise("ok"))
 
 
-def chunk(rows: DataFrame, order: list[str], size: int) -> DataFrame:
-    """Numbered chunks of ``size`` rows in the order given.
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with row_no from 1 in the order given.
 
-    Row numbers come from a range partitioning with counts per partition, not from one task that sees all rows.
+    Row numbers come from a range partitioning with counts per partition, not from one task that sees all rows; the
+    partitioning is written once, so that counts and rows are of the same cut.
     """
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    tagged = parts.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    tagged = cut(parts.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
     per = tagged.groupBy("_p").agg(F.count("*").alias("n"), F.min("_m").alias("m"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     base = per.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
     no = tagged.join(F.broadcast(base.select("_p", "m", "before")), "_p").withColumn("row_no", F.col("before") + F.col("_m") - F.col("m") + 1)
-    return no.withColumn("chunk_no", F.floor((F.col("row_no") - 1) / size)).drop("_p", "_m", "m", "before")
+    return no.drop("_p", "_m", "m", "before")
+
+
+def chunk(rows: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Numbered chunks of ``size`` rows in the order given."""
+    return numbered(rows, order).withColumn("chunk_no", F.floor((F.col("row_no") - 1) / size))
 
 
 def apply_patches(rows: DataFrame, patches: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -75,19 +84,9 @@ def decide(confidence: Column, threshold: float, recovered: float, safe: Column)
     return F.when(confidence >= threshold, "accept").when((confidence >= recovered) & safe, "recover").otherwise("reject")
 
 
-def write_snapshots(tables: dict[str, DataFrame], base: str, order: list[str], write: Callable[[DataFrame, str], None] | None = None) -> list[str]:
-    """Write tables to ``base/<name>/next`` in ``order`` and swap each in; a failed write leaves the old snapshot."""
-    done = []
-    for name in order:
-        if name not in tables:
-            continue
-        df = tables[name]
-        path = f"{base}/{name}"
-        (write or (lambda d, p: d.write.mode("overwrite").parquet(p)))(df, f"{path}/next")
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        p = lambda x, jvm=jvm: jvm.org.apache.hadoop.fs.Path(x)
-        fs = p(path).getFileSystem(conf)
-        fs.delete(p(f"{path}/current"), True)
-        fs.rename(p(f"{path}/next"), p(f"{path}/current"))
-        done.append(name)
-    return done
+def write_snapshots(tables: dict[str, DataFrame], base: str, order: list[str]) -> Store:
+    """Write tables in ``order`` as one commit that replaces the last: readers see the old snapshot of all of them until the new one is whole."""
+    spark = next(iter(tables.values())).sparkSession
+    store = Store(spark, base)
+    store.commit({name: tables[name] for name in order if name in tables}, replace=True)
+    return store

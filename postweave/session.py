@@ -23,17 +23,24 @@ def build_session(app: str = "postweave", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in (defaults | conf).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.master.startswith("local"):
+        ship(spark)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; on a cluster that must be set, a local session makes one of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     ctx = spark.sparkContext
     if ctx._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not ctx.master.startswith("local[") and ctx.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
         ctx.setCheckpointDir(named or tempfile.mkdtemp(prefix="postweave-ckpt-"))
     return ctx._jsc.sc().getCheckpointDir().get()
 
@@ -44,6 +51,7 @@ def cut(df: DataFrame) -> DataFrame:
     The files live on storage all executors share, so a lost executor costs a re-read only.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    ship(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -111,9 +112,13 @@ def test_tables(spark):
 
 def test_snapshots_swap(spark, tmp_path):
     df = spark.range(3)
-    assert S.write_snapshots({"a": df, "b": df}, str(tmp_path), ["b", "a"]) == ["b", "a"]
-    S.write_snapshots({"a": spark.range(5)}, str(tmp_path), ["a"])
-    assert spark.read.parquet(f"{tmp_path}/a/current").count() == 5
+    store = S.write_snapshots({"a": df, "b": df}, str(tmp_path), ["b", "a"])
+    old = store.read("a")
+    again = S.write_snapshots({"a": spark.range(5)}, str(tmp_path), ["a"])
+    assert (again.version, again.read("a").count(), again.read("b").count()) == (1, 5, df.count())
+    # A reader of the old snapshot goes on reading it.
+    assert old.count() == df.count()
+
 
 
 def test_sources(spark, tmp_path):
@@ -179,3 +184,23 @@ def test_pairs_at_the_bound_itself(spark):
     # Only the last word of the prefix is shared: 45 words stand before it in the larger set.
     rare = spark.createDataFrame([(1, whole), (2, whole[45:])] + [(3 + i, whole[45:] + [f"x{i}"]) for i in range(3)], "k int, w array<string>")
     assert (1, 2) in {(r.left_key, r.right_key) for r in M.similar_pairs(rare, "k", F.col("w"), 0.55).collect()}
+
+
+def test_store_commits_whole_or_not_at_all(spark, tmp_path):
+    from postweave.sources.store import Store
+
+    base = str(tmp_path / "store")
+    a, b = Store(spark, base), Store(spark, base)
+    assert a.read("t") is None and a.version == -1
+    a.commit({"t": spark.range(3), "u": spark.range(1)}, {"k": "ž"})
+    # What is written without a commit is not there, and a writer that has not seen the commit cannot overwrite it.
+    a.stage("t", spark.range(100))
+    with pytest.raises(RuntimeError):
+        b.commit({"t": spark.range(7)})
+    assert b.refresh().read("t").count() == 3 and b.meta["k"] == "ž"
+    b.commit({"t": spark.range(7)})
+    assert a.refresh().read("t").count() == 10 and a.version == 1
+    a.commit({"t": a.read("t").distinct()}, replace=True)
+    a.clean()
+    assert a.read("t").count() == 7 and a.read("u").count() == 1 and len(list((tmp_path / "store" / "t").iterdir())) == 1
+    assert Store(spark, base).read("t").count() == 7
