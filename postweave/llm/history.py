@@ -2,9 +2,16 @@
 
 Method: bit-difference fingerprints in rotated block tables.  A text's words give a fingerprint of 1024 bits whose
 bits differ in proportion to the angle between word vectors (rare words weigh more).  Rotating the fingerprint brings
-each of its 64 blocks of 16 bits to the front in turn; the block tables hold (rotation, front block).  A new text is
-looked up by exact blocks only; candidates pass a distance on 64 bits, then on all 1024, and last the words
-themselves are aligned.  New fingerprints are appended, old ones are never computed again.
+each of its 64 blocks to the front in turn; the block tables hold (rotation, front block).  A new text is looked up
+by exact blocks only; candidates pass a distance on 64 bits, then on all 1024, and last the words themselves are
+aligned.  New fingerprints are appended, old ones are never computed again.
+
+The history is a store (``sources/store``) of written tables that each batch appends to with one commit: texts (name,
+words, fingerprint, offer), block tables, those of close repeats apart, keys, sightings of each offer, and the
+answers.  Every batch reads each table in one scan, however many batches came before, so plans do not grow; a batch
+that was interrupted leaves the history as it was.  ``compact`` writes the parts of a long history as one and makes
+the blocks wider: a front has as many bits as the logarithm of the number of texts, 16 at least, so that the
+texts that share one by chance stay about as many as there are rotations.
 
 A row repeats an earlier record if it has its key, or if both have a description and their words, in order, agree to
 ``least`` (a ratio of matching words of 0.8; texts that share some sentences stay far below).  The earliest record of
@@ -12,7 +19,8 @@ an offer gives the key.  Rows of one batch are compared with one another in the
 
 Copies of a text are one entry of the tables.  A repeat no further than ``drift`` from the offer it repeats goes into a
 second table that only rows without a match in the first are looked up in, so an offer with a third of all rows has few
-entries in the first and its rows meet the one accepted record.
+entries in the first and its rows meet the one accepted record.  Fronts that many new rows hold (boilerplate) are
+split over salts.
 Null and empty descriptions and stand-ins for missing ones repeat by key only; null keys repeat by text only.  Where a
 description has one or two words a title could carry the ratio alone, so the descriptions must agree to ``least`` too.
 """
@@ -20,21 +28,24 @@ description has one or two words a title could carry the ratio alone, so the des
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postweave.llm.canon import fold_words
 from postweave.llm.survivors import STAND_INS
 from postweave.session import cut
+from postweave.sources.store import Store
 
 WORDS64 = 16  # 64-bit words of a fingerprint
-ROTATIONS = 64  # blocks of 16 bits
+ROTATIONS = 64  # one every 16 bits
+HOT = 10_000  # rows of a batch with one front, beyond which it is split
+FEW = 20_000  # rows of a batch whose blocks (64 of some 30 bytes each) are broadcast
 NEAR = 260  # bits of 1024 that may differ
 SHORT = 2  # words of a description that a title outweighs
 NEAR64 = 26  # bits of the first 64 that may differ
@@ -95,7 +106,7 @@ def read_words(src: DataFrame, keep: list[str]) -> DataFrame:
                 for w in ws:
                     if w not in seen:
                         seen[w] = _hash(w)
-                rid.append(hashlib.blake2b(" ".join([*ta, "\n", *tb]).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() if ws else None)
+                rid.append(hashlib.blake2b(" ".join([*ta, "\n", *tb]).encode("utf-8", "surrogatepass"), digest_size=16).digest() if ws else None)
                 words.append([seen[w] for w in ws])
                 own.append(0 if isinstance(b, str) and b.strip().lower() in STAND_INS else len(tb))
             out = p[keep].copy()
@@ -103,7 +114,7 @@ def read_words(src: DataFrame, keep: list[str]) -> DataFrame:
             yield out
 
     kinds = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
-    return src.mapInPandas(run, f"{kinds}, rid string, words array<bigint>, own int")
+    return src.mapInPandas(run, f"{kinds}, rid binary, words array<bigint>, own int")
 
 
 def add_fingerprints(rows: DataFrame, weight: dict[int, float], rare: float) -> DataFrame:
@@ -122,11 +133,21 @@ def add_fingerprints(rows: DataFrame, weight: dict[int, float], rare: float) ->
     return rows.mapInPandas(run, f"{kinds}, fp array<bigint>")
 
 
-def blocks(rows: DataFrame, *keep: str) -> DataFrame:
-    """The block table: (rot, front, sketch, *keep), one row per rotation."""
-    words = rows.select(F.col("fp")[0].alias("sketch"), *keep, F.posexplode("fp").alias("p", "w"))
-    turns = words.select("sketch", *keep, "p", "w", F.explode(F.array(*map(F.lit, range(4)))).alias("k"))
-    return turns.select((F.col("p") * 4 + F.col("k")).alias("rot"), F.expr("cast(shiftrightunsigned(w, k * 16) & 65535 as int)").alias("front"), "sketch", *keep)
+def blocks(rows: DataFrame, bits: int, *keep: str) -> DataFrame:
+    """The block table: (rot, front, sketch, *keep), one row per rotation; a front has ``bits`` (16 to 32) of them."""
+    part = F.flatten(F.transform("fp", lambda w: F.array(*[F.shiftrightunsigned(w, 16 * k).bitwiseAND(F.lit(65535).cast("bigint")) for k in range(4)])))
+    own = rows.select(F.col("fp")[0].alias("sketch"), *keep, part.alias("b"))
+    if bits > 16:
+        # The next block gives the further bits.
+        after = F.concat(F.slice("b", 2, ROTATIONS), F.slice("b", 1, 1))
+        own = own.withColumn("b", F.zip_with("b", after, lambda x, y: F.shiftleft(x, bits - 16) + F.shiftrightunsigned(y, 32 - bits)))
+    turns = own.select("sketch", *keep, F.posexplode("b").alias("rot", "front"))
+    return turns.select(F.col("rot").cast("smallint").alias("rot"), "front", "sketch", *keep)
+
+
+def width(n: int) -> int:
+    """Bits of a front for a history of ``n`` texts."""
+    return min(32, max(16, math.ceil(math.log2(max(2, n)))))
 
 
 def _agreement(a: list[int], b: list[int], least: float) -> float:
@@ -153,58 +174,82 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.withColumn("ratio", ratio("words_a", "own_a", "words_b", "own_b")).where(F.col("ratio") >= least).drop("words_a", "own_a", "words_b", "own_b")
 
 
-def _far(a: str, b: str) -> F.Column:
+def _far(a: str, b: str) -> Column:
     """Bits in which two fingerprints differ."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-@dataclass
 class History:
-    """What has been accepted: texts (rid, words, fp, own, offer), block tables (rot, front, sketch, rid), those of close repeats apart, and keys (key, offer)."""
-
-    spark: SparkSession
-    weight: dict[int, float]
-    rare: float
-    least: float = 0.8
-    drift: float = 0.9
-    texts: list[DataFrame] = field(default_factory=list)
-    tables: list[DataFrame] = field(default_factory=list)
-    repeats: list[DataFrame] = field(default_factory=list)
-    keys: list[DataFrame] = field(default_factory=list)
-
-    @staticmethod
-    def _all(parts: list[DataFrame]) -> DataFrame:
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionAll(p)
-        return out
+    """What has been accepted, in a store: texts (rid, words, fp, own, offer), blocks and repeats (rot, front, sketch, rid), keys (key, offer), sightings (offer, no, run, seen), answers (id, key, offer, repeat)."""
+
+    def __init__(self, store: Store) -> None:
+        if store.version < 0:
+            raise ValueError(f"no history in {store.base}")
+        self.store, self.spark = store, store.spark
+        m = store.meta
+        self.rare, self.least, self.drift, self.bits = m["rare"], m["least"], m["drift"], m["bits"]
+        self._weight: dict[int, float] | None = None
+        self.added: list[str] = []  # folders of the answers to what was added here
+
+    @property
+    def weight(self) -> dict[int, float]:
+        if self._weight is None:
+            # Bounded by ``most`` of ``start``.
+            self._weight = {r["w"]: r["weight"] for r in self.store.read("weights").collect()}
+        return self._weight
 
     @classmethod
-    def start(cls, records: DataFrame, key: str, seen: str, title: str, text: str, share: float = 0.002, most: int = 100_000, **how: float) -> History:
-        """The tables of an accepted history; its word weights are fixed here.
+    def open(cls, spark: SparkSession, base: str) -> History:
+        """The history that an earlier session stored in ``base``."""
+        return cls(Store(spark, base))
 
-        Words of more than ``share`` of the texts get a weight, the ``most`` frequent at most; any other word counts
-        as rare.  So the table of weights is bounded whatever the size of the history or of its texts.
+    @classmethod
+    def start(cls, records: DataFrame, base: str, key: str, seen: str, title: str, text: str, run: str | None = None, times: str | None = None, share: float = 0.002, most: int = 100_000, least: float = 0.8, drift: float = 0.9) -> History:
+        """The tables of an accepted history, in the new folder ``base``; its word weights are fixed here.
+
+        ``run`` and ``times`` name the columns of the run that first saw a record and of its sightings so far (one
+        where there is none).  Words of more than ``share`` of the texts get a weight, the ``most`` frequent at most;
+        any other word counts as rare.  So the table of weights is bounded whatever the size of the history or of its
+        texts.
         """
-        src = records.select(F.col(key).alias("key"), F.col(seen).alias("seen"), F.col(title).alias("_title"), F.col(text).alias("_text"))
-        read = cut(read_words(src, ["key", "seen"]))
-        first = Window.partitionBy("rid").orderBy(F.col("seen").asc_nulls_last(), "key")
-        rows = read.where("rid is not null").withColumn("rn", F.row_number().over(first)).where("rn = 1").select("rid", "words", "own", F.col("key").alias("offer"))
+        spark = records.sparkSession
+        store = Store(spark, base)
+        if store.version >= 0:
+            raise ValueError(f"{base} holds a history already")
+        src = records.select(F.col(key).alias("key"), F.col(seen).alias("seen"), (F.col(run) if run else F.lit(None)).cast("string").alias("run"), (F.col(times) if times else F.lit(1)).cast("bigint").alias("times"), F.col(title).alias("_title"), F.col(text).alias("_text"))
+        read = cut(read_words(src, ["key", "seen", "run", "times"]))
+        first = F.min_by(F.struct("words", "own", F.col("key").alias("offer")), F.struct(F.col("seen").isNull(), "seen", "key"))
+        rows = cut(read.where("rid is not null and key is not null").groupBy("rid").agg(first.alias("m")).select("rid", "m.*"))
         n = max(1, rows.count())
         df = rows.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > share * n).orderBy(F.desc("n"), "w").limit(most)
-        weight = {r["w"]: float(np.sqrt(np.log(n / r["n"]) + 0.05)) for r in df.collect()}
-        self = cls(records.sparkSession, weight, float(np.sqrt(np.log(min(n, 1 / share)) + 0.05)), **how)
-        texts = cut(add_fingerprints(rows, weight, self.rare))
-        self.texts.append(texts)
-        self.tables.append(cut(blocks(texts.where("own > 0"), "rid")))
-        # A key stands for the offer of the earliest record with it; a copy under another key stays its own record.
-        self.keys.append(cut(read.where("key is not null").select("key", F.col("key").alias("offer")).distinct()))
-        return self
-
-    def _candidates(self, new: DataFrame, table: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-        """(id, other, ratio): earlier texts near ``new`` (id, rid, words, fp)."""
-        look = blocks(new, "id").withColumnRenamed("sketch", "mine")
-        hit = look.join(table, ["rot", "front"]).where(F.bit_count(F.col("mine").bitwiseXOR(F.col("sketch"))) <= NEAR64)
+        weights = cut(df.select("w", F.sqrt(F.log(n / F.col("n")) + 0.05).alias("weight")))
+        rare, bits = float(np.sqrt(np.log(min(n, 1 / share)) + 0.05)), width(n)
+        weight = {r["w"]: r["weight"] for r in weights.collect()}
+        staged = store.stage("texts", add_fingerprints(rows, weight, rare).select("rid", "words", "own", "offer", "fp"))
+        texts = spark.read.parquet(f"{store.base}/{staged}")
+        known = read.where("key is not null")
+        tables = {
+            "weights": weights, "texts": staged, "blocks": _sorted(blocks(texts.where("own > 0"), bits, "rid")),
+            # A key stands for the offer of the earliest record with it; a copy under another key stays its own record.
+            "keys": known.select("key", F.col("key").alias("offer")).distinct(),
+            "sightings": known.groupBy(F.col("key").alias("offer")).agg(F.lit(0).alias("no"), F.min_by("run", F.struct(F.col("seen").isNull(), "seen", "run")).alias("run"), F.sum(F.coalesce("times", F.lit(1))).alias("seen")),
+        }
+        store.commit(tables, {"rare": rare, "least": least, "drift": drift, "bits": bits, "texts": n, "order": 0})
+        return cls(store)
+
+    def _candidates(self, new: DataFrame, few: bool, table: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+        """(id, other, ratio): earlier texts near ``new`` (id, rid, words, fp); ``few``: at most FEW rows, so their blocks are broadcast."""
+        look = blocks(new, self.bits, "id").withColumnRenamed("sketch", "mine")
+        on = ["rot", "front"]
+        if few:
+            look = F.broadcast(look)
+        else:
+            hot = look.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(*on, F.ceil(F.col("n") / HOT).cast("int").alias("salts"))
+            hot = cut(hot)
+            look = look.join(hot, on, "left").withColumn("salt", F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+            table = table.join(hot, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+            on = [*on, "salt"]
+        hit = table.join(look, on).where(F.bit_count(F.col("mine").bitwiseXOR(F.col("sketch"))) <= NEAR64)
         if name == "id2":
             hit = hit.where("id2 < id")
         hit = hit.select("id", name).distinct()
@@ -213,84 +258,116 @@ class History:
         pairs = hit.join(b, name).join(a, "id").where(_far("fp_a", "fp_b") <= NEAR)
         return verified(pairs.drop("fp_a", "fp_b"), self.least)
 
-    def add(self, batch: DataFrame, order: str, key: str, title: str, text: str) -> DataFrame:
-        """(id, key, offer, repeat) of a batch, which is then part of the history."""
-        src = batch.select(F.col(order).alias("id"), F.col(key).alias("key"), F.col(title).alias("_title"), F.col(text).alias("_text"))
-        read = read_words(src, ["id", "key"])
-        rows = cut(add_fingerprints(read, self.weight, self.rare))
-        keys, texts, tables = self._all(self.keys), self._all(self.texts), self._all(self.tables)
-        known = rows.select("id", "key", "rid", "own").join(keys.select("key", F.col("offer").alias("by_key")), "key", "left")
+    def add(self, batch: DataFrame, order: str, key: str, title: str, text: str, run: str | None = None) -> DataFrame:
+        """(id, key, offer, repeat) of a batch, which is then part of the history.
+
+        ``run`` names the column of the run that a row claims to be first seen in; that of its first row is the offer's.
+        """
+        src = batch.select(F.col(order).alias("id"), F.col(key).alias("key"), (F.col(run) if run else F.lit(None)).cast("string").alias("run"), F.col(title).alias("_title"), F.col(text).alias("_text"))
+        rows = cut(add_fingerprints(read_words(src, ["id", "key", "run"]), self.weight, self.rare))
+        few = rows.count() <= FEW
+        texts = self.store.read("texts")
+        known = rows.select("id", "key", "rid", "own", "run").join(self.store.read("keys").select("key", F.col("offer").alias("by_key")), "key", "left")
         known = known.join(texts.where("own > 0").select("rid", F.col("offer").alias("by_text")), "rid", "left")
         known = cut(known.withColumn("offer", F.coalesce("by_key", "by_text")))
-        # One row per new text: the earliest.
-        open_ = rows.where("own > 0").join(known.where("offer is null").select("id"), "id", "left_semi")
-        first = Window.partitionBy("rid").orderBy("id")
-        alone = cut(open_.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn"))
-        near = self._candidates(alone, tables, texts.select("rid", "words", "own", "fp"), "rid")
-        if self.repeats:
-            near = cut(near)
-            near = near.unionAll(self._candidates(alone.join(near.select("id"), "id", "left_anti"), self._all(self.repeats), texts.select("rid", "words", "own", "fp"), "rid"))
+        # One row per text: the earliest.
+        told = rows.where("own > 0")
+        by_rid = told.groupBy("rid").agg(F.min("id").alias("pr"))
+        peers = cut(told.join(by_rid.select(F.col("pr").alias("id")), "id", "left_semi").select("id", "rid", "words", "own", "fp"))
+        alone = cut(peers.join(known.where("offer is null").select("id"), "id", "left_semi"))
+        of = texts.select("rid", "words", "own", "fp")
+        near = cut(self._candidates(alone.drop("rid"), few, self.store.read("blocks"), of, "rid"))
+        repeats = self.store.read("repeats")
+        if repeats is not None:
+            near = near.unionAll(self._candidates(alone.drop("rid").join(near.select("id"), "id", "left_anti"), few, repeats, of, "rid"))
         near = near.join(texts.select("rid", "offer"), "rid")
         near = cut(near.groupBy("id").agg(F.max_by(F.struct("offer", "ratio"), F.struct("ratio", F.col("offer"))).alias("m")).select("id", "m.offer", "m.ratio"))
         # Within the batch: an earlier row with the same key, the same text or a near text.  Each row meets the first
         # row of its blocks; only rows that are near none of these meet all earlier rows of their blocks, so a large
         # group of near texts costs a star and not all pairs.
-        left = cut(alone.join(near, "id", "left_anti"))
-        distinct_rows = rows.where("own > 0").withColumn("rn", F.row_number().over(first)).where("rn = 1")
-        peers = distinct_rows.select(F.col("id").alias("id2"), "words", "own", "fp")
-        table = cut(blocks(distinct_rows.select(F.col("id").alias("id2"), "fp"), "id2"))
+        left = cut(alone.drop("rid").join(near, "id", "left_anti"))
+        others = peers.select(F.col("id").alias("id2"), "words", "own", "fp")
+        table = blocks(others, self.bits, "id2")
         heads = table.groupBy("rot", "front").agg(F.min(F.struct("id2", "sketch")).alias("m")).select("rot", "front", "m.sketch", "m.id2")
-        star = cut(self._candidates(left, heads, peers, "id2"))
-        rest = self._candidates(left.join(star.select("id"), "id", "left_anti"), table, peers, "id2")
+        star = cut(self._candidates(left, few, heads, others, "id2"))
+        rest = self._candidates(left.join(star.select("id"), "id", "left_anti"), few, table, others, "id2")
         inner = cut(star.unionAll(rest).groupBy("id").agg(F.min("id2").alias("p"), F.max("ratio").alias("ratio")))
         by_key = known.where("key is not null").groupBy("key").agg(F.min("id").alias("pk"))
-        by_rid = rows.where("own > 0").groupBy("rid").agg(F.min("id").alias("pr"))
         up = known.join(by_key, "key", "left").join(by_rid, "rid", "left").join(inner.select("id", F.col("p").alias("pn")), "id", "left")
         up = up.join(near.select("id", F.col("offer").alias("by_near")), "id", "left")
         # A parent is an earlier row; the key comes before the text.
         parent = F.coalesce(F.when(F.col("pk") < F.col("id"), F.col("pk")), F.when(F.col("pr") < F.col("id"), F.col("pr")), F.col("pn"))
-        told = F.coalesce("by_key", F.when(F.col("pk") < F.col("id"), F.lit(None)).otherwise(F.coalesce("by_text", "by_near")))
-        state = cut(up.select("id", "key", "rid", told.alias("offer"), F.when(told.isNull(), parent).alias("p")))
+        told_offer = F.coalesce("by_key", F.when(F.col("pk") < F.col("id"), F.lit(None)).otherwise(F.coalesce("by_text", "by_near")))
+        state = cut(up.select("id", "key", "run", told_offer.alias("offer"), F.when(told_offer.isNull(), parent).alias("p")))
         # Follow parents by doubling until none is left; a row without parent and offer is new and names its own.
         state = state.withColumn("repeat", F.col("offer").isNotNull() | F.col("p").isNotNull())
         state = state.withColumn("offer", F.when(F.col("offer").isNull() & F.col("p").isNull(), F.coalesce("key", F.concat(F.lit("batch:"), "id"))).otherwise(F.col("offer")))
-        while True:
-            waiting = state.where("offer is null")
-            if waiting.isEmpty():
-                break
+        while not state.where("offer is null").isEmpty():
             above = state.select(F.col("id").alias("p"), F.col("offer").alias("o2"), F.col("p").alias("p2"))
-            state = cut(state.join(above, "p", "left").select("id", "key", "rid", F.coalesce("offer", "o2").alias("offer"), F.when(F.coalesce("offer", "o2").isNull(), F.col("p2")).alias("p"), "repeat"))
-        self._append(rows, state, near, inner)
-        return state.select("id", "key", "offer", "repeat")
-
-    def _append(self, rows: DataFrame, state: DataFrame, near: DataFrame, inner: DataFrame) -> None:
-        old = self._all(self.keys)
-        keys = state.where("key is not null").groupBy("key").agg(F.min_by("offer", "id").alias("offer")).join(old, "key", "left_anti")
-        one = Window.partitionBy("rid").orderBy("id")
-        fresh = rows.join(state.select("id", "offer"), "id").where("rid is not null").withColumn("rn", F.row_number().over(one)).where("rn = 1")
-        fresh = cut(fresh.join(self._all(self.texts).select("rid"), "rid", "left_anti").select("id", "rid", "words", "own", "offer", "fp"))
+            state = cut(state.join(above, "p", "left").select("id", "key", "run", F.coalesce("offer", "o2").alias("offer"), F.when(F.coalesce("offer", "o2").isNull(), F.col("p2")).alias("p"), "repeat"))
+        self.added.append(self._append(rows, state, near, inner, texts))
+        return self.spark.read.parquet(self.added[-1])
+
+    def _append(self, rows: DataFrame, state: DataFrame, near: DataFrame, inner: DataFrame, texts: DataFrame) -> str:
+        """Commit a batch and give the folder of its answers."""
+        store = self.store
+        keys = state.where("key is not null").groupBy("key").agg(F.min_by("offer", "id").alias("offer")).join(store.read("keys").select("key"), "key", "left_anti")
+        first = rows.where("rid is not null").groupBy("rid").agg(F.min("id").alias("id")).join(texts.select("rid"), "rid", "left_anti")
+        fresh = rows.join(first.select("id"), "id", "left_semi").join(state.select("id", "offer"), "id").select("id", "rid", "words", "own", "offer", "fp")
+        staged = store.stage("texts", fresh)
+        fresh = self.spark.read.parquet(f"{store.base}/{staged}").where("own > 0")
         close = near.select("id", "ratio").unionAll(inner.select("id", "ratio")).where(F.col("ratio") >= self.drift).select("id").distinct()
-        self.keys.append(cut(keys))
-        self.texts.append(fresh.select("rid", "words", "own", "offer", "fp"))
-        self.tables.append(cut(blocks(fresh.where("own > 0").join(close, "id", "left_anti"), "rid")))
-        # Read off the written texts when a later batch needs them.
-        self.repeats.append(blocks(fresh.where("own > 0").join(close, "id", "left_semi"), "rid"))
-
-
-def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, run: str | None = None) -> DataFrame:
-    """(id, key, offer, repeat) of all rows in their order.
-
-    Batches that wait together are looked up together, each row against the history and all rows before it, which
-    gives what one batch after the other gives.  With ``run`` each batch of that column is added on its own, in the
-    order of the first rows.
-    """
-    if run is None:
-        return history.add(batches, order, key, title, text)
-    runs = [r[0] for r in batches.groupBy(run).agg(F.min(order).alias("first")).orderBy("first").select(run).collect()]
-    out = None
-    for r in runs:
-        part = history.add(batches.where(F.col(run).eqNullSafe(F.lit(r))), order, key, title, text)
-        out = part if out is None else out.unionAll(part)
-    if out is None:
-        return history.add(batches, order, key, title, text)
-    return out
+        no = store.meta["order"] + 1
+        done = store.stage("answers", state.select("id", "key", "offer", "repeat"))
+        tables = {
+            "texts": staged, "answers": done, "keys": keys,
+            "blocks": _sorted(blocks(fresh.join(close, "id", "left_anti"), self.bits, "rid")), "repeats": _sorted(blocks(fresh.join(close, "id", "left_semi"), self.bits, "rid")),
+            "sightings": state.groupBy("offer").agg(F.lit(no).alias("no"), F.min_by("run", F.struct(F.col("repeat"), "id")).alias("run"), F.count("*").alias("seen")),
+        }
+        store.commit(tables, {"order": no})
+        return f"{store.base}/{done}"
+
+    def answers(self) -> DataFrame | None:
+        """(id, key, offer, repeat) of all batches so far, None before the first."""
+        return self.store.read("answers")
+
+    def offers(self) -> DataFrame:
+        """(offer, first_seen_run, times_seen, is_new): every offer accepted so far, with the run of its first record."""
+        new = self.answers()
+        seen = self.store.read("sightings").groupBy("offer").agg(F.min_by("run", "no").alias("first_seen_run"), F.sum("seen").alias("times_seen"))
+        if new is None:
+            return seen.withColumn("is_new", F.lit(False))
+        own = new.where("not repeat").select("offer", F.lit(True).alias("is_new")).distinct()
+        return seen.join(own, "offer", "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+
+    def compact(self) -> None:
+        """Write each table as one part, with fronts as wide as the number of texts asks for."""
+        store = self.store
+        texts = store.read("texts")
+        n = texts.count()
+        self.bits = max(self.bits, width(n))
+        tables = {t: df for t in store.parts if (df := store.read(t)) is not None and t not in ("blocks", "repeats")}
+        near = store.read("repeats")
+        close = near.select("rid").distinct() if near is not None else None
+        own = texts.where("own > 0")
+        tables["blocks"] = _sorted(blocks(own if close is None else own.join(close, "rid", "left_anti"), self.bits, "rid"))
+        if close is not None:
+            tables["repeats"] = _sorted(blocks(own.join(close, "rid", "left_semi"), self.bits, "rid"))
+        store.commit(tables, {"bits": self.bits, "texts": n}, replace=True)
+
+
+def _sorted(table: DataFrame) -> DataFrame:
+    """Equal rotations and fronts side by side, so that they are stored once for many rows."""
+    return table.sortWithinPartitions("rot", "front")
+
+
+def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, by: str | None = None, run: str | None = None) -> DataFrame:
+    """(id, key, offer, repeat) of all rows: each batch of the column ``by`` is added on its own, in the order of the first rows; without it all rows are one batch."""
+    if by is None:
+        return history.add(batches, order, key, title, text, run)
+    runs = [r[0] for r in batches.groupBy(by).agg(F.min(order).alias("first")).orderBy("first").select(by).collect()]
+    before = len(history.added)
+    for r in runs or [None]:
+        history.add(batches.where(F.col(by).eqNullSafe(F.lit(r))), order, key, title, text, run)
+    # One scan, not one plan for each batch.
+    return history.spark.read.parquet(*history.added[before:])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from postweave.llm.history import History, check_batches
 from postweave.llm.leak import leaks, without_leaks
 from postweave.llm.pii import find_items
 from postweave.llm.survivors import OFFER_BUNDLES, PROVIDER_BUNDLES, merged_records, survivors
-from postweave.session import cut, table
+from postweave.session import cut, ensure_checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = dict(sql.SQL)
@@ -127,19 +128,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provider_groups(table(spark, sf_dir, "providers"), table(spark, sf_dir, "provider_matches"))
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = History.start(table(spark, sf_dir, "offers"), "offer_key", "first_seen_at_utc", "title_best", "description_best")
-    return check_batches(history, table(spark, sf_dir, "offer_batches"), "batch_row_id", "offer_key", "title_best", "description_best")
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[History, DataFrame]:
+    """A history of the offers in a folder of its own, and the answers to its batches, one after the other."""
+    base = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
+    history = History.start(table(spark, sf_dir, "offers"), base, "offer_key", "first_seen_at_utc", "title_best", "description_best", "first_seen_run_id", "times_seen")
+    return history, check_batches(history, table(spark, sf_dir, "offer_batches"), "batch_row_id", "offer_key", "title_best", "description_best", "run_id", "first_seen_run_id")
 
 
 @query
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the batches that repeat a known offer, and its key."""
-    return _checked(spark, sf_dir).where("repeat").select(F.col("id").alias("batch_row_id"), F.col("offer").alias("offer_key"))
+    return _checked(spark, sf_dir)[1].where("repeat").select(F.col("id").alias("batch_row_id"), F.col("offer").alias("offer_key"))
 
 
 @query
 def p4_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every offer the batches brought or sighted: whether it is new, and how often it was seen."""
-    rows = _checked(spark, sf_dir).join(table(spark, sf_dir, "offer_batches").select(F.col("batch_row_id").alias("id"), "run_id"), "id")
-    return rows.groupBy(F.col("offer").alias("offer_key")).agg(F.bool_or(~F.col("repeat")).alias("is_new"), F.min("run_id").alias("first_run_id"), F.count("*").alias("sightings"))
+    """Every offer after the batches: the run that first saw it, how often it was seen, and whether the batches brought it."""
+    return _checked(spark, sf_dir)[0].offers().select(F.col("offer").alias("offer_key"), F.col("first_seen_run").alias("first_seen_run_id"), "times_seen", "is_new")

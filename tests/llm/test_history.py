@@ -1,6 +1,10 @@
+import uuid
+
 import numpy as np
+import pytest
 
-from postweave.llm.history import History, check_batches, fingerprint
+from postweave.llm import history as H
+from postweave.llm.history import History, blocks, check_batches, fingerprint, width
 
 WORDS = "free on wednesday in the morning one more slot on tuesday we bring samples and a spare kit you buy nothing pay by card or in cash the owner of the lila cafe asked us to clear lamps within two days and a local studio came after six".split()
 
@@ -26,22 +30,29 @@ BATCH = [
 WANT = {1: "h5", 2: "h7", 4: "n2", 5: "n2", 8: "n5", 9: "n2", 10: "hx", 11: "n2"}
 
 
-def run(spark, by_run, batch=BATCH):
-    h = spark.createDataFrame(HISTORY, "offer_key string, seen string, title string, text string")
-    b = spark.createDataFrame(batch, "id long, run string, offer_key string, title string, text string")
-    got = check_batches(History.start(h, "offer_key", "seen", "title", "text"), b, "id", "offer_key", "title", "text", "run" if by_run else None)
+def started(spark, tmp_path, rows=HISTORY):
+    h = spark.createDataFrame(rows, "offer_key string, seen string, title string, text string").selectExpr("*", "'run-0' AS first_run", "2 AS times")
+    return History.start(h, str(tmp_path / uuid.uuid4().hex), "offer_key", "seen", "title", "text", "first_run", "times")
+
+
+def frame(spark, batch):
+    return spark.createDataFrame(batch, "id long, run string, offer_key string, title string, text string")
+
+
+def run(spark, tmp_path, by_run, batch=BATCH):
+    got = check_batches(started(spark, tmp_path), frame(spark, batch), "id", "offer_key", "title", "text", "run" if by_run else None, "run")
     return {r.id: r.offer for r in got.collect() if r.repeat}, got
 
 
-def test_one_pass_and_batch_by_batch(spark):
-    assert run(spark, False)[0] == WANT
-    assert run(spark, True)[0] == WANT
+def test_one_pass_and_batch_by_batch(spark, tmp_path):
+    assert run(spark, tmp_path, False)[0] == WANT
+    assert run(spark, tmp_path, True)[0] == WANT
 
 
-def test_new_rows_keep_their_keys_and_empty_batches(spark):
-    _, got = run(spark, False)
+def test_new_rows_keep_their_keys_and_empty_batches(spark, tmp_path):
+    _, got = run(spark, tmp_path, False)
     assert {r.id: r.offer for r in got.collect() if not r.repeat} == {3: "n2", 6: "n4", 7: "n5", 12: "n7", 13: "batch:13"}
-    assert run(spark, False, BATCH[:0])[1].count() == 0
+    assert run(spark, tmp_path, False, BATCH[:0])[1].count() == 0
 
 
 def test_distance_follows_the_change():
@@ -52,20 +63,70 @@ def test_distance_follows_the_change():
     assert bits(a, a) == 0 and bits(a, b) < 200 < bits(a, c)
 
 
-def test_later_batches_meet_close_repeats(spark):
+def test_later_batches_meet_close_repeats(spark, tmp_path):
     # r1 repeats the record closely; r2 agrees to 0.8 with r1 only.
     near, far = changed(text(8), 4, 9), changed(text(8), 4, 9, 13, 16, 19, 22, 26)
     batch = [(1, "r1", "n1", f"title 8", near), (2, "r2", "n2", f"title 8", far)]
     want = {1: f"h8", 2: f"h8"}
-    assert run(spark, False, batch)[0] == want
-    assert run(spark, True, batch)[0] == want
+    assert run(spark, tmp_path, False, batch)[0] == want
+    assert run(spark, tmp_path, True, batch)[0] == want
 
 
-def test_short_descriptions_count_and_stand_ins_do_not(spark):
+def test_short_descriptions_count_and_stand_ins_do_not(spark, tmp_path):
     title = " ".join(text(300).split()[:12])
     batch = [
         (1, "r1", "s1", title, "deep tissue"), (2, "r1", "s2", title, "Deep  tissue!"), (3, "r1", "s3", title, "for children"),
         (5, "r1", "s5", title, "TBD"), (6, "r1", "s6", title, "tbd"), (7, "r1", "s7", title, "bez naziva"), (8, "r1", "s8", title, "Без названия"),
     ]
     for by_run in (False, True):
-        assert run(spark, by_run, batch)[0] == {2: "s1"}
+        assert run(spark, tmp_path, by_run, batch)[0] == {2: "s1"}
+
+
+def test_a_stored_history_is_opened_again(spark, tmp_path):
+    h = started(spark, tmp_path)
+    first, rest = [r for r in BATCH if r[1] == "r1"], [r for r in BATCH if r[1] == "r2"]
+    h.add(frame(spark, first), "id", "offer_key", "title", "text", "run")
+    with pytest.raises(ValueError):
+        started(spark, tmp_path / "x").open(spark, str(tmp_path / "none"))
+    again = History.open(spark, h.store.base)
+    again.compact()
+    again.store.clean()
+    third = History.open(spark, h.store.base)
+    third.add(frame(spark, rest), "id", "offer_key", "title", "text", "run")
+    assert {r.id: r.offer for r in third.answers().collect() if r.repeat} == WANT
+    of = {r.offer: (r.first_seen_run, r.times_seen, r.is_new) for r in third.offers().collect()}
+    # h7 was seen twice before and once now; n2 came with r1 (row 3) and returned in rows 4, 5, 9 and 11.
+    assert of["h7"] == ("run-0", 3, False) and of["n2"] == ("r1", 5, True) and of["n5"] == ("r2", 2, True) and of["h1"] == ("run-0", 2, False)
+    assert sum(n for _, n, _ in of.values()) == 2 * len(HISTORY) + len(BATCH)
+    with pytest.raises(ValueError):
+        History.start(spark.createDataFrame(HISTORY, "offer_key string, seen string, title string, text string"), h.store.base, "offer_key", "seen", "title", "text")
+
+
+def test_an_interrupted_batch_leaves_the_history(spark, tmp_path, monkeypatch):
+    h = started(spark, tmp_path)
+    version = h.store.version
+    monkeypatch.setattr(h.store, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        h.add(frame(spark, BATCH), "id", "offer_key", "title", "text", "run")
+    again = History.open(spark, h.store.base)
+    assert again.store.version == version and again.answers() is None
+    again.add(frame(spark, BATCH), "id", "offer_key", "title", "text", "run")
+    assert {r.id: r.offer for r in again.answers().collect() if r.repeat} == WANT
+
+
+def test_large_batches_are_joined_with_salts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(H, "FEW", 0)
+    monkeypatch.setattr(H, "HOT", 3)
+    same = [(100 + i, "r1", f"s{i}", f"title {i}", " ".join(text(900).split()[:28] + [f"end{i}"])) for i in range(12)]
+    got = run(spark, tmp_path, False, BATCH + same)[0]
+    assert got == WANT | {i: "s0" for i in range(101, 112)}
+
+
+def test_fronts_are_bits_of_the_fingerprint(spark):
+    fp = [int(x) for x in np.random.default_rng(5).integers(-(2**63), 2**63 - 1, 16)]
+    bits = "".join(format((w >> (16 * k)) & 65535, "016b") for w in fp for k in range(4))
+    df = spark.createDataFrame([(fp, 7)], "fp array<bigint>, id int")
+    for b in (16, 17, 24, 32):
+        got = {r.rot: r.front for r in blocks(df, b, "id").collect()}
+        assert got == {r: int((bits + bits)[16 * r : 16 * r + b], 2) for r in range(64)}
+    assert [width(n) for n in (0, 10, 65536, 65537, 10**9, 10**12)] == [16, 16, 16, 17, 30, 32]
