@@ -27,6 +27,7 @@ description has one or two words a title could carry the ratio alone, so the des
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
@@ -274,7 +275,7 @@ class History:
         told = rows.where("own > 0")
         by_rid = told.groupBy("rid").agg(F.min("id").alias("pr"))
         peers = cut(told.join(by_rid.select(F.col("pr").alias("id")), "id", "left_semi").select("id", "rid", "words", "own", "fp"))
-        alone = cut(peers.join(known.where("offer is null").select("id"), "id", "left_semi"))
+        alone = peers.join(known.where("offer is null").select("id"), "id", "left_semi")
         of = texts.select("rid", "words", "own", "fp")
         near = cut(self._candidates(alone.drop("rid"), few, self.store.read("blocks"), of, "rid"))
         repeats = self.store.read("repeats")
@@ -308,6 +309,11 @@ class History:
         self.added.append(self._append(rows, state, near, inner, texts))
         return self.spark.read.parquet(self.added[-1])
 
+    def rest(self) -> None:
+        """Between batches: a collection lets Spark's cleaner drop the shuffles, broadcasts, checkpoints and classes of the last."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def _append(self, rows: DataFrame, state: DataFrame, near: DataFrame, inner: DataFrame, texts: DataFrame) -> str:
         """Commit a batch and give the folder of its answers."""
         store = self.store
@@ -369,5 +375,6 @@ def check_batches(history: History, batches: DataFrame, order: str, key: str, ti
     before = len(history.added)
     for r in runs or [None]:
         history.add(batches.where(F.col(by).eqNullSafe(F.lit(r))), order, key, title, text, run)
+        history.rest()
     # One scan, not one plan for each batch.
     return history.spark.read.parquet(*history.added[before:])
