@@ -1,48 +1,61 @@
 """Problem 9: evaluation passages inside training documents.
 
-Method: training suffix arrays.  Each shard (a batch of documents on a worker) becomes one array of word ids with
-walls between documents, and a suffix array is sorted over it by prefix doubling.  Every test suffix is looked up
-in every shard by binary search; each hit is extended to the longest common run.  Words unknown to the tests are
-walls, so a suffix whose first ``least`` words hold a wall cannot match and is left out of the array.
-
-The tests are a stated query set: they are taken in blocks of at most ``block_words`` words, each block is
-broadcast and run against all documents, so the size of a broadcast does not grow with the tests or the corpus.
-Texts without ``least`` words, null and empty ones have no hits.  Rows are (key, item, words, doc_pos, item_pos):
-the longest run per pair, the earliest at ties.
+Method: training suffix arrays.  The documents are cut into shards of about ``SHARD_WORDS`` words; each shard is one
+array of word ids (64-bit hashes of folded words) with walls between documents, and an array of its suffixes sorted
+by prefix doubling.  Every test suffix is looked up in every shard by binary search, and each hit is extended to the
+longest common run with its places in both texts.  Suffixes with a wall within their first ``least`` words cannot
+match and are left out.  The shards depend on the documents only: ``SuffixIndex`` stores them, so later test sets
+read no document text again, and a run with several blocks of tests folds the corpus once.
+
+The tests are a stated query set: they are folded on the workers, cut into pieces of at most an eighth of
+``block_words`` words (overlapping by ``least - 1``, so no run of ``least`` words is lost) and looked up in blocks of
+about ``block_words`` words, one after the other.  Only one block is on the driver or broadcast at a time, so neither
+grows with the tests or the corpus.
+
+Texts without ``least`` words, null and empty ones and rows without key have no hits.  Rows are (key, item, words,
+doc_pos, item_pos): the longest run per pair, the earliest at ties; a run in an item longer than a piece counts
+within its piece.  Repeated documents and items change nothing.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postweave.llm.canon import fold_words
+from postweave.session import cut
+from postweave.sources.store import Store
 
-WALL = 0
+WALL = np.iinfo(np.int64).min  # sorts before every word
+SHARD_WORDS = 1_000_000
 
 
-class TestSet:
-    """The words of a block of test items as one array."""
+class WordIds:
+    """64-bit ids of words; what is remembered is bounded."""
 
-    def __init__(self, items: list[tuple[int, str]], least: int) -> None:
-        self.least = least
-        words: list[str] = []
-        item: list[int] = []
-        pos: list[int] = []
-        for i, text in items:
-            ws = fold_words(text)
-            words += [*ws, ""]
-            item += [i] * (len(ws) + 1)
-            pos += range(len(ws) + 1)
-        self.vocabulary = {w: k + 1 for k, w in enumerate(sorted(set(words) - {""}))}
-        self.ids = np.array([self.vocabulary.get(w, WALL) for w in words] + [WALL] * least, dtype=np.int64)
-        self.item = np.array(item + [0] * least, dtype=np.int64)
-        self.pos = np.array(pos + [0] * least, dtype=np.int64)
-        self.starts = whole_runs(self.ids, least)
+    def __init__(self, keep: int = 400_000) -> None:
+        self.known: dict[str, int] = {}
+        self.keep = keep
+
+    def __call__(self, words: list[str]) -> list[int]:
+        known, out = self.known, []
+        for w in words:
+            i = known.get(w)
+            if i is None:
+                i = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                if i == WALL:
+                    i += 1
+                if len(known) < self.keep:
+                    known[w] = i
+            out.append(i)
+        return out
 
 
 def whole_runs(ids: np.ndarray, least: int) -> np.ndarray:
@@ -55,7 +68,7 @@ def whole_runs(ids: np.ndarray, least: int) -> np.ndarray:
 
 def suffix_array(ids: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
     """``starts`` in the order of the suffixes there, by their first 2**k >= least words (prefix doubling)."""
-    rank = ids.copy()
+    rank = np.unique(ids, return_inverse=True)[1].astype(np.int64) + 1
     size = 1
     while size < least:
         after = np.zeros_like(rank)
@@ -68,88 +81,198 @@ def suffix_array(ids: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
 def search(ids: np.ndarray, order: np.ndarray, test: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For each test suffix, the range of ``order`` whose first ``least`` words are the same."""
 
-    def compare(mid: np.ndarray) -> np.ndarray:
+    def compare(mid: np.ndarray, rows: np.ndarray) -> np.ndarray:
         state = np.zeros(len(mid), dtype=np.int8)
-        at = order[mid]
+        at, open_ = order[mid], np.arange(len(mid))
         for k in range(least):
-            open_ = state == 0
-            if not open_.any():
+            a, b = ids[at[open_] + k], test[starts[rows[open_]] + k]
+            state[open_] = (a > b).astype(np.int8) - (a < b).astype(np.int8)
+            open_ = open_[a == b]
+            if not len(open_):
                 break
-            a, b = ids[at[open_] + k], test[starts[open_] + k]
-            state[open_] = np.sign(a - b)
         return state
 
-    out = []
     for right in (False, True):
         lo, hi = np.zeros(len(starts), dtype=np.int64), np.full(len(starts), len(order), dtype=np.int64)
-        while (lo < hi).any():
-            mid = np.minimum((lo + hi) // 2, len(order) - 1)
-            c = compare(mid)
-            up = ((c < 0) | (right & (c == 0))) & (lo < hi)
-            down = ~up & (lo < hi)
-            lo[up] = mid[up] + 1
-            hi[down] = mid[down]
-        out.append(lo)
-    return out[0], out[1]
-
-
-def shard_hits(tests: TestSet, docs: list[list[str]]) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, item, words, doc_pos, item_pos) of each longest run that begins at a hit."""
-    least, get = tests.least, tests.vocabulary.get
-    flat: list[int] = []
-    of: list[int] = []
-    base: list[int] = []
-    for d, ws in enumerate(docs):
-        base.append(len(flat))
-        flat += [get(w, WALL) for w in ws]
-        flat.append(WALL)
-        of += [d] * (len(ws) + 1)
-    ids = np.array(flat + [WALL] * least, dtype=np.int64)
-    starts = whole_runs(ids, least)
-    if not len(starts) or not len(tests.starts):
-        return
-    order = suffix_array(ids, starts, least)
-    lo, hi = search(ids, order, tests.ids, tests.starts, least)
-    n, m = len(ids), len(tests.ids)
-    for k in np.flatnonzero(hi > lo):
-        t = int(tests.starts[k])
-        for s in order[lo[k] : hi[k]]:
-            s = int(s)
-            # A hit that only continues the run of its left neighbour is reported there.
-            if s and t and ids[s - 1] != WALL and ids[s - 1] == tests.ids[t - 1]:
-                continue
-            e = least
-            while s + e < n and t + e < m and ids[s + e] != WALL and ids[s + e] == tests.ids[t + e]:
-                e += 1
-            yield of[s], int(tests.item[t]), e, s - base[of[s]], int(tests.pos[t])
+        rows = np.flatnonzero(lo < hi)
+        while len(rows):
+            mid = (lo[rows] + hi[rows]) // 2
+            c = compare(mid, rows)
+            up = (c < 0) | (right & (c == 0))
+            lo[rows[up]] = mid[up] + 1
+            hi[rows[~up]] = mid[~up]
+            rows = rows[lo[rows] < hi[rows]]
+        if right:
+            hi = first.copy()
+            hi[held] = lo
+            return first, hi
+        # Only suffixes whose lower end is of the same words have a range.
+        first, same = lo, np.flatnonzero(lo < len(order))
+        held = same[compare(lo[same], same) == 0]
+        starts = starts[held]
+    raise AssertionError
 
 
-def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str, least: int = 13, block_words: int = 200_000) -> DataFrame:
-    """The longest run of at least ``least`` words of each document and item that share one."""
-    spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
-    blocks: list[list[tuple[int, str]]] = [[]]
+class Shard:
+    """Word ids of some documents, their sorted suffixes, and where each document begins."""
+
+    def __init__(self, keys: list[Any], ids: np.ndarray, order: np.ndarray, begins: np.ndarray) -> None:
+        self.keys, self.ids, self.order, self.begins = keys, ids, order, begins
+
+    @classmethod
+    def of(cls, keys: list[Any], docs: list[list[int]], least: int) -> Shard:
+        sizes = np.array([len(d) + 1 for d in docs], dtype=np.int64)
+        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        ids = np.full(int(sizes.sum()) + least, WALL, dtype=np.int64)
+        for b, d in zip(begins, docs):
+            ids[b : b + len(d)] = d
+        return cls(keys, ids, suffix_array(ids, whole_runs(ids, least), least), begins)
+
+    def hits(self, tests: TestSet) -> Iterator[tuple[Any, int, int, int, int]]:
+        """(key, item, words, doc_pos, item_pos) of each longest run that begins at a hit."""
+        ids, order, least = self.ids, self.order, tests.least
+        if not len(order) or not len(tests.starts):
+            return
+        lo, hi = search(ids, order, tests.ids, tests.starts, least)
+        n, m = len(ids), len(tests.ids)
+        for k in np.flatnonzero(hi > lo):
+            t = int(tests.starts[k])
+            for s in order[lo[k] : hi[k]]:
+                s = int(s)
+                # A hit that only continues the run of its left neighbour is reported there.
+                if s and t and ids[s - 1] != WALL and ids[s - 1] == tests.ids[t - 1]:
+                    continue
+                e = least
+                while s + e < n and t + e < m and ids[s + e] != WALL and ids[s + e] == tests.ids[t + e]:
+                    e += 1
+                d = int(np.searchsorted(self.begins, s, side="right")) - 1
+                yield self.keys[d], int(tests.item[t]), e, s - int(self.begins[d]), int(tests.pos[t])
+
+
+class TestSet:
+    """The word ids of a block of pieces (item, offset, ids) as one array."""
+
+    __test__ = False
+
+    def __init__(self, pieces: Iterable[tuple[int, int, list[int]]], least: int) -> None:
+        self.least = least
+        ids: list[int] = []
+        item: list[int] = []
+        pos: list[int] = []
+        for i, at, ws in pieces:
+            ids += [*ws, WALL]
+            item += [i] * (len(ws) + 1)
+            pos += range(at, at + len(ws) + 1)
+        self.ids = np.array(ids + [WALL] * least, dtype=np.int64)
+        self.item = np.array(item + [0] * least, dtype=np.int64)
+        self.pos = np.array(pos + [0] * least, dtype=np.int64)
+        self.starts = whole_runs(self.ids, least)
+
+
+def _shards(parts: Iterable[pd.DataFrame], least: int) -> Iterator[Shard]:
+    ids = WordIds()
+    keys: list[Any] = []
+    docs: list[list[int]] = []
     size = 0
-    # The stated query set, streamed to the driver in blocks.
-    for r in items.select(F.col(item).cast("bigint"), F.col(item_text)).where(F.col(item_text).isNotNull() & F.col(item).isNotNull()).distinct().toLocalIterator():
-        n = len(r[1].split())
-        if size + n > block_words and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r[0], r[1]))
-        size += n
+    for p in parts:
+        for k, t in zip(p["k"], p["t"]):
+            ws = ids(fold_words(t)) if isinstance(t, str) else []
+            if len(ws) < least:
+                continue
+            if docs and size + len(ws) > SHARD_WORDS:
+                yield Shard.of(keys, docs, least)
+                keys, docs, size = [], [], 0
+            keys.append(k)
+            docs.append(ws)
+            size += len(ws)
+    if docs:
+        yield Shard.of(keys, docs, least)
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
+
+
+class SuffixIndex:
+    """The shards of a corpus in a store; documents that come later are added as further shards."""
+
+    def __init__(self, store: Store) -> None:
+        self.store, self.least = store, store.meta["least"]
+
+    @classmethod
+    def build(cls, docs: DataFrame, key: str, text: str, base: str, least: int = 13) -> SuffixIndex:
+        store = Store(docs.sparkSession, base)
+        store.commit({"shards": cls._of(docs, key, text, least)}, {"least": least, "kind": docs.schema[key].dataType.simpleString()})
+        return cls(store)
+
+    @classmethod
+    def open(cls, spark: SparkSession, base: str) -> SuffixIndex:
+        return cls(Store(spark, base))
+
+    def add(self, docs: DataFrame, key: str, text: str) -> None:
+        self.store.commit({"shards": self._of(docs, key, text, self.least)})
+
+    @staticmethod
+    def _of(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
+        def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for s in _shards(parts, least):
+                yield pd.DataFrame({"keys": [list(s.keys)], "ids": [s.ids.tobytes()], "suffixes": [s.order.astype(np.int32).tobytes()], "begins": [s.begins.tobytes()]})
+
+        return _rows(docs, key, text).mapInPandas(run, f"keys array<{docs.schema[key].dataType.simpleString()}>, ids binary, suffixes binary, begins binary")
+
+
+def _test_pieces(items: DataFrame, item: str, item_text: str, least: int, size: int) -> DataFrame:
+    """(item, at, ids) of every test item, in pieces that overlap by ``least - 1`` words."""
+
+    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = WordIds()
+        for p in parts:
+            rows = []
+            for i, t in zip(p["i"], p["t"]):
+                ws = ids(fold_words(t))
+                rows += [(i, a, ws[a : a + size]) for a in range(0, max(1, len(ws) - least + 1), size - least + 1) if len(ws) >= least]
+            yield pd.DataFrame(rows, columns=["item", "at", "ids"])
+
+    rows = items.select(F.col(item).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").distinct()
+    return rows.mapInPandas(run, "item bigint, at int, ids array<bigint>")
+
+
+def leaks(docs: DataFrame | SuffixIndex, key: str, text: str, items: DataFrame, item: str, item_text: str, least: int = 13, block_words: int = 200_000, base: str | None = None) -> DataFrame:
+    """The longest run of at least ``least`` words of each document and item that share one.
+
+    ``docs`` may be a stored index.  Documents are indexed in the new folder ``base`` first if it is given; else
+    shards live in the workers only, once for each block of tests.
+    """
+    spark = items.sparkSession
+    pieces = cut(_test_pieces(items, item, item_text, least, max(2 * least, block_words // 8)))
+    total = pieces.agg(F.sum(F.size("ids"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_words))
+    if base is not None and isinstance(docs, DataFrame):
+        docs = SuffixIndex.build(docs, key, text, base, least)
+    if isinstance(docs, SuffixIndex):
+        if docs.least != least:
+            raise ValueError(f"the index is of {docs.least} words, not {least}")
+        source, kind = docs.store.read("shards"), docs.store.meta["kind"]
+    else:
+        source, kind = _rows(docs, key, text), docs.schema[key].dataType.simpleString()
+    stored = isinstance(docs, SuffixIndex)
     out = None
-    for block in blocks:
-        tests = spark.sparkContext.broadcast(TestSet(block, least))
+    for b in range(blocks):
+        mine = pieces.where(F.pmod(F.xxhash64("item", "at"), F.lit(blocks)) == b)
+        tests = spark.sparkContext.broadcast(TestSet(((r["item"], r["at"], r["ids"]) for r in mine.toLocalIterator()), least))
 
         def run(parts: Iterable[pd.DataFrame], tests=tests) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-            for p in parts:
-                words = [fold_words(t) if isinstance(t, str) else [] for t in p["t"]]
-                rows = [(p["k"].iat[d], *rest) for d, *rest in shard_hits(tests.value, words)]
-                yield pd.DataFrame(rows, columns=["k", "i", "w", "dp", "ip"])
+            if stored:
+                shards = (Shard(list(k), np.frombuffer(i, np.int64), np.frombuffer(s, np.int32).astype(np.int64), np.frombuffer(a, np.int64)) for p in parts for k, i, s, a in zip(p["keys"], p["ids"], p["suffixes"], p["begins"]))
+            else:
+                shards = _shards(parts, least)
+            for shard in shards:
+                yield pd.DataFrame(list(shard.hits(tests.value)), columns=["k", "i", "w", "dp", "ip"])
 
-        rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
-        part = rows.mapInPandas(run, f"k {kind}, i bigint, w int, dp int, ip int")
+        part = source.mapInPandas(run, f"k {kind}, i bigint, w int, dp int, ip int")
+        if blocks > 1:
+            part = cut(part)
+            tests.unpersist()
         out = part if out is None else out.unionAll(part)
     best = Window.partitionBy("k", "i").orderBy(F.desc("w"), "dp", "ip")
     found = out.withColumn("rn", F.row_number().over(best)).where("rn = 1")
