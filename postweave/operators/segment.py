@@ -3,12 +3,14 @@
 Method: expectation-maximisation segmentation.  A cell is cut into pieces at everything that could be a delimiter
 (punctuation, line ends, tabs, joining words, blanks).  A value is a run of pieces; how often values occur, and how
 often each kind of gap separates, is learned from the distinct cells of the whole column with forward-backward
-passes, and the Viterbi path gives the split.  Quoted spans are atomic, gaps beside them and the commas of a
-bracketed list always separate.
+passes, and the Viterbi path gives the split.  Every kind of gap starts even (it separates as often as not), and
+passes go on until no kind of any column moves by more than ``STILL``.  Quoted spans are atomic, gaps beside them and
+the commas of a bracketed list always separate.
 
 A value's key for counting is its small-letter form with every digit as ``9``, so phone numbers are known by their
-shape.  Each distinct cell counts once, and a value known from one cell only gets no more than the base measure;
-otherwise whole cells would be learned as values.
+shape.  Distinct cells of the same pieces, however they are set apart, are one piece of evidence together, and a value
+known from one such only gets no more than the base measure; otherwise whole cells would be learned as values.  The
+base measure of an unseen value is fixed (``Lattice``): it is what a value costs that nothing is known of.
 
 Defined results: null, empty and delimiter-only cells have no value; repeated values stay; an empty place gets no
 position; positions count from 1.  A run of more than ``SPAN`` pieces can be a value if it is the whole stretch between two
@@ -17,6 +19,7 @@ certain separators, or all that lies between neighbouring marks: marks of any ki
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -143,9 +146,9 @@ class Lattice:
             key = value_key(cell.value(i, j))
             score = max(known.get(key, -math.inf), self.BASE + sum(self.PIECE.get(cell.gaps[k], self.BASE) for k in range(i, j)))
             for k in range(i, j):
-                score += math.log(1 - gap.get(cell.gaps[k], 0.5))
+                score += math.log(1 - gap.get(cell.gaps[k], EVEN))
             if j + 1 < n and cell.gaps[j]:
-                score += math.log(gap.get(cell.gaps[j], 0.5))
+                score += math.log(gap.get(cell.gaps[j], EVEN))
             self.ends[j].append((i, score, key))
 
     def best(self) -> list[str]:
@@ -189,14 +192,16 @@ class Lattice:
         return keys, gaps
 
 
-# How probable it is that a gap of a kind separates, before anything is learned.
-GAP_PRIOR = {",": 0.9, ";": 0.95, "|": 0.95, "•": 0.97, "·": 0.97, "/": 0.6, "&": 0.95, "+": 0.95, "line": 0.99, "word": 0.9, " ": 0.02, "none": 0.01, "in": 0.3}
+# How probable it is that a gap of a kind separates, before anything is learned; it weighs as much as EVEN_USES gaps.
+EVEN, EVEN_USES = 0.5, 4.0
+STILL = 0.002  # a change of a gap's probability that ends the passes
+MOST_ROUNDS = 12  # passes converge in two or three; a bound for tables that swing
 
 _KNOWN = "array<struct<key:string,p:double>>"
 
 
 def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(field, cid, key, start): the value keys a cell could hold, and the use each begins with."""
+    """(field, cid, same, key, start): the value keys a cell could hold, what its pieces are, and the use each begins with."""
     for p in parts:
         rows = []
         for field, cid, text in zip(p["field"], p["cid"], p["cell"]):
@@ -209,15 +214,21 @@ def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 alone = (i == 0 or cell.gaps[i - 1] == "") and (j + 1 == len(cell.pieces) or cell.gaps[j] == "") and i == j
                 seen[k] = seen.get(k, False) or alone
             n = len(cell.pieces)
-            rows += [(field, cid, k, (1.0 if sure else 1.0 / (1 + n))) for k, sure in seen.items()]
-        yield pd.DataFrame(rows, columns=["field", "cid", "key", "start"])
+            same = hashlib.blake2b(" ".join(value_key(cell.value(i, i)) for i in range(n)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+            rows += [(field, cid, int.from_bytes(same, "little", signed=True), k, (1.0 if sure else 1.0 / (1 + n))) for k, sure in seen.items()]
+        yield pd.DataFrame(rows, columns=["field", "cid", "same", "key", "start"])
 
 
-def learn(cells: DataFrame, rounds: int = 2) -> tuple[DataFrame, dict[str, dict[str, float]]]:
+def learn(cells: DataFrame, rounds: int = MOST_ROUNDS) -> tuple[DataFrame, dict[str, dict[str, float]]]:
     """From distinct (field, cid, cell): (field, cell, known) with the log frequency of each key, and the gap model per field."""
-    keys = cut(cells.mapInPandas(_keys_of, "field string, cid string, key string, start double"))
-    counts = keys.groupBy("field", "key").agg(F.sum("start").alias("n"))
+    keys = cut(cells.mapInPandas(_keys_of, "field string, cid string, same bigint, key string, start double"))
+    cell_of = keys.groupBy("field", "cid").agg(F.first("same").alias("same"))
+    share = cell_of.groupBy("field", "same").agg((1 / F.count("*")).alias("share"))
+    # A cell's weight: cells of the same pieces weigh one together.
+    weight = cut(cells.join(cell_of.join(share, ["field", "same"]).select("field", "cid", "share"), ["field", "cid"]))
+    counts = keys.join(weight.select("field", "cid", "share"), ["field", "cid"]).groupBy("field", "key").agg(F.sum(F.col("start") * F.col("share")).alias("n"))
     gaps: dict[str, dict[str, float]] = {}
+    moved = 1.0
     for r in range(rounds + 1):
         # A value of one cell is no evidence: one use is taken off.
         total = counts.groupBy("field").agg(F.sum("n").alias("total"))
@@ -225,30 +236,32 @@ def learn(cells: DataFrame, rounds: int = 2) -> tuple[DataFrame, dict[str, dict[
         # Only the cell's name goes with its keys; the text is joined once.
         known = keys.select("field", "cid", "key").join(model, ["field", "key"], "left")
         known = known.groupBy("field", "cid").agg(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("key", "p"))).alias("known"))
-        known = cells.join(known, ["field", "cid"]).select("field", "cell", "known")
-        if r == rounds:
-            return known, gaps
+        known = weight.join(known, ["field", "cid"]).select("field", "cell", "share", "known")
+        if r == rounds or moved <= STILL:
+            return known.drop("share"), gaps
         fixed = {f: dict(g) for f, g in gaps.items()}
 
         def run(parts: Iterable[pd.DataFrame], fixed=fixed) -> Iterator[pd.DataFrame]:  # noqa: ANN001
             for p in parts:
                 rows = []
-                for field, text, near in zip(p["field"], p["cell"], p["known"]):
-                    got, gap = Lattice(Cell(text), {x["key"]: x["p"] for x in near}, GAP_PRIOR | fixed.get(field, {})).expected()
-                    rows += [(field, "v", k, n, 0.0) for k, n in got.items()]
+                for field, text, share, near in zip(p["field"], p["cell"], p["share"], p["known"]):
+                    got, gap = Lattice(Cell(text), {x["key"]: x["p"] for x in near}, fixed.get(field, {})).expected()
+                    rows += [(field, "v", k, n * share, 0.0) for k, n in got.items()]
                     rows += [(field, "g", k, a, b) for k, (a, b) in gap.items()]
                 yield pd.DataFrame(rows, columns=["field", "what", "key", "n", "all"])
 
         use = cut(known.mapInPandas(run, "field string, what string, key string, n double, all double").groupBy("field", "what", "key").agg(F.sum("n").alias("n"), F.sum("all").alias("all")))
         counts = use.where("what = 'v'").select("field", "key", "n")
         # The kinds of gap are a fixed short list.
+        moved = 0.0
         for g in use.where("what = 'g'").collect():
-            prior = GAP_PRIOR.get(g["key"], 0.5)
-            gaps.setdefault(g["field"], {})[g["key"]] = min(0.995, max(0.005, (g["n"] + 20 * prior) / (g["all"] + 20)))
+            now = min(0.9999, max(0.0001, (g["n"] + EVEN_USES * EVEN) / (g["all"] + EVEN_USES)))
+            moved = max(moved, abs(now - gaps.get(g["field"], {}).get(g["key"], EVEN)))
+            gaps.setdefault(g["field"], {})[g["key"]] = now
     raise AssertionError
 
 
-def split_cells(cells: DataFrame, rounds: int = 2) -> DataFrame:
+def split_cells(cells: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
     """From (field, cell), repeated as they may be: (field, cell, items) for each distinct cell."""
     cells = cells.where("cell is not null and cell <> ''").select("field", "cell").distinct()
     cells = cut(cells.withColumn("cid", F.md5(F.col("cell").cast("binary"))))
@@ -258,7 +271,7 @@ def split_cells(cells: DataFrame, rounds: int = 2) -> DataFrame:
         for p in parts:
             items = []
             for field, text, near in zip(p["field"], p["cell"], p["known"]):
-                items.append(Lattice(Cell(text), {x["key"]: x["p"] for x in near}, GAP_PRIOR | gaps.get(field, {})).best())
+                items.append(Lattice(Cell(text), {x["key"]: x["p"] for x in near}, gaps.get(field, {})).best())
             yield pd.DataFrame({"field": p["field"], "cell": p["cell"], "items": items})
 
     return known.mapInPandas(run, "field string, cell string, items array<string>")

@@ -53,11 +53,31 @@ def test_empty(spark):
 
 
 def test_long_values_between_uncertain_separators():
-    from postweave.operators.segment import GAP_PRIOR, Cell, Lattice
+    from postweave.operators.segment import Cell, Lattice
 
+    learned = {",": 0.9, ";": 0.95, "/": 0.6, " ": 0.02}
     long = " ".join(f"word{c}" for c in "abcdefghijklm")
     slashed = long.replace(" wordg", "/wordg")
-    assert Lattice(Cell(f"haircut, {long}, nails"), {}, GAP_PRIOR).best() == ["haircut", long, "nails"]
-    assert Lattice(Cell(f"haircut, {slashed}; nails"), {slashed: -2.0}, GAP_PRIOR).best() == ["haircut", slashed, "nails"]
+    assert Lattice(Cell(f"haircut, {long}, nails"), {}, learned).best() == ["haircut", long, "nails"]
+    assert Lattice(Cell(f"haircut, {slashed}; nails"), {slashed: -2.0}, learned).best() == ["haircut", slashed, "nails"]
     cell = Cell(", ".join([long] * 40))
     assert len(list(cell.spans())) <= 13 * len(cell.pieces)
+
+
+def test_passes_decide(spark):
+    # Two rare values stand side by side in several cells; only the learned marks tell that they are two.
+    cells = [f"t{chr(97 + i)}ag; t{chr(97 + j)}ag; t{chr(97 + k)}ag" for i in range(12) for j in range(12) for k in range(0, 12, 3) if len({i, j, k}) == 3]
+    rare = [f"visa; papers; t{chr(97 + i)}ag" for i in range(2)] + [f"t{chr(97 + i)}ag; visa; papers" for i in range(2)] + ["visa; taag", "papers; tbag", "visa", "papers"]
+    df = spark.createDataFrame([("f", c) for c in cells + rare], "field string, cell string")
+    wrong = lambda **k: sum(list(r["items"]) != r["cell"].split("; ") for r in split_cells(df, **k).collect())
+    assert wrong(rounds=0) > 0 and wrong() == 0
+
+
+def test_gaps_start_even_and_are_learned(spark):
+    # The slash joins in one column and separates in the other, and a blank is part of a value in one and a mark in the other.
+    joins = [f"{a}/{b}" for a in ("day", "night") for b in ("call", "visit")] * 2 + [f"{x}, {y}" for x in ("day/call", "night/call", "day/visit", "night/visit") for y in ("day/call", "night/call", "day/visit", "night/visit") if x != y]
+    parts = [f"{a}/{b}" for a in ("bg", "ns", "nis", "su") for b in ("bg", "ns", "nis", "su") if a != b] + ["bg", "ns", "nis", "su"] + [f"{a} {b}" for a in ("bg", "ns", "nis", "su") for b in ("bg", "ns", "nis", "su") if a != b]
+    df = spark.createDataFrame([("j", c) for c in joins] + [("p", c) for c in parts], "field string, cell string")
+    got = {(r["field"], r["cell"]): list(r["items"]) for r in split_cells(df).collect()}
+    assert got["j", "day/call, night/call"] == ["day/call", "night/call"] and got["j", "day/call"] == ["day/call"]
+    assert got["p", "bg/ns"] == ["bg", "ns"] and got["p", "nis su"] == ["nis", "su"]
