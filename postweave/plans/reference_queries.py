@@ -12,6 +12,7 @@ from postweave.functions import lines as L
 from postweave.functions import text as T
 from postweave.operators import bounds as B
 from postweave.operators import decisions as D
+from postweave.operators import entities as E
 from postweave.operators import merge as M
 from postweave.operators import posts as P
 from postweave.operators import tables as S
@@ -410,3 +411,87 @@ def key_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "review_posts").select(F.col("raw_post_id").alias("post_key")).distinct().withColumn("in_b", F.lit(True))
     side = F.when(F.col("in_a").isNull(), "review_only").when(F.col("in_b").isNull(), "posts_only").otherwise("both")
     return a.join(b, "post_key", "full_outer").select("post_key", side.alias("side"))
+
+
+_CELL = "list_sort(list_distinct(list_filter(list_transform(string_split({c}, '|'), lambda x: trim(x)), lambda x: x <> '')))"
+
+
+def _offer_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offers as posts of their entities."""
+    o = table(spark, sf_dir, "offers")
+    code = F.lower(F.trim(T.or_empty(F.col("currency_code"))))
+    return o.withColumns({
+        "entity": T.first_filled(F.col("offer_merge_override_group"), F.col("offer_key")), "prices": F.array_compact(F.array(F.when(T.or_empty(F.col("price_text_best")) != "", F.col("price_text_best")))),
+        "currencies": F.array_compact(F.array(F.when(code != "", code))), "hash": T.text_hash(F.col("description_best")),
+    })
+
+
+@query(f"""WITH o AS (SELECT * FROM offers WHERE provider_key IS NOT NULL),
+ b AS (SELECT provider_key, count(DISTINCT offer_key) AS times_seen, arg_min(last_seen_at_utc, {{'x': last_seen_at_utc IS NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS first_seen_at_utc, arg_max(last_seen_at_utc, {{'x': last_seen_at_utc IS NOT NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS last_seen_at_utc,
+   arg_min(first_seen_run_id, {{'x': last_seen_at_utc IS NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS first_seen_run_id, arg_max(first_seen_run_id, {{'x': last_seen_at_utc IS NOT NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS last_seen_run_id, arg_max(latest_post_url, {{'x': last_seen_at_utc IS NOT NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS latest_post_url FROM o GROUP BY 1),
+ items AS (SELECT provider_key, 'city' AS f, unnest(string_split(coalesce(city_codes, ''), '|')) AS v FROM o UNION ALL SELECT provider_key, 'channel', unnest(string_split(coalesce(source_channel_keys, ''), '|')) FROM o
+   UNION ALL SELECT provider_key, 'phone', unnest(list_filter(list_transform(string_split(coalesce(contact_snapshot_phones, ''), '|'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: length(x) >= 8)) FROM o),
+ u AS (SELECT provider_key, string_agg(DISTINCT trim(v), '|' ORDER BY trim(v)) FILTER (f = 'city') AS city_codes, string_agg(DISTINCT trim(v), '|' ORDER BY trim(v)) FILTER (f = 'channel') AS source_channel_keys, list_sort(list_distinct(list(trim(v)) FILTER (f = 'phone'))) AS phones FROM items WHERE trim(v) <> '' GROUP BY 1),
+ c AS (SELECT provider_key, string_agg(code, '|' ORDER BY n DESC, code) AS categories FROM (SELECT provider_key, category_primary AS code, count(*) AS n FROM o WHERE coalesce(category_primary, '') <> '' GROUP BY 1, 2) GROUP BY 1)
+ SELECT b.*, coalesce(u.city_codes, '') AS city_codes, coalesce(u.source_channel_keys, '') AS source_channel_keys, coalesce(c.categories, '') AS categories, coalesce(array_to_string(u.phones, '|'), '') AS phones,
+   CASE WHEN coalesce(len(u.phones), 0) > 0 THEN 'strong' ELSE 'provisional' END AS identity_strength, CASE WHEN coalesce(len(u.phones), 0) > 0 THEN 'phone' ELSE '' END AS primary_contact_type, coalesce(u.phones[1], '') AS primary_contact_value,
+   CASE WHEN coalesce(len(u.phones), 0) > 0 THEN 'high' WHEN times_seen >= 2 THEN 'medium' ELSE 'low' END AS dedupe_confidence FROM b LEFT JOIN u USING (provider_key) LEFT JOIN c USING (provider_key)""")
+def provider_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the offers of each provider say together."""
+    posts = _offer_posts(spark, sf_dir).where("provider_key is not null")
+    phones = F.filter(F.transform(F.split(T.or_empty(F.col("contact_snapshot_phones")), "\\|"), T.normalize_phone), lambda x: x != "")
+    hints = F.array_compact(F.array(F.when(T.or_empty(F.col("category_primary")) != "", F.struct(F.col("category_primary").alias("code"), F.lit(1).alias("score")))))
+    got = E.provider_entities(posts, "provider_key", "last_seen_at_utc", "offer_key", "first_seen_run_id", "latest_post_url", F.transform(phones, lambda x: F.concat(F.lit("phone:"), x)), T.packed_list(F.col("city_codes")), T.packed_list(F.col("source_channel_keys")), hints, phone=phones)
+    flat = lambda c, name=None: F.array_join(c, "|").alias(name or c)
+    return got.select("provider_key", "times_seen", "first_seen_at_utc", "last_seen_at_utc", "first_seen_run_id", "last_seen_run_id", "latest_post_url", flat("city_codes"), flat("source_channel_keys"), flat("categories"), flat("phone", "phones"), "identity_strength", "primary_contact_type", "primary_contact_value", "dedupe_confidence")
+
+
+@query(f"""WITH o AS (SELECT *, CASE WHEN trim(coalesce(offer_merge_override_group, '')) <> '' THEN offer_merge_override_group ELSE offer_key END AS entity, sha1(lower({norm('description_best')})) AS h, lower(trim(coalesce(currency_code, ''))) AS code FROM offers),
+ b AS (SELECT entity, count(DISTINCT offer_key) AS times_seen, min(last_seen_at_utc) AS first_seen_at_utc, max(last_seen_at_utc) AS last_seen_at_utc, arg_min(first_seen_run_id, {{'x': last_seen_at_utc IS NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS first_seen_run_id, arg_min(h, {{'x': last_seen_at_utc IS NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS first_h FROM o GROUP BY 1),
+ n AS (SELECT entity, replace(m, ' ', '') AS m FROM (SELECT entity, unnest(regexp_extract_all(coalesce(price_text_best, ''), '([0-9][0-9\s.,]*)', 1)) AS m FROM o)),
+ v AS (SELECT entity, TRY_CAST(regexp_replace(CASE WHEN length(m) - length(replace(m, ',', '')) = 1 AND NOT contains(m, '.') THEN replace(m, ',', '.') ELSE replace(m, ',', '') END, '\.$', '') AS DOUBLE) AS x FROM n),
+ p AS (SELECT entity, round(min(x), 2) AS price_min, round(max(x), 2) AS price_max FROM v GROUP BY 1),
+ t AS (SELECT entity, arg_max(price_text_best, {{'x': last_seen_at_utc IS NOT NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS price_text_best FROM o WHERE coalesce(price_text_best, '') <> '' GROUP BY 1),
+ c AS (SELECT entity, arg_min(code, {{'n': -n, 'c': code}}) AS currency_code FROM (SELECT entity, code, count(*) AS n FROM o WHERE code <> '' GROUP BY 1, 2) GROUP BY 1),
+ g AS (SELECT entity, string_agg(DISTINCT trim(tag), '|' ORDER BY trim(tag)) AS service_tags FROM (SELECT entity, unnest(string_split(coalesce(service_tags, ''), '|')) AS tag FROM o) WHERE trim(tag) <> '' GROUP BY 1),
+ l AS (SELECT o.entity, count(DISTINCT offer_key) AS alike FROM o JOIN b ON o.entity = b.entity AND o.h = b.first_h GROUP BY 1)
+ SELECT b.entity, times_seen, first_seen_at_utc, last_seen_at_utc, first_seen_run_id, price_min, price_max, coalesce(price_text_best, '') AS price_text_best, coalesce(currency_code, '') AS currency_code, coalesce(service_tags, '') AS service_tags,
+   CASE WHEN times_seen >= 2 THEN CASE WHEN alike >= 2 THEN 'high' ELSE 'medium' END WHEN coalesce(service_tags, '') <> '' THEN 'medium' ELSE 'low' END AS dedupe_confidence
+ FROM b LEFT JOIN p USING (entity) LEFT JOIN t USING (entity) LEFT JOIN c USING (entity) LEFT JOIN g USING (entity) LEFT JOIN l USING (entity)""")
+def offer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the records of each duplicate group of offers say together."""
+    got = E.offer_entities(_offer_posts(spark, sf_dir), "entity", "last_seen_at_utc", "offer_key", "first_seen_run_id", "latest_post_url", "hash", "prices", "currencies", T.packed_list(F.col("service_tags")), T.packed_list(F.col("city_codes")), T.packed_list(F.col("source_channel_keys")))
+    return got.select("entity", "times_seen", "first_seen_at_utc", "last_seen_at_utc", "first_seen_run_id", "price_min", "price_max", "price_text_best", "currency_code", F.array_join("service_tags", "|").alias("service_tags"), "dedupe_confidence")
+
+
+@query(f"""WITH f AS (SELECT sender_id, unnest([{{'p': 0, 'v': {norm('sender_title')}}}, {{'p': 1, 'v': {norm('post_author')}}}, {{'p': 2, 'v': {norm('chat_title')}}}]) AS x FROM raw_posts WHERE coalesce(sender_id, '') <> ''),
+ n AS (SELECT sender_id, x.v AS v, count(*) AS n, min(x.p) AS p FROM f WHERE x.v <> '' GROUP BY 1, 2)
+ SELECT sender_id, arg_min(v, {{'n': -n, 'p': p, 'l': -length(v), 'w': lower(v), 'v': v}}) AS display_name FROM n GROUP BY 1""")
+def sender_display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The display name of every sender."""
+    return E.display_names(table(spark, sf_dir, "raw_posts").where("coalesce(sender_id, '') <> ''"), "sender_id")
+
+
+_AUDIT = """SELECT 'm:' || match_id AS audit_row_id, 'provider' AS entity_type, left_provider_key AS entity_id, run_id, decision AS decision_code FROM provider_matches
+ UNION ALL SELECT 'b:' || batch_row_id, 'offer', offer_key, run_id, NULL FROM offer_batches UNION ALL SELECT 'r:' || run_id, 'run', run_id, run_id, run_status FROM service_runs
+ UNION ALL SELECT DISTINCT 'p:' || raw_post_id, 'raw_post', raw_post_id, max(run_id) OVER (PARTITION BY raw_post_id), NULL FROM review_posts WHERE raw_post_id IS NOT NULL"""
+
+
+@query(f"""WITH a AS ({_AUDIT}), po AS (SELECT post_key AS raw_post_id, max(post_url) AS post_url, max(posted_at_utc) AS posted_at_utc, max(chat_id) AS source_channel_key FROM raw_posts WHERE coalesce(post_key, '') <> '' GROUP BY 1),
+ s AS (SELECT DISTINCT 'p:' || raw_post_id AS audit_row_id, raw_post_id FROM review_posts WHERE raw_post_id IS NOT NULL UNION SELECT 'b:' || batch_row_id, po.raw_post_id FROM offer_batches JOIN offers USING (offer_key) JOIN po ON po.post_url = latest_post_url WHERE latest_post_url <> ''),
+ l AS (SELECT audit_row_id, count(*) AS source_posts, min(raw_post_id) AS least_source FROM s JOIN po USING (raw_post_id) GROUP BY 1)
+ SELECT a.*, CASE entity_type WHEN 'provider' THEN coalesce(nullif(trim(coalesce(canonical_name, '')), ''), nullif(trim(coalesce(display_name_best, '')), ''), entity_id) WHEN 'offer' THEN coalesce(nullif(trim(coalesce(title_best, '')), ''), nullif(trim(coalesce(offer_summary, '')), ''), entity_id)
+   WHEN 'raw_post' THEN coalesce(nullif(po.post_url, ''), entity_id) ELSE entity_id END AS entity_label,
+   CASE entity_type WHEN 'provider' THEN CASE WHEN p.provider_key IS NOT NULL THEN '' END WHEN 'offer' THEN o.latest_post_url WHEN 'raw_post' THEN po.post_url ELSE '' END AS entity_latest_post_url, coalesce(source_posts, 0) AS source_posts, coalesce(least_source, '') AS least_source
+ FROM a LEFT JOIN providers p ON entity_type = 'provider' AND p.provider_key = entity_id LEFT JOIN offers o ON entity_type = 'offer' AND o.offer_key = entity_id LEFT JOIN po ON entity_type = 'raw_post' AND po.raw_post_id = entity_id LEFT JOIN l ON l.audit_row_id = a.audit_row_id""")
+def audit_review_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of matches, batches, runs and reviewed posts with what they speak of and their source posts."""
+    t = {n: table(spark, sf_dir, n) for n in ("provider_matches", "offer_batches", "service_runs", "review_posts", "providers", "offers", "raw_posts")}
+    row = lambda df, mark, ident, kind, entity, code: df.select(F.concat(F.lit(mark), F.col(ident).cast("string")).alias("audit_row_id"), F.lit(kind).alias("entity_type"), F.col(entity).alias("entity_id"), "run_id", (F.col(code) if code else F.lit(None)).cast("string").alias("decision_code"))
+    reviewed = t["review_posts"].where("raw_post_id is not null").groupBy("raw_post_id").agg(F.max("run_id").alias("run_id"))
+    audit = row(t["provider_matches"], "m:", "match_id", "provider", "left_provider_key", "decision").unionAll(row(t["offer_batches"], "b:", "batch_row_id", "offer", "offer_key", None)).unionAll(row(t["service_runs"], "r:", "run_id", "run", "run_id", "run_status")).unionAll(row(reviewed, "p:", "raw_post_id", "raw_post", "raw_post_id", None))
+    posts = t["raw_posts"].where("coalesce(post_key, '') <> ''").groupBy(F.col("post_key").alias("raw_post_id")).agg(F.max("post_url").alias("post_url"), F.max("posted_at_utc").alias("posted_at_utc"), F.max("chat_id").alias("source_channel_key"))
+    of_batch = t["offer_batches"].join(t["offers"].where("latest_post_url <> ''").select("offer_key", F.col("latest_post_url").alias("post_url")), "offer_key").join(posts.select("raw_post_id", "post_url"), "post_url")
+    sources = reviewed.select(F.concat(F.lit("p:"), "raw_post_id").alias("audit_row_id"), "raw_post_id").unionAll(of_batch.select(F.concat(F.lit("b:"), F.col("batch_row_id").cast("string")), "raw_post_id")).distinct()
+    got = V.audit_drilldown(audit, t["providers"], t["offers"], posts, sources)
+    return got.select(*audit.columns, "entity_label", "entity_latest_post_url", F.size("source_raw_posts").alias("source_posts"), T.or_empty(F.array_min(F.transform("source_raw_posts", lambda x: x["raw_post_id"]))).alias("least_source"))

@@ -79,3 +79,25 @@ def coverage_metrics(offers: DataFrame, providers: DataFrame, runs: DataFrame, p
     summary = one.select(F.lit("run_summary").alias("metric_family"), *[F.lit("").alias(t) for t in texts], "metric_value", "latest_at", *totals)
     out = families(offers, of_offer, "last_seen_at_utc").unionByName(families(providers, of_provider, "last_seen_at_utc"))
     return out.unionByName(families(runs, of_run, "started_at_utc")).unionByName(summary)
+
+
+def audit_drilldown(audit: DataFrame, providers: DataFrame, offers: DataFrame, posts: DataFrame, sources: DataFrame) -> DataFrame:
+    """One row per audit row with the label and address of what it speaks of, and its source posts, newest first.
+
+    An audit row speaks of a provider, an offer, a post or a run; each join holds for its own kind only.  ``posts`` has
+    one row per raw_post_id, ``sources`` pairs (audit_row_id, raw_post_id).
+    """
+    own = audit.withColumns({f"_{k}": F.when(F.col("entity_type") == k, F.col("entity_id")) for k in ("provider", "offer", "raw_post")})
+    p = providers.select(F.col("provider_key").alias("_provider"), T.first_filled(F.col("canonical_name"), F.col("display_name_best")).alias("_p_label"), F.lit("").alias("_p_url"))
+    o = offers.select(F.col("offer_key").alias("_offer"), T.first_filled(F.col("title_best"), F.col("offer_summary")).alias("_o_label"), F.col("latest_post_url").alias("_o_url"))
+    r = posts.select(F.col("raw_post_id").alias("_raw_post"), F.col("post_url").alias("_r_url"))
+    told = sources.join(posts.select("raw_post_id", "post_url", "posted_at_utc", "source_channel_key"), "raw_post_id")
+    order = F.struct((-F.unix_micros("_at")).alias("o"), F.col("raw_post_id"), F.col("post_url"), F.col("posted_at_utc"), F.col("source_channel_key"))
+    told = told.withColumn("_at", F.coalesce(F.trim("posted_at_utc").try_cast("timestamp"), F.timestamp_micros(F.lit(0)))).groupBy("audit_row_id").agg(F.array_sort(F.collect_list(order)).alias("_posts"))
+    told = told.select("audit_row_id", F.transform("_posts", lambda x: F.struct(x["raw_post_id"].alias("raw_post_id"), x["post_url"].alias("post_url"), x["posted_at_utc"].alias("posted_at_utc"), x["source_channel_key"].alias("source_channel_key"))).alias("source_raw_posts"))
+    got = own.join(p, "_provider", "left").join(o, "_offer", "left").join(r, "_raw_post", "left").join(told, "audit_row_id", "left")
+    label = F.when(F.col("entity_type") == "provider", T.first_filled(F.col("_p_label"), F.col("entity_id"))).when(F.col("entity_type") == "offer", T.first_filled(F.col("_o_label"), F.col("entity_id"))).when(F.col("entity_type") == "raw_post", T.first_filled(F.col("_r_url"), F.col("entity_id"))).otherwise(F.col("entity_id"))
+    # As in the contract, an entity that is not there has no address, one of another kind an empty one.
+    url = F.when(F.col("entity_type") == "provider", F.col("_p_url")).when(F.col("entity_type") == "offer", F.col("_o_url")).when(F.col("entity_type") == "raw_post", F.col("_r_url")).otherwise("")
+    none = F.array().cast("array<struct<raw_post_id:string,post_url:string,posted_at_utc:string,source_channel_key:string>>")
+    return got.select(*audit.columns, label.alias("entity_label"), url.alias("entity_latest_post_url"), F.coalesce("source_raw_posts", none).alias("source_raw_posts"))
