@@ -7,7 +7,7 @@ by exact blocks only; candidates pass a distance on 64 bits, then on all 1024, a
 aligned.  New fingerprints are appended, old ones are never computed again.
 
 The history is a store (``sources/store``) of written tables that each batch appends to with one commit: texts (name,
-words, fingerprint, offer), block tables, those of close repeats apart, keys, sightings of each offer, and the
+words, fingerprint, offer), block tables with those of close repeats marked, keys, sightings of each offer, and the
 answers.  Every batch reads each table in one scan, however many batches came before, so plans do not grow; a batch
 that was interrupted leaves the history as it was.  ``compact`` writes the parts of a long history as one and makes
 the blocks wider: a front has as many bits as the logarithm of the number of texts, 16 at least, so that the
@@ -17,8 +17,8 @@ A row repeats an earlier record if it has its key, or if both have a description
 ``least`` (a ratio of matching words of 0.8; texts that share some sentences stay far below).  The earliest record of
 an offer gives the key.  Rows of one batch are compared with one another in the order of their ids.
 
-Copies of a text are one entry of the tables.  A repeat no further than ``drift`` from the offer it repeats goes into a
-second table that only rows without a match in the first are looked up in, so an offer with a third of all rows has few
+Copies of a text are one entry of the tables.  A repeat no further than ``drift`` from the offer it repeats is marked
+close, and only rows without a match among the others are looked up among those, so an offer with a third of all rows has few
 entries in the first and its rows meet the one accepted record.  Fronts that many new rows hold (boilerplate) are
 split over salts.
 Null and empty descriptions and stand-ins for missing ones repeat by key only; null keys repeat by text only.  Where a
@@ -181,7 +181,7 @@ def _far(a: str, b: str) -> Column:
 
 
 class History:
-    """What has been accepted, in a store: texts (rid, words, fp, own, offer), blocks and repeats (rot, front, sketch, rid), keys (key, offer), sightings (offer, no, run, seen), answers (id, key, offer, repeat)."""
+    """What has been accepted, in a store: texts (rid, words, fp, own, offer, close), blocks (rot, front, sketch, rid, close), keys (key, offer), sightings (offer, no, run, seen), answers (id, key, offer, repeat)."""
 
     def __init__(self, store: Store) -> None:
         if store.version < 0:
@@ -226,11 +226,11 @@ class History:
         weights = cut(df.select("w", F.sqrt(F.log(n / F.col("n")) + 0.05).alias("weight")))
         rare, bits = float(np.sqrt(np.log(min(n, 1 / share)) + 0.05)), width(n)
         weight = {r["w"]: r["weight"] for r in weights.collect()}
-        staged = store.stage("texts", add_fingerprints(rows, weight, rare).select("rid", "words", "own", "offer", "fp"))
+        staged = store.stage("texts", add_fingerprints(rows, weight, rare).select("rid", "words", "own", "offer", "fp", F.lit(False).alias("close")))
         texts = spark.read.parquet(f"{store.base}/{staged}")
         known = read.where("key is not null")
         tables = {
-            "weights": weights, "texts": staged, "blocks": _sorted(blocks(texts.where("own > 0"), bits, "rid")),
+            "weights": weights, "texts": staged, "blocks": _sorted(blocks(texts.where("own > 0"), bits, "rid", "close")),
             # A key stands for the offer of the earliest record with it; a copy under another key stays its own record.
             "keys": known.select("key", F.col("key").alias("offer")).distinct(),
             "sightings": known.groupBy(F.col("key").alias("offer")).agg(F.lit(0).alias("no"), F.min_by("run", F.struct(F.col("seen").isNull(), "seen", "run")).alias("run"), F.sum(F.coalesce("times", F.lit(1))).alias("seen")),
@@ -277,10 +277,10 @@ class History:
         peers = cut(told.join(by_rid.select(F.col("pr").alias("id")), "id", "left_semi").select("id", "rid", "words", "own", "fp"))
         alone = peers.join(known.where("offer is null").select("id"), "id", "left_semi")
         of = texts.select("rid", "words", "own", "fp")
-        near = cut(self._candidates(alone.drop("rid"), few, self.store.read("blocks"), of, "rid"))
-        repeats = self.store.read("repeats")
-        if repeats is not None:
-            near = near.unionAll(self._candidates(alone.drop("rid").join(near.select("id"), "id", "left_anti"), few, repeats, of, "rid"))
+        stored = self.store.read("blocks")
+        near = cut(self._candidates(alone.drop("rid"), few, stored.where("not close").drop("close"), of, "rid"))
+        if self.store.meta["order"]:
+            near = near.unionAll(self._candidates(alone.drop("rid").join(near.select("id"), "id", "left_anti"), few, stored.where("close").drop("close"), of, "rid"))
         near = near.join(texts.select("rid", "offer"), "rid")
         near = cut(near.groupBy("id").agg(F.max_by(F.struct("offer", "ratio"), F.struct("ratio", F.col("offer"))).alias("m")).select("id", "m.offer", "m.ratio"))
         # Within the batch: an earlier row with the same key, the same text or a near text.  Each row meets the first
@@ -306,11 +306,12 @@ class History:
         while not state.where("offer is null").isEmpty():
             above = state.select(F.col("id").alias("p"), F.col("offer").alias("o2"), F.col("p").alias("p2"))
             state = cut(state.join(above, "p", "left").select("id", "key", "run", F.coalesce("offer", "o2").alias("offer"), F.when(F.coalesce("offer", "o2").isNull(), F.col("p2")).alias("p"), "repeat"))
+        self.rest()
         self.added.append(self._append(rows, state, near, inner, texts))
         return self.spark.read.parquet(self.added[-1])
 
     def rest(self) -> None:
-        """Between batches: a collection lets Spark's cleaner drop the shuffles, broadcasts, checkpoints and classes of the last."""
+        """A collection lets Spark's cleaner drop the shuffles, broadcasts, checkpoints and classes that are no longer used."""
         gc.collect()
         self.spark._jvm.System.gc()
 
@@ -319,15 +320,15 @@ class History:
         store = self.store
         keys = state.where("key is not null").groupBy("key").agg(F.min_by("offer", "id").alias("offer")).join(store.read("keys").select("key"), "key", "left_anti")
         first = rows.where("rid is not null").groupBy("rid").agg(F.min("id").alias("id")).join(texts.select("rid"), "rid", "left_anti")
-        fresh = rows.join(first.select("id"), "id", "left_semi").join(state.select("id", "offer"), "id").select("id", "rid", "words", "own", "offer", "fp")
-        staged = store.stage("texts", fresh)
+        close = near.select("id", "ratio").unionAll(inner.select("id", "ratio")).where(F.col("ratio") >= self.drift).groupBy("id").agg(F.lit(True).alias("close"))
+        fresh = rows.join(first.select("id").join(state.select("id", "offer"), "id").join(close, "id", "left"), "id")
+        staged = store.stage("texts", fresh.select("rid", "words", "own", "offer", "fp", F.coalesce("close", F.lit(False)).alias("close")))
         fresh = self.spark.read.parquet(f"{store.base}/{staged}").where("own > 0")
-        close = near.select("id", "ratio").unionAll(inner.select("id", "ratio")).where(F.col("ratio") >= self.drift).select("id").distinct()
         no = store.meta["order"] + 1
         done = store.stage("answers", state.select("id", "key", "offer", "repeat"))
         tables = {
             "texts": staged, "answers": done, "keys": keys,
-            "blocks": _sorted(blocks(fresh.join(close, "id", "left_anti"), self.bits, "rid")), "repeats": _sorted(blocks(fresh.join(close, "id", "left_semi"), self.bits, "rid")),
+            "blocks": _sorted(blocks(fresh, self.bits, "rid", "close")),
             "sightings": state.groupBy("offer").agg(F.lit(no).alias("no"), F.min_by("run", F.struct(F.col("repeat"), "id")).alias("run"), F.count("*").alias("seen")),
         }
         store.commit(tables, {"order": no})
@@ -352,19 +353,14 @@ class History:
         texts = store.read("texts")
         n = texts.count()
         self.bits = max(self.bits, width(n))
-        tables = {t: df for t in store.parts if (df := store.read(t)) is not None and t not in ("blocks", "repeats")}
-        near = store.read("repeats")
-        close = near.select("rid").distinct() if near is not None else None
-        own = texts.where("own > 0")
-        tables["blocks"] = _sorted(blocks(own if close is None else own.join(close, "rid", "left_anti"), self.bits, "rid"))
-        if close is not None:
-            tables["repeats"] = _sorted(blocks(own.join(close, "rid", "left_semi"), self.bits, "rid"))
+        tables = {t: store.read(t) for t in store.parts if t != "blocks"}
+        tables["blocks"] = _sorted(blocks(texts.where("own > 0"), self.bits, "rid", "close"))
         store.commit(tables, {"bits": self.bits, "texts": n}, replace=True)
 
 
 def _sorted(table: DataFrame) -> DataFrame:
     """Equal rotations and fronts side by side, so that they are stored once for many rows."""
-    return table.sortWithinPartitions("rot", "front")
+    return table.sortWithinPartitions("close", "rot", "front")
 
 
 def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, by: str | None = None, run: str | None = None) -> DataFrame:
