@@ -52,12 +52,16 @@ def _matches(c: Column, norm: Column) -> Column:
     # The second pass has nothing to add where the normal form is the text itself.
     other = F.when(c == norm, F.lit("")).otherwise(norm)
     for no, t in ((1, c), (2, other)):
-        site = F.filter(_all(t, SITE), lambda u: ~T.contains_any(F.lower(u), OTHER_HOSTS))
+        # A pattern is tried only where the sign it cannot do without stands.
+        none = F.array().cast("array<string>")
+        with_at = lambda p, t=t: F.when(t.contains("@"), _all(t, p)).otherwise(none)
+        with_scheme = lambda p, t=t: F.when(t.contains("://"), _all(t, p)).otherwise(none)
+        site = F.filter(with_scheme(SITE), lambda u: ~T.contains_any(F.lower(u), OTHER_HOSTS))
         parts += [
             _found("phone", _all(t, PHONE), T.normalize_phone, no),
-            _found("email", _all(t, EMAIL), F.lower, no),
-            _found("telegram_link", _all(t, LINK), T.normalize_url, no),
-            _found("telegram_handle", _all(t, HANDLE), T.normalize_handle, no),
+            _found("email", with_at(EMAIL), F.lower, no),
+            _found("telegram_link", with_scheme(LINK), T.normalize_url, no),
+            _found("telegram_handle", with_at(HANDLE), T.normalize_handle, no),
             _found("website", site, T.normalize_website, no),
         ]
     marked = lambda words, value: f"(?iu)(?:{'|'.join(w.replace('.', chr(92) + '.') for w in sorted(words, key=len, reverse=True))})[:\\s\\-]*({value})"
@@ -84,7 +88,8 @@ def price_texts(c: Column, norm: Column | None = None) -> Column:
     norm = T.normalize_text(c) if norm is None else norm
     found = F.when(norm.rlike("[0-9]"), F.transform(_all(norm, PRICE), lambda x: F.trim(x))).otherwise(F.array().cast("array<string>"))
     lines = F.transform(F.split(T.or_empty(c), "[\\r\\n|]+"), T.normalize_text)
-    marked = F.filter(lines, lambda x: T.contains_any(F.lower(x), PRICE_MARKERS) & x.rlike("\\d"))
+    said = T.contains_any(F.lower(T.or_empty(c)), PRICE_MARKERS) | T.contains_any(F.lower(norm), PRICE_MARKERS)
+    marked = F.filter(F.when(said, lines).otherwise(F.array().cast("array<string>")), lambda x: T.contains_any(F.lower(x), PRICE_MARKERS) & x.rlike("\\d"))
     return F.array_sort(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(F.transform(marked, lambda x: F.substring(x, 1, 80)))))
 
 
@@ -128,7 +133,7 @@ def category_hints(c: Column, rules: dict[str, tuple[str, ...]] | None = None, v
     def scored(low: Column) -> Column:
         one = []
         for code, words in rules.items():
-            hit = F.filter(F.array(*map(F.lit, words)), lambda w: low.contains(w))
+            hit = F.array_compact(F.array(*[F.when(low.contains(w), w) for w in words]))
             one.append(F.struct((F.size(hit) - T.count_phrases(low, vetoes.get(code, ()))).alias("score"), F.lit(code).alias("code"), F.array_sort(hit).alias("matched")))
         return F.filter(F.array(*one), lambda s: s["score"] > 0)
 

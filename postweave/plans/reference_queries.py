@@ -16,6 +16,7 @@ from postweave.operators import entities as E
 from postweave.operators import merge as M
 from postweave.operators import posts as P
 from postweave.operators import tables as S
+from postweave.plans import contact_sql as Q
 from postweave.plans import views as V
 from postweave.session import table
 from postweave.sources import files
@@ -49,15 +50,23 @@ fresh = lambda c: _FRESH.format(c=c)
 _LIST = "list_filter(list_transform(string_split(coalesce({c}, ''), '|'), lambda x: trim(x)), lambda x: x <> '')"
 
 
-@query()
+@query(Q.structured_posts())
 def structured_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every signal of every post in one narrow stage."""
-    return P.structure(table(spark, sf_dir, "raw_posts"))
+    """Every signal of every post in one narrow stage, lists as text."""
+    s = P.structure(table(spark, sf_dir, "raw_posts", True))
+    flat = lambda c, name: F.array_join(c, "|").alias(name)
+    hints = F.transform("hints", lambda h: F.concat_ws(":", h["code"], h["score"].cast("string"), h["confidence"]))
+    kinds = {"phone": "phones", "email": "emails", "telegram_handle": "handles", "telegram_link": "links", "website": "websites"}
+    return s.select(
+        "raw_post_id", "source_channel_key", "posted_at_utc", "_run_id", "text_raw", "text_norm", "text_hash", *[flat(f"contacts.{k}", n) for k, n in kinds.items()], flat(hints, "hints"), T.or_empty(F.col("city.city")).alias("city"),
+        flat("prices", "prices"), flat("currencies", "currencies"), flat("identity", "identity"), flat("flags", "flags"), flat("tokens", "tokens"),
+        *[f"author.{c}" for c in ("sender_id", "sender_kind", "sender_title", "sender_username", "sender_profile_url", "post_author")],
+    )
 
 
 @query(f"SELECT post_key, _run_id, {norm('text')} AS text_norm, sha1(lower({norm('text')})) AS text_hash, count(*) AS n FROM raw_posts GROUP BY 1, 2, 3, 4")
 def normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "raw_posts").select("post_key", "_run_id", T.normalize_text(F.col("text")).alias("text_norm"), T.text_hash(F.col("text")).alias("text_hash"))
+    t = table(spark, sf_dir, "raw_posts", True).select("post_key", "_run_id", T.normalize_text(F.col("text")).alias("text_norm"), T.text_hash(F.col("text")).alias("text_hash"))
     return t.groupBy("post_key", "_run_id", "text_norm", "text_hash").agg(F.count("*").alias("n"))
 
 
@@ -70,20 +79,20 @@ def normalized_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""SELECT link, count(*) AS n, count(DISTINCT post_key) AS posts FROM (SELECT post_key, unnest(regexp_extract_all(coalesce(text, '') || ' ' || coalesce(post_url, ''), '(?i)https?://t\.me/[A-Za-z0-9_+/]+')) AS link FROM raw_posts) GROUP BY link""")
 def post_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat_ws(" ", T.or_empty(F.col("text")), T.or_empty(F.col("post_url")))
-    rows = table(spark, sf_dir, "raw_posts").select("post_key", F.explode(F.regexp_extract_all(text, F.lit(C.LINK), F.lit(0))).alias("link"))
+    rows = table(spark, sf_dir, "raw_posts", True).select("post_key", F.explode(F.regexp_extract_all(text, F.lit(C.LINK), F.lit(0))).alias("link"))
     return rows.groupBy("link").agg(F.count("*").alias("n"), F.countDistinct("post_key").alias("posts"))
 
 
-@query()
+@query(Q.contact_matches())
 def contact_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All contacts of the posts, by kind and value."""
-    rows = table(spark, sf_dir, "raw_posts").select("post_key", F.explode(C.contact_matches(F.col("text"))).alias("m"))
+    rows = table(spark, sf_dir, "raw_posts", True).select("post_key", F.explode(C.contact_matches(F.col("text"))).alias("m"))
     return rows.groupBy("m.kind", "m.value").agg(F.count("*").alias("n"), F.countDistinct("post_key").alias("posts"), F.min("m.pass_no").alias("pass_no"))
 
 
 @query("SELECT city, count(*) AS posts FROM (SELECT CASE WHEN contains(t, 'белград') OR contains(t, 'belgrade') OR contains(t, 'beograd') THEN 'belgrade' WHEN contains(t, 'нови сад') OR contains(t, 'novi sad') THEN 'novi_sad' WHEN contains(t, 'ниш') OR contains(t, 'niš') OR contains(t, 'nis') THEN 'nis' WHEN contains(t, 'суботица') OR contains(t, 'subotica') THEN 'subotica' END AS city FROM (SELECT lower(" + norm("text") + ") AS t FROM raw_posts)) GROUP BY city")
 def posts_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "raw_posts").select(C.city_signal(F.col("text"))["city"].alias("city"))
+    rows = table(spark, sf_dir, "raw_posts", True).select(C.city_signal(F.col("text"))["city"].alias("city"))
     return rows.groupBy("city").agg(F.count("*").alias("posts"))
 
 
@@ -98,7 +107,7 @@ def _category_sql() -> str:
 def category_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word scores of the categories before the hashtag and best-score rules."""
     one = lambda low: F.array(*[F.struct(F.lit(code).alias("code"), (T.count_phrases(low, words) - T.count_phrases(low, C.CATEGORY_VETOES.get(code, ()))).alias("score")) for code, words in C.CATEGORIES.items()])
-    rows = table(spark, sf_dir, "raw_posts").select(F.explode(T.let(F.lower(T.normalize_text(F.col("text"))), one)).alias("s")).select("s.*").where("score > 0")
+    rows = table(spark, sf_dir, "raw_posts", True).select(F.explode(T.let(F.lower(T.normalize_text(F.col("text"))), one)).alias("s")).select("s.*").where("score > 0")
     return rows.groupBy("code").agg(F.count("*").alias("posts"), F.sum("score").alias("score"), F.max("score").alias("best"))
 
 
@@ -306,16 +315,16 @@ def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("offer_key", "title", "category", "city", "provider", "last_seen")
 
 
-@query()
+@query(Q.provider_clusters())
 def provider_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts joined to providers by shared identity keys."""
-    return M.provider_clusters(P.structure(table(spark, sf_dir, "raw_posts")))
+    return M.provider_clusters(P.structure(table(spark, sf_dir, "raw_posts", True)))
 
 
 @query()
 def offer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts joined to offers within their provider."""
-    s = P.structure(table(spark, sf_dir, "raw_posts"))
+    s = P.structure(table(spark, sf_dir, "raw_posts", True))
     # One fetch of a post stands for all: with a text, a time and a channel if any has them, then the last.
     of = F.struct("text_hash", "tokens", F.col("hints.code").alias("categories"), F.col("source_channel_key").alias("channel"), "posted_at_utc")
     order = F.struct(F.col("text_norm") != "", P.parse_instant(F.col("posted_at_utc")).isNotNull(), F.col("source_channel_key") != "", "_run_id", "text_hash", "posted_at_utc", "source_channel_key")
@@ -378,7 +387,7 @@ def sender_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def fact_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, details and quality of every post."""
-    return table(spark, sf_dir, "raw_posts").select("post_key", "_run_id", L.fact_pack(F.col("text")).alias("f")).select("post_key", "_run_id", "f.*")
+    return table(spark, sf_dir, "raw_posts", True).select("post_key", "_run_id", L.fact_pack(F.col("text")).alias("f")).select("post_key", "_run_id", "f.*")
 
 
 @query(f"""SELECT provider_key, arg_min(title_best, (-len({tokens_sql('title_best')}), -length(title_best), first_seen_at_utc, title_best)) AS title_best FROM offers WHERE coalesce(title_best, '') <> '' GROUP BY provider_key""")

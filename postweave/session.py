@@ -77,6 +77,17 @@ def ship(spark: SparkSession) -> None:
     ctx._postweave_sent = True
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan dealt out to all cores where its files give fewer parts than that; larger scans are left as they are.
+
+    For steps that cost much more than moving a row; only the columns read move.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """A table of a folder; ``wide`` for those whose rows are costly to work on."""
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if wide else df
