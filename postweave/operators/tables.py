@@ -43,9 +43,19 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 
 def running_budget(rows: DataFrame, group: str, order: list[str], cost: str, soft: float, hard: float) -> DataFrame:
-    """Running cost per group and whether a row is within the soft or hard budget; the row that would pass the hard one stops."""
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    spent = rows.withColumn("spent", F.sum(cost).over(w)).withColumn("calls", F.count("*").over(w))
+    """Running cost per group and whether a row is within the soft or hard budget; the row that would pass the hard one stops.
+
+    A group is cut into ranges of its order; each range counts on from the sum of those before it, so no task holds a
+    whole group.
+    """
+    parts = rows.repartitionByRange(group, *order)
+    tagged = cut(parts.withColumn("_p", F.spark_partition_id()))
+    per = tagged.groupBy(group, "_p").agg(F.sum(cost).alias("_s"), F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    per = per.select(F.col(group).alias("_g"), F.col("_p").alias("_q"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"))
+    w = Window.partitionBy("_p", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    met = tagged.join(per, (F.col("_p") == F.col("_q")) & F.col(group).eqNullSafe(F.col("_g")))
+    spent = met.withColumn("spent", F.col("_s") + F.coalesce(F.sum(cost).over(w), F.lit(0))).withColumn("calls", F.col("_n") + F.count("*").over(w)).drop("_p", "_q", "_g", "_s", "_n")
     return spent.withColumn("budget", F.when(F.col("spent") > hard, "stopped").when(F.col("spent") > soft, "soft_exceeded").otherwise("ok"))
 
 

@@ -15,6 +15,7 @@ from postweave.operators import decisions as D
 from postweave.operators import entities as E
 from postweave.operators import merge as M
 from postweave.operators import posts as P
+from postweave.operators import review as R
 from postweave.operators import tables as S
 from postweave.plans import contact_sql as Q
 from postweave.plans import views as V
@@ -457,8 +458,8 @@ def provider_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH o AS (SELECT *, CASE WHEN trim(coalesce(offer_merge_override_group, '')) <> '' THEN offer_merge_override_group ELSE offer_key END AS entity, sha1(lower({norm('description_best')})) AS h, lower(trim(coalesce(currency_code, ''))) AS code FROM offers),
  b AS (SELECT entity, count(DISTINCT offer_key) AS times_seen, min(last_seen_at_utc) AS first_seen_at_utc, max(last_seen_at_utc) AS last_seen_at_utc, arg_min(first_seen_run_id, {{'x': last_seen_at_utc IS NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS first_seen_run_id, arg_min(h, {{'x': last_seen_at_utc IS NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS first_h FROM o GROUP BY 1),
- n AS (SELECT entity, replace(m, ' ', '') AS m FROM (SELECT entity, unnest(regexp_extract_all(coalesce(price_text_best, ''), '([0-9][0-9\s.,]*)', 1)) AS m FROM o)),
- v AS (SELECT entity, TRY_CAST(regexp_replace(CASE WHEN length(m) - length(replace(m, ',', '')) = 1 AND NOT contains(m, '.') THEN replace(m, ',', '.') ELSE replace(m, ',', '') END, '\.$', '') AS DOUBLE) AS x FROM n),
+ n AS (SELECT entity, replace(m, ' ', '') AS m FROM (SELECT entity, unnest(regexp_extract_all(coalesce(price_text_best, ''), '([0-9][0-9\\s.,]*)', 1)) AS m FROM o)),
+ v AS (SELECT entity, TRY_CAST(regexp_replace(CASE WHEN length(m) - length(replace(m, ',', '')) = 1 AND NOT contains(m, '.') THEN replace(m, ',', '.') ELSE replace(m, ',', '') END, '\\.$', '') AS DOUBLE) AS x FROM n),
  p AS (SELECT entity, round(min(x), 2) AS price_min, round(max(x), 2) AS price_max FROM v GROUP BY 1),
  t AS (SELECT entity, arg_max(price_text_best, {{'x': last_seen_at_utc IS NOT NULL, 'a': last_seen_at_utc, 'k': offer_key}}) AS price_text_best FROM o WHERE coalesce(price_text_best, '') <> '' GROUP BY 1),
  c AS (SELECT entity, arg_min(code, {{'n': -n, 'c': code}}) AS currency_code FROM (SELECT entity, code, count(*) AS n FROM o WHERE code <> '' GROUP BY 1, 2) GROUP BY 1),
@@ -504,3 +505,34 @@ def audit_review_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = reviewed.select(F.concat(F.lit("p:"), "raw_post_id").alias("audit_row_id"), "raw_post_id").unionAll(of_batch.select(F.concat(F.lit("b:"), F.col("batch_row_id").cast("string")), "raw_post_id")).distinct()
     got = V.audit_drilldown(audit, t["providers"], t["offers"], posts, sources)
     return got.select(*audit.columns, "entity_label", "entity_latest_post_url", F.size("source_raw_posts").alias("source_posts"), T.or_empty(F.array_min(F.transform("source_raw_posts", lambda x: x["raw_post_id"]))).alias("least_source"))
+
+
+@query("""WITH c AS (SELECT match_id, coalesce(match_field, '') AS stage, coalesce(match_value, '') AS txt, score, decision FROM provider_matches),
+ t AS (SELECT *, greatest(220, CAST(ceil(length(txt) / 4.0) AS INT) + 200) AS tokens FROM c), r AS (SELECT *, sum(tokens) OVER (PARTITION BY stage ORDER BY match_id) AS spent FROM t)
+ SELECT CAST(match_id AS VARCHAR) AS key, stage, tokens, CASE WHEN spent > 200000 THEN 'stopped' WHEN spent > 20000 THEN 'soft_exceeded' ELSE 'ok' END AS budget, CASE WHEN spent > 200000 THEN NULL WHEN score IS NULL OR decision IS NULL THEN NULL ELSE greatest(0, least(1, score)) END AS confidence,
+ CASE WHEN spent > 200000 OR score IS NULL OR decision IS NULL THEN 'drop' WHEN decision = 'no_match' THEN 'reject' WHEN score >= 0.75 THEN 'accept' WHEN score >= 0.5 THEN 'recover' ELSE 'reject' END AS outcome,
+ CASE WHEN spent > 200000 THEN 'budget' WHEN score IS NULL AND decision IS NULL THEN 'invalid_json' WHEN score IS NULL OR decision IS NULL THEN 'missing_field' ELSE decision END AS reason FROM r""")
+def decided_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision loop over all matches, each answered by what was decided on it."""
+    m = table(spark, sf_dir, "provider_matches").withColumns({"stage": T.or_empty(F.col("match_field")), "key": F.col("match_id").cast("string"), "text": T.or_empty(F.col("match_value"))})
+    asked = m.select("key", "stage", "text", "match_id")
+    answer = F.to_json(F.struct(F.col("decision").alias("decision_code"), F.col("score").alias("confidence")))
+    no = S.numbered(m.select("stage", "match_id", answer.alias("output")), ["stage", "match_id"])
+    outputs = no.join(no.groupBy("stage").agg(F.min("row_no").alias("_f")), "stage").select("stage", (F.col("row_no") - F.col("_f") + 1).cast("int").alias("attempt"), "output")
+    return R.run_decisions(asked, outputs, ["match_id"], 20_000, 200_000).select("key", "stage", "tokens", "budget", "confidence", "outcome", "reason")
+
+
+@query("""SELECT 'runs' AS table_name, count(DISTINCT run_id) AS rows FROM service_runs WHERE coalesce(run_id, '') <> '' UNION ALL SELECT 'raw_posts', count(DISTINCT post_key) FROM raw_posts WHERE coalesce(post_key, '') <> '' AND coalesce(chat_id, '') <> '' AND message_id IS NOT NULL
+ UNION ALL SELECT 'providers', count(DISTINCT provider_key) FROM providers WHERE coalesce(provider_key, '') <> '' UNION ALL SELECT 'offers', count(DISTINCT offer_key) FROM offers WHERE coalesce(offer_key, '') <> ''
+ UNION ALL SELECT 'offer_edges', count(*) FROM (SELECT DISTINCT offer_key, post_key FROM offers JOIN raw_posts ON post_url = latest_post_url WHERE coalesce(offer_key, '') <> '' AND coalesce(post_key, '') <> '' AND coalesce(latest_post_url, '') <> '')
+ UNION ALL SELECT 'audit', count(DISTINCT match_id) FROM provider_matches WHERE match_id IS NOT NULL""")
+def publication_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table of a publication of everything."""
+    t = {n: table(spark, sf_dir, n) for n in ("service_runs", "raw_posts", "providers", "offers", "provider_matches")}
+    posts = t["raw_posts"].where("coalesce(chat_id, '') <> '' and message_id is not null")
+    told = t["offers"].where("coalesce(latest_post_url, '') <> ''").select("offer_key", F.col("latest_post_url").alias("post_url"), "first_seen_run_id", "last_seen_run_id").join(t["raw_posts"].select("post_url", F.col("post_key").alias("raw_post_id")), "post_url")
+    edges = R.edges(t["offers"], "offer_key", "", told, "")
+    tables = {"runs": t["service_runs"], "raw_posts": posts, "providers": t["providers"], "offers": t["offers"], "offer_edges": edges, "audit": t["provider_matches"]}
+    keys = {"runs": ["run_id"], "raw_posts": ["post_key"], "providers": ["provider_key"], "offers": ["offer_key"], "offer_edges": ["offer_key", "raw_post_id"], "audit": ["match_id"]}
+    defaults = {"providers": {"provider_state": "candidate", "identity_strength": "provisional", "canonical_name": "=display_name_best"}, "offers": {"offer_state": "candidate"}}
+    return R.publication_counts(R.publication(tables, keys, defaults, {"raw_posts": ["_run_id"], "providers": ["last_seen_run_id"], "offers": ["last_seen_run_id"]}))

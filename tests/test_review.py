@@ -4,6 +4,7 @@ from postweave import cli
 from postweave.functions import lines as L
 from postweave.operators import bounds as B
 from postweave.operators import decisions as D
+from postweave.operators import tables as S
 
 
 def one(spark, value, f, kind="string"):
@@ -78,3 +79,42 @@ def test_author_of_a_structured_post(spark):
     a = P.structure(table(spark, "/root/testdata/sf0.001", "raw_posts")).select("author.*")
     assert a.columns == ["sender_id", "sender_kind", "sender_title", "sender_username", "sender_profile_url", "sender_phone", "post_author"]
     assert a.where("sender_username is null or post_author is null").count() == 0 and a.where("sender_id is not null").count() > 0
+
+
+def test_decision_loop_budget_errors_and_patches(spark):
+    from postweave.operators import review as R
+
+    cand = R.candidates(spark.createDataFrame([(f"k{i}", f"title {i}" if i % 2 else None, " ") for i in range(6)], "k string, title string, note string"), "k", "s", F.lit(True), ("title", "note"), ("k", "title"))
+    assert cand.where("key = 'k1'").first()["text"] == "title 1" and cand.where("key = 'k0'").first()["text"] == ""
+    outs = ['{"decision_code": "match", "confidence": 0.9, "patch": {"title": "New", "bad": "x"}}', '{"decision_code": "match", "confidence": 0.6}', "", '{"decision_code": "no_match", "confidence": 0.99}', '{"decision_code": "match", "confidence": 0.1}']
+    outputs = spark.createDataFrame([("s", i + 1, o) for i, o in enumerate(outs)], "stage string, attempt int, output string")
+    got = {r.key: r for r in R.run_decisions(cand, outputs, ["key"], 500, 5 * 220, allowed={"title": 10}).collect()}
+    assert [got[f"k{i}"].outcome for i in range(6)] == ["accept", "recover", "drop", "reject", "reject", "drop"]
+    assert got["k0"].patch == {"title": "New"} and got["k2"].reason == "empty_output" and got["k5"].reason == "budget" and got["k3"].budget == "soft_exceeded"
+    decided = R.run_decisions(cand, outputs, ["key"], 500, 5 * 220)
+    final = {r.key: (r.final_state, r.final_reason) for r in R.final_drop(cand.select("key"), "key", decided).collect()}
+    assert final["k0"] == ("kept", "") and final["k2"] == ("dropped", "s:empty_output") and final["k5"] == ("dropped", "s:budget")
+    assert R.run_decisions(cand.limit(0), outputs, ["key"], 500, 1100).count() == 0
+
+
+def test_running_budget_counts_on_over_ranges(spark):
+    rows = [(g, i, (i * 7) % 5 + 1) for g in ("a", None) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, n int, cost int")
+    got = {(r.g, r.n): (r.spent, r.calls, r.budget) for r in S.running_budget(df, "g", ["n"], "cost", 100, 500).collect()}
+    for g in ("a", None):
+        total = 0
+        for i in range(300):
+            total += (i * 7) % 5 + 1
+            assert got[g, i] == (total, i + 1, "stopped" if total > 500 else "soft_exceeded" if total > 100 else "ok")
+
+
+def test_publication_is_seen_whole(spark, tmp_path):
+    from postweave.operators import review as R
+
+    p = spark.createDataFrame([("p1", "", None, "Studio", "r2"), ("p1", "x", "weak", "Old", "r1"), ("", "x", "weak", "Lost", "r1"), ("p2", None, "strong", None, "r1")], "provider_key string, provider_state string, identity_strength string, name string, last_seen_run_id string")
+    e = R.edges(spark.createDataFrame([("p1", ["a", "b", "a"], "r1", None)], "provider_key string, ids array<string>, first_seen_run_id string, last_seen_run_id string"), "provider_key", "ids", None, "r9")
+    rows = R.publication({"providers": p, "edges": e}, {"providers": ["provider_key"], "edges": ["provider_key", "raw_post_id"]}, {"providers": {"provider_state": "candidate", "identity_strength": "provisional", "name": "=provider_key"}}, {"providers": ["last_seen_run_id"]})
+    store = R.publish(rows, str(tmp_path / "out"), ["providers", "edges"])
+    assert sorted(map(tuple, store.read("providers").select("provider_key", "provider_state", "identity_strength", "name").collect())) == [("p1", "candidate", "provisional", "Studio"), ("p2", "candidate", "strong", "p2")]
+    assert {r.raw_post_id: r.last_seen_run_id for r in store.read("edges").collect()} == {"a": "r9", "b": "r9"}
+    assert {r.table_name: r.rows for r in store.read("counts").collect()} == {"providers": 2, "edges": 2}
