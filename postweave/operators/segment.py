@@ -25,7 +25,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postweave.session import cut
@@ -220,7 +220,7 @@ def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn(cells: DataFrame, rounds: int = MOST_ROUNDS) -> tuple[DataFrame, dict[str, dict[str, float]]]:
-    """From distinct (field, cid, cell): (field, cell, known) with the log frequency of each key, and the gap model per field."""
+    """From distinct (field, cid, cell): (field, cid, cell, known) with the log frequency of each key, and the gap model per field."""
     keys = cut(cells.mapInPandas(_keys_of, "field string, cid string, same bigint, key string, start double"))
     cell_of = keys.groupBy("field", "cid").agg(F.first("same").alias("same"))
     share = cell_of.groupBy("field", "same").agg((1 / F.count("*")).alias("share"))
@@ -236,7 +236,7 @@ def learn(cells: DataFrame, rounds: int = MOST_ROUNDS) -> tuple[DataFrame, dict[
         # Only the cell's name goes with its keys; the text is joined once.
         known = keys.select("field", "cid", "key").join(model, ["field", "key"], "left")
         known = known.groupBy("field", "cid").agg(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("key", "p"))).alias("known"))
-        known = weight.join(known, ["field", "cid"]).select("field", "cell", "share", "known")
+        known = weight.join(known, ["field", "cid"]).select("field", "cid", "cell", "share", "known")
         if r == rounds or moved <= STILL:
             return known.drop("share"), gaps
         fixed = {f: dict(g) for f, g in gaps.items()}
@@ -261,10 +261,15 @@ def learn(cells: DataFrame, rounds: int = MOST_ROUNDS) -> tuple[DataFrame, dict[
     raise AssertionError
 
 
+def cell_name(cell: Column) -> Column:
+    """What a cell is known by in joins, so that its text need not move."""
+    return F.md5(cell.cast("binary"))
+
+
 def split_cells(cells: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
-    """From (field, cell), repeated as they may be: (field, cell, items) for each distinct cell."""
+    """From (field, cell), repeated as they may be: (field, cid, cell, items) for each distinct cell."""
     cells = cells.where("cell is not null and cell <> ''").select("field", "cell").distinct()
-    cells = cut(cells.withColumn("cid", F.md5(F.col("cell").cast("binary"))))
+    cells = cut(cells.withColumn("cid", cell_name(F.col("cell"))))
     known, gaps = learn(cells, rounds)
 
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -272,15 +277,15 @@ def split_cells(cells: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
             items = []
             for field, text, near in zip(p["field"], p["cell"], p["known"]):
                 items.append(Lattice(Cell(text), {x["key"]: x["p"] for x in near}, gaps.get(field, {})).best())
-            yield pd.DataFrame({"field": p["field"], "cell": p["cell"], "items": items})
+            yield pd.DataFrame({"field": p["field"], "cid": p["cid"], "cell": p["cell"], "items": items})
 
-    return known.mapInPandas(run, "field string, cell string, items array<string>")
+    return known.mapInPandas(run, "field string, cid string, cell string, items array<string>")
 
 
 def split_values(rows: DataFrame) -> DataFrame:
     """From (field, key, cell): (field, key, pos, item, size), one row per value; size is the number of values of its cell."""
-    done = split_cells(rows.select("field", "cell"))
-    of = rows.where("key is not null").join(done, ["field", "cell"])
+    done = split_cells(rows.select("field", "cell")).select("field", "cid", "items")
+    of = rows.where("key is not null").select("field", "key", cell_name(F.col("cell")).alias("cid")).join(done, ["field", "cid"])
     return of.select("field", "key", F.size("items").alias("size"), F.posexplode("items").alias("p", "item")).select("field", "key", (F.col("p") + 1).alias("pos"), "item", "size")
 
 
