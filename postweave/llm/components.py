@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postweave.operators.segment import split_cells
+from postweave.operators.segment import cell_name, split_cells
 from postweave.session import cut
 
 
@@ -101,7 +101,8 @@ def provider_links(providers: DataFrame, matches: DataFrame) -> DataFrame:
     # "￿" sorts behind every record key.
     cells = providers.select(F.lit("phones").alias("field"), F.col("phones").alias("cell"), F.col("provider_key").alias("key")).where("cell <> ''")
     split = split_cells(cells.select("field", "cell"))
-    phones = cells.join(split, ["field", "cell"]).select("key", F.explode("items").alias("item")).select(F.col("key").alias("a"), phone_key(F.col("item")).alias("k"))
+    named = cells.select("field", "key", cell_name(F.col("cell")).alias("cid"))
+    phones = named.join(split.select("field", "cid", "items"), ["field", "cid"]).select("key", F.explode("items").alias("item")).select(F.col("key").alias("a"), phone_key(F.col("item")).alias("k"))
     phones = phones.where("k is not null").select("a", F.concat(F.lit("￿phone:"), "k").alias("b"))
     handles = providers.where("telegram_handles <> ''").select(F.col("provider_key").alias("a"), F.explode(handle_keys(F.col("telegram_handles"))).alias("k"))
     return told.unionAll(phones).unionAll(handles.select("a", F.concat(F.lit("￿handle:"), "k").alias("b")))
