@@ -200,11 +200,22 @@ MOST_ROUNDS = 12  # passes converge in two or three; a bound for tables that swi
 _KNOWN = "array<struct<key:string,p:double>>"
 
 
+def _same_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows with ``same``, what the pieces of a cell are, however they are set apart."""
+    for p in parts:
+        same = []
+        for text in p["cell"]:
+            cell = Cell(text)
+            body = " ".join(value_key(cell.value(i, i)) for i in range(len(cell.pieces)))
+            same.append(int.from_bytes(hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
+        yield p.assign(same=same)
+
+
 def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(field, cid, same, key, start): the value keys a cell could hold, what its pieces are, and the use each begins with."""
+    """(field, cid, key, start): the value keys a cell could hold, and the use each begins with."""
     for p in parts:
         rows = []
-        for field, cid, text in zip(p["field"], p["cid"], p["cell"]):
+        for field, cid, text, share in zip(p["field"], p["cid"], p["cell"], p["share"]):
             cell = Cell(text)
             if not cell.pieces:
                 continue
@@ -214,19 +225,18 @@ def _keys_of(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 alone = (i == 0 or cell.gaps[i - 1] == "") and (j + 1 == len(cell.pieces) or cell.gaps[j] == "") and i == j
                 seen[k] = seen.get(k, False) or alone
             n = len(cell.pieces)
-            same = hashlib.blake2b(" ".join(value_key(cell.value(i, i)) for i in range(n)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            rows += [(field, cid, int.from_bytes(same, "little", signed=True), k, (1.0 if sure else 1.0 / (1 + n))) for k, sure in seen.items()]
-        yield pd.DataFrame(rows, columns=["field", "cid", "same", "key", "start"])
+            rows += [(field, cid, k, share * (1.0 if sure else 1.0 / (1 + n))) for k, sure in seen.items()]
+        yield pd.DataFrame(rows, columns=["field", "cid", "key", "start"])
 
 
 def learn(cells: DataFrame, rounds: int = MOST_ROUNDS) -> tuple[DataFrame, dict[str, dict[str, float]]]:
     """From distinct (field, cid, cell): (field, cid, cell, known) with the log frequency of each key, and the gap model per field."""
-    keys = cut(cells.mapInPandas(_keys_of, "field string, cid string, same bigint, key string, start double"))
-    cell_of = keys.groupBy("field", "cid").agg(F.first("same").alias("same"))
-    share = cell_of.groupBy("field", "same").agg((1 / F.count("*")).alias("share"))
+    named = cut(cells.select("field", "cid", "cell").mapInPandas(_same_of, "field string, cid string, cell string, same bigint"))
+    share = named.groupBy("field", "same").agg((1 / F.count("*")).alias("share"))
     # A cell's weight: cells of the same pieces weigh one together.
-    weight = cut(cells.join(cell_of.join(share, ["field", "same"]).select("field", "cid", "share"), ["field", "cid"]))
-    counts = keys.join(weight.select("field", "cid", "share"), ["field", "cid"]).groupBy("field", "key").agg(F.sum(F.col("start") * F.col("share")).alias("n"))
+    weight = cut(named.join(share, ["field", "same"]).select("field", "cid", "cell", "share"))
+    keys = cut(weight.mapInPandas(_keys_of, "field string, cid string, key string, start double"))
+    counts = keys.groupBy("field", "key").agg(F.sum("start").alias("n"))
     gaps: dict[str, dict[str, float]] = {}
     moved = 1.0
     for r in range(rounds + 1):
