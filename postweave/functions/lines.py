@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from postweave.functions import text as T
 
@@ -87,6 +88,22 @@ def ranked_identity(keys: Column) -> Column:
     return F.array_distinct(F.transform(F.array_sort(good), lambda s: s["key"]))
 
 
-def compact_json(s: Column) -> Column:
-    """A struct as JSON without nulls."""
-    return F.to_json(s, {"ignoreNullFields": "true"})
+def compact_value(c: Column, kind: DataType) -> Column:
+    """A value without what says nothing, at any depth: blank texts, empty lists and structs of nothing are null."""
+    if isinstance(kind, StringType):
+        return F.when(F.trim(c) != "", c)
+    if isinstance(kind, ArrayType):
+        kept = F.filter(F.transform(c, lambda x: compact_value(x, kind.elementType)), lambda x: x.isNotNull())
+        return F.when(F.size(kept) > 0, kept)
+    if isinstance(kind, StructType):
+        parts = [compact_value(c[f.name], f.dataType) for f in kind]
+        some = None
+        for p in parts:
+            some = p.isNotNull() if some is None else some | p.isNotNull()
+        return F.when(some, F.struct(*[p.alias(f.name) for p, f in zip(parts, kind)])) if parts else F.lit(None).cast(kind)
+    return c
+
+
+def compact_json(s: Column, kind: DataType | None = None) -> Column:
+    """A struct as JSON without nulls; with its type also without blank texts and empty lists, at any depth."""
+    return F.to_json(s if kind is None else compact_value(s, kind), {"ignoreNullFields": "true"})

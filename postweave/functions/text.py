@@ -146,6 +146,31 @@ def to_int(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")).try_cast("int"), F.lit(0))
 
 
+def nullable_int(c: Column) -> Column:
+    """A whole number, null where there is none."""
+    return F.trim(c.cast("string")).try_cast("bigint")
+
+
+def to_decimal(c: Column, kind: str = "decimal(18,6)") -> Column:
+    """A decimal, null where the text is none or too large."""
+    return F.trim(c.cast("string")).try_cast(kind)
+
+
+def json_object(c: Column) -> Column:
+    """map<string,string> of a JSON object, empty for anything else."""
+    return F.coalesce(F.when(F.trim(c).startswith("{"), F.from_json(c, "map<string,string>", {"mode": "PERMISSIVE"})), F.create_map().cast("map<string,string>"))
+
+
+def json_array(c: Column) -> Column:
+    """array<string> of a JSON array, empty for anything else."""
+    return F.coalesce(F.when(F.trim(c).startswith("["), F.from_json(c, "array<string>", {"mode": "PERMISSIVE"})), F.array().cast("array<string>"))
+
+
+def nullable_text(c: Column) -> Column:
+    """The trimmed text, null if blank."""
+    return F.nullif(F.trim(c), F.lit(""))
+
+
 def first_filled(*cs: Column) -> Column:
     """The first value that is not blank, else empty."""
     return F.coalesce(*[F.when(F.trim(or_empty(c)) != "", c) for c in cs], F.lit(""))

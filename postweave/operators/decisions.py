@@ -12,6 +12,22 @@ from postweave.operators.tables import numbered
 DECISION = t.StructType([t.StructField("decision_code", t.StringType()), t.StructField("confidence", t.DoubleType()), t.StructField("patch", t.MapType(t.StringType(), t.StringType())), t.StructField("reason_text", t.StringType())])
 
 
+_REPLY = "output_text string, output array<struct<type:string,content:array<struct<type:string,text:string>>>>, text string, incomplete_details struct<reason:string>"
+
+
+def output_text(c: Column) -> Column:
+    """The text of a model's reply: that of the reply itself, or the parts of its nested output one after the other; a text that is no reply is itself."""
+    r = F.from_json(c, _REPLY, {"mode": "PERMISSIVE"})
+    parts = F.flatten(F.transform(r["output"], lambda o: F.transform(F.coalesce(o["content"], F.array().cast("array<struct<type:string,text:string>>")), lambda p: p["text"])))
+    nested = F.nullif(F.array_join(F.array_compact(parts), ""), F.lit(""))
+    return F.coalesce(F.nullif(r["output_text"], F.lit("")), nested, F.nullif(r["text"], F.lit("")), c)
+
+
+def cut_short(c: Column) -> Column:
+    """Why a reply was cut short, empty if it was not."""
+    return T.or_empty(F.from_json(c, _REPLY, {"mode": "PERMISSIVE"})["incomplete_details"]["reason"])
+
+
 def parse_decision(c: Column) -> Column:
     """struct<decision, error>: a model's text as a decision; fences go, confidence is held to 0..1."""
     body = F.trim(F.regexp_replace(F.regexp_replace(T.or_empty(c), "^\\s*```[a-z]*\\s*", ""), "\\s*```\\s*$", ""))
@@ -99,6 +115,11 @@ def token_estimate(c: Column) -> Column:
     return F.greatest(F.lit(220), F.ceil(F.length(T.or_empty(c)) / 4).cast("int") + 200)
 
 
+def cost_estimate(tokens_in: Column, tokens_out: Column, price_in: float, price_out: float) -> Column:
+    """What a call costs at prices per million tokens, to six places."""
+    return F.round((tokens_in * price_in + tokens_out * price_out) / 1_000_000, 6)
+
+
 def mock_decisions(candidates: DataFrame, responses: DataFrame, schema: str, order: list[str]) -> DataFrame:
     """Saved responses in place of a model: the n-th candidate of a schema takes its n-th response, beyond them the last.
 

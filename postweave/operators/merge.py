@@ -91,6 +91,26 @@ def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within
     return pairs.join(wa, "left_key").join(wb, "right_key").withColumn("similarity", T.jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= least).select("left_key", "right_key", "similarity")
 
 
+def review_pairs(pairs: DataFrame, rows: DataFrame, key: str, overlap: list[Column], weak: Column, k: int) -> DataFrame:
+    """The ``k`` most similar pairs of which not both are strong and that share a value of one of the ``overlap`` lists."""
+    told = rows.select(F.col(key).alias("_k"), F.coalesce(weak, F.lit(True)).alias("_weak"), *[F.coalesce(c, F.array().cast("array<string>")).alias(f"_o{i}") for i, c in enumerate(overlap)])
+    side = lambda n: told.select(F.col("_k").alias(f"{n}_key"), F.struct("_weak", *[f"_o{i}" for i in range(len(overlap))]).alias(f"_{n}"))
+    met = pairs.join(side("left"), "left_key").join(side("right"), "right_key")
+    shared = F.lit(False)
+    for i in range(len(overlap)):
+        shared = shared | F.arrays_overlap(F.col("_left")[f"_o{i}"], F.col("_right")[f"_o{i}"])
+    kept = met.where((F.col("_left._weak") | F.col("_right._weak")) & shared)
+    return kept.select("left_key", "right_key", "similarity").orderBy(F.desc("similarity"), "left_key", "right_key").limit(k)
+
+
+def by_category(pairs: DataFrame, rows: DataFrame, key: str, category: str, same: float, other: float, k: int) -> DataFrame:
+    """The ``k`` most similar pairs, with a threshold for pairs of one category and a higher one for others."""
+    c = rows.select(F.col(key).alias("_k"), T.or_empty(F.col(category)).alias("_c"))
+    met = pairs.join(c.select(F.col("_k").alias("left_key"), F.col("_c").alias("_l")), "left_key").join(c.select(F.col("_k").alias("right_key"), F.col("_c").alias("_r")), "right_key")
+    kept = met.where(F.col("similarity") >= F.when(F.col("_l") == F.col("_r"), same).otherwise(other))
+    return kept.select("left_key", "right_key", "similarity").orderBy(F.desc("similarity"), "left_key", "right_key").limit(k)
+
+
 def nearest_in_time(left: DataFrame, right: DataFrame, by: list[str], ts: str, seconds: float, key: str) -> DataFrame:
     """For each row of ``left`` the row of ``right`` with the same ``by`` nearest in time within ``seconds``, but for one
     of its own key; ties go to the earlier, then the smaller key.

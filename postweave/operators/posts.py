@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postweave.functions import contacts as C
@@ -76,10 +76,37 @@ def scan_stats(posts: DataFrame, by: str = "chat_id") -> DataFrame:
     )
 
 
-def lookup(wanted: DataFrame, posts: DataFrame) -> DataFrame:
-    """Requested keys with a status: fetched or missing."""
-    have = posts.select("post_key").where("post_key is not null").distinct().withColumn("hit", F.lit(True))
-    return wanted.join(have, "post_key", "left").select("post_key", F.when(F.col("hit"), "fetched").otherwise("missing").alias("status"))
+def scan_report(posts: DataFrame, bounds: DataFrame, source: str = "chat_id", service: Column | None = None) -> DataFrame:
+    """Per source what a scan from the newest id down meets: seen, emitted, duplicates, service, newer_skipped, min_id, max_id, stop_reason.
+
+    ``bounds`` has source_key and may have checkpoint_id, upper_id, lower_id and cutoff_at.  The scan stops at the first
+    id at or under the checkpoint, or, of those not above the upper id, under the lower id or before the cutoff; that
+    row is seen but not taken.  The place of the stop is one maximum per source, so nothing is read in order.
+    """
+    have = lambda c, kind: (F.col(c).cast(kind) if c in bounds.columns else F.lit(None).cast(kind)).alias(f"_{c}")
+    ends = bounds.select(F.col("source_key").alias("_source"), have("checkpoint_id", "bigint"), have("upper_id", "bigint"), have("lower_id", "bigint"), have("cutoff_at", "timestamp"))
+    own = posts.select(F.col(source).alias("_source"), "message_id", "post_key", parse_instant(F.col("posted_at_utc")).alias("_at"), (F.lit(False) if service is None else service).alias("_service")).where("message_id is not null").join(ends, "_source")
+    newer = F.coalesce(F.col("message_id") > F.col("_upper_id"), F.lit(False))
+    reason = F.when(F.col("message_id") <= F.col("_checkpoint_id"), "checkpoint_reached").when(newer, None).when(F.col("message_id") < F.col("_lower_id"), "freeze_lower_message_id_reached").when(F.col("_at") < F.col("_cutoff_at"), "cutoff_reached")
+    own = own.withColumns({"_newer": newer, "_reason": reason})
+    stop = own.where("_reason is not null").groupBy("_source").agg(F.max(F.struct("message_id", "_reason")).alias("_stop"))
+    met = own.join(stop, "_source", "left")
+    taken = (F.col("_stop").isNull() | (F.col("message_id") > F.col("_stop.message_id"))) & ~F.col("_newer")
+    kept = taken & ~F.col("_service")
+    got = met.where(F.col("_stop").isNull() | (F.col("message_id") >= F.col("_stop.message_id"))).groupBy("_source").agg(
+        F.count("*").alias("seen"), F.countDistinct(F.when(kept, F.col("post_key"))).alias("emitted"), F.count_if(kept).alias("_kept"), F.count_if(taken & F.col("_service")).alias("service"),
+        F.count_if("_newer").alias("newer_skipped"), F.min("message_id").alias("min_id"), F.max("message_id").alias("max_id"), F.max("_stop._reason").alias("_why"),
+    )
+    why = F.coalesce("_why", F.when(F.col("emitted") == 0, "no_matching_posts").otherwise("end_of_history"))
+    return got.select(F.col("_source").alias("source_key"), "seen", "emitted", (F.col("_kept") - F.col("emitted")).alias("duplicates"), "service", "newer_skipped", "min_id", "max_id", why.alias("stop_reason"))
+
+
+def lookup(wanted: DataFrame, posts: DataFrame, service: Column | None = None) -> DataFrame:
+    """Requested keys with a status: fetched, service_message_skipped where all there is are service messages, or missing."""
+    told = F.lit(True) if service is None else F.bool_or(~service)
+    have = posts.where("post_key is not null").groupBy("post_key").agg((F.max(told) if service is None else told).alias("hit"))
+    status = F.when(F.col("hit").isNull(), "missing").when(F.col("hit"), "fetched").otherwise("service_message_skipped")
+    return wanted.join(have, "post_key", "left").select("post_key", status.alias("status"))
 
 
 def resolve_cutoff(as_of: Column, since_date: Column, days_back: Column, months_back: Column) -> Column:
@@ -96,10 +123,17 @@ def normalize_target(c: Column) -> Column:
     return F.when(v == "", "").when(v.rlike("^-?\\d+$"), v).otherwise(F.concat(F.lit("@"), F.lower(v)))
 
 
-def last_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row per key; rows with a blank key part go."""
+def last_by_key(df: DataFrame, keys: list[str], order: list[str], count: str | None = None) -> DataFrame:
+    """The last row per key by ``order``, ties by the other columns; rows with a blank key part go.  ``count`` names a column for the rows per key.
+
+    One aggregate with partial results: a key with many rows is one row per task before it is shuffled.
+    """
     own = df
     for k in keys:
         own = own.where(T.or_empty(F.col(k).cast("string")) != "")
-    w = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(o) for o in order], *[F.desc_nulls_last(c) for c in df.columns if c not in order and c not in keys and not df.schema[c].dataType.typeName().startswith(("map", "variant"))])
-    return own.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    rest = [c for c in df.columns if c not in keys]
+    ranked = [*order, *[c for c in rest if c not in order and not df.schema[c].dataType.typeName().startswith(("map", "variant"))]]
+    by = F.struct(*[F.col(c) for c in ranked]) if ranked else F.lit(0)
+    got = own.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_x") if rest else F.count("*").alias("_x"), F.count("*").alias("_n"))
+    cols = [F.col(c) if c in keys else F.col("_x")[c].alias(c) for c in df.columns]
+    return got.select(*cols, *([F.col("_n").alias(count)] if count else []))

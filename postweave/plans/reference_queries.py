@@ -133,8 +133,7 @@ def exact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT post_key, max(_run_id) AS last_run_id, count(*) AS fetches FROM raw_posts WHERE coalesce(post_key, '') <> '' GROUP BY post_key")
 def last_fetch_per_post(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = table(spark, sf_dir, "raw_posts").select("post_key", "_run_id", "views")
-    n = posts.groupBy("post_key").agg(F.count("*").alias("fetches"))
-    return P.last_by_key(posts, ["post_key"], ["_run_id", "views"]).select("post_key", F.col("_run_id").alias("last_run_id")).join(n, "post_key")
+    return P.last_by_key(posts, ["post_key"], ["_run_id", "views"], "fetches").select("post_key", F.col("_run_id").alias("last_run_id"), "fetches")
 
 
 @query(f"SELECT o.offer_key, o.provider_key, coalesce(nullif(p.canonical_name, ''), nullif(p.display_name_best, ''), o.provider_key) AS provider_display_name, o.offer_state, o.category_primary, o.price_min, o.currency_code, o.last_seen_at_utc, o.dedupe_confidence, {fresh('o.last_seen_at_utc')} AS freshness_bucket FROM offers o JOIN providers p ON p.provider_key = o.provider_key")
@@ -536,3 +535,37 @@ def publication_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = {"runs": ["run_id"], "raw_posts": ["post_key"], "providers": ["provider_key"], "offers": ["offer_key"], "offer_edges": ["offer_key", "raw_post_id"], "audit": ["match_id"]}
     defaults = {"providers": {"provider_state": "candidate", "identity_strength": "provisional", "canonical_name": "=display_name_best"}, "offers": {"offer_state": "candidate"}}
     return R.publication_counts(R.publication(tables, keys, defaults, {"raw_posts": ["_run_id"], "providers": ["last_seen_run_id"], "offers": ["last_seen_run_id"]}))
+
+
+@query("""WITH b AS (SELECT chat_id AS s, min(message_id) + (max(message_id) - min(message_id)) // 4 AS c, max(message_id) - (max(message_id) - min(message_id)) // 10 AS u FROM raw_posts WHERE chat_id IS NOT NULL GROUP BY 1),
+ o AS (SELECT s, message_id AS m, post_key, c, u, try_cast(trim(posted_at_utc) AS TIMESTAMPTZ) AS ts, text IS NULL AND NOT coalesce(has_media, false) AS service FROM raw_posts JOIN b ON s = chat_id WHERE message_id IS NOT NULL),
+ w AS (SELECT *, CASE WHEN m <= c THEN 'checkpoint_reached' WHEN m > u THEN NULL WHEN ts < TIMESTAMPTZ '2025-09-01 00:00:00+00' THEN 'cutoff_reached' END AS why FROM o),
+ t AS (SELECT s, max(m) AS stop FROM w WHERE why IS NOT NULL GROUP BY 1), y AS (SELECT s, max(why) AS why FROM w JOIN t USING (s) WHERE m = stop GROUP BY 1),
+ k AS (SELECT w.*, stop, (stop IS NULL OR m > stop) AND m <= u AS taken FROM w LEFT JOIN t USING (s) WHERE stop IS NULL OR m >= stop)
+ SELECT s AS source_key, count(*) AS seen, count(DISTINCT post_key) FILTER (taken AND NOT service) AS emitted, count(*) FILTER (taken AND NOT service) - count(DISTINCT post_key) FILTER (taken AND NOT service) AS duplicates, count(*) FILTER (taken AND service) AS service,
+ count(*) FILTER (m > u) AS newer_skipped, min(m) AS min_id, max(m) AS max_id, coalesce(max(y.why), CASE WHEN count(DISTINCT post_key) FILTER (taken AND NOT service) = 0 THEN 'no_matching_posts' ELSE 'end_of_history' END) AS stop_reason FROM k LEFT JOIN y USING (s) GROUP BY 1""")
+def scan_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a bounded scan of every channel meets, and why it stops."""
+    posts = table(spark, sf_dir, "raw_posts")
+    width = F.expr("max(message_id) - min(message_id)")
+    bounds = posts.where("chat_id is not null").groupBy(F.col("chat_id").alias("source_key")).agg((F.min("message_id") + F.floor(width / 4)).alias("checkpoint_id"), (F.max("message_id") - F.floor(width / 10)).alias("upper_id"))
+    bounds = bounds.withColumn("cutoff_at", F.lit("2025-09-01 00:00:00").cast("timestamp"))
+    return P.scan_report(posts, bounds, service=F.col("text").isNull() & ~F.coalesce(F.col("has_media"), F.lit(False)))
+
+
+@query(f"""WITH p AS ({_pairs_sql("offers", "offer_key", "title_best", 0.6)}), o AS (SELECT offer_key, coalesce(dedupe_confidence, '') <> 'high' AS weak, {_LIST.format(c="city_codes")} AS cities, CASE WHEN coalesce(category_primary, '') <> '' THEN [category_primary] ELSE [] END AS cats FROM offers)
+ SELECT left_key, right_key, similarity FROM p JOIN o a ON a.offer_key = left_key JOIN o b ON b.offer_key = right_key WHERE (a.weak OR b.weak) AND (len(list_intersect(a.cities, b.cities)) > 0 OR len(list_intersect(a.cats, b.cats)) > 0) ORDER BY similarity DESC, left_key, right_key LIMIT 10""")
+def overlapping_offer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most similar pairs of offer titles that share a city or a category, not both of high confidence."""
+    offers = table(spark, sf_dir, "offers")
+    cats = F.array_compact(F.array(F.when(T.or_empty(F.col("category_primary")) != "", F.col("category_primary"))))
+    pairs = M.similar_pairs(offers, "offer_key", T.tokens(F.col("title_best")), 0.6)
+    return M.review_pairs(pairs, offers, "offer_key", [T.packed_list(F.col("city_codes")), cats], T.or_empty(F.col("dedupe_confidence")) != "high", 10)
+
+
+@query(f"""WITH p AS ({_pairs_sql("offers", "offer_key", "title_best", 0.6, "provider_key")}) SELECT left_key, right_key, similarity FROM p JOIN offers a ON a.offer_key = left_key JOIN offers b ON b.offer_key = right_key
+ WHERE similarity >= CASE WHEN coalesce(a.category_primary, '') = coalesce(b.category_primary, '') THEN 0.6 ELSE 0.8 END ORDER BY similarity DESC, left_key, right_key LIMIT 15""")
+def offer_pairs_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifteen most similar pairs of offers of a provider, with a threshold for one category and one for others."""
+    offers = table(spark, sf_dir, "offers")
+    return M.by_category(M.similar_pairs(offers, "offer_key", T.tokens(F.col("title_best")), 0.6, "provider_key"), offers, "offer_key", "category_primary", 0.6, 0.8, 15)

@@ -42,13 +42,35 @@ def stream_posts(spark: SparkSession, path: str, files_per_batch: int = 100) ->
     return spark.readStream.schema(RAW_POST).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+# Error kinds with what can be done about them.
+ERROR_HINTS = {
+    "invalid_envelope": "the file must be one JSON object with a list raw_posts", "auth_failed": "renew the session", "rate_limited": "wait for retry_after_s and run again", "not_found": "check the ids asked for",
+    "timeout": "run again with a smaller bound", "missing_lower_bound": "an upper id needs a lower bound",
+}
+
+
 def dead_letters(df: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and error rows in one shape."""
+    """Good rows, and error rows in one shape; ``error_message``, ``http_status`` and ``retry_after_s`` are taken over where there are such columns."""
+    have = lambda c, kind: (F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)).alias(c)
+    hints = F.create_map(*[F.lit(x) for kv in ERROR_HINTS.items() for x in kv])
     good = df.where(F.col("error").isNull()).drop("error")
-    bad = df.where(F.col("error").isNotNull()).select(F.lit(stage).alias("stage"), F.col("error").alias("error_type"), F.col("run_id"), F.lit(None).cast("int").alias("http_status"), F.lit(None).cast("int").alias("retry_after_s"))
+    said = F.coalesce(have("error_message", "string"), F.col("error")).alias("error_message")
+    hint = F.coalesce(F.try_element_at(hints, F.col("error")), F.lit("")).alias("error_hint")
+    bad = df.where(F.col("error").isNotNull()).select(F.lit(stage).alias("stage"), F.col("error").alias("error_type"), said, hint, F.col("run_id"), have("http_status", "int"), have("retry_after_s", "int"))
     return good, bad
 
 
+def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Rows as JSON lines, in a folder per value of ``by`` if given; nulls are left out."""
+    out = df.write.mode("overwrite").option("ignoreNullFields", "true")
+    (out.partitionBy(by) if by else out).json(path)
+
+
+def write_ordered(df: DataFrame, path: str, order: list[str]) -> None:
+    """Rows in one order over all files (their names sort by it), by range partitions."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 SHEET_COLUMNS = ("offer_key", "title", "details", "category", "city", "price", "contact", "provider", "website", "url", "last_seen")
 
 

@@ -60,9 +60,22 @@ def resume_error(state: dict, now: dict) -> str:
         ("state_version_mismatch", state.get("version") == now.get("version")),
         ("bounds_mismatch", state.get("bounds") == now.get("bounds")),
         ("fingerprint_mismatch", state.get("fingerprint") == now.get("fingerprint")),
+        ("ids_mismatch", state.get("ids") == now.get("ids") or "ids" not in state),
+        ("identities_mismatch", state.get("identities") == now.get("identities")),
         ("token_mismatch", state.get("token") == now.get("token")),
         ("failed_candidates", not state.get("failed")),
         ("duplicate_candidates", len(set(state.get("done", ()))) == len(state.get("done", ()))),
         ("cursor_gap", list(state.get("done", ())) == list(now.get("ids", ()))[: len(state.get("done", ()))]),
     )
     return next((name for name, ok in rules if not ok), "")
+
+
+def chunk_reserve(total: float) -> float:
+    """Seconds kept free at the end of a chunk: a tenth of all, thirty at least and 180 at most."""
+    return min(180.0, max(30.0, total / 10))
+
+
+def must_stop(total: float, elapsed: float, done: int) -> bool:
+    """Whether another row, at the average so far, would run into the reserve."""
+    average = elapsed / done if done else 0.0
+    return total - elapsed <= chunk_reserve(total) + average

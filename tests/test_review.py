@@ -118,3 +118,61 @@ def test_publication_is_seen_whole(spark, tmp_path):
     assert sorted(map(tuple, store.read("providers").select("provider_key", "provider_state", "identity_strength", "name").collect())) == [("p1", "candidate", "provisional", "Studio"), ("p2", "candidate", "strong", "p2")]
     assert {r.raw_post_id: r.last_seen_run_id for r in store.read("edges").collect()} == {"a": "r9", "b": "r9"}
     assert {r.table_name: r.rows for r in store.read("counts").collect()} == {"providers": 2, "edges": 2}
+
+
+def test_nested_replies_and_costs(spark):
+    reply = '{"output": [{"type": "message", "content": [{"type": "output_text", "text": "{\\"a\\":"}, {"type": "output_text", "text": " 1}"}]}], "incomplete_details": {"reason": "max_output_tokens"}}'
+    assert one(spark, reply, D.output_text) == '{"a": 1}' and one(spark, reply, D.cut_short) == "max_output_tokens"
+    assert one(spark, '{"output_text": "x"}', D.output_text) == "x" and one(spark, '{"decision_code": "m"}', D.output_text) == '{"decision_code": "m"}' and one(spark, None, D.output_text) is None
+    assert one(spark, 1000, lambda c: D.cost_estimate(c, F.lit(500), 0.25, 2.0), "int") == 0.00125
+
+
+def test_compaction_at_any_depth(spark):
+    df = spark.sql("select struct('' as a, array('', ' ', 'x') as b, struct(cast(null as string) as d, ' ' as e) as c, array(struct('' as f), struct('y' as f)) as g, array() as h, 0 as n) as s")
+    assert df.select(L.compact_json(F.col("s"), df.schema["s"].dataType)).first()[0] == '{"b":["x"],"g":[{"f":"y"}],"n":0}'
+
+
+def test_coercions(spark):
+    from postweave.functions import text as T
+
+    assert one(spark, " 12 ", T.nullable_int) == 12 and one(spark, "1.5x", T.nullable_int) is None
+    assert str(one(spark, "2.50", lambda c: T.to_decimal(c, "decimal(5,2)"))) == "2.50" and one(spark, "123456", lambda c: T.to_decimal(c, "decimal(5,2)")) is None
+    assert one(spark, '{"a": 1, "b": "x"}', T.json_object) == {"a": "1", "b": "x"} and one(spark, "[1]", T.json_object) == {} and one(spark, None, T.json_object) == {}
+    assert one(spark, '["a", 1]', T.json_array) == ["a", "1"] and one(spark, "{}", T.json_array) == [] and one(spark, "  ", T.nullable_text) is None
+
+
+def test_time_guard_and_resume():
+    from postweave.streaming import ingest
+
+    assert [ingest.chunk_reserve(t) for t in (100, 900, 9000)] == [30, 90, 180]
+    assert not ingest.must_stop(1800, 1000, 10) and ingest.must_stop(1800, 1500, 10) and not ingest.must_stop(1800, 0, 0)
+    now = {"version": 1, "ids": ["a"], "identities": ["x"]}
+    assert ingest.resume_error({**now, "done": ["a"]}, now) == ""
+    assert ingest.resume_error({**now, "identities": ["y"]}, now) == "identities_mismatch" and ingest.resume_error({**now, "ids": ["b"]}, now) == "ids_mismatch"
+
+
+def test_scan_report_and_lookup(spark):
+    from postweave.operators import posts as P
+
+    rows = [("c", i, f"k{i}", f"2026-01-{i:02}T00:00:00Z", None if i == 7 else "t") for i in range(1, 11)] + [("c", 8, "k8", "2026-01-08T00:00:00Z", "t"), ("d", 1, "d1", None, None), ("e", None, "e1", None, "t")]
+    posts = spark.createDataFrame(rows, "chat_id string, message_id long, post_key string, posted_at_utc string, text string")
+    bounds = spark.createDataFrame([("c", 3, 9, None, "2026-01-05 00:00:00"), ("d", None, None, None, None)], "source_key string, checkpoint_id long, upper_id long, lower_id long, cutoff_at string")
+    got = {r.source_key: r.asDict() for r in P.scan_report(posts, bounds, service=F.col("text").isNull()).collect()}
+    assert {k: v for k, v in got["c"].items() if k != "source_key"} == {"seen": 8, "emitted": 4, "duplicates": 1, "service": 1, "newer_skipped": 1, "min_id": 4, "max_id": 10, "stop_reason": "cutoff_reached"}
+    assert got["d"]["stop_reason"] == "no_matching_posts" and got["d"]["service"] == 1
+    low = bounds.drop("cutoff_at").withColumn("lower_id", F.lit(6))
+    assert P.scan_report(posts, low).where("source_key = 'c'").first()["stop_reason"] == "freeze_lower_message_id_reached"
+    wanted = spark.createDataFrame([("k1",), ("k7",), ("zz",)], "post_key string")
+    assert {r.post_key: r.status for r in P.lookup(wanted, posts, F.col("text").isNull()).collect()} == {"k1": "fetched", "k7": "service_message_skipped", "zz": "missing"}
+
+
+def test_sinks_in_json_and_in_order(spark, tmp_path):
+    from postweave.sources import files
+
+    df = spark.createDataFrame([("r1", 3, None), ("r2", 1, "x"), ("r1", 2, "y")], "run string, n int, t string")
+    files.write_json(df, str(tmp_path / "j"), "run")
+    assert spark.read.json(str(tmp_path / "j")).count() == 3 and '{"n":3}' in "".join(f.read_text() for f in (tmp_path / "j" / "run=r1").glob("*.json"))
+    files.write_ordered(df, str(tmp_path / "o"), ["n"])
+    import pandas as pd
+
+    assert [n for f in sorted((tmp_path / "o").glob("*.parquet")) for n in pd.read_parquet(f)["n"]] == [1, 2, 3]
