@@ -31,7 +31,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of posts and of providers whose text looks the same."""
-    posts = look_alike_pairs(table(spark, sf_dir, "raw_posts"), "post_key", "text")
+    posts = look_alike_pairs(table(spark, sf_dir, "raw_posts", True), "post_key", "text")
     names = look_alike_pairs(table(spark, sf_dir, "providers"), "provider_key", "canonical_name")
     return posts.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(names.select(F.lit("providers.canonical_name"), "*"))
 
@@ -39,7 +39,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every record that looks like another, and its number of links."""
-    posts = look_alike_classes(table(spark, sf_dir, "raw_posts"), "post_key", "text")
+    posts = look_alike_classes(table(spark, sf_dir, "raw_posts", True), "post_key", "text")
     names = look_alike_classes(table(spark, sf_dir, "providers"), "provider_key", "canonical_name")
     return posts.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(names.select(F.lit("providers.canonical_name"), "*"))
 
@@ -47,8 +47,8 @@ def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every personal item of the posts and of the review texts, each record once."""
-    raw = find_items(table(spark, sf_dir, "raw_posts"), "post_key", "text")
-    review = find_items(table(spark, sf_dir, "review_posts"), "raw_post_id", "text_raw")
+    raw = find_items(table(spark, sf_dir, "raw_posts", True), "post_key", "text")
+    review = find_items(table(spark, sf_dir, "review_posts", True), "raw_post_id", "text_raw")
     items = raw.select(F.lit("raw_posts.text").alias("field_name"), "*").unionAll(review.select(F.lit("review_posts.text_raw"), "*"))
     return items.select("field_name", "record_key", "pii_type", "start_pos").distinct()
 
@@ -56,11 +56,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
-    return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return encode(table(spark, sf_dir, "documents", True), "doc_id", "text")
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+    return leaks(table(spark, sf_dir, "documents", True), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
 
 
 @query
@@ -72,12 +72,12 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus without the documents that hold test passages."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", True)
     return without_leaks(docs, "doc_id", _leaks(spark, sf_dir)).select("doc_id", "lang", "source", "n_chars")
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "abuse_labels")
+    docs, labels = table(spark, sf_dir, "documents", True), table(spark, sf_dir, "abuse_labels")
     # One fit for all queries of a session over the same files.
     fitted = spark.sparkContext.__dict__.setdefault("_postweave_abuse", {})
     of = tuple(sorted(docs.inputFiles() + labels.inputFiles()))
@@ -131,8 +131,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _checked(spark: SparkSession, sf_dir: str) -> tuple[History, DataFrame]:
     """A history of the offers in a folder of its own, and the answers to its batches, one after the other."""
     base = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
-    history = History.start(table(spark, sf_dir, "offers"), base, "offer_key", "first_seen_at_utc", "title_best", "description_best", "first_seen_run_id", "times_seen")
-    return history, check_batches(history, table(spark, sf_dir, "offer_batches"), "batch_row_id", "offer_key", "title_best", "description_best", "run_id", "first_seen_run_id")
+    history = History.start(table(spark, sf_dir, "offers", True), base, "offer_key", "first_seen_at_utc", "title_best", "description_best", "first_seen_run_id", "times_seen")
+    return history, check_batches(history, table(spark, sf_dir, "offer_batches", True), "batch_row_id", "offer_key", "title_best", "description_best", "run_id", "first_seen_run_id")
 
 
 @query
