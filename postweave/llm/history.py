@@ -46,7 +46,8 @@ from postweave.sources.store import Store
 WORDS64 = 16  # 64-bit words of a fingerprint
 ROTATIONS = 64  # one every 16 bits
 HOT = 10_000  # rows of a batch with one front, beyond which it is split
-FEW = 20_000  # rows of a batch whose blocks (64 of some 30 bytes each) are broadcast
+FEW = 20_000  # rows of a batch whose blocks (64 of some 80 bytes each) are broadcast
+TOGETHER = 20_000  # rows of waiting batches that are added in one go
 NEAR = 260  # bits of 1024 that may differ
 SHORT = 2  # words of a description that a title outweighs
 NEAR64 = 26  # bits of the first 64 that may differ
@@ -363,14 +364,27 @@ def _sorted(table: DataFrame) -> DataFrame:
     return table.sortWithinPartitions("close", "rot", "front")
 
 
-def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, by: str | None = None, run: str | None = None) -> DataFrame:
-    """(id, key, offer, repeat) of all rows: each batch of the column ``by`` is added on its own, in the order of the first rows; without it all rows are one batch."""
+def check_batches(history: History, batches: DataFrame, order: str, key: str, title: str, text: str, by: str | None = None, run: str | None = None, together: int = TOGETHER) -> DataFrame:
+    """(id, key, offer, repeat) of all rows: the batches of the column ``by`` are added one after the other, in the order of their first rows; without it all rows are one batch.
+
+    Batches that wait side by side are added in one go as long as they have at most ``together`` rows: as each row meets
+    all rows before it, that gives what one after the other gives.
+    """
     if by is None:
         return history.add(batches, order, key, title, text, run)
-    runs = [r[0] for r in batches.groupBy(by).agg(F.min(order).alias("first")).orderBy("first").select(by).collect()]
+    goes: list[list[str | None]] = []
+    size = 0
+    # One row per batch.
+    for r in batches.groupBy(by).agg(F.min(order).alias("_first"), F.count("*").alias("_n")).orderBy("_first").collect():
+        if not goes or size + r["_n"] > together:
+            goes.append([])
+            size = 0
+        goes[-1].append(r[by])
+        size += r["_n"]
     before = len(history.added)
-    for r in runs or [None]:
-        history.add(batches.where(F.col(by).eqNullSafe(F.lit(r))), order, key, title, text, run)
+    for go in goes or [[None]]:
+        mine = F.col(by).isin(*[b for b in go if b is not None])
+        history.add(batches.where(mine | F.col(by).isNull() if None in go else mine), order, key, title, text, run)
         history.rest()
     # One scan, not one plan for each batch.
     return history.spark.read.parquet(*history.added[before:])

@@ -39,14 +39,18 @@ def frame(spark, batch):
     return spark.createDataFrame(batch, "id long, run string, offer_key string, title string, text string")
 
 
-def run(spark, tmp_path, by_run, batch=BATCH):
-    got = check_batches(started(spark, tmp_path), frame(spark, batch), "id", "offer_key", "title", "text", "run" if by_run else None, "run")
+def run(spark, tmp_path, by_run, batch=BATCH, together=1):
+    h = started(spark, tmp_path)
+    got = check_batches(h, frame(spark, batch), "id", "offer_key", "title", "text", "run" if by_run else None, "run", together)
+    assert len(h.added) == (len({r[1] for r in batch}) if by_run and together == 1 and batch else 1)
     return {r.id: r.offer for r in got.collect() if r.repeat}, got
 
 
 def test_one_pass_and_batch_by_batch(spark, tmp_path):
     assert run(spark, tmp_path, False)[0] == WANT
     assert run(spark, tmp_path, True)[0] == WANT
+    assert run(spark, tmp_path, True, BATCH, 100)[0] == WANT
+    assert run(spark, tmp_path, True, [(*r[:1], None if r[1] == "r2" else r[1], *r[2:]) for r in BATCH])[0] == WANT
 
 
 def test_new_rows_keep_their_keys_and_empty_batches(spark, tmp_path):
