@@ -107,3 +107,51 @@ def provider_clusters() -> str:
     of AS (SELECT a, min(c) AS anchor FROM c GROUP BY 1)
     SELECT raw_post_id, 'provider:' || split_part(anchor, ':', 1) || ':' || sha1(anchor) AS provider_key FROM lo JOIN of ON of.a = least
     UNION ALL SELECT raw_post_id, 'provider:raw_post:' || sha1(coalesce(ids[1], raw_post_id)) FROM po WHERE len(strong) = 0"""
+
+
+def _shorten(c: str, limit: int) -> str:
+    head = f"substr({c}, 1, {limit})"
+    cuts = "greatest(" + ", ".join(f"{limit} - length(list_extract(string_split({head}, '{s}'), -1))" for s in ("; ", ", ", ". ", " ")) + ")"
+    return f"CASE WHEN length({c}) <= {limit} THEN {c} ELSE trim(CASE WHEN {cuts} >= {max(24, limit // 3)} THEN rtrim(substr({head}, 1, CAST({cuts} AS BIGINT))) ELSE {head} END, ' ;,.') END"
+
+
+def fact_packs() -> str:
+    """Title, details and quality from cleaned lines."""
+    low = "lower(x)"
+    words = "len(string_split(trim(x), ' '))"
+    noise = (
+        rf"(NOT regexp_matches(x, '[\p{{L}}\p{{N}}]') OR regexp_matches({low}, '^(#[^{_BLANK}]+[{_BLANK}]*)+$') OR ({words} <= 5 AND regexp_replace({low}, '[{_BLANK}:.!\-]+$', '') IN ('услуги', 'контакты', 'цены', 'прайс', 'services', 'contacts', 'prices', 'usluge', 'cene'))"
+        + "".join(f" OR contains({low}, '{w}')" for w in ("подписывайтесь", "репост", "розыгрыш", "акция только", "subscribe", "giveaway", "zapratite"))
+        + rf" OR ({words} <= 4 AND regexp_matches(x, '\p{{L}}') AND upper(x) = x) OR ({words} < 2 AND regexp_matches(x, '[\x{{1F300}}-\x{{1FAFF}}\x{{2600}}-\x{{27BF}}]')))"
+    )
+    greets = "('привет', 'всем привет', 'здравствуйте', 'добрый день', 'hi all', 'hello', 'zdravo', 'dobar dan')"
+    return rf"""WITH t AS (SELECT post_key, _run_id, coalesce(text, '') AS t FROM raw_posts),
+    s AS (SELECT post_key, _run_id, regexp_split_to_array(t, '[\r\n]+') AS a, regexp_split_to_array(t, '[{_BLANK}]*[•●▪][{_BLANK}]*') AS b, string_split(regexp_replace(t, '([.!?])[{_BLANK}]+', '\1' || chr(1), 'g'), chr(1)) AS c FROM t),
+    l AS (SELECT post_key, _run_id, list_filter(list_transform(CASE WHEN len(a) > 1 THEN a WHEN len(b) > 1 THEN b ELSE c END, lambda x: {norm('x')}), lambda x: x <> '') AS l FROM s),
+    k AS (SELECT post_key, _run_id, list_filter(list_transform(l, lambda x: trim(regexp_replace(x, '^[^\p{{L}}\p{{N}}+@#«"(]+|[{_BLANK}\-–—•]+$', '', 'g'))), lambda x: x <> '' AND NOT {noise} AND regexp_replace(lower(x), '[!.,{_BLANK}]+$', '') NOT IN {greets}) AS k FROM l),
+    u AS (SELECT post_key, _run_id, list_filter(k, lambda x, i: list_position(list_transform(k, lambda y: lower(y)), lower(x)) = i) AS k FROM k),
+    v AS (SELECT post_key, _run_id, coalesce(k[1], '') AS a, array_to_string(k[2:4], '; ') AS b, len(k) AS n FROM u)
+    SELECT post_key, _run_id, {_shorten('a', 120)} AS title, {_shorten('b', 280)} AS details, CASE WHEN n = 0 THEN 'weak_signal' WHEN n = 1 THEN 'title_only' ELSE 'clean' END AS quality FROM v"""
+
+
+def offer_clusters() -> str:
+    """Within a provider: one text, similar words with agreeing categories, and posts without content by channel and time."""
+    clusters = provider_clusters()
+    at = clusters.index("SELECT raw_post_id, 'provider:' ||")
+    return rf"""{clusters[:at].rstrip()}, pc AS ({clusters[at:]}),
+    o AS (SELECT raw_post_id, arg_max({{'h': text_hash, 't': tokens, 'c': codes, 'ch': source_channel_key, 'p': posted_at_utc}}, {{'a': text_norm <> '', 'b': try_cast(trim(posted_at_utc) AS TIMESTAMPTZ) IS NOT NULL, 'c': source_channel_key <> '', 'd': _run_id, 'e': text_hash, 'f': posted_at_utc, 'g': source_channel_key}}) AS x FROM sp WHERE raw_post_id <> '' GROUP BY 1),
+    r0 AS (SELECT raw_post_id AS id, provider_key AS g, x.h AS h, coalesce(x.t, []) AS t, x.c AS c, coalesce(x.ch, '') AS ch, trim(coalesce(x.p, '')) AS at_text, try_cast(trim(coalesce(x.p, '')) AS TIMESTAMPTZ) AS ts, coalesce(x.h, '') IN ('', sha1('')) AS blank FROM o JOIN pc USING (raw_post_id)),
+    rr AS (SELECT *, blank AND len(t) = 0 AND len(c) = 0 AS bare FROM r0),
+    lw AS (SELECT g, h, min(id) AS b FROM rr WHERE NOT blank GROUP BY 1, 2),
+    rp AS (SELECT * FROM rr WHERE len(t) > 0 AND (id IN (SELECT b FROM lw) OR (blank AND NOT bare))),
+    nr AS (SELECT a.id AS a, b.id AS b FROM rp a JOIN rp b ON a.g = b.g AND a.id < b.id WHERE (len(a.c) = 0 OR len(b.c) = 0 OR len(list_intersect(a.c, b.c)) > 0) AND len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) >= 0.55),
+    ba AS (SELECT * FROM rr WHERE bare AND ch <> ''), tl AS (SELECT * FROM rr WHERE NOT bare),
+    st AS (SELECT *, lag(id) OVER w IS NULL OR coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w), 0) > 5000000 AS is_first FROM ba WINDOW w AS (PARTITION BY g, ch, CASE WHEN ts IS NULL THEN at_text END ORDER BY ts, id)),
+    hd AS (SELECT *, last_value(CASE WHEN is_first THEN id END IGNORE NULLS) OVER (PARTITION BY g, ch, CASE WHEN ts IS NULL THEN at_text END ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS head FROM st),
+    mt AS (SELECT hd.head, tl.id AS b, CASE WHEN hd.ts IS NULL THEN 0 ELSE abs(epoch_us(hd.ts) - epoch_us(tl.ts)) END AS gap, coalesce(epoch_us(tl.ts), 0) AS at_us FROM hd JOIN tl ON hd.g = tl.g AND hd.ch = tl.ch WHERE (hd.ts IS NULL AND tl.ts IS NULL AND hd.at_text = tl.at_text) OR abs(epoch_us(hd.ts) - epoch_us(tl.ts)) <= 5000000),
+    hg AS (SELECT head AS a, arg_min(b, {{'g': gap, 't': at_us, 'b': b}}) AS b FROM mt GROUP BY 1),
+    ed AS (SELECT rr.id AS a, lw.b FROM rr JOIN lw ON rr.g = lw.g AND rr.h = lw.h WHERE NOT rr.blank UNION SELECT a, b FROM nr UNION SELECT id, head FROM hd UNION SELECT a, b FROM hg),
+    sy AS (SELECT a, b FROM ed UNION SELECT b, a FROM ed),
+    cl AS (SELECT id AS a, id AS c FROM rr UNION SELECT sy.a, cl.c FROM sy JOIN cl ON cl.a = sy.b),
+    nm AS (SELECT a, min(c) AS c FROM cl GROUP BY 1)
+    SELECT id AS raw_post_id, g AS provider_key, 'offer:' || sha1(g || chr(31) || nm.c) AS offer_key FROM rr JOIN nm ON nm.a = id"""

@@ -321,7 +321,7 @@ def provider_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.provider_clusters(P.structure(table(spark, sf_dir, "raw_posts", True)))
 
 
-@query()
+@query(Q.offer_clusters())
 def offer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts joined to offers within their provider."""
     s = P.structure(table(spark, sf_dir, "raw_posts", True))
@@ -384,7 +384,7 @@ def sender_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.senders(posts).select("sender_id", "posts").join(last, "sender_id")
 
 
-@query()
+@query(Q.fact_packs())
 def fact_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, details and quality of every post."""
     return table(spark, sf_dir, "raw_posts", True).select("post_key", "_run_id", L.fact_pack(F.col("text")).alias("f")).select("post_key", "_run_id", "f.*")
