@@ -34,9 +34,10 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         small = cut(small.where("a <> b").distinct())
         # Stable when every vertex hangs on one root and no root hangs on another.
-        done = small.select("a").intersect(small.select("b")).isEmpty() and small.count() == small.select("a").distinct().count()
+        ends = small.select(F.col("a").alias("v"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionAll(small.select("b", F.lit(0), F.lit(1)))
+        moving = ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or (hangs > 0 and holds > 0)")
         links = small
-        if done:
+        if moving.isEmpty():
             break
     return ids.join(links.select(F.col("a").alias("id"), F.col("b").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
