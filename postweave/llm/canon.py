@@ -216,9 +216,8 @@ def look_alike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     A class is named by its smallest key; links counts the records of other keys with another text of the class, once
     for each own text.  Counts only, so no pair is built whatever the size of a class.
     """
-    recs = fingerprints(df, key, text).groupBy("key", "look", "raw").agg(F.lit(1).alias("one")).drop("one")
-    own = cut(recs.groupBy("key", "look").agg(F.collect_list("raw").alias("raws")))
-    per_text = own.select("key", "look", F.size("raws").alias("mine"), F.explode("raws").alias("raw"))
+    recs = cut(fingerprints(df, key, text).groupBy("key", "look", "raw").agg(F.lit(1).alias("one")).drop("one"))
+    per_text = recs.join(recs.groupBy("key", "look").agg(F.count("*").alias("mine")), ["key", "look"])
     same = per_text.groupBy("look", "raw").agg(F.count("*").alias("same"), F.min("key").alias("low"))
     whole = same.groupBy("look").agg(F.sum("same").alias("all"), F.count("*").alias("texts"), F.min("low").alias("class_key")).where("texts > 1")
     rows = per_text.join(same.select("look", "raw", "same").join(whole, "look"), ["look", "raw"])
