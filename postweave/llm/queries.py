@@ -78,15 +78,28 @@ def p9_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents", True), table(spark, sf_dir, "abuse_labels")
-    # One fit for all queries of a session over the same files.
+    # One fit for all queries of a session over the same state of the same files.
     fitted = spark.sparkContext.__dict__.setdefault("_postweave_abuse", {})
-    of = tuple(sorted(docs.inputFiles() + labels.inputFiles()))
-    if of not in fitted:
+    of = _state(spark, sorted(docs.inputFiles() + labels.inputFiles()))
+    if of is None or of not in fitted:
         fitted.clear()
         fitted[of] = fit(labelled(docs, labels))
     return score_documents(docs, fitted[of], ("source",))
 
 
+def _state(spark: SparkSession, files: list[str], most: int = 1000) -> tuple | None:
+    """Names, sizes and times of the files; None for more than ``most`` of them, which are not asked for one by one."""
+    if len(files) > most:
+        return None
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    told = []
+    for f in files:
+        p = path(spark._jvm.java.net.URI(f))
+        s = p.getFileSystem(conf).getFileStatus(p)
+        told.append((f, s.getLen(), s.getModificationTime()))
+    return tuple(told)
+
+
 @query
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an abusive, hateful or sexual passage."""

@@ -84,3 +84,19 @@ def test_rows(spark):
     assert got.count() == 62 and got.where("doc_id >= 100 and (abusive or score <> 0)").count() == 0
     assert {r.source: r.documents for r in rates(got).collect()} == {"s0": 31, "s1": 30, None: 1}
     assert score_documents(docs.limit(0), fit([])).count() == 0
+
+
+def test_the_fit_of_a_session_follows_the_files(spark, tmp_path):
+    from postweave.llm import queries
+
+    def write(n):
+        docs = spark.createDataFrame([(i, t, "s") for i, (t, _) in enumerate(make(n))], "doc_id long, text string, source string")
+        docs.write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+        spark.createDataFrame([(i, int(y)) for i, (_, y) in enumerate(make(n))], "doc_id long, abusive int").write.mode("overwrite").parquet(str(tmp_path / "abuse_labels.parquet"))
+
+    write(40)
+    assert queries.p10_scores(spark, str(tmp_path)).count() == 40
+    kept = dict(spark.sparkContext._postweave_abuse)
+    assert queries.p10_rates(spark, str(tmp_path)).count() == 1 and spark.sparkContext._postweave_abuse == kept
+    write(60)
+    assert queries.p10_scores(spark, str(tmp_path)).count() == 60 and spark.sparkContext._postweave_abuse.keys() != kept.keys()
