@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postweave.functions import text as T
 from postweave.operators.posts import parse_instant
-from postweave.session import cut
+from postweave.session import cut, kept
 
 # Products of doubles lie a little above the whole number they stand for (0.55 * 100); no bound may lose a pair by that.
 SLACK = 1e-9
@@ -71,25 +74,97 @@ def similar_pairs(rows: DataFrame, key: str, words: Column, least: float, within
     so copies are never expanded into pairs and no link between different sets is lost.  With ``labels``, classes agree in
     them too, and two classes that both have labels but share none are no pair.
 
-    Prefix filter: words are ordered from rare to frequent over all rows, and two sets that similar share a word among
-    the first n - ceil(least * n) + 1 of each.  At the first shared word no more words can be shared than follow in the
-    shorter rest, so places that leave too few are no candidates; a pair is compared once.
+    Prefix filter: words are ordered from rare to frequent, and a set meets each larger one at a word among the rarest
+    of either; see ``_pairs``.
     """
-    extra = [within] if within else []
     base, same = _worded(rows, key, words, within, labels)
-    base = cut(base.groupBy(*same).agg(F.min("k").alias("k")).select("k", *same))
-    df = base.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    ranked = base.select("k", *extra, "labels", F.size("w").alias("n_w"), F.explode("w").alias("t")).join(df, "t")
-    order = Window.partitionBy("k").orderBy("n", "t")
-    pref = ranked.withColumn("i", F.row_number().over(order)).where(F.col("i") <= F.col("n_w") - F.ceil(F.lit(least) * F.col("n_w") - SLACK) + 1)
-    a = pref.select("t", *extra, F.col("k").alias("left_key"), F.col("n_w").alias("n_a"), F.col("i").alias("i_a"), F.col("labels").alias("la"))
-    b = pref.select("t", *extra, F.col("k").alias("right_key"), F.col("n_w").alias("n_b"), F.col("i").alias("i_b"), F.col("labels").alias("lb"))
-    size_ok = (F.col("n_a") >= F.lit(least) * F.col("n_b") - SLACK) & (F.col("n_b") >= F.lit(least) * F.col("n_a") - SLACK)
-    rest_ok = 1 + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - SLACK
-    agree = (F.size("la") == 0) | (F.size("lb") == 0) | F.arrays_overlap("la", "lb")
-    pairs = a.join(b, ["t", *extra]).where((F.col("left_key") < F.col("right_key")) & size_ok & rest_ok & agree).select("left_key", "right_key").distinct()
-    wa, wb = base.select(F.col("k").alias("left_key"), F.col("w").alias("wa")), base.select(F.col("k").alias("right_key"), F.col("w").alias("wb"))
-    return pairs.join(wa, "left_key").join(wb, "right_key").withColumn("similarity", T.jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= least).select("left_key", "right_key", "similarity")
+    base = base.groupBy(*same).agg(F.min("k").alias("k")).select("k", *same)
+    return _pairs(base, least, [within] if within else [])
+
+
+# Words counted for the order of the prefix: at most so many, the most frequent; the others count as rare.
+COUNTED = 200_000
+
+
+def _prefixes(least: float, table) -> object:  # noqa: ANN001
+    """Arrow batches (id, g, h) to rows (key, id, n, i, short, x, y): the words of a set's prefix from rare to frequent.
+
+    ``x`` and ``y`` hold a bit for each word of the set; ``short`` marks the words that it needs towards sets as large or larger.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = table.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(2)
+            n = np.asarray(lists.value_lengths()).astype(np.int64)
+            h = np.asarray(lists.flatten()).view(np.uint64)
+            first = np.cumsum(n) - n
+            mine = np.repeat(np.arange(len(n)), n)
+            f = np.zeros(len(h), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                f = np.where(known[at] == h, count[at], 0)
+            bit = np.uint64(1) << (h & np.uint64(63))
+            low = (h >> np.uint64(6)) & np.uint64(1) == 0
+            x, y = (np.bitwise_or.reduceat(np.where(half, bit, np.uint64(0)), first).view(np.int64) for half in (low, ~low))
+            order = np.lexsort((h, f, mine))
+            i = np.arange(len(h)) - first[mine] + 1  # mine is sorted, so places within a set are as before
+            size = n[mine]
+            keep = i <= size - np.ceil(least * size - SLACK) + 1
+            short = i <= size - np.ceil(2 * least / (1 + least) * size - SLACK) + 1
+            ids, g = np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64)
+            key = (h[order] ^ (g * np.uint64(0x9E3779B97F4A7C15))[mine]).view(np.int64)
+            cols = [key, ids[mine], size.astype(np.int32), i.astype(np.int32), short, x[mine], y[mine]]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names=["key", "id", "n", "i", "short", "x", "y"])
+
+    return run
+
+
+def _pairs(base: DataFrame, least: float, extra: list[str]) -> DataFrame:
+    """``similar_pairs`` of rows (k, *extra, w, labels), each of a class of its own and with words.
+
+    Of two sets the smaller one has at least 2 * least / (1 + least) of its words in the other, the larger one ``least``
+    of its own, so they meet at a word among the n - that + 1 rarest of each.  The order only has to be the same for all
+    sets: it goes by the counts of the most frequent words.  Where two sets meet, no more words can be shared than follow
+    in the shorter rest, and they differ in at least as many words as their bits differ; what is left is compared by
+    words.  Keys and bits come from hashes, which can only add pairs to compare.
+    """
+    spark = base.sparkSession
+    base = kept(base.withColumn("id", F.monotonically_increasing_id()))
+    hashed = F.transform("w", lambda t: F.xxhash64(t))
+    group = F.xxhash64(*extra) if extra else F.lit(0).cast("bigint")
+    often = base.select(F.explode(hashed).alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "h").limit(COUNTED).toArrow()
+    known, count = np.asarray(often.column(0).combine_chunks()).view(np.uint64), np.asarray(often.column(1).combine_chunks())
+    order = np.argsort(known)
+    table = spark.sparkContext.broadcast((known[order], count[order]))
+    places = base.select("id", group.alias("g"), hashed.alias("h")).mapInArrow(_prefixes(least, table), "key long, id long, n int, i int, short boolean, x long, y long")
+    side = lambda rows, c: rows.select("key", *[F.col(o).alias(f"{o}_{c}") for o in ("id", "n", "i", "x", "y")])
+    both = F.col("n_a") + F.col("n_b")
+    once = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("id_a") < F.col("id_b")))
+    apart = F.bit_count(F.col("x_a").bitwiseXOR(F.col("x_b"))) + F.bit_count(F.col("y_a").bitwiseXOR(F.col("y_b"))) <= F.lit((1 - least) / (1 + least)) * both + SLACK
+    rest = 1 + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) >= F.lit(least / (1 + least)) * both - SLACK
+    met = side(places.where("short"), "a").join(side(places, "b"), "key").where(once & apart & rest).select("id_a", "id_b").distinct()
+    told = base.select("id", F.struct("k", *extra, "w", "labels").alias("s"))
+    met = met.join(told.select(F.col("id").alias("id_a"), F.col("s").alias("a")), "id_a").join(told.select(F.col("id").alias("id_b"), F.col("s").alias("b")), "id_b")
+    agree = (F.size("a.labels") == 0) | (F.size("b.labels") == 0) | F.arrays_overlap("a.labels", "b.labels")
+    for c in extra:
+        agree = agree & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    met = met.where(agree).select(F.least("a.k", "b.k").alias("left_key"), F.greatest("a.k", "b.k").alias("right_key"), T.jaccard(F.col("a.w"), F.col("b.w")).alias("similarity"))
+    return met.where(F.col("similarity") >= least)
+
+
+def word_ids(rows: DataFrame, column: str) -> DataFrame:
+    """The words of an array column as whole numbers, each word its own: sets keep their likeness and take less room.
+
+    The numbers are hashes; a seed with which two words of the rows get the same one is given up for the next.
+    """
+    seen = rows.select(F.explode(column).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    for seed in range(100):
+        if seen.groupBy(F.xxhash64(F.lit(seed), "t").alias("h")).count().where("count > 1").isEmpty():
+            return rows.withColumn(column, F.array_sort(F.transform(column, lambda t: F.xxhash64(F.lit(seed), t))))  # noqa: B023
+    raise ValueError(f"no hash tells the words of {column} apart")
 
 
 def review_pairs(pairs: DataFrame, rows: DataFrame, key: str, overlap: list[Column], weak: Column, k: int) -> DataFrame:
@@ -182,13 +257,12 @@ def sum_scores(rows: DataFrame, by: str, hints: Column) -> DataFrame:
 def provider_clusters(structured: DataFrame) -> DataFrame:
     """(raw_post_id, provider_key): posts joined by strong identity keys; a post without any stands alone or by its text."""
     posts = structured.select("raw_post_id", "identity", F.filter("identity", lambda x: ~x.startswith("weak_text:")).alias("strong")).where("raw_post_id <> ''").groupBy("raw_post_id").agg(F.max("identity").alias("identity"), F.max("strong").alias("strong"))
-    posts = cut(posts)
-    strong = posts.where("size(strong) > 0")
-    comp = components(shared_key_edges(strong, "raw_post_id", F.col("strong")))
-    anchor = comp.join(strong.select(F.col("raw_post_id").alias("id"), F.explode("strong").alias("key")), "id").groupBy("component").agg(F.min("key").alias("anchor"))
-    of = comp.join(anchor, "component").select(F.col("id").alias("raw_post_id"), F.concat(F.lit("provider:"), F.split_part("anchor", F.lit(":"), F.lit(1)), F.lit(":"), F.sha1(F.col("anchor").cast("binary"))).alias("provider_key"))
-    weak = posts.where("size(strong) = 0").select("raw_post_id", F.concat(F.lit("provider:raw_post:"), F.sha1(F.coalesce(F.get("identity", F.lit(0)), F.col("raw_post_id")).cast("binary"))).alias("provider_key"))
-    return of.unionAll(weak)
+    posts = kept(posts.select("raw_post_id", "strong", F.array_min("strong").alias("id"), F.when(F.size("strong") == 0, F.coalesce(F.get("identity", F.lit(0)), F.col("raw_post_id"))).alias("weak")))
+    # The keys of a post hang on its smallest: a component of keys is named by the anchor of its posts.
+    comp = components(posts.where("size(strong) > 1").select(F.explode("strong").alias("a"), F.col("id").alias("b")).distinct())
+    anchor = F.coalesce("component", "id")
+    key = F.when(F.col("id").isNull(), F.concat(F.lit("provider:raw_post:"), F.sha1(F.col("weak").cast("binary")))).otherwise(F.concat(F.lit("provider:"), F.split_part(anchor, F.lit(":"), F.lit(1)), F.lit(":"), F.sha1(anchor.cast("binary"))))
+    return posts.join(comp, "id", "left").select("raw_post_id", key.alias("provider_key"))
 
 
 def attachment_edges(bare: DataFrame, told: DataFrame, seconds: float) -> DataFrame:
@@ -224,13 +298,22 @@ def offer_clusters(posts: DataFrame, least: float = 0.55, seconds: float = 5.0)
     at = F.trim(T.or_empty(given("posted_at_utc", "string")))
     rows = posts.select("raw_post_id", "provider_key", "text_hash", "tokens", F.coalesce(given("categories", "array<string>"), F.array().cast("array<string>")).alias("categories"), T.or_empty(given("channel", "string")).alias("channel"), at.alias("at"), parse_instant(at).alias("ts"))
     blank = T.or_empty(F.col("text_hash")).isin("", BLANK_HASH)
-    rows = cut(rows.withColumn("blank", blank).withColumn("bare", F.col("blank") & (F.coalesce(F.size("tokens"), F.lit(0)) <= 0) & (F.size("categories") == 0)))
-    low = rows.where("not blank").groupBy("provider_key", "text_hash").agg(F.min("raw_post_id").alias("b"))
-    same = rows.where("not blank").join(low, ["provider_key", "text_hash"]).select(F.col("raw_post_id").alias("a"), "b")
-    reps = rows.join(low.select(F.col("b").alias("raw_post_id")).unionAll(rows.where("blank and not bare").select("raw_post_id")), "raw_post_id", "left_semi")
-    near = similar_pairs(reps, "raw_post_id", F.col("tokens"), least, "provider_key", F.col("categories")).select(F.col("left_key").alias("a"), F.col("right_key").alias("b"))
-    alike = word_classes(reps, "raw_post_id", F.col("tokens"), "provider_key", F.col("categories")).select(F.col("raw_post_id").alias("a"), F.col("class_key").alias("b"))
-    hung = attachment_edges(rows.where("bare"), rows.where("not bare"), seconds)
-    alone = rows.select(F.col("raw_post_id").alias("a"), F.col("raw_post_id").alias("b"))
-    comp = components(same.unionAll(near).unionAll(alike).unionAll(hung).unionAll(alone))
-    return rows.join(comp, rows.raw_post_id == comp.id).select("raw_post_id", "provider_key", F.concat(F.lit("offer:"), T.stable_hash(F.col("provider_key"), F.col("component"))).alias("offer_key"))
+    told = F.array_sort(F.array_distinct("categories"))
+    worded = F.coalesce(F.size("tokens"), F.lit(0)) > 0
+    digest = F.when(worded, F.sha1(F.to_json(F.struct(F.array_sort("tokens").alias("w"), told.alias("l"))).cast("binary")))
+    rows = rows.withColumn("blank", blank).withColumn("bare", F.col("blank") & ~worded & (F.size("categories") == 0))
+    rows = kept(rows.select("*", digest.alias("digest")))
+    # A post of a text stands by the smallest post of that text, and those by the smallest one of the same words and categories.
+    low = rows.where("not blank").groupBy("provider_key", "text_hash").agg(F.min("raw_post_id").alias("rep"))
+    first = rows.select("raw_post_id", "provider_key", "text_hash", "blank", "bare", "digest").join(low.withColumn("blank", F.lit(False)), ["provider_key", "text_hash", "blank"], "left").withColumn("rep", F.coalesce("rep", "raw_post_id"))
+    first = kept(first.select("raw_post_id", "provider_key", "rep", F.when(F.col("rep") == F.col("raw_post_id"), F.col("digest")).alias("digest")))
+    name = first.where("digest is not null").groupBy("provider_key", "digest").agg(F.min("raw_post_id").alias("class_key"))
+    of = kept(first.where("digest is not null").join(name, ["provider_key", "digest"]).select(F.col("raw_post_id").alias("rep"), "class_key"))
+    base = rows.join(of.where("rep = class_key").select(F.col("rep").alias("raw_post_id")), "raw_post_id", "left_semi")
+    base = base.select(F.col("raw_post_id").alias("k"), "provider_key", F.array_sort("tokens").alias("w"), told.alias("labels"))
+    near = _pairs(base, least, ["provider_key"]).select(F.col("left_key").alias("a"), F.col("right_key").alias("b"))
+    hung = attachment_edges(rows.where("bare").drop("tokens"), rows.where("not bare").drop("tokens"), seconds)
+    stand = first.join(of, "rep", "left").select("raw_post_id", "provider_key", F.coalesce("class_key", "rep").alias("stands"))
+    hung = hung.join(stand.select(F.col("raw_post_id").alias("b"), "stands"), "b").select("a", F.col("stands").alias("b"))
+    comp = components(near.unionAll(hung)).withColumnRenamed("id", "stands")
+    return stand.join(comp, "stands", "left").select("raw_post_id", "provider_key", F.concat(F.lit("offer:"), T.stable_hash(F.col("provider_key"), F.coalesce("component", "stands"))).alias("offer_key"))

@@ -19,7 +19,7 @@ from postweave.operators import review as R
 from postweave.operators import tables as S
 from postweave.plans import contact_sql as Q
 from postweave.plans import views as V
-from postweave.session import table
+from postweave.session import kept, table
 from postweave.sources import files
 from postweave.streaming import ingest
 
@@ -324,11 +324,12 @@ def provider_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(Q.offer_clusters())
 def offer_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts joined to offers within their provider."""
-    s = P.structure(table(spark, sf_dir, "raw_posts", True))
+    s = P.structure(table(spark, sf_dir, "raw_posts", True)).where("raw_post_id <> ''")
+    s = kept(s.select("raw_post_id", "text_hash", "tokens", F.col("hints.code").alias("categories"), "source_channel_key", "posted_at_utc", "_run_id", (F.col("text_norm") != "").alias("has_text"), "identity"))
     # One fetch of a post stands for all: with a text, a time and a channel if any has them, then the last.
-    of = F.struct("text_hash", "tokens", F.col("hints.code").alias("categories"), F.col("source_channel_key").alias("channel"), "posted_at_utc")
-    order = F.struct(F.col("text_norm") != "", P.parse_instant(F.col("posted_at_utc")).isNotNull(), F.col("source_channel_key") != "", "_run_id", "text_hash", "posted_at_utc", "source_channel_key")
-    posts = s.where("raw_post_id <> ''").groupBy("raw_post_id").agg(F.max_by(of, order).alias("x")).select("raw_post_id", "x.*")
+    of = F.struct("text_hash", "tokens", "categories", F.col("source_channel_key").alias("channel"), "posted_at_utc")
+    order = F.struct("has_text", P.parse_instant(F.col("posted_at_utc")).isNotNull(), F.col("source_channel_key") != "", "_run_id", "text_hash", "posted_at_utc", "source_channel_key")
+    posts = M.word_ids(s, "tokens").groupBy("raw_post_id").agg(F.max_by(of, order).alias("x")).select("raw_post_id", "x.*")
     return M.offer_clusters(posts.join(M.provider_clusters(s), "raw_post_id"))
 
 

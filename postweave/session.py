@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -55,6 +56,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``cut`` for wide rows: Parquet files in the checkpoint folder, where columns are packed and read one by one."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/kept-{uuid.uuid4()}"
+    ship(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per context, so that they need not have it installed.
 

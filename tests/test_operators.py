@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -186,6 +187,25 @@ def test_pairs_at_the_bound_itself(spark):
     assert (1, 2) in {(r.left_key, r.right_key) for r in M.similar_pairs(rare, "k", F.col("w"), 0.55).collect()}
 
 
+def test_pairs_of_one_large_group(spark):
+    # 6,000 sets of 24 words out of 150: nearly all pairs share a word of their prefixes, only those of a set and its changed copy are alike.
+    rng = random.Random(7)
+    vocabulary = [f"w{i:03}" for i in range(150)]
+    sets = [sorted(rng.sample(vocabulary, 24)) for _ in range(6000)]
+    for i in range(0, 6000, 100):
+        sets[i + 1] = sorted([*sets[i][4:], "new", "words"])
+    bits = [sum(1 << int(w[1:]) if w[1:].isdigit() else 1 << 150 + len(w) for w in x) for x in sets]
+    want = {(f"k{i:04}", f"k{j:04}") for i, a in enumerate(bits) for j, b in enumerate(bits[i + 1 :], i + 1) if 20 * (a & b).bit_count() >= 11 * (a | b).bit_count()}
+    df = spark.createDataFrame([(f"k{i:04}", "p", x) for i, x in enumerate(sets)], "k string, g string, w array<string>")
+    began = time.monotonic()
+    got = {(r.left_key, r.right_key) for r in M.similar_pairs(df, "k", F.col("w"), 0.55, "g").collect()}
+    assert got == want and len(want) >= 60
+    assert time.monotonic() - began < 40
+    # Numbers keep words apart and sets alike.
+    numbered = {(r.left_key, r.right_key) for r in M.similar_pairs(M.word_ids(df, "w"), "k", F.col("w"), 0.55, "g").collect()}
+    assert numbered == want
+
+
 def test_store_commits_whole_or_not_at_all(spark, tmp_path):
     from postweave.sources.store import Store
 
